@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ["decontaminate", "packing"]
+MODULES = ["decontaminate", "htmltext", "packing", "warc"]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
