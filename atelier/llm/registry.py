@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ["decontaminate", "htmltext", "packing", "perplexity", "warc"]
+MODULES = ["compression", "decontaminate", "htmltext", "packing", "perplexity", "warc"]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
