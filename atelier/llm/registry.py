@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ["compression", "decontaminate", "htmltext", "licences", "packing", "perplexity", "privacy", "warc"]
+MODULES = ["compression", "decontaminate", "htmltext", "licences", "neardup", "packing", "perplexity", "privacy", "warc"]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
