@@ -16,6 +16,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -164,6 +165,33 @@ def _occurrences(c: W.Chunk, x: Index) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(at_all), np.concatenate(window_all)
 
 
+def clean(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, shingle: int = SHINGLE, block: int = BLOCK) -> DataFrame:
+    """The rows of docs in which no window of an item occurs, with all their columns; no row is shuffled."""
+    schema = docs.schema
+    for rows in _blocks(benchmark, window, block):
+        shared = docs.sparkSession.sparkContext.broadcast(index(docs, rows, shingle))
+
+        def run(batches: Iterator[pa.RecordBatch], shared: Broadcast = shared) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                keep = np.ones(batch.num_rows, bool)
+                for c in W.chunks(batch.column("text"), W.FOLDED, lower=True):
+                    begin, _ = _occurrences(c, shared.value)
+                    keep[c.lo + c.row[begin]] = False
+                yield batch.filter(pa.array(keep))
+
+        docs = docs.mapInArrow(run, schema)
+    return docs
+
+
+def _blocks(benchmark: DataFrame, window: int, block: int) -> Iterator[list]:
+    """The windows of all items, about `block` at a time."""
+    found = windows(benchmark, window=window)
+    blocks = max(1, -(-found.count() // block))
+    numbered = found.withColumn("_b", F.pmod(F.xxhash64("hashes"), F.lit(blocks)))
+    for b in range(blocks):
+        yield numbered.where(F.col("_b") == b).drop("_b").collect()
+
+
 def _match(docs: DataFrame, x: Index, every: bool) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(x)
 
@@ -205,14 +233,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW
     an empty benchmark hits nothing. Other columns of docs are left out.
     """
     docs = docs.select(F.col("doc_id").cast("long"), "text")
-    found = windows(benchmark, window=window)
-    blocks = max(1, -(-found.count() // block))
-    parts = []
-    numbered = found.withColumn("_b", F.pmod(F.xxhash64("hashes"), F.lit(blocks)))
-    for b in range(blocks):
-        rows = numbered.where(F.col("_b") == b).drop("_b").collect()  # about `block` windows
-        parts.append(_match(docs, index(docs, rows, shingle), every=b == 0))
-    if blocks == 1:
+    parts = [_match(docs, index(docs, rows, shingle), every=b == 0) for b, rows in enumerate(_blocks(benchmark, window, block))]
+    if len(parts) == 1:
         return parts[0].drop("_text")
     every = reduce(DataFrame.unionByName, parts)
     # a word is hit if any block hits it: the ranges are merged again
