@@ -3,13 +3,25 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
+from atelier.plans import queries as Q
+from atelier.sources.adapters import Tables, oracle
+
+
+def _run(f: Callable[[Tables], DataFrame], spark: SparkSession, sf_dir: str) -> DataFrame:
+    return f(Tables(spark, sf_dir))
+
+
+def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _run(Q.mart_crawl_quality, spark, sf_dir)
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return {name: partial(_run, f) for name, (f, _) in Q.FOUND.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {name: oracle(sql) for name, (_, sql) in Q.FOUND.items() if sql}
