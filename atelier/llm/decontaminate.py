@@ -134,7 +134,7 @@ def index(docs: DataFrame, block: list, shingle: int) -> Index:
         prefixes[s] = Sorted.of(vocabulary[s].keys[used])
         begin[s] = np.append(np.searchsorted(keys, used), len(keys))
         window[s], place[s] = np.array([i for _, i, _ in found]), np.array([p for _, _, p in found])
-    length = np.array([len(h) for h in hashes])
+    length = np.array([len(h) for h in hashes], np.int64)
     row = np.zeros(len(hashes), np.int64)
     words = {}
     for size in np.unique(length).tolist():
@@ -216,7 +216,7 @@ def _match(docs: DataFrame, x: Index, every: bool) -> DataFrame:
                     [
                         batch.column("doc_id").slice(c.lo, c.hi - c.lo).take(pa.array(rows, pa.int64())),
                         batch.column("_text").slice(c.lo, c.hi - c.lo).take(pa.array(rows, pa.int64())),
-                        pa.array(c.n_words[rows], pa.int64()),
+                        pa.array(c.n_words[np.array(rows, np.int64)], pa.int64()),
                         pa.array([spans.get(r, []) for r in rows], pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())]))),
                         pa.array([sorted(items.get(r, ())) for r in rows], pa.list_(pa.int64())),
                     ],

@@ -5,7 +5,7 @@ characters over its tags. Subtrees that never hold article text (menus, adverts,
 tag, role, and class or id words. The ratios of what remains are smoothed with a Gaussian; lines over the
 threshold (the ratios' standard deviation, at most their mean) form clusters, and clusters choose the
 regions: each <article> or <main> that holds a cluster is kept whole, so its short lines stay. A page
-without such an element keeps the lines from each cluster and the gaps of up to `gap` lines between clusters.
+without such an element keeps the clusters' own lines and the gaps of up to `gap` lines between them.
 """
 
 from __future__ import annotations
@@ -155,7 +155,7 @@ def main_text(html: str | None, *, sigma: float = 1.0, gap: int = 2) -> tuple[st
     if regions:
         kept = [text for text, _, region in lines if region in regions]
     else:
-        at = [i for i, c in enumerate(content) if c]
+        at = [i for i, c in enumerate(content) if c and ratios[i] >= threshold]
         keep = set(at)
         for a, b in zip(at, at[1:], strict=False):
             if b - a <= gap + 1:
