@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from atelier.functions import parse as P
 from atelier.functions import text as X
 from atelier.operators import audit as A
+from atelier.operators import extract as E
 from atelier.operators import marts as M
 from atelier.operators import moderation as D
 from atelier.operators import tables as O
@@ -657,3 +658,37 @@ def record_search(t):
     words = F.array(*map(F.lit, ["customer", "red", "steel", "oil"]))
     hits = lambda c: F.size(F.array_intersect(F.split(F.lower(F.coalesce(F.col(c), F.lit(""))), " "), words))
     return t["a_artworks"].select("id", (hits("artwork_title") * 3 + hits("medium_text")).alias("score")).where("score > 0")
+
+
+# ---- pages
+
+
+@query(r"""SELECT page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) <> '' AS titled, len(regexp_extract_all(html, '<a href="[^"]+"'))::int AS links, len(regexp_extract_all(html, '<h1>[^<]*[^<\s][^<]*</h1>'))::int AS headings FROM pages""")
+def page_elements(t):
+    e = E.page_elements(t["pages"])
+    return e.select("page_id", F.col("title").isNotNull().alias("titled"), F.size("links").alias("links"), F.size("headings").alias("headings"))
+
+
+@query(None)
+def page_links_by_class(t):
+    return E.page_links(E.page_elements(t["pages"]), {"detail": "/[a-z]{2}/[0-9]+", "listing": "/page"})
+
+
+@query(None)
+def artist_name_extract(t):
+    return E.artist_name(E.page_elements(t["pages"]))
+
+
+@query(None)
+def artist_bio_extract(t):
+    return E.artist_bio(E.page_elements(t["pages"]))
+
+
+@query(None)
+def events_extract(t):
+    return E.events(E.page_elements(t["pages"]))
+
+
+@query(None)
+def artworks_extract(t):
+    return E.artworks(E.page_elements(t["pages"]))
