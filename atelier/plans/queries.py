@@ -13,6 +13,7 @@ from atelier.operators import audit as A
 from atelier.operators import extract as E
 from atelier.operators import marts as M
 from atelier.operators import moderation as D
+from atelier.operators import summaries as S
 from atelier.operators import tables as O
 from atelier.sources.adapters import Tables
 
@@ -692,3 +693,142 @@ def events_extract(t):
 @query(None)
 def artworks_extract(t):
     return E.artworks(E.page_elements(t["pages"]))
+
+
+# ---- filters, summaries, bundles
+
+
+@query(f"WITH {MART} SELECT raw_artwork_id, artwork_title, '<img src=\"' || coalesce(image_url, '') || '\">' AS thumbnail FROM mart WHERE source_domain = '{SITE}'")
+def artwork_gallery_dataset(t):
+    return mart(t).where(F.col("source_domain") == SITE).select("raw_artwork_id", "artwork_title", F.concat_ws("", F.lit('<img src="'), "image_url", F.lit('">')).alias("thumbnail"))
+
+
+@query(f"WITH {GAL} SELECT raw_gallery_id, contact_quality_score FROM gl WHERE phone IS NULL AND gallery_name ILIKE '%customer%' AND contact_quality_score <= 6")
+def admin_galleries_filter(t):
+    return S.filtered_list(M.latest_galleries(gal(t)), search={"gallery_name": "customer"}, missing=["phone"]).where("contact_quality_score <= 6").select("raw_gallery_id", "contact_quality_score")
+
+
+@query(f"WITH {REVIEWED} SELECT DISTINCT artist_name, source_domain FROM rec WHERE artist_name ILIKE '%00001%' AND source_domain = 'nation_3.example'")
+def artists_filter(t):
+    return S.filtered_list(M.artist_profiles(records(t)), search={"artist_name": "00001"}, equal={"source_domain": "nation_3.example"}).select("artist_name", "source_domain")
+
+
+@query("SELECT id, entity_id FROM a_flags WHERE issue_type = 'duplicate' AND action = 'open'")
+def flags_filter(t):
+    return S.filtered_list(t["a_flags"], equal={"issue_type": "duplicate", "action": "open"}).select("id", "entity_id")
+
+
+@query("SELECT doc_id FROM a_after WHERE artist_name ILIKE '%selected works%' OR artist_name ILIKE '%paintings%' OR artist_name ILIKE '%prints%' OR artist_name ILIKE '%artworks%'")
+def suspect_name_filter(t):
+    return t["a_after"].where(D.suspect_name(F.col("artist_name"))).select("doc_id")
+
+
+@query(f"WITH {EVENTS} SELECT artist_id FROM artist WHERE artist_id NOT IN (SELECT artist_id FROM links JOIN mev USING (event_id) WHERE city = 'NATION_1')")
+def artists_without_events(t):
+    there = M.artist_event_links(links(t), mart_ev(t)).where("city = 'NATION_1'").select("artist_id").distinct()
+    return M.int_artists(t["a_artists"]).select("artist_id").join(there, "artist_id", "left_anti")
+
+
+@query("SELECT artwork_id, arg_max(id, struct_pack(a := coalesce(reviewed_at, timestamp '1900-01-01'), b := id)) AS rejection FROM a_reviews WHERE review_status <> 'approved' GROUP BY 1")
+def latest_rejection_lateral(t):
+    last = F.struct(F.coalesce("reviewed_at", F.lit("1900-01-01").cast("timestamp")), "id")
+    return t["a_reviews"].where("review_status <> 'approved'").groupBy("artwork_id").agg(F.max_by("id", last).alias("rejection"))
+
+
+@query(f"""WITH {EVENTS}, {EK}, {GAL} SELECT e.event_id, arg_max(gl.raw_gallery_id, struct_pack(a := gl.crawl_timestamp, b := gl.raw_gallery_id)) AS raw_gallery_id FROM ek e JOIN gl USING (n_gallery_name, n_city, n_country, source_domain) GROUP BY 1""")
+def event_gallery_lookup(t):
+    kept = M.latest_galleries(gal(t))
+    held = M.gallery_events(kept, mart_ev(t)).join(kept.select("raw_gallery_id", "crawl_timestamp"), "raw_gallery_id")
+    return held.select(F.explode("linked_events.event_id").alias("event_id"), "raw_gallery_id", "crawl_timestamp").groupBy("event_id").agg(F.max_by("raw_gallery_id", F.struct("crawl_timestamp", "raw_gallery_id")).alias("raw_gallery_id"))
+
+
+@query(f"WITH {EQ} SELECT source_domain, event_type, count(*) AS n, count(*) FILTER (is_approved) AS approved, count(*) FILTER (is_hidden) AS hidden, round(avg(quality_score), 2) AS avg_score FROM es GROUP BY 1, 2")
+def event_quality_summary(t):
+    return D.event_quality(er(t)).groupBy("source_domain", "event_type").agg(F.count("*").alias("n"), F.count_if("is_approved").alias("approved"), F.count_if("is_hidden").alias("hidden"), F.round(F.avg("quality_score"), 2).alias("avg_score"))
+
+
+@query(f"WITH {EQ}, {GAL} SELECT 'events' AS entity, count(*) AS n, count(*) FILTER (is_approved) AS good FROM es UNION ALL SELECT 'galleries', count(*), count(*) FILTER (contact_quality_score >= 6) FROM gl UNION ALL SELECT 'reviews', count(*), count(*) FILTER (review_status = 'approved') FROM a_reviews")
+def moderation_summary(t):
+    one = lambda df, name, good: df.agg(F.count("*").alias("n"), F.count_if(good).alias("good")).select(F.lit(name).alias("entity"), "n", "good")
+    return one(D.event_quality(er(t)), "events", F.col("is_approved")).unionByName(one(M.latest_galleries(gal(t)), "galleries", F.col("contact_quality_score") >= 6)).unionByName(one(t["a_reviews"], "reviews", F.col("review_status") == "approved"))
+
+
+@query(f"WITH {EQ} SELECT count(*) AS total, count(*) FILTER (missing_venue) AS missing_venue, count(*) FILTER (missing_artists) AS missing_artists, count(*) FILTER (artist_count > 3) AS multiple, count(*) FILTER (missing_description) AS missing_description, count(*) FILTER (end_before_start) AS end_before_start, count(*) FILTER (is_hidden) AS hidden FROM es")
+def moderation_metrics(t):
+    e = D.event_quality(er(t))
+    return e.agg(F.count("*").alias("total"), *O.count_flags({"missing_venue": F.col("missing_venue"), "missing_artists": F.col("missing_artists"), "multiple": F.col("multiple_artist_match"), "missing_description": F.col("missing_description"), "end_before_start": F.col("end_before_start"), "hidden": F.col("is_hidden")}))
+
+
+@query(f"WITH {REVIEWED} SELECT raw_artwork_id FROM rec WHERE review_status = 'pending'")
+def queue_artworks_pending(t):
+    return D.moderation_queue(records(t), "artworks_pending_review").select("raw_artwork_id")
+
+
+@query(f"WITH {REVIEWED} SELECT raw_artwork_id FROM rec WHERE image_url IS NULL")
+def queue_missing_images(t):
+    return D.moderation_queue(records(t), "broken_or_missing_images").select("raw_artwork_id")
+
+
+@query(None)
+def queue_artists_short_bio(t):
+    return D.moderation_queue(M.artist_profiles(records(t)), "artists_short_bio").select("artist_name", "source_domain", "bio_quality_score")
+
+
+@query(f"WITH {MART}, c AS (SELECT artist_name, source_domain, max(crawl_timestamp) AS m FROM mart WHERE artist_name IS NOT NULL GROUP BY 1, 2) SELECT artist_name, source_domain FROM (SELECT *, row_number() OVER (PARTITION BY artist_name ORDER BY m DESC NULLS LAST, source_domain) AS n FROM c) WHERE n = 1")
+def best_domain_for_artist(t):
+    return S.best_domain(mart(t).where("artist_name is not null").groupBy("artist_name", "source_domain").agg(F.max("crawl_timestamp").alias("last_seen")))
+
+
+@query(f"""WITH {DUP} SELECT source_domain, count(*) AS records, round(count(*) FILTER (artist_name IS NULL) / count(*), 4) AS missing_rate, round(count(*) FILTER (c > 1) / count(*), 4) AS duplicate_rate, round(avg(quality_score), 2) AS avg_score,
+ count(DISTINCT crawl_run_id) AS runs, max(crawl_timestamp) AS last_success FROM dup GROUP BY 1""")
+def mart_sources(t):
+    m = mart(t)
+    return S.source_summary(m, M.duplicate_groups(m))
+
+
+@query(f"WITH {REVIEWED} SELECT raw_artwork_id FROM rec WHERE review_status = 'approved' AND artist_name IS NOT NULL AND source_url IS NOT NULL AND source_record_id NOT IN (SELECT entity_id || '-1' FROM a_flags WHERE action = 'open') ")
+def public_visibility(t):
+    rec = records(t).where("source_record_id is not null")
+    flagged = rec.join(t["a_flags"].where("action = 'open'").select(F.concat("entity_id", F.lit("-1")).alias("source_record_id")).distinct(), "source_record_id", "left_semi")
+    return S.public_visibility(rec, flagged).select("raw_artwork_id")
+
+
+@query("""WITH e AS (SELECT doc_id, 'artist_name' AS field, 'Artist ' || lang AS value, doc_id % 50 AS k, n_chars FROM documents), l AS (SELECT k, arg_max(value, struct_pack(a := n_chars, b := doc_id)) AS v FROM e GROUP BY 1)
+SELECT s_suppkey, coalesce(v, s_name) AS artist_name, s_name AS source_artist_name FROM supplier LEFT JOIN l ON k = s_suppkey""")
+def enrichment_overlay(t):
+    edits = t["documents"].select((F.col("doc_id") % 50).alias("s_suppkey"), F.lit("artist_name").alias("field"), F.concat(F.lit("Artist "), F.col("lang")).alias("value"), F.col("n_chars").alias("edited_at"), F.col("doc_id").alias("id"))
+    base = t["supplier"].select("s_suppkey", F.col("s_name").alias("artist_name"))
+    return S.enrichment_overlay(base, edits, key="s_suppkey", fields=["artist_name"]).select("s_suppkey", "artist_name", "source_artist_name")
+
+
+@query(f"WITH {DUP}, c AS (SELECT k, min(raw_artwork_id) AS canonical_id FROM dup WHERE c > 1 GROUP BY 1), d AS (SELECT raw_artwork_id, min(canonical_id) AS canonical_id FROM dup JOIN c USING (k) GROUP BY 1) SELECT raw_artwork_id, coalesce(canonical_id, raw_artwork_id) AS canonical_id FROM dup LEFT JOIN d USING (raw_artwork_id)")
+def duplicate_resolution(t):
+    g = M.duplicate_groups(mart(t))
+    first = g.where("is_duplicate_candidate").groupBy("duplicate_group_key").agg(F.min("raw_artwork_id").alias("canonical_id"))
+    decisions = g.join(first, "duplicate_group_key").groupBy(F.col("raw_artwork_id").alias("duplicate_id")).agg(F.min("canonical_id").alias("canonical_id"))
+    return S.duplicate_resolution(g, decisions).select("raw_artwork_id", "canonical_id")
+
+
+@query(f"WITH {DUP} SELECT raw_artwork_id, c > 1 AS duplicate, quality_score FROM dup ORDER BY c > 1 DESC, quality_score, crawl_timestamp DESC, raw_artwork_id LIMIT 50")
+def review_queue_order(t):
+    g = M.duplicate_groups(mart(t))
+    return O.paged(g, [F.desc("is_duplicate_candidate"), F.asc("quality_score"), F.desc("crawl_timestamp"), F.asc("raw_artwork_id")]).select("raw_artwork_id", F.col("is_duplicate_candidate").alias("duplicate"), "quality_score")
+
+
+@query(f"WITH {MART} SELECT raw_artwork_id FROM mart WHERE raw_artwork_id NOT IN (SELECT artwork_id FROM a_reviews) ORDER BY created_at DESC, raw_artwork_id LIMIT 100")
+def seed_review_queue(t):
+    reviewed = t["a_reviews"].select(F.col("artwork_id").alias("raw_artwork_id"))
+    return O.paged(mart(t).join(reviewed, "raw_artwork_id", "left_anti"), [F.desc("created_at"), F.asc("raw_artwork_id")], limit=100).select("raw_artwork_id")
+
+
+@query(f"""WITH {EVENTS}, n AS (SELECT l.artist_id, mev.event_id, row_number() OVER (PARTITION BY l.artist_id ORDER BY mev.start_date DESC NULLS LAST, mev.event_id) AS k FROM links l JOIN mev USING (event_id))
+SELECT a.artist_id, coalesce(string_agg(event_id, ',' ORDER BY k) FILTER (k <= 20), '') AS events FROM artist a LEFT JOIN n USING (artist_id) GROUP BY 1""")
+def artist_profile_bundle(t):
+    held = M.artist_event_links(links(t), mart_ev(t)).select("artist_id", F.col("start_date").alias("turn"), F.col("event_id").alias("item"))
+    return S.bundle(M.int_artists(t["a_artists"]).select("artist_id"), "artist_id", {"events": held}, most=20).select("artist_id", F.array_join("events", ",").alias("events"))
+
+
+@query(f"WITH {MART} SELECT source_domain, round(count(*) FILTER (artwork_title IS NULL) / count(*), 4) AS missing_title, round(count(*) FILTER (price_parse_status = 'failed') / count(*), 4) AS price_failed FROM mart GROUP BY 1")
+def rate_metrics(t):
+    share = lambda c: F.round(F.try_divide(F.count_if(c), F.count("*")), 4)
+    return mart(t).groupBy("source_domain").agg(share(F.col("artwork_title").isNull()).alias("missing_title"), share(F.col("price_parse_status") == "failed").alias("price_failed"))
