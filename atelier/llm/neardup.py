@@ -6,6 +6,8 @@ sketches make candidates: equal texts are one node first, and in each bucket eve
 buckets give about as many pairs as rows, whatever their size. A pair that meets twice is verified by banded alignment of its labelled runs: the aligned
 share is a lower bound of the shingle sets' Jaccard similarity, which is computed in full where the bound does not decide.
 Buckets that still hold more than one class get new heads from outside their largest class, until a turn finds no link.
+Heads only make the classes large early. What they leave is settled exactly: all nodes of buckets that still hold more than
+one class are joined by the rarest shingles of their sets (a prefix filter), so no link between members of a bucket is missed.
 """
 
 from __future__ import annotations
@@ -179,10 +181,57 @@ def _pairs(members: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
     heads = candidates.groupBy("bin", "hash").agg(F.array_distinct(F.array(*chosen)).alias("heads"))
     met = named.join(heads, ["bin", "hash"]).select("node", "label", "bins", F.explode("heads").alias("head")).where("label <> head.label")
     times = met.groupBy(F.least("node", "head.node").alias("a"), F.greatest("node", "head.node").alias("b")).agg(F.count("*").alias("times"), F.min("bins").alias("bins"))
-    # alike texts share 13 of 32 buckets on average; one alone is chance, except where a short text has few
+    # alike texts share 13 of 32 buckets on average; one alone is mostly chance, and left to _rest, except where a short text has few
     return times.where((F.col("times") > 1) | (F.col("bins") < 8)).select("a", "b")
 
 
+def _shingles(texts: DataFrame, *, size: int) -> DataFrame:
+    """(node, n, token): the distinct shingles of each text, n of them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpacker = zstd.ZstdDecompressor()
+        for batch in batches:
+            for at in range(0, batch.num_rows, 64):
+                few = pa.array([unpacker.decompress(x.as_buffer()) for x in batch.column("packed").slice(at, 64)], pa.large_binary())
+                node = batch.column("doc_id").slice(at, 64)
+                for c in W.chunks(few, W.PLAIN):
+                    h, row = runs(c, size)
+                    order = np.lexsort((h, row))
+                    h, row = h[order], row[order]
+                    new = np.ones(len(h), bool)
+                    new[1:] = (h[1:] != h[:-1]) | (row[1:] != row[:-1])
+                    h, row = h[new], row[new]
+                    n = np.bincount(row, minlength=c.hi - c.lo)
+                    yield pa.RecordBatch.from_arrays([node.take(pa.array(row + c.lo)), pa.array(n[row].astype(np.int32)), W.signed(h)], names=["node", "n", "token"])
+
+    return texts.mapInArrow(run, "node long, n int, token long")
+
+
+def _rest(members: DataFrame, labels: DataFrame, texts: DataFrame, *, size: int, least: float) -> DataFrame:
+    """(a, b): a superset of all links between classes that share a bucket.
+
+    Sets that are alike enough share one of their n - ceil(least * n) + 1 rarest shingles, and the first that they share leaves
+    room for enough others behind it. Shingles of one open node alone come first in the order, and only their number counts.
+    """
+    named = members.select("bin", "hash", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    several = named.groupBy("bin", "hash").agg(F.min("label").alias("_a"), F.max("label").alias("_b")).where("_a < _b").select("bin", "hash")
+    nodes = written(named.join(several, ["bin", "hash"], "left_semi").select("node", "label").distinct(), "open")
+    tokens = _shingles(texts.join(nodes.select(F.col("node").alias("doc_id")).hint("merge"), "doc_id", "left_semi"), size=size)
+    common = tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
+    room = F.col("n") - F.ceil(F.lit(least) * F.col("n") - 1e-9) + 1 - (F.col("n") - F.size("own"))  # places of the prefix that are left for shared shingles
+    own = tokens.join(common, "token").groupBy("node", "n").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("own"))
+    prefix = own.withColumn("room", room.cast("int")).where("room > 0").select("node", "n", (F.col("n") - F.size("own")).alias("alone"), F.posexplode(F.slice("own", F.lit(1), F.col("room"))).alias("at", "x"))
+    # behind: shingles from this one on
+    rows = written(prefix.select("node", "n", (F.col("n") - F.col("alone") - F.col("at")).alias("behind"), F.col("x.token").alias("token")).join(nodes, "node"), "prefixes")
+    per = rows.groupBy("token", "label").agg(F.count("*").alias("k"))
+    largest = per.groupBy("token").agg(F.count("*").alias("classes"), F.max_by("label", F.struct("k", "label")).alias("main")).where("classes > 1").drop("classes")
+    open_ = rows.join(largest, "token")
+    outside = open_.where("label <> main").select("token", F.col("node").alias("other"), F.col("label").alias("other_label"), F.col("n").alias("m"), F.col("behind").alias("other_behind"))
+    enough = F.least("behind", "other_behind") >= F.lit(least / (1 + least)) * (F.col("n") + F.col("m")) - 1e-9
+    met = open_.drop("main").join(outside, "token").where((F.col("label") != F.col("other_label")) & enough)
+    return met.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+
+
 def classes(docs: DataFrame, *, size: int = SHINGLE, least: float = SIMILARITY) -> DataFrame:
     """(doc_id, class_id) for each row of docs; class_id is the least doc_id of the class.
 
@@ -211,6 +260,11 @@ def classes(docs: DataFrame, *, size: int = SHINGLE, least: float = SIMILARITY)
         tried, links = (pairs, found) if tried is None else (tried.unionByName(pairs), links.unionByName(found))
         labels = components(links)
         turn += 1
+    tried = pairs if tried is None else tried.unionByName(pairs)
+    pairs = written(_rest(members, labels, texts, size=size, least=least).join(tried, ["a", "b"], "left_anti"), "pairs")
+    found = written(verified(pairs, texts, size=size, least=least), "links")
+    if not found.isEmpty():
+        labels = components(found if links is None else links.unionByName(found))
     # every row takes the class of its text
     rows = signed.groupBy("content").agg(F.min("doc_id").alias("node")).join(labels, "node", "left").select("content", F.coalesce("label", "node").alias("class_id"))
     return signed.select("doc_id", "content").join(rows, "content").select("doc_id", "class_id")

@@ -255,6 +255,15 @@ def test_near_duplicates(spark, odd):
     assert neardup.deduplicated(odd[0]).columns == odd[0].columns
 
 
+def test_near_duplicates_that_no_head_touches(spark):
+    """Pairs just alike enough in buckets that hold many other classes."""
+    common = [f"c{i}" for i in range(104)]
+    rows = [(2 * k + v, " ".join([*common, f"f{k}", *(f"t{k}x{v}x{i}" for i in range(12))])) for k in range(40) for v in (0, 1)]
+    want = near_classes(rows)
+    assert len(set(want.values())) == 40
+    assert dict(neardup.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()) == want
+
+
 def test_warc_round_trip(spark, tmp_path):
     rows = [(i, f"u{i}", ["dup", "x" * 5000, None, ""][i % 4] if i % 3 else f"page {i} é") for i in range(300)] + [(7, "u", "dup"), (7, "u", "dup"), (None, None, "solo"), (10**15, "far", "far")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("digest", F.lit("clash"))
