@@ -4,8 +4,8 @@ A window of WINDOW words belongs to its anchor, the least hash of its GRAM-word
 anchor make a stretch. Anchors of a single document are dropped. Equal stretches become one, with the least
 doc_id that holds it, and the distinct stretches of an anchor meet in one shard: an FM-index of them is built, and each
 is streamed through it by backward search, which gives the rows of every window and so the least document that holds it.
-An anchor of more than MOST stretches is split into its windows, each of which has a shard of its own, so no shard grows
-with a hot passage. Anchors and windows are chosen by content, so equal windows always meet: the result is exact.
+An anchor of more than MOST stretches is split into its windows, which are grouped by digest instead: partial aggregates keep
+the least document of each, so neither a shard nor a task grows with a hot passage. Anchors and windows are chosen by content, so equal windows always meet: the result is exact.
 """
 
 from __future__ import annotations
@@ -87,30 +87,51 @@ def _packed(docs: DataFrame) -> DataFrame:
 
 
 def _slices(docs: DataFrame, chosen: DataFrame, window: int) -> DataFrame:
-    """(route, anchor, hash, at, doc_id, words): the text of each chosen stretch, or of its windows where `heavy`."""
-    per = chosen.groupBy("doc_id", "content").agg(F.collect_list(F.struct("anchor", "hash", "start", "n", "heavy")).alias("wanted"))
-    joined = _packed(docs).join(per, ["doc_id", "content"]).dropDuplicates(["doc_id", "content"])
+    """(route, anchor, hash, at, doc_id, words): the text of each chosen stretch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpacker = zstd.ZstdDecompressor()
         for batch in batches:
             for doc_id, packed, wanted in zip(batch.column("doc_id").to_pylist(), batch.column("packed"), batch.column("wanted").to_pylist(), strict=True):
                 words = unpacker.decompress(packed.as_buffer()).split()
-                rows = []
-                for w in wanted:
-                    s, n = w["start"], w["n"]
-                    if not w["heavy"]:
-                        rows.append((w["anchor"], w["anchor"], w["hash"], 0, doc_id, b" ".join(words[s : s + n + window - 1]).decode()))
-                        continue
-                    for i in range(n):
-                        text = b" ".join(words[s + i : s + i + window])
-                        route = int.from_bytes(hashlib.blake2b(text, digest_size=8).digest(), "little", signed=True)
-                        rows.append((route, w["anchor"], w["hash"], i, doc_id, text.decode()))
+                rows = [(w["anchor"], w["anchor"], w["hash"], 0, doc_id, b" ".join(words[w["start"] : w["start"] + w["n"] + window - 1]).decode()) for w in wanted]
                 columns = list(zip(*rows, strict=True)) or [()] * 6
                 types = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.string())
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, types, strict=True)], names=["route", "anchor", "hash", "at", "doc_id", "words"])
 
-    return joined.select("doc_id", "packed", "wanted").mapInArrow(run, "route long, anchor long, hash long, at int, doc_id long, words string")
+    return _wanted(docs, chosen).mapInArrow(run, "route long, anchor long, hash long, at int, doc_id long, words string")
+
+
+def _wanted(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """(doc_id, packed, wanted): the compressed texts that hold chosen stretches, and these."""
+    per = chosen.groupBy("doc_id", "content").agg(F.collect_list(F.struct("anchor", "hash", "start", "n")).alias("wanted"))
+    return _packed(docs).join(per, ["doc_id", "content"]).dropDuplicates(["doc_id", "content"]).select("doc_id", "packed", "wanted")
+
+
+def _windows(docs: DataFrame, chosen: DataFrame, window: int) -> DataFrame:
+    """(anchor, hash, at, doc_id, digest): each window of the chosen stretches, by a digest of 128 bits."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpacker = zstd.ZstdDecompressor()
+        for batch in batches:
+            for doc_id, packed, wanted in zip(batch.column("doc_id").to_pylist(), batch.column("packed"), batch.column("wanted").to_pylist(), strict=True):
+                words = unpacker.decompress(packed.as_buffer()).split()
+                rows = [
+                    (w["anchor"], w["hash"], i, doc_id, hashlib.blake2b(b" ".join(words[w["start"] + i : w["start"] + i + window]), digest_size=16).digest())
+                    for w in wanted
+                    for i in range(w["n"])
+                ]
+                columns = list(zip(*rows, strict=True)) or [()] * 5
+                types = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, types, strict=True)], names=["anchor", "hash", "at", "doc_id", "digest"])
+
+    return _wanted(docs, chosen).mapInArrow(run, "anchor long, hash long, at int, doc_id long, digest binary")
+
+
+def grouped(windows: DataFrame) -> DataFrame:
+    """As searched(), a row a window, by grouping equal digests."""
+    least = windows.groupBy("digest").agg(F.min("doc_id").alias("least"))
+    return windows.join(least, "digest").select("anchor", "hash", F.col("at").alias("lo"), (F.col("at") + 1).alias("hi"), "least")
 
 
 _FOUND = "anchor long, hash long, lo int, hi int, least long"
@@ -179,9 +200,11 @@ def repeats(docs: DataFrame, *, window: int = WINDOW, gram: int = GRAM, most: in
     anchors = every.groupBy("anchor").agg(F.min("doc_id").alias("_a"), F.max("doc_id").alias("_b")).where("_a < _b").select("anchor")
     shared = written(every.join(anchors, "anchor", "left_semi"), "shared")
     distinct = shared.groupBy("anchor", "hash").agg(F.min(F.struct("doc_id", "content", "start", "n")).alias("s")).select("anchor", "hash", "s.*")
-    heavy = distinct.groupBy("anchor").agg(F.count("*").alias("k")).where(F.col("k") > most).select("anchor", F.lit(True).alias("heavy"))
-    chosen = distinct.join(heavy, "anchor", "left").withColumn("heavy", F.coalesce("heavy", F.lit(False)))
-    found = searched(_slices(docs, chosen, window), window=window)
+    heavy = distinct.groupBy("anchor").agg(F.count("*").alias("k")).where(F.col("k") > most).select("anchor")
+    heavy = written(heavy, "heavy")
+    found = searched(_slices(docs, distinct.join(heavy, "anchor", "left_anti"), window), window=window)
+    if not heavy.isEmpty():
+        found = found.unionByName(grouped(written(_windows(docs, distinct.join(heavy, "anchor", "left_semi"), window), "windows")))
     mine = shared.join(found, ["anchor", "hash"]).where(F.col("least") < F.col("doc_id"))
     ranges = F.struct((F.col("start") + F.col("lo")).alias("lo"), (F.col("start") + F.col("hi") + window - 1).alias("hi"))
     return mine.groupBy("doc_id", "content").agg(F.array_sort(F.collect_set(ranges)).alias("ranges"))

@@ -107,6 +107,22 @@ def test_substring_dedup(spark, odd, most):
     assert substrings.deduplicated(df.limit(0)).count() == 0
 
 
+def test_substring_dedup_of_a_hot_passage(spark, monkeypatch):
+    """What meets in one index stays within the bound, however many contexts a passage has."""
+    passage = " ".join(f"p{i}" for i in range(55))
+    rows = [(k, " ".join([*(f"a{k}x{i}" for i in range(20)), passage, *(f"b{k}x{i}" for i in range(20))])) for k in range(40)]
+    search, most = substrings.searched, []
+
+    def counted(slices, **options):
+        most.append(max((r["count"] for r in slices.groupBy("route").count().collect()), default=0))
+        return search(slices, **options)
+
+    monkeypatch.setattr(substrings, "searched", counted)
+    got = substrings.deduplicated(spark.createDataFrame(rows, "doc_id long, text string"), most=3, with_text=False)
+    assert sorted(tuple(r) for r in got.collect()) == sorted(removed(rows, 50))
+    assert max(most) <= 3
+
+
 def test_quality_classifier(spark, odd):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{n}.parquet") for n in ("documents", "labels"))
     model = compression.fit(docs, labels)
