@@ -2,12 +2,14 @@
 
 Pieces are cut with vector operations by the vocabulary's own rule (contractions, words, numbers and
 signs with one leading blank, white space); each distinct piece is encoded once and remembered, so the
-cost per text is mostly table look-ups. The ids equal those of the tokenizer file (tests hold them together).
+cost per text is mostly table look-ups. Texts are cut at the tokenizer file's added tokens first, each of which is one piece. The ids equal those of the tokenizer file (tests hold them together).
 """
 
 from __future__ import annotations
 
 import base64
+import json
+import re
 from array import array
 from collections.abc import Iterator
 from functools import cache
@@ -44,6 +46,23 @@ def encoding(path: str) -> tiktoken.Encoding:
     return tiktoken.Encoding(path, pat_str=r"\S+|\s+", mergeable_ranks=ranks, special_tokens={})
 
 
+@cache
+def added(path: str) -> dict[bytes, int]:
+    """Ids of the added tokens of the tokenizer file beside the vocabulary, none of which strips blanks or asks for whole words."""
+    tokens = json.load(open(path.removesuffix(".tiktoken") + ".json", encoding="utf-8"))["added_tokens"]
+    return {t["content"].encode(): t["id"] for t in tokens}
+
+
+def markers(text: bytes, offsets: np.ndarray, path: str) -> np.ndarray:
+    """Starts and ends, by row, of the added tokens in texts: leftmost first, the longest of those at one place; none reaches into another text."""
+    known = sorted(added(path), key=len, reverse=True)
+    if not any(t in text for t in known):
+        return np.zeros((0, 2), np.int64)
+    pattern = re.compile(b"|".join(map(re.escape, known)))
+    found = [m.span() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True) for m in pattern.finditer(text, a, b)]
+    return np.array(found, np.int64).reshape(-1, 2)
+
+
 def code_points(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Byte positions of the characters of UTF-8 data, and their code points."""
     at = np.flatnonzero((data & 0xC0) != 0x80)
@@ -88,7 +107,7 @@ _known: dict[str, dict[int, bytes]] = {}
 def token_ids(column: pa.Array, path: str) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """For some rows at a time: first row, end row, ids (uint32) of all, and offsets by row. Null is empty."""
     encode = encoding(path)._core_bpe.encode_single_piece
-    known = _known.setdefault(path, {})
+    known, special = _known.setdefault(path, {}), added(path)
     data, offsets = W.raw(column)
     lo = 0
     while lo < len(offsets) - 1:
@@ -98,16 +117,22 @@ def token_ids(column: pa.Array, path: str) -> Iterator[tuple[int, int, np.ndarra
             yield lo, hi, np.zeros(0, np.uint32), np.zeros(hi - lo + 1, np.int64)
             lo = hi
             continue
-        starts = pieces(part, own)
+        text = part.tobytes()
+        marked = markers(text, own, path)
+        starts = pieces(part, np.union1d(own, marked))
+        if len(marked):  # nothing starts inside a marker
+            at = np.searchsorted(marked[:, 0], starts, "left") - 1
+            starts = starts[(at < 0) | (starts >= marked[at, 1])]
         ends = np.append(starts[1:], len(part))
         distinct, where, which = np.unique(W.segment_hash(part, starts, ends), return_index=True, return_inverse=True)
         if len(known) > REMEMBERED:
             known.clear()
         keys = distinct.tolist()
         found = list(map(known.get, keys))
-        missing, text = [i for i, x in enumerate(found) if x is None], part.tobytes()
+        missing = [i for i, x in enumerate(found) if x is None]
         for i, s, e in zip(missing, starts[where[missing]].tolist(), ends[where[missing]].tolist(), strict=True):
-            found[i] = known[keys[i]] = array("I", encode(text[s:e])).tobytes()
+            own_id = special.get(text[s:e])
+            found[i] = known[keys[i]] = array("I", encode(text[s:e]) if own_id is None else [own_id]).tobytes()
         sizes = np.fromiter(map(len, found), np.int64, len(found)) >> 2
         heads = np.cumsum(sizes) - sizes
         length = sizes[which]

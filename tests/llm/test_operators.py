@@ -80,6 +80,19 @@ def test_bpe_equals_the_tokenizer():
     assert got == [tokenizer.encode(t or "", add_special_tokens=False).ids for t in odd]
 
 
+def test_added_tokens():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    end = "<|endoftext|>"
+    texts = [f"one{end}two", end, f"{end}{end}", f"a  {end}  b it's{end}'s", "<|endof", "text|>", f"é {end}\n", "<|end of text|> <|", f"<|{end}|>", "", None, f"{end} x"]
+    rng = random.Random(5)
+    texts += ["".join(rng.choice([end, " ", "a", "'s", "<|", "|>", "endoftext", "\n", "é"]) for _ in range(12)) for _ in range(300)]
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    got = [ids[o[i] : o[i + 1]].tolist() for lo, hi, ids, o in bpe.token_ids(pa.array(texts), packing.vocabulary()) for i in range(hi - lo)]
+    assert got == [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
 # ---- operators
 
 
