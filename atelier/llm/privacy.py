@@ -26,7 +26,8 @@ SURE = 0.95
 
 # Base patterns. They start only where their first run starts (or the last match ended), which finds the same leftmost
 # matches in linear time; the card pattern is the run of digits of the right length, which cannot touch another digit.
-_EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+"
+# Groups that repeat without bound are possessive: Java loops over those, and recurses over others.
+_EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 _IP = r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}"
 _CARD = r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){13,18}+(?![\x20-]?[0-9])"
 _PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
@@ -35,7 +36,7 @@ _SPELLED = r"(?i)(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64} ?(?:\(at\)|\[at\]|
 _LOOSE = r"(?<![0-9+(])(?<![0-9][\x20().-])(?:\([0-9]{3}\) ?|[0-9]{3}[\x20.-])[0-9]{3}[.-][0-9]{4}(?![\x20.-]?[0-9])"
 _ID = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 _ACCOUNT = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
-_SECRET = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{32,128}(?![A-Za-z0-9+/_-])"
+_SECRET = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+"
 
 _CUES = {
     0: "mail|e-mail|courriel|correo|contact|kontakt|write|schreib",
@@ -50,18 +51,60 @@ _AGAINST = r"(?i)\b(?:version|isbn|issn|doi|sha1|sha256|md5|commit|checksum|orde
 _TOP_LEVEL = "com|org|net|edu|gov|io|info|biz|eu|uk|fr|de|es|it|nl|ch|at|be|us|ca|au|jp"
 
 
+#: Elements that one step of running() folds: k elements cost about k * BLOCK / 2 small copies, and k^2 / BLOCK^2 / 2 more.
+BLOCK = 200
+#: Characters in a piece of pieces().
+PIECE = 512
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value), with value computed once: what a lambda uses from outside is otherwise computed anew for each element."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def blocks_of(values: Column) -> Column:
+    """The array in parts of BLOCK elements; one empty part if it is empty."""
+    return let(values, lambda v: F.transform(F.sequence(F.lit(0), F.greatest(F.size(v) - 1, F.lit(0)), F.lit(BLOCK)), lambda i: F.slice(v, i + 1, F.lit(BLOCK))))
+
+
+def running(values: Column, fold: Callable[[Column, Column], Column]) -> Column:
+    """For each int of an array, the fold of all before it (0 for the first), in two levels of blocks."""
+    none = "named_struct('now', {}, 'out', cast(array() as array<int>))"
+
+    def step(state: Column, x: Column) -> Column:
+        return F.struct(fold(state["now"], x).alias("now"), F.concat(state["out"], F.array(state["now"])).alias("out"))
+
+    def every(blocks: Column) -> Column:
+        totals = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0), fold))
+        heads = F.aggregate(totals, F.expr(none.format(0)), step, lambda s: s["out"])
+        within = lambda b, h: F.aggregate(b, F.struct(h.alias("now"), F.expr("cast(array() as array<int>)").alias("out")), step, lambda s: s["out"])
+        return F.flatten(F.zip_with(blocks, heads, within))
+
+    return let(blocks_of(values), every)
+
+
 def located(text: Column, pattern: str) -> Column:
-    """The matches as structs of start, end (code points) and text; matches are few, so a growing array serves."""
+    """The matches as structs of start, end (code points) and text."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    pieces = F.zip_with(F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found)), found, lambda p, m: F.struct(F.length(p).alias("gap"), m.alias("text")))
-    start = F.expr("named_struct('at', 0, 'out', cast(array() as array<struct<start: int, end: int, text: string>>))")
+    gaps = let(found, lambda f: F.zip_with(F.slice(F.split(text, pattern, -1), F.lit(1), F.size(f)), f, lambda p, m: F.struct(F.length(p).alias("gap"), m.alias("text"))))
 
-    def step(state: Column, x: Column) -> Column:
-        begin = state["at"] + x["gap"]
-        end = begin + F.length(x["text"])
-        return F.struct(end.alias("at"), F.concat(state["out"], F.array(F.struct(begin.alias("start"), end.alias("end"), x["text"].alias("text")))).alias("out"))
+    def span(g: Column, at: Column) -> Column:
+        return F.struct((at + g["gap"]).alias("start"), (at + g["gap"] + F.length(g["text"])).alias("end"), g["text"].alias("text"))
+
+    return let(gaps, lambda some: F.zip_with(some, running(F.transform(some, lambda g: g["gap"] + F.length(g["text"])), lambda a, b: a + b), span))
+
+
+def pieces(text: Column) -> Column:
+    """The text cut every PIECE characters: a place in a long text is then reached without reading all before it."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
 
-    return F.aggregate(pieces, start, step, lambda s: s["out"])
+
+def part(cut: Column, start: Column, n: Column) -> Column:
+    """n characters of a cut text from start (from 0); empty if n is not positive."""
+    first = F.floor(start / PIECE).cast("int")
+    many = F.floor((start + n - 1) / PIECE).cast("int") - first + 1
+    whole = F.array_join(F.slice(cut, first + 1, F.greatest(many, F.lit(1))), "")
+    return F.when(n > 0, F.substr(whole, start - first * PIECE + 1, n)).otherwise(F.lit(""))
 
 
 def _digits(m: Column) -> Column:
@@ -108,23 +151,42 @@ def base_spans(text: Column) -> Column:
 
 def further_spans(text: Column) -> Column:
     """Candidates that the base patterns leave out."""
-    digit = text.rlike("[0-9]{2}")
     some = [
         _of(text, 0, _SPELLED, text.rlike(r"(?i)\bdot\b") & text.rlike(r"(?i)\bat\b")),
         _of(text, 3, _LOOSE, text.rlike(r"[0-9]{3}[.-][0-9]{4}")),
         _of(text, 4, _ID, text.rlike("[0-9]{3}-[0-9]{2}-[0-9]{4}")),
         _of(text, 5, _ACCOUNT, text.rlike("[A-Z]{2}[0-9]{2}")),
-        _of(text, 6, _SECRET, digit, lambda m: m.rlike("[0-9]") & m.rlike("[A-Za-z]")),
+        _of(text, 6, _SECRET, text.rlike("[A-Za-z0-9+/_-]{20}"), lambda m: m.rlike("[0-9]") & m.rlike("[A-Za-z]")),
     ]
     return F.array_sort(F.concat(*some))
 
 
-def votes(text: Column, span: Column, is_base: bool) -> list[Column]:
-    """One vote a labeler, in the order of LABELERS: 1 for personal data, -1 against, 0 no vote."""
+#: What a candidate of each kind looks like when its form alone speaks for it.
+_STRICT = {
+    0: r"(?i)(?:\(at\)|\[at\])",
+    3: r"^(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[\x20.-])[2-9][0-9]{2}[.-][0-9]{4}$",
+    4: r"^(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}$",
+    6: r"^(?:AKIA|ASIA|gh[pousr]_|sk[-_]|pk[-_]|xox[abpr]-|AIza|eyJ|glpat-)",
+}
+
+
+def _checked(value: Column) -> Column:
+    """Whether an account number's check digits are right: its characters, the first four last and letters as 10 to 35, leave 1 modulo 97."""
+    plain = F.replace(value, F.lit(" "), F.lit(""))
+    turned = F.split(F.concat(F.substr(plain, F.lit(5)), F.substr(plain, F.lit(1), F.lit(4))), "")
+    code = lambda c: F.when(c.rlike("[0-9]"), c.cast("int")).otherwise(F.ascii(c) - 55)
+    return F.aggregate(F.filter(turned, lambda c: c != ""), F.lit(0), lambda r, c: (r * F.when(code(c) > 9, 100).otherwise(10) + code(c)) % 97) == 1
+
+
+def votes(cut: Column, span: Column, is_base: bool) -> Column:
+    """One vote a labeler, in the order of LABELERS: 1 for personal data, -1 against, 0 no vote. cut: the text in pieces()."""
+    around = F.struct(part(cut, F.greatest(span["start"] - 40, F.lit(0)), F.least(span["start"], F.lit(40))).alias("before"), part(cut, span["end"], F.lit(1)).alias("after"))
+    return let(around, lambda x: F.array(*_votes(span, x["before"], x["after"], is_base)))
+
+
+def _votes(span: Column, before: Column, after: Column, is_base: bool) -> list[Column]:
     kind, value = span["kind"], span["text"]
-    before = F.substr(text, F.greatest(span["start"] - 39, F.lit(1)), F.least(span["start"], F.lit(40)))
-    after = F.substr(text, span["end"] + 1, F.lit(1))
-    last = F.when(span["start"] > 0, F.substr(text, span["start"], F.lit(1))).otherwise(F.lit(" "))
+    last = F.when(span["start"] > 0, F.substr(before, F.length(before), F.lit(1))).otherwise(F.lit(" "))
     vote = lambda yes, no: F.when(yes, F.lit(1)).when(no, F.lit(-1)).otherwise(F.lit(0))
     digits = _digits(value)
     known = (
@@ -142,20 +204,37 @@ def votes(text: Column, span: Column, is_base: bool) -> list[Column]:
     varied = F.size(F.array_distinct(F.split(digits, ""))) > 3
     mixed = value.rlike("[0-9].*[a-zA-Z].*[0-9].*[a-zA-Z].*[0-9]") & ~value.rlike("^[A-Z]?[a-z]+(?:[/_-][A-Za-z]?[a-z]+)*[0-9]{0,2}$")
     shape = F.when(kind == 6, mixed).when(kind == 0, F.length(value) >= 6).otherwise(varied)
-    return [F.lit(1 if is_base else 0), vote(known, (kind == 4) | (kind == 5)), vote(cue, before.rlike(_AGAINST)), vote(whole, ~whole), vote(shape, ~shape)]
+    strict = F.when(kind == 5, _checked(value))
+    for k, form in _STRICT.items():
+        strict = strict.when(kind == k, value.rlike(form))
+    regex = F.lit(1) if is_base else F.when(F.coalesce(strict, F.lit(False)), 1).otherwise(0)
+    return [regex, vote(known, (kind == 4) | (kind == 5)), vote(cue, before.rlike(_AGAINST)), vote(whole, ~whole), vote(shape, ~shape)]
 
 
-def _judged(text: Column, spans: Column, is_base: bool) -> Column:
-    return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), F.array(*votes(text, s, is_base)).alias("votes")))
+def _judged(cut: Column, spans: Column, is_base: bool) -> Column:
+    return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), votes(cut, s, is_base).alias("votes")))
+
+
+def _free(spans: Column, base: Column) -> Column:
+    """Those of the spans that touch none of base (by start), block of base by block."""
+    def edged(b: Column) -> Column:
+        return F.struct(F.element_at(b, 1)["start"].alias("lo"), F.array_max(F.transform(b, lambda s: s["end"])).alias("hi"), b.alias("spans"))
+
+    def rest(blocks: Column) -> Column:
+        meets = lambda s, b: (b["start"] < s["end"]) & (s["start"] < b["end"])
+        touched = lambda s: F.exists(blocks, lambda k: (k["lo"] < s["end"]) & (s["start"] < k["hi"]) & F.exists(k["spans"], lambda b: meets(s, b)))
+        return F.filter(spans, lambda s: ~touched(s))
+
+    return F.when(F.size(base) == 0, spans).otherwise(let(F.transform(blocks_of(base), edged), rest))
 
 
 def found(docs: DataFrame) -> DataFrame:
     """docs with _base and _more: judged spans. Null text counts as empty."""
     text = F.coalesce(F.col("text"), F.lit(""))
     spans = docs.withColumns({"_b": base_spans(text), "_m": further_spans(text)})
-    free = F.filter("_m", lambda m: ~F.exists("_b", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])))
-    judged = spans.withColumn("_m", free).withColumns({"_base": _judged(text, F.col("_b"), True), "_more": _judged(text, F.col("_m"), False)})
-    return judged.drop("_b", "_m")
+    some = F.size("_b") + F.size("_m") > 0
+    spans = spans.withColumns({"_m": _free(F.col("_m"), F.col("_b")), "_cut": F.when(some, pieces(text))})
+    return spans.withColumns({"_base": _judged(F.col("_cut"), F.col("_b"), True), "_more": _judged(F.col("_cut"), F.col("_m"), False)}).drop("_b", "_m", "_cut")
 
 
 @dataclass
@@ -226,8 +305,12 @@ def _listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.element_at(names, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def _of_kind(spans: Column, kind: int) -> Column:
+    return F.filter(spans, lambda s: s["kind"] == kind)
+
+
 def digest(found: DataFrame) -> DataFrame:
-    counts = [F.size(F.filter("_base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(BASE)]
+    counts = [F.size(_of_kind(F.col("_base"), k)).cast("long").alias(f"n_{name}") for k, name in enumerate(BASE)]
     return found.select("doc_id", *counts, F.sha2(_listed(F.col("_base")), 256).alias("base_sha256"), _listed(F.col("_spans")).alias("spans"))
 
 
@@ -236,14 +319,16 @@ def redacted(docs: DataFrame, classifier: Classifier | None) -> DataFrame:
     names = F.array(*(F.lit(f"<{k.upper()}>") for k in KINDS))
     text = F.col("text")
 
-    def step(state: Column, s: Column) -> Column:
-        fresh = s["start"] >= state["at"]
-        more = F.concat(state["out"], F.substr(text, state["at"] + 1, s["start"] - state["at"]), F.element_at(names, s["kind"] + 1))
-        return F.struct(F.greatest(state["at"], s["end"]).alias("at"), F.when(fresh, more).otherwise(state["out"]).alias("out"))
+    cut = pieces(text)
+    reached = running(F.transform("_spans", lambda s: s["end"]), lambda a, b: F.greatest(a, b))
+
+    def kept(s: Column, at: Column) -> Column:
+        return F.when(s["start"] >= at, F.concat(part(F.col("_cut"), at, s["start"] - at), F.element_at(names, s["kind"] + 1))).otherwise(F.lit(""))
 
-    tail = lambda s: F.concat(s["out"], F.substr(text, s["at"] + 1, F.greatest(F.length(text) - s["at"], F.lit(0))))
-    clean = F.aggregate("_spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, tail)
+    last = F.array_max(F.transform("_spans", lambda s: s["end"]))
+    clean = F.concat(F.array_join(F.zip_with("_spans", reached, kept), ""), part(F.col("_cut"), last, F.length(text) - last))
     marked = spans(docs, classifier)
+    marked = marked.withColumn("_cut", F.when(F.size("_spans") > 0, cut))
     return marked.withColumn("text", F.when(text.isNull() | (F.size("_spans") == 0), text).otherwise(clean)).select(*docs.columns)
 
 

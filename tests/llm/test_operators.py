@@ -337,6 +337,7 @@ def test_personal_data(spark, odd):
         want = base_spans(texts[r.doc_id] or "")
         listed = [f"{privacy.KINDS[k]}:{s}:{e}" for s, k, e in want]
         assert r.base_sha256 == hashlib.sha256(",".join(listed).encode()).hexdigest()
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(k == kind for _, k, _ in want) for kind in range(4)]
         assert set(listed) <= set(r.spans.split(",")) | {""}
     plan = privacy.digest(privacy.spans(df, model))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
@@ -345,6 +346,67 @@ def test_personal_data(spark, odd):
     assert clean[10] == "<EMAIL> <PHONE>" and clean[1] is None and clean[2] == "one"
 
 
+def redacted(t, spans):
+    """Left to right; what overlaps an earlier span only lengthens it."""
+    out, at = "", 0
+    for start, kind, end in spans:
+        if start >= at:
+            out += t[at:start] + f"<{privacy.KINDS[kind].upper()}>"
+        at = max(at, end)
+    return out + t[at:]
+
+
+def test_personal_data_of_whole_documents(spark):
+    docs = table(spark, "documents")
+    model = privacy.train(docs)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    clean = {r.doc_id: r.text for r in privacy.redacted(docs, model).collect()}
+    seen = Counter()
+    for r in privacy.digest(privacy.spans(docs, model)).collect():
+        t = texts[r.doc_id] or ""
+        want = base_spans(t)
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(k == kind for _, k, _ in want) for kind in range(4)]
+        every = [(int(s), privacy.KINDS.index(k), int(e)) for k, s, e in (x.split(":") for x in r.spans.split(",") if x)]
+        added = [x for x in every if x not in want]
+        assert sorted([*want, *added]) == every
+        assert all(not (s < e2 and s2 < e) for s, _, e in added for s2, _, e2 in want)
+        assert clean[r.doc_id] == (redacted(t, every) if every else texts[r.doc_id])
+        seen.update(k for _, k, _ in every)
+    assert all(seen[k] for k in range(4))
+
+
+def test_added_personal_data(spark):
+    cases = [
+        ("write to jane.doe (at) example (dot) com today", "email:9:40"),
+        ("my ssn is 123-45-6789, keep it", "id:10:21"),
+        ("iban DE89 3704 0044 0532 0130 00 please", "account:5:32"),
+        ("he was born 1999-12-31 in room 101", ""),
+        ("api key sk-9aB3xY7pQ2zL5mN8rT1w and", "secret:8:31"),
+        ("released-under-the-public-domain is a long word", ""),
+        ("call 415-555-2671 now", "phone:5:17"),
+    ]
+    docs = table(spark, "documents")
+    model = privacy.train(docs)
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in privacy.digest(privacy.spans(df, model)).collect()}
+    assert got == {i: w for i, (_, w) in enumerate(cases)}
+
+
+def test_personal_data_of_very_long_texts(spark):
+    """Work grows in proportion: an address of many labels, many matches, and long runs that never become one."""
+    many = " ".join(f"u{i}@h{i}.org 10.0.{i % 256}.{i // 256}" for i in range(25_000))
+    texts = ["a@b" + ".c" * 100_000, many, "+1" + "(" * 200_000, "1 " * 200_000, "a@" * 100_000, "x." * 100_000 + "@", "k9" * 100_000]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(7)
+    model = privacy.train(table(spark, "documents"))
+    got = {r.doc_id: r for r in privacy.digest(privacy.spans(df, model)).collect()}
+    for i, t in enumerate(texts):
+        want = base_spans(t) if i != 5 else []
+        assert got[i].base_sha256 == hashlib.sha256(",".join(f"{privacy.KINDS[k]}:{s}:{e}" for s, k, e in want).encode()).hexdigest()
+    assert got[1].n_email == got[1].n_ip == 25_000
+    clean = {r.doc_id: r.text for r in privacy.redacted(df, model).collect()}
+    assert clean[0] == "<EMAIL>" and clean[1] == " ".join(["<EMAIL> <IP>"] * 25_000)
+
+
 def test_main_text(spark):
     page = """<!DOCTYPE html><html><head><title>T</title><script>var t="</p>";</script></head><body><nav><ul><li><a>Menu</a></li></ul></nav><div class="ad">Buy</div>
     <article><h1>Head &amp; line</h1><p><b>First   part.<br><p>Second.</p><aside>No</aside><div class="comments"><p>Nice!</p></div></article><form>Sign up</form><footer>&copy; F</footer></body></html>"""
