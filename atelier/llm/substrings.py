@@ -1,9 +1,10 @@
 """Substring deduplication with a compressed FM-index per shard.
 
 A window of WINDOW words belongs to its anchor, the least hash of its GRAM-word runs, and neighbouring windows of one
-anchor make a stretch. Anchors of a single document are dropped. Equal stretches become one, with the least
-doc_id that holds it, and the distinct stretches of an anchor meet in one shard: an FM-index of them is built, and each
-is streamed through it by backward search, which gives the rows of every window and so the least document that holds it.
+anchor make a stretch. Anchors of a single document are dropped. Equal stretches become one, with the least and
+the greatest doc_id that hold it, and the stretches of an anchor meet in one shard. Its FM-index is built of those that a
+document before the anchor's last holds; those that one after the anchor's first holds are streamed through it. Backward search
+gives their matching statistics, and the rows of each match of WINDOW words the least document that holds it.
 An anchor of more than MOST stretches is split into its windows, which are grouped by digest instead: partial aggregates keep
 the least document of each, so neither a shard nor a task grows with a hot passage. Anchors and windows are chosen by content, so equal windows always meet: the result is exact.
 """
@@ -87,24 +88,24 @@ def _packed(docs: DataFrame) -> DataFrame:
 
 
 def _slices(docs: DataFrame, chosen: DataFrame, window: int) -> DataFrame:
-    """(route, anchor, hash, at, doc_id, words): the text of each chosen stretch."""
+    """(anchor, hash, at, doc_id, indexed, asked, words): the text of each chosen stretch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpacker = zstd.ZstdDecompressor()
         for batch in batches:
             for doc_id, packed, wanted in zip(batch.column("doc_id").to_pylist(), batch.column("packed"), batch.column("wanted").to_pylist(), strict=True):
                 words = unpacker.decompress(packed.as_buffer()).split()
-                rows = [(w["anchor"], w["anchor"], w["hash"], 0, doc_id, b" ".join(words[w["start"] : w["start"] + w["n"] + window - 1]).decode()) for w in wanted]
-                columns = list(zip(*rows, strict=True)) or [()] * 6
-                types = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.string())
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, types, strict=True)], names=["route", "anchor", "hash", "at", "doc_id", "words"])
+                rows = [(w["anchor"], w["hash"], 0, doc_id, w["indexed"], w["asked"], b" ".join(words[w["start"] : w["start"] + w["n"] + window - 1]).decode()) for w in wanted]
+                columns = list(zip(*rows, strict=True)) or [()] * 7
+                types = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.bool_(), pa.bool_(), pa.string())
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, types, strict=True)], names=["anchor", "hash", "at", "doc_id", "indexed", "asked", "words"])
 
-    return _wanted(docs, chosen).mapInArrow(run, "route long, anchor long, hash long, at int, doc_id long, words string")
+    return _wanted(docs, chosen).mapInArrow(run, "anchor long, hash long, at int, doc_id long, indexed boolean, asked boolean, words string")
 
 
 def _wanted(docs: DataFrame, chosen: DataFrame) -> DataFrame:
     """(doc_id, packed, wanted): the compressed texts that hold chosen stretches, and these."""
-    per = chosen.groupBy("doc_id", "content").agg(F.collect_list(F.struct("anchor", "hash", "start", "n")).alias("wanted"))
+    per = chosen.groupBy("doc_id", "content").agg(F.collect_list(F.struct("anchor", "hash", "start", "n", "indexed", "asked")).alias("wanted"))
     return _packed(docs).join(per, ["doc_id", "content"]).dropDuplicates(["doc_id", "content"]).select("doc_id", "packed", "wanted")
 
 
@@ -141,30 +142,34 @@ def searched(slices: DataFrame, *, window: int = WINDOW, shard: int = SHARD) ->
     """(anchor, hash, lo, hi, least): for windows lo to hi (exclusive) of a stretch, the least doc_id that holds them."""
 
     def search(table_: pa.Table) -> pa.RecordBatch:
-        parts = list(W.chunks(table_.column("words").combine_chunks(), W.PLAIN, limit=1 << 62))
-        c = parts[0]
+        c = next(W.chunks(table_.column("words").combine_chunks(), W.PLAIN, limit=1 << 62))
+        indexed, asked = (np.flatnonzero(table_.column(x).to_numpy()) for x in ("indexed", "asked"))
         n = c.n_words
-        # words as symbols from 1, a separator after each slice
-        text = np.zeros(len(c.starts) + len(n), np.int64)
-        begin = c.first[:-1] + np.arange(len(n))
-        text[np.arange(len(c.starts)) + c.row] = np.unique(c.hashes, return_inverse=True)[1] + 1
+        # words as symbols from 1, a separator after each indexed slice
+        inside = np.zeros(len(n), bool)
+        inside[indexed] = True
+        known, symbol = np.unique(c.hashes[inside[c.row]], return_inverse=True)
+        begin = np.cumsum(n[indexed] + 1) - n[indexed] - 1
+        text = np.zeros(int((n[indexed] + 1).sum()), np.int64)
+        text[np.arange(len(symbol)) + np.repeat(np.arange(len(indexed)), n[indexed])] = symbol + 1
         index = FMIndex(text, window)
-        where, lo, hi = index.matching(text, begin, begin + n)
+        at = np.minimum(np.searchsorted(known, c.hashes), len(known) - 1)
+        where, lo, hi = index.matching(np.where(known[at] == c.hashes, at + 1, 0), c.first[asked], c.first[asked + 1])
         # least document of each interval of rows
-        doc = table_.column("doc_id").to_numpy()
-        owner = np.repeat(np.arange(len(n)), n + 1)
-        by_row = doc[owner[index.suffixes]]
+        doc = table_.column("doc_id").to_numpy()[indexed]
         interval, which = np.unique(lo, return_inverse=True)
-        until = np.empty(len(interval), np.int64)
-        until[which] = hi
-        edges = np.stack([interval, until], 1).reshape(-1)
-        least = np.minimum.reduceat(np.append(by_row, by_row[-1:]), edges)[::2][which]
+        size = np.zeros(len(interval), np.int64)
+        size[which] = hi - lo
+        first = np.cumsum(size) - size
+        places = index.locate(np.arange(int(size.sum())) + np.repeat(interval - first, size))
+        by_row = doc[np.searchsorted(begin, places, "right") - 1]
+        least = (np.minimum.reduceat(by_row, first) if len(first) else by_row)[which]
         order = np.argsort(where)
         where, least = where[order], least[order]
-        row = owner[where]
-        cut = np.flatnonzero(np.append(True, (least[1:] != least[:-1]) | (row[1:] != row[:-1])))
-        at = where - begin[row] + table_.column("at").to_numpy()[row]
-        end = np.append(cut[1:], len(where)) - 1
+        row = c.row[where]
+        cut = np.flatnonzero(np.append(True, (least[1:] != least[:-1]) | (row[1:] != row[:-1]) | (where[1:] != where[:-1] + 1))) if len(where) else where
+        at = where - c.first[row] + table_.column("at").to_numpy()[row]
+        end = np.append(cut[1:], len(where)) - 1 if len(where) else where
         own = pa.array(row[cut])
         columns = [table_.column("anchor").combine_chunks().take(own), table_.column("hash").combine_chunks().take(own), pa.array(at[cut].astype(np.int32)), pa.array((at[end] + 1).astype(np.int32)), pa.array(least[cut])]
         return pa.RecordBatch.from_arrays(columns, names=["anchor", "hash", "lo", "hi", "least"])
@@ -176,10 +181,10 @@ def searched(slices: DataFrame, *, window: int = WINDOW, shard: int = SHARD) ->
             kept.append(batch)
             size += batch.column("words").nbytes // 6
             while size >= shard:
-                # whole routes: up to the last change of route in what has been read, in shards of about `shard` words
+                # whole anchors: up to the last change of anchor in what has been read, in shards of about `shard` words
                 rows = pa.Table.from_batches(kept)
-                route = rows.column("route").to_numpy()
-                change = np.flatnonzero(route[1:] != route[:-1]) + 1
+                anchor = rows.column("anchor").to_numpy()
+                change = np.flatnonzero(anchor[1:] != anchor[:-1]) + 1
                 if not len(change):
                     break
                 words = np.cumsum(pa.compute.binary_length(rows.column("words")).to_numpy()) // 6
@@ -191,15 +196,16 @@ def searched(slices: DataFrame, *, window: int = WINDOW, shard: int = SHARD) ->
         if kept and sum(b.num_rows for b in kept):
             yield search(pa.Table.from_batches(kept))
 
-    return slices.repartition("route").sortWithinPartitions("route").mapInArrow(run, _FOUND)
+    return slices.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, _FOUND)
 
 
 def repeats(docs: DataFrame, *, window: int = WINDOW, gram: int = GRAM, most: int = MOST) -> DataFrame:
     """(doc_id, content, ranges): word ranges lo to hi (exclusive) of the windows that a document of smaller doc_id holds, too."""
     every = written(stretches(docs, window=window, gram=gram), "stretches")
-    anchors = every.groupBy("anchor").agg(F.min("doc_id").alias("_a"), F.max("doc_id").alias("_b")).where("_a < _b").select("anchor")
-    shared = written(every.join(anchors, "anchor", "left_semi"), "shared")
-    distinct = shared.groupBy("anchor", "hash").agg(F.min(F.struct("doc_id", "content", "start", "n")).alias("s")).select("anchor", "hash", "s.*")
+    anchors = every.groupBy("anchor").agg(F.min("doc_id").alias("_a"), F.max("doc_id").alias("_b")).where("_a < _b")
+    shared = written(every.join(anchors, "anchor"), "shared")
+    distinct = shared.groupBy("anchor", "hash").agg(F.min(F.struct("doc_id", "content", "start", "n")).alias("s"), F.max("doc_id").alias("last"), F.any_value("_a").alias("_a"), F.any_value("_b").alias("_b"))
+    distinct = distinct.select("anchor", "hash", "s.*", (F.col("s.doc_id") < F.col("_b")).alias("indexed"), (F.col("last") > F.col("_a")).alias("asked"))
     heavy = distinct.groupBy("anchor").agg(F.count("*").alias("k")).where(F.col("k") > most).select("anchor")
     heavy = written(heavy, "heavy")
     found = searched(_slices(docs, distinct.join(heavy, "anchor", "left_anti"), window), window=window)
