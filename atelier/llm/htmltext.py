@@ -1,16 +1,19 @@
 """Main text of web pages by text-to-tag ratios.
 
 The standard library's parser streams its events; block tags end a line, and a line's ratio is its
-characters over its tags. Subtrees that never hold article text (menus, adverts, forms, comments, ...) are left out by
-tag, role, and class or id words. The ratios of what remains are smoothed with a Gaussian; lines over the
-threshold (the ratios' standard deviation, at most their mean) form clusters, and clusters choose the
-regions: each <article> or <main> that holds a cluster is kept whole, so its short lines stay. A page
-without such an element keeps the clusters' own lines and the gaps of up to `gap` lines between them.
+characters, those of links left out, over its tags. Subtrees that never hold article text (menus, adverts, forms, comments,
+...) are left out by tag, role, and class or id words. The ratios of what remains are smoothed with a Gaussian; lines over
+the threshold (the ratios' standard deviation, at most their mean) form clusters; a run of lines of link text alone is in
+none. The clusters choose twice. They choose the regions: an <article> or <main> that holds none goes, unless no other
+does. And they choose the lines: a region keeps its clusters and the short lines of text of its own around them (titles,
+captions, names), but no run of links; a page without a region keeps the clusters' lines and the gaps of up to `gap` such
+lines between them.
 """
 
 from __future__ import annotations
 
 import math
+from collections import defaultdict
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -35,6 +38,8 @@ WORDS = frozenset(
     sidebar social sponsor sponsored subscribe toolbar widget""".split()
 )
 MAIN = frozenset(["article", "main"])
+#: Share of a line's characters in links from which it is a link.
+LINKED = 0.9
 
 
 def _boilerplate(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
@@ -53,14 +58,19 @@ def _boilerplate(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
 
 
 class Lines(HTMLParser):
-    """lines: (text, tags, region), region being the number of the outermost article or main, or 0."""
+    """lines: (text, tags, region, characters in links), region being the number of the outermost article or main, or 0.
+
+    places holds where each tag's open elements stand, so an event costs the same however many elements are open.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int]] = []
+        self.lines: list[tuple[str, int, int, int]] = []
         self.parts: list[str] = []
+        self.linked = 0
         self.tags = 0
         self.open: list[str] = []
+        self.places: dict[str, list[int]] = defaultdict(list)
         self.skip_from = -1  # depth of the boilerplate subtree, or -1
         self.region_from = -1
         self.region = self.regions = 0
@@ -68,12 +78,13 @@ class Lines(HTMLParser):
     def end_line(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            self.lines.append((text, self.tags, self.region))
+            self.lines.append((text, self.tags, self.region, min(self.linked, len(text))))
             self.tags = 0
-        self.parts = []
+        self.parts, self.linked = [], 0
 
     def close_to(self, depth: int) -> None:
-        del self.open[depth:]
+        while len(self.open) > depth:
+            self.places[self.open.pop()].pop()
         if depth <= self.skip_from:
             self.skip_from = -1
         if depth <= self.region_from:
@@ -84,14 +95,15 @@ class Lines(HTMLParser):
         if tag in BLOCKS or tag in SKIPPED:
             if self.skip_from < 0:
                 self.end_line()
-            if tag in CLOSES_P and "p" in self.open:
-                at = len(self.open) - 1 - self.open[::-1].index("p")
+            if tag in CLOSES_P and self.places["p"]:
+                at = self.places["p"][-1]
                 if self.skip_from < at:
                     self.close_to(at)
         if self.skip_from < 0:
             self.tags += 1
         if tag in VOID:
             return
+        self.places[tag].append(len(self.open))
         self.open.append(tag)
         if self.skip_from < 0:
             if _boilerplate(tag, attrs):
@@ -108,19 +120,19 @@ class Lines(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag: str) -> None:
-        if tag not in self.open:
-            if tag in BLOCKS and self.skip_from < 0:
-                self.end_line()
-            return
         if tag in BLOCKS and self.skip_from < 0:
             self.end_line()
+        if not self.places[tag]:
+            return
         if self.skip_from < 0:
             self.tags += 1
-        self.close_to(len(self.open) - 1 - self.open[::-1].index(tag))
+        self.close_to(self.places[tag][-1])
 
     def handle_data(self, data: str) -> None:
         if self.skip_from < 0:
             self.parts.append(data)
+            if self.places["a"]:
+                self.linked += sum(map(len, data.split())) + max(0, len(data.split()) - 1)
 
 
 def smoothed(ratios: list[float], sigma: float) -> list[float]:
@@ -145,21 +157,25 @@ def main_text(html: str | None, *, sigma: float = 1.0, gap: int = 2) -> tuple[st
     lines = parser.lines
     if not lines:
         return "", 0, 0
-    ratios = [len(text) / max(1, tags) for text, tags, _ in lines]
+    ratios = [(len(text) - linked) / max(1, tags) for text, tags, _, linked in lines]
     mean = sum(ratios) / len(ratios)
     threshold = min(mean, math.sqrt(sum((r - mean) ** 2 for r in ratios) / len(ratios)))
-    content = [r >= threshold for r in smoothed(ratios, sigma)]
-    regions = {region for (_, _, region), c in zip(lines, content, strict=True) if c and region}
+    links = [LINKED * len(text) <= linked for text, _, _, linked in lines]
+    listed = list(links)  # a link alone among text is part of it; several in a row are a list
+    for i in range(len(lines)):
+        listed[i] = links[i] and bool(0 < i and links[i - 1] or i + 1 < len(lines) and links[i + 1])
+    content = [r >= threshold and r > 0 and not run for r, run in zip(smoothed(ratios, sigma), listed, strict=True)]
+    regions = {region for (_, _, region, _), c in zip(lines, content, strict=True) if c and region}
     if not regions:  # the clusters lie outside: a page whose articles are empty, or has none
-        regions = {region for _, _, region in lines if region}
+        regions = {region for _, _, region, _ in lines if region}
     if regions:
-        kept = [text for text, _, region in lines if region in regions]
+        kept = [text for (text, _, region, _), ends in zip(lines, listed, strict=True) if region in regions and not ends]
     else:
         at = [i for i, c in enumerate(content) if c and ratios[i] >= threshold]
         keep = set(at)
         for a, b in zip(at, at[1:], strict=False):
             if b - a <= gap + 1:
-                keep.update(range(a, b))
+                keep.update(i for i in range(a, b) if not listed[i])
         kept = [lines[i][0] for i in sorted(keep)]
     return " ".join(kept), len(lines), len(kept)
 
