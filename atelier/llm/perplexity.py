@@ -1,10 +1,9 @@
 """Quality rules with an n-gram perplexity.
 
-Base rules count words, symbols, repeated lines and repeated word windows. The method is a modified
-Kneser-Ney model of character classes, one a language: Spark counts the trigrams of all documents that pass
-the base rules and hold few symbols and capitals, the driver turns at most LANGUAGES x 96^3 counts into sorted
-arrays of keys and probabilities (a bound that no corpus exceeds), and each language gets a lower and an upper
-perplexity band: the median over those documents, give or take `width` median deviations.
+Base rules count words, symbols, repeated lines and repeated word windows. The method is a modified Kneser-Ney model a
+language (atelier.llm.ngrams), counted over all documents that pass the base rules and hold few symbols and capitals. Each
+language gets a lower and an upper band of the perplexity: the median over those documents, give or take `lower` or
+`upper` median deviations. A deviation is shrunk towards that of all languages where a language has few documents.
 """
 
 from __future__ import annotations
@@ -14,36 +13,23 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from atelier.llm import ngrams
 from atelier.llm import words as W
 from atelier.llm.shared import table, written
 
-#: Other and null languages share one model, the last.
-LANGUAGES = ("en", "fr", "de", "es")
-CLASSES = 96
-KEYS = CLASSES**3
-WIDTH = 20.0
-BLOCK = 64
+#: Median deviations below and above the median.
+LOWER, UPPER = 10.0, 10.0
 BIN = 0.004  # of the natural logarithm of a perplexity
+#: Documents that weigh as much as all languages together in a language's deviation.
+SHRINK = 50
+#: Entries of the model that are broadcast, at most (about 20 bytes each); beyond them documents and model are joined.
+BROADCAST = 6_000_000
+#: Languages whose bands are broadcast, at most.
+LANGUAGES = 100_000
 
-
-def _classes() -> np.ndarray:
-    """Character class by byte: white space and controls, a digit, each letter and sign, and ten of non-ASCII bytes."""
-    out = np.zeros(256, np.int32)
-    signs = [b for b in range(0x21, 0x7F) if not chr(b).isalnum()]
-    out[0x30:0x3A] = 1
-    out[0x41:0x5B] = np.arange(2, 28)
-    out[0x61:0x7B] = np.arange(28, 54)
-    out[signs] = np.arange(54, 54 + len(signs))
-    high = np.arange(0x80, 0x100)
-    out[high] = 86 + np.where(high < 0xC0, high & 7, 8 + (high & 1))
-    return out
-
-
-CLASS = _classes()
 _SYMBOL = ~W.byte_class(b"#*$%&|<>")
 _CAPITAL = ~W.byte_class(bytes(range(0x41, 0x5B)))
 _LINE = W.byte_class(b"\n")
@@ -93,219 +79,113 @@ def base(c: W.Chunk) -> Base:
     return Base(n_words, chars, symbols, dup, repeat, failed, plain)
 
 
-def _keys(c: W.Chunk) -> np.ndarray:
-    """The trigram that ends at each byte; a row begins after two blanks."""
-    k = CLASS[c.data]
-    one, two = np.zeros_like(k), np.zeros_like(k)
-    one[1:], two[2:] = k[:-1], k[:-2]
-    heads = c.offsets[:-1][c.offsets[1:] > c.offsets[:-1]]
-    one[heads] = two[heads] = 0
-    second = heads + 1
-    two[second[second < len(k)]] = 0
-    return (two * CLASSES + one) * CLASSES + k
-
-
-def _languages(column: pa.Array) -> np.ndarray:
-    found = pc.index_in(column, value_set=pa.array(LANGUAGES)).fill_null(len(LANGUAGES))
-    return found.to_numpy(zero_copy_only=False).astype(np.int64)
-
-
-def counts(docs: DataFrame) -> DataFrame:
-    """(language, key, n) over the plain documents."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[int, np.ndarray] = {}
-        for batch in batches:
-            languages = _languages(batch.column("lang"))
-            for c in W.chunks(batch.column("text"), W.PLAIN):
-                if not len(c.data):
-                    continue
-                keys, own = _keys(c), np.where(base(c).plain, languages[c.lo : c.hi], -1)
-                by_byte = np.repeat(own, np.diff(c.offsets))
-                for language in np.unique(own[own >= 0]).tolist():
-                    total.setdefault(language, np.zeros(KEYS, np.int64))
-                    np.add(total[language], np.bincount(keys[by_byte == language], minlength=KEYS), out=total[language])
-        for language, n in total.items():
-            there = np.flatnonzero(n)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(there), language, np.int32)), pa.array(there), pa.array(n[there])], names=["language", "key", "n"])
-
-    return docs.select("lang", "text").mapInArrow(run, "language int, key long, n long").groupBy("language", "key").agg(F.sum("n").alias("n"))
+def fit(docs: DataFrame) -> DataFrame:
+    """The model as a table (kind, key, value) in the shared folder."""
+    docs = docs if "lang" in docs.columns else docs.withColumn("lang", F.lit(""))
+    return written(ngrams.hashed(ngrams.estimate(ngrams.counts(docs, lambda c: base(c).plain))), "model")
 
 
-@dataclass
-class Model:
-    """Of one language: sorted trigram keys with log2 probabilities, and what stands in for the others."""
-
-    keys: np.ndarray
-    logs: np.ndarray
-    backoff: np.ndarray  # log2 by context
-    bigrams: np.ndarray  # log2 P(c | b) by bigram
-    usual: float  # mean natural log perplexity of the documents it was counted on
-
-    def unfolded(self) -> np.ndarray:
-        """Log2 probability by key."""
-        out = (self.backoff[:, None] + self.bigrams.reshape(CLASSES, CLASSES)[np.arange(CLASSES**2) % CLASSES]).reshape(-1)
-        out[self.keys] = self.logs
-        return out
-
-
-def _discounts(n: np.ndarray) -> np.ndarray:
-    """D(0), D(1), D(2), D(3 or more) from counts of counts; 0.5, 1 and 1.5 where those are missing."""
-    n1, n2, n3, n4 = (int((n == i).sum()) for i in (1, 2, 3, 4))
-    if not n1 * n2 * n3 * n4:
-        return np.array([0, 0.5, 1, 1.5])
-    y = n1 / (n1 + 2 * n2)
-    return np.clip([0, 1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3], [0, 0.05, 0.05, 0.05], [0, 1, 2, 3])
-
-
-def _interpolated(context: np.ndarray, n: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """(discounted share of each n-gram, weight left to lower orders by context)."""
-    d = _discounts(n)[np.minimum(n, 3)]
-    total = np.bincount(context, n, minlength=size)
-    left = np.bincount(context, d, minlength=size)
-    seen = total > 0
-    return (n - d) / total[context], np.where(seen, left / np.where(seen, total, 1), 1.0)
-
-
-def kneser_ney(keys: np.ndarray, n: np.ndarray) -> Model:
-    order = np.argsort(keys)
-    keys, n = keys[order], n[order]
-    # continuation counts: how many distinct classes come before
-    pairs, below = np.unique(keys % CLASSES**2, return_counts=True)
-    last, ends = np.unique(pairs % CLASSES, return_counts=True)
-    own, left = _interpolated(np.zeros(len(last), np.int64), ends, 1)
-    unigram = np.full(CLASSES, left[0] / CLASSES)
-    unigram[last] += own
-    own, left = _interpolated(pairs // CLASSES, below, CLASSES)
-    bigram = (left[:, None] * unigram[None, :]).reshape(-1)
-    bigram[pairs] += own
-    own, left = _interpolated(keys // CLASSES, n, CLASSES**2)
-    logs = np.log2(own + left[keys // CLASSES] * bigram[keys % CLASSES**2])
-    usual = -float((n * logs).sum() / n.sum()) * np.log(2)
-    return Model(keys, logs.astype(np.float32), np.log2(left).astype(np.float32), np.log2(bigram).astype(np.float32), usual)
-
-
-def fit(docs: DataFrame) -> dict[int, Model]:
-    rows = counts(docs).toPandas()  # at most (len(LANGUAGES) + 1) * 96^3
-    return {int(k): kneser_ney(g["key"].to_numpy(np.int64), g["n"].to_numpy(np.int64)) for k, g in rows.groupby("language")}
-
-
-class Scorer:
-    """Base counts; log perplexity (natural; NaN without text or model) under the row's own model; excess.
-
-    The excess is over what is usual in a language, each stretch of BLOCK bytes counting under the model it fits
-    best: a passage in another language is not held against a document.
-    """
+def _free(docs: DataFrame, name: str) -> str:
+    """A column name that docs does not have."""
+    while name.lower() in (c.lower() for c in docs.columns):
+        name += "_"
+    return name
 
-    def __init__(self, models: dict[int, Model]) -> None:
-        self.models, self.tables = models, {}
 
-    def score(self, c: W.Chunk, languages: np.ndarray) -> tuple[Base, np.ndarray, np.ndarray]:
-        n = np.diff(c.offsets)
-        own, excess = np.full((2, c.hi - c.lo), np.nan)
-        if len(c.data) and self.models:
-            blocks = -(-n // BLOCK)
-            row = np.repeat(np.arange(len(n)), blocks)
-            edges = np.append((np.arange(len(row)) - np.repeat(np.cumsum(blocks) - blocks, blocks)) * BLOCK + c.offsets[row], len(c.data))
-            keys, best, there = _keys(c), np.full(len(row), np.inf), n > 0
-            for language, model in self.models.items():
-                if language not in self.tables:
-                    self.tables[language] = model.unfolded() * np.float32(-np.log(2))
-                cost = np.diff(np.append(0.0, np.cumsum(self.tables[language][keys], dtype=np.float64))[edges])
-                best = np.minimum(best, cost - model.usual * np.diff(edges))
-                mine = there & (languages == language)
-                own[mine] = np.bincount(row, cost, minlength=len(n))[mine] / n[mine]
-            excess[there] = np.bincount(row, best, minlength=len(n))[there] / n[there]
-        return base(c), own, excess
+_BASE = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, plain boolean"
+_RULES = f"struct<{_BASE}, log_perplexity double>".replace(" ", ": ").replace(",: ", ", ")
 
 
-_SCORES = "doc_id long, language int, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, plain boolean, log_perplexity double, excess double"
-
-
-def scores(docs: DataFrame, models: dict[int, Model]) -> DataFrame:
-    """Counts and log perplexity for each row of docs."""
-    shared = docs.sparkSession.sparkContext.broadcast(models)
+def scored(docs: DataFrame, model: DataFrame, *, broadcast: int = BROADCAST) -> tuple[DataFrame, str]:
+    """docs, all columns kept, with a struct of base counts and log perplexity (null without a symbol or a model), and its name."""
+    name = _free(docs, "_rules")
+    small = model.count() <= broadcast
+    shared = docs.sparkSession.sparkContext.broadcast(ngrams.loaded(model)) if small else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(shared.value)
         for batch in batches:
-            languages = _languages(batch.column("lang"))
+            parts = []
             for c in W.chunks(batch.column("text"), W.PLAIN):
-                b, own, excess = scorer.score(c, languages[c.lo : c.hi])
-                numbers = [pa.array(x.astype(np.int64)) for x in (b.n_words, b.word_chars, b.n_symbols, b.n_dup_lines, b.n_repeat_words)]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(c.lo, c.hi - c.lo), pa.array(languages[c.lo : c.hi].astype(np.int32)), *numbers, pa.array(b.failed), pa.array(b.plain), pa.array(own, from_pandas=True), pa.array(excess, from_pandas=True)],
-                    names=[x.split()[0] for x in _SCORES.split(", ")],
-                )
-
-    return docs.select(F.col("doc_id").cast("long"), "lang", "text").mapInArrow(run, _SCORES)
-
-
-def bands(scored: DataFrame, *, width: float = WIDTH, least: int = 50) -> dict[int, tuple[float, float]]:
-    """(lower, upper) excess by language: medians from a histogram over all plain documents.
-
-    A language of fewer than `least` plain documents has no band; the deviation counts as BIN at least.
+                b = base(c)
+                logs = np.full(c.hi - c.lo, np.nan)
+                if shared:
+                    s = ngrams.symbols(c)
+                    n = np.bincount(s.row, minlength=len(logs))
+                    own = shared.value.logs(s, ngrams.salts(batch.column("lang").slice(c.lo, c.hi - c.lo).to_pylist())[s.row])
+                    logs[n > 0] = (np.bincount(s.row, own, minlength=len(logs))[n > 0] / -n[n > 0]) if len(own) else logs[n > 0]
+                counts = [pa.array(x.astype(np.int64)) for x in (b.n_words, b.word_chars, b.n_symbols, b.n_dup_lines, b.n_repeat_words)]
+                columns = [*counts, pa.array(b.failed), pa.array(b.plain), pa.array(logs, from_pandas=True)]
+                parts.append(pa.StructArray.from_arrays(columns, names=[x.split()[0] for x in _BASE.split(", ")] + ["log_perplexity"]))
+            made = pa.concat_arrays(parts) if parts else pa.array([], pa.struct([]))
+            yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in kept), made], names=[*kept, name])
+
+    kept = [*docs.columns, *(x for x in ("lang",) if x not in docs.columns)]
+    given = docs.withColumn("lang", F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string"))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in given.schema)
+    out = given.mapInArrow(run, f"{schema}, `{name}` {_RULES}")
+    if small:
+        return out.select(*docs.columns, name), name
+    row = _free(docs, "_row")
+    out = written(out.withColumn(row, F.monotonically_increasing_id()), "rows")
+    logs = ngrams.joined(out.select(row, "lang", "text"), model, row=row).select(F.col("row").alias(row), F.col("log").alias("_log"))
+    symbols = F.greatest(F.length("text"), F.lit(1))
+    both = out.join(logs, row, "left").withColumn(name, F.col(name).withField("log_perplexity", -F.col("_log") / symbols))
+    return both.select(*docs.columns, name), name
+
+
+def _median(rows: DataFrame, by: list[str], value: str) -> DataFrame:
+    """(by, median) of values with n occurrences each; a group has as many rows as there are bins."""
+    sums = Window.partitionBy(*by)
+    until = F.sum("n").over(sums.orderBy(value)) * 2 >= F.sum("n").over(sums)
+    return rows.withColumn("_until", until).where("_until").groupBy(*by).agg(F.min(value).alias("median"))
+
+
+def bands(rules: DataFrame, *, lower: float = LOWER, upper: float = UPPER) -> DataFrame:
+    """(lang, low, high) of the log perplexity, from histograms over all plain documents; rules: (lang, plain, log_perplexity)."""
+    language = F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang")
+    binned = rules.where(F.col("plain") & F.col("log_perplexity").isNotNull()).groupBy(language, F.floor(F.col("log_perplexity") / BIN).alias("b")).agg(F.count("*").alias("n"))
+    binned = written(binned, "histogram")
+    middle = _median(binned, ["lang"], "b").withColumnRenamed("median", "middle")
+    away = written(binned.join(middle, "lang").groupBy("lang", "middle", F.abs(F.col("b") - F.col("middle")).alias("d")).agg(F.sum("n").alias("n")), "deviations")
+    own = _median(away, ["lang", "middle"], "d").join(away.groupBy("lang").agg(F.sum("n").alias("n")), "lang")
+    pool = _median(away.groupBy("d").agg(F.sum("n").alias("n")).withColumn("_all", F.lit(1)), ["_all"], "d").select(F.col("median").alias("pool"))
+    reach = F.greatest((F.col("n") * F.col("median") + SHRINK * F.col("pool")) / (F.col("n") + SHRINK), F.lit(1.0)) * BIN
+    at = (F.col("middle") + 0.5) * BIN
+    return own.join(F.broadcast(pool)).select("lang", (at - lower * reach).alias("low"), (at + upper * reach).alias("high"))  # pool is one row
+
+
+def rules(docs: DataFrame, *, lower: float = LOWER, upper: float = UPPER, broadcast: int = BROADCAST, keep: list[str] | None = None) -> tuple[DataFrame, str]:
+    """docs (all columns, or those in keep) with a struct of the base counts, base_failed, log_perplexity, low, high and kept; and its name.
+
+    Null and empty texts fail the base rules, with a null perplexity; a null language is one of its own; repeated rows
+    each get their result; an empty table gives an empty table. A language without a plain document has no model and no
+    band: what passes the base rules is kept.
     """
-    binned = scored.where(F.col("plain") & F.col("excess").isNotNull()).groupBy("language", F.floor(F.col("excess") / BIN).alias("b")).agg(F.count("*").alias("n"))
-    out = {}
-    for language, g in binned.toPandas().groupby("language"):  # at most -log(smallest probability) / BIN rows a language
-        at, n = (g["b"].to_numpy() + 0.5) * BIN, g["n"].to_numpy()
-        if n.sum() < least:
-            continue
-        middle = _median(at, n)
-        reach = width * max(_median(np.abs(at - middle), n), BIN)
-        out[int(language)] = (middle - reach, middle + reach)
-    return out
-
-
-def _median(values: np.ndarray, n: np.ndarray) -> float:
-    order = np.argsort(values)
-    return float(values[order][np.searchsorted(np.cumsum(n[order]), n.sum() / 2)])
-
-
-def within(limits: dict[int, tuple[float, float]], languages: np.ndarray, excess: np.ndarray) -> np.ndarray:
-    every = [limits.get(k, (-np.inf, np.inf)) for k in range(len(LANGUAGES) + 1)]
-    low, high = (np.array(x)[languages] for x in zip(*every, strict=True))
-    return ~((excess < low) | (excess > high))
-
-
-def rules(docs: DataFrame, *, width: float = WIDTH) -> DataFrame:
-    """Counts, base_failed, log_perplexity, excess, lower, upper and kept for each row of docs (doc_id, lang, text).
-
-    Null and empty texts fail the base rules, with a null perplexity; null and unknown languages share a model; repeated
-    rows each get their result; an empty table gives an empty table. Other columns of docs are left out.
-    """
-    scored = written(scores(docs, fit(docs)), "perplexity")
-    limits = [(k, *v) for k, v in bands(scored, width=width).items()]
-    found = scored.sparkSession.createDataFrame(limits, "language int, lower double, upper double")  # one row a language
-    joined = scored.join(F.broadcast(found), "language", "left")
-    inside = F.coalesce(F.col("excess").between(F.col("lower"), F.col("upper")), F.lit(True))
-    return joined.withColumn("kept", ~F.col("base_failed") & inside)
-
-
-def filtered(docs: DataFrame, *, width: float = WIDTH) -> DataFrame:
+    keep = docs.columns if keep is None else keep
+    found, name = scored(docs, fit(docs), broadcast=broadcast)
+    lang = _free(docs, "_lang")
+    language = F.coalesce(F.col("lang").cast("string"), F.lit("")) if "lang" in docs.columns else F.lit("")
+    found = written(found.select(*keep, name, language.alias(lang)), "rules")
+    limits = written(bands(found.select(F.col(lang).alias("lang"), f"{name}.*"), lower=lower, upper=upper), "bands")
+    limits = F.broadcast(limits) if limits.count() <= LANGUAGES else limits
+    both = found.join(limits.select(F.col("lang").alias(lang), F.struct("low", "high").alias(f"{name}_band")), lang, "left")
+    low, high = F.col(f"{name}_band.low"), F.col(f"{name}_band.high")
+    inside = F.coalesce(F.col(f"{name}.log_perplexity").between(low, high), F.lit(True))
+    more = F.col(name).withField("low", low).withField("high", high).withField("kept", ~F.col(f"{name}.base_failed") & inside)
+    return both.select(*keep, more.alias(name)), name
+
+
+def filtered(docs: DataFrame, *, lower: float = LOWER, upper: float = UPPER) -> DataFrame:
     """The rows of docs that rules() keeps, with all their columns; no row is shuffled."""
-    models = fit(docs)
-    limits = bands(scores(docs, models), width=width)
-    shared = docs.sparkSession.sparkContext.broadcast(models)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(shared.value)
-        for batch in batches:
-            languages, keep = _languages(batch.column("lang")), np.zeros(batch.num_rows, bool)
-            for c in W.chunks(batch.column("text"), W.PLAIN):
-                own = languages[c.lo : c.hi]
-                b, _, excess = scorer.score(c, own)
-                keep[c.lo : c.hi] = ~b.failed & within(limits, own, excess)
-            yield batch.filter(pa.array(keep))
-
-    return docs.mapInArrow(run, docs.schema)
+    found, name = rules(docs, lower=lower, upper=upper)
+    return found.where(F.col(f"{name}.kept")).select(*docs.columns)
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rules(table(spark, sf_dir, "documents")).select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.exp("log_perplexity").alias("perplexity"), "excess"
-    )
+    found, name = rules(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"), keep=["doc_id"])
+    counts = [f"{name}.{x}" for x in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")]
+    band = [F.exp(f"{name}.{x}").alias(y) for x, y in (("log_perplexity", "perplexity"), ("low", "lower"), ("high", "upper"))]
+    return found.select("doc_id", *counts, *band)
 
 
 QUERIES = {"op3_quality_rules": op3_quality_rules}
