@@ -3,11 +3,12 @@
 A document's runs of five words are labelled with their occurrence (the second "a b c d e" differs from the first) and
 hashed; the top bits deal them to BINS sketches, and each sketch is the LENGTH smallest hashes in text order. Equal
 sketches make candidates: equal texts are one node first, and in each bucket every node is paired with two or three heads, so
-buckets give about as many pairs as rows, whatever their size. A pair that meets twice is verified by banded alignment of its labelled runs: the aligned
-share is a lower bound of the shingle sets' Jaccard similarity, which is computed in full where the bound does not decide.
+buckets give about as many pairs as rows, whatever their size. A pair is decided by banded alignment of its labelled runs:
+runs that match in order, over all runs of both. Order and repeats count, as in an edit similarity; for texts without
+repeated or moved passages it is the Jaccard similarity of their sets of runs, which it never exceeds by multiset.
 Buckets that still hold more than one class get new heads from outside their largest class, until a turn finds no link.
-Heads only make the classes large early. What they leave is settled exactly: all nodes of buckets that still hold more than
-one class are joined by the rarest shingles of their sets (a prefix filter), so no link between members of a bucket is missed.
+Heads only make the classes large early. What they leave is settled exactly: all nodes of buckets that still hold more than one
+class are joined by the rarest of their labelled runs (a prefix filter), so no link between members of a bucket is missed.
 """
 
 from __future__ import annotations
@@ -113,17 +114,12 @@ def aligned(a: np.ndarray, b: np.ndarray, least: float) -> int:
     return len(ends)
 
 
-def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray], least: float) -> float:
-    """Jaccard similarity of the shingle sets, or a lower bound that reaches `least`. a, b: hashes and labelled hashes."""
-    na, nb = len(np.unique(a[0])), len(np.unique(b[0]))
-    if min(na, nb) < least * max(na, nb):
+def similarity(a: np.ndarray, b: np.ndarray, least: float) -> float:
+    """Aligned runs over all runs of two sequences of labelled runs; 0 where it must be below `least`."""
+    if min(len(a), len(b)) < least * max(len(a), len(b)) or not len(a):
         return 0.0
-    if na == len(a[0]) and nb == len(b[0]):  # labels change nothing without repeats
-        n = aligned(a[1], b[1], least)
-        if n >= least * (na + nb - n):
-            return n / (na + nb - n)
-    n = len(np.intersect1d(a[0], b[0]))
-    return n / (na + nb - n) if na + nb > n else 0.0
+    n = aligned(a, b, least)
+    return n / (len(a) + len(b) - n)
 
 
 def candidates(docs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -144,14 +140,14 @@ def verified(pairs: DataFrame, texts: DataFrame, *, size: int = SHINGLE, least:
     side = lambda name, text: texts.select(F.col("doc_id").alias(name), F.col("packed").alias(text)).hint("merge")
     both = pairs.join(side("a", "left"), "a").join(side("b", "right"), "b")
 
-    def prepared(column: pa.Array, unpacker: zstd.ZstdDecompressor) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def prepared(column: pa.Array, unpacker: zstd.ZstdDecompressor) -> Iterator[np.ndarray]:
         for at in range(0, len(column), 64):
             few = pa.array([unpacker.decompress(x.as_buffer()) for x in column.slice(at, 64)], pa.large_binary())
             for c in W.chunks(few, W.PLAIN):
                 h, row = runs(c, size)
                 own, edges = labelled(h, row), np.searchsorted(row, np.arange(c.hi - c.lo + 1))
                 for r in range(c.hi - c.lo):
-                    yield h[edges[r] : edges[r + 1]], own[edges[r] : edges[r + 1]]
+                    yield own[edges[r] : edges[r + 1]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpacker = zstd.ZstdDecompressor()
@@ -186,7 +182,7 @@ def _pairs(members: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
 
 
 def _shingles(texts: DataFrame, *, size: int) -> DataFrame:
-    """(node, n, token): the distinct shingles of each text, n of them."""
+    """(node, n, token): the labelled runs of each text, n of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpacker = zstd.ZstdDecompressor()
@@ -196,11 +192,7 @@ def _shingles(texts: DataFrame, *, size: int) -> DataFrame:
                 node = batch.column("doc_id").slice(at, 64)
                 for c in W.chunks(few, W.PLAIN):
                     h, row = runs(c, size)
-                    order = np.lexsort((h, row))
-                    h, row = h[order], row[order]
-                    new = np.ones(len(h), bool)
-                    new[1:] = (h[1:] != h[:-1]) | (row[1:] != row[:-1])
-                    h, row = h[new], row[new]
+                    h = labelled(h, row)
                     n = np.bincount(row, minlength=c.hi - c.lo)
                     yield pa.RecordBatch.from_arrays([node.take(pa.array(row + c.lo)), pa.array(n[row].astype(np.int32)), W.signed(h)], names=["node", "n", "token"])
 
@@ -210,8 +202,9 @@ def _shingles(texts: DataFrame, *, size: int) -> DataFrame:
 def _rest(members: DataFrame, labels: DataFrame, texts: DataFrame, *, size: int, least: float) -> DataFrame:
     """(a, b): a superset of all links between classes that share a bucket.
 
-    Sets that are alike enough share one of their n - ceil(least * n) + 1 rarest shingles, and the first that they share leaves
-    room for enough others behind it. Shingles of one open node alone come first in the order, and only their number counts.
+    An alignment that is long enough shares enough labelled runs, whatever their order. Sets that do share one of their
+    n - ceil(least * n) + 1 rarest runs, and the first that they share leaves room for enough others behind it. Runs of one open
+    node alone come first in the order, and only their number counts.
     """
     named = members.select("bin", "hash", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     several = named.groupBy("bin", "hash").agg(F.min("label").alias("_a"), F.max("label").alias("_b")).where("_a < _b").select("bin", "hash")
@@ -235,7 +228,7 @@ def _rest(members: DataFrame, labels: DataFrame, texts: DataFrame, *, size: int,
 def classes(docs: DataFrame, *, size: int = SHINGLE, least: float = SIMILARITY) -> DataFrame:
     """(doc_id, class_id) for each row of docs; class_id is the least doc_id of the class.
 
-    Documents are linked if the Jaccard similarity of their sets of `size`-word runs is `least` or more (a text of fewer
+    Documents are linked if the similarity() of their `size`-word runs is `least` or more (a text of fewer
     words is one run), and classes are the components. Rows of equal text always share a class (null counts as
     empty), also those without a word, which are linked to nothing else. A null doc_id gets the class of an equal
     text that has one, else null. Other columns of docs are left out.

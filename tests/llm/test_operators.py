@@ -1,5 +1,6 @@
 """The training-data operators against brute force, round trips and held-out accuracy, with nulls, ties, empty tables and odd columns."""
 
+import bisect
 import hashlib
 import random
 import re
@@ -54,18 +55,34 @@ def test_words_and_grams():
     assert (W.sliding_min(h, 39) == [h[i : i + 39].min() for i in range(62)]).all()
 
 
-def test_fm_index_finds_every_window():
-    rng = np.random.default_rng(5)
-    parts = [rng.integers(1, 4, rng.integers(1, 60)) for _ in range(40)]
+def parts_of(rng, n, most):
+    parts = [rng.integers(1, 5, rng.integers(1, 60)) for _ in range(n)]
+    parts += [np.append(parts[i], parts[i + 1]) for i in range(n // 2)] + [np.full(most, 2)]
     text = np.concatenate([np.append(p, 0) for p in parts])
     end = np.cumsum([len(p) + 1 for p in parts]) - 1
-    begin = end - [len(p) for p in parts]
-    for depth in (3, 5, 12):
-        where, lo, hi = fmindex.FMIndex(text, depth).matching(text, begin, end)
-        windows = {int(p): tuple(text[p : p + depth]) for b, e in zip(begin, end, strict=True) for p in range(b, e - depth + 1)}
-        count = Counter(windows.values())
-        assert sorted(where.tolist()) == sorted(windows)
-        assert all(count[windows[w]] == h - low for w, low, h in zip(where.tolist(), lo.tolist(), hi.tolist(), strict=True))
+    return text, end - [len(p) for p in parts], end
+
+
+def test_fm_index_finds_every_window():
+    """Queries of another text, with symbols that the index does not know; each match comes with all its places."""
+    rng = np.random.default_rng(5)
+    for depth in (3, 5, 12, 50):
+        text, _, _ = parts_of(rng, 30, 90)
+        query, begin, end = parts_of(rng, 30, 70)
+        query[rng.integers(0, len(query), 20)] = 0
+        first = np.flatnonzero(text == 0)[0]
+        query[begin[3] : begin[3] + 1] = 0
+        query = np.concatenate([query, text[: first + 1], text[2 : first + 1]])
+        begin, end = np.append(begin, [end[-1] + 1, end[-1] + first + 2]), np.append(end, [end[-1] + 1 + first, end[-1] + 2 * first])
+        index = fmindex.FMIndex(text, depth)
+        where, lo, hi = index.matching(query, begin, end)
+        places = defaultdict(set)
+        for p in range(len(text) - depth + 1):
+            places[tuple(text[p : p + depth])].add(p)
+        windows = {p: tuple(query[p : p + depth]) for b, e in zip(begin.tolist(), end.tolist(), strict=True) for p in range(b, e - depth + 1)}
+        want = {p: places[w] for p, w in windows.items() if 0 not in w and w in places}
+        assert {w: set(index.locate(np.arange(low, h)).tolist()) for w, low, h in zip(where.tolist(), lo.tolist(), hi.tolist(), strict=True)} == want
+        assert depth == 50 or want
 
 
 def test_bpe_equals_the_tokenizer():
@@ -127,7 +144,7 @@ def test_substring_dedup_of_a_hot_passage(spark, monkeypatch):
     search, most = substrings.searched, []
 
     def counted(slices, **options):
-        most.append(max((r["count"] for r in slices.groupBy("route").count().collect()), default=0))
+        most.append(max((r["count"] for r in slices.groupBy("anchor").count().collect()), default=0))
         return search(slices, **options)
 
     monkeypatch.setattr(substrings, "searched", counted)
@@ -155,24 +172,118 @@ def base_counts(text):
     return (len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text or "")), len(lines) - len(set(lines)), len(again), len(w) < 50 or 100 * len(again) > 50 * len(w))
 
 
+def plain(t):
+    """Passes the base rules, with few symbols and capitals: what the model is counted on."""
+    _, chars, symbols, _, _, failed = base_counts(t)
+    return not failed and 10 * symbols <= chars and 10 * len(re.findall("[A-Z]", t)) <= 3 * chars
+
+
+def folded(t):
+    return ["\x02"] * 4 + [" " if ord(c) <= 32 or c == "\x7f" else "0" if "0" <= c <= "9" else c for c in t or ""]
+
+
+class KneserNey:
+    """Interpolated, of five symbols, with dictionaries."""
+
+    def __init__(self, texts):
+        counts = Counter(tuple(f[i - 4 : i + 1]) for f in map(folded, texts) for i in range(4, len(f)))
+        self.levels = {}
+        for k in (5, 4, 3, 2, 1):
+            n = Counter(counts.values())
+            whole = n[1] * n[2] * n[3] * n[4]
+            y = n[1] / (n[1] + 2 * n[2]) if whole else 0
+            d = [0, *(min(max(i - (i + 1) * y * n[i + 1] / n[i], 0.05), i) if whole else (0.5, 1.0, 1.5)[i - 1] for i in (1, 2, 3))]
+            total, left = Counter(), Counter()
+            for g, c in counts.items():
+                total[g[:-1]] += c
+                left[g[:-1]] += d[min(c, 3)]
+            self.levels[k] = (counts, d, total, left)
+            self.kinds = len({g[-1] for g in counts})
+            counts = Counter(g[1:] for g in counts)
+
+    def p(self, g):
+        if not g:
+            return 1 / (self.kinds + 1)
+        counts, d, total, left = self.levels[len(g)]
+        n, t = counts[g], total[g[:-1]]
+        return self.p(g[1:]) if not t else (n - d[min(n, 3)]) / t + left[g[:-1]] / t * self.p(g[1:])
+
+    def log_perplexity(self, t):
+        f = folded(t)
+        return -sum(np.log(self.p(tuple(f[i - 4 : i + 1]))) for i in range(4, len(f))) / (len(f) - 4)
+
+
+def middle(values):
+    return sorted(values)[-(-len(values) // 2) - 1]
+
+
+def verdicts(rows):
+    """{doc_id: (log perplexity, kept)} of (doc_id, lang, text) by brute force."""
+    models = {lang: KneserNey([t for _, x, t in rows if x == lang and plain(t)]) for lang in {x for _, x, t in rows if plain(t)}}
+    logs = {i: models[lang].log_perplexity(t) if t and lang in models else None for i, lang, t in rows}
+    bins = defaultdict(list)
+    for i, lang, t in rows:
+        if plain(t):
+            bins[lang].append(int(np.floor(logs[i] / perplexity.BIN)))
+    center = {x: middle(v) for x, v in bins.items()}
+    away = {x: [abs(b - center[x]) for b in v] for x, v in bins.items()}
+    pool = middle([d for v in away.values() for d in v]) if away else 0
+    out = {}
+    for i, lang, t in rows:
+        kept = not base_counts(t)[-1]
+        if lang in bins and logs[i] is not None:
+            n, s = len(bins[lang]), perplexity.SHRINK
+            reach = max((n * middle(away[lang]) + s * pool) / (n + s), 1) * perplexity.BIN
+            at = (center[lang] + 0.5) * perplexity.BIN
+            kept &= at - perplexity.LOWER * reach <= logs[i] <= at + perplexity.UPPER * reach
+        out[i] = (logs[i], kept)
+    return out
+
+
 def test_quality_rules(spark, odd):
     docs = table(spark, "documents")
-    got = {r.doc_id: r for r in perplexity.rules(docs).collect()}
-    for r in docs.collect():
-        g = got[r.doc_id]
-        assert (g.n_words, g.word_chars, g.n_symbols, g.n_dup_lines, g.n_repeat_words, g.base_failed) == base_counts(r.text)
-        assert not (g.base_failed and g.kept)
+    every, name = perplexity.rules(docs)
+    got = {r.doc_id: r[name] for r in every.collect()}
+    rows = [(r.doc_id, r.lang, r.text) for r in docs.collect()]
+    want = verdicts(rows)
+    for i, _, t in rows:
+        g = got[i]
+        assert (g.n_words, g.word_chars, g.n_symbols, g.n_dup_lines, g.n_repeat_words, g.base_failed) == base_counts(t)
+        assert abs(g.log_perplexity - want[i][0]) < 1e-4 and g.kept == want[i][1]
+    assert {w for _, w in want.values()} == {True, False}
     assert sorted(r.doc_id for r in perplexity.filtered(docs).collect()) == sorted(i for i, r in got.items() if r.kept)
-    assert [r.kept for r in perplexity.rules(odd[0]).where("doc_id < 3").collect()] == [False] * 3
+    joined, name = perplexity.rules(docs, broadcast=0)  # the way of a model that is too large to broadcast
+    for r in joined.collect():
+        assert abs(r[name].log_perplexity - got[r.doc_id].log_perplexity) < 1e-4 and r[name].kept == got[r.doc_id].kept
+
+
+def test_quality_rules_of_odd_tables(spark, odd):
+    for broadcast in (perplexity.BROADCAST, 0):
+        every, name = perplexity.rules(odd[0], broadcast=broadcast)
+        assert every.count() == len(odd[1]) and every.columns[:-1] == odd[0].columns
+        assert [r[name].kept for r in every.where("doc_id < 3").collect()] == [False] * 3
+        assert perplexity.rules(odd[0].limit(0), broadcast=broadcast)[0].count() == 0
     assert perplexity.filtered(odd[0]).columns == odd[0].columns
-    assert perplexity.rules(docs.limit(0)).count() == 0
+    assert perplexity.filtered(odd[0].drop("lang")).columns == odd[0].drop("lang").columns
 
 
-def test_kneser_ney_sums_to_one():
-    rng = np.random.default_rng(1)
-    keys, n = np.unique(rng.integers(0, 5, 3000) * perplexity.CLASSES**2 + rng.integers(0, 7, 3000) * perplexity.CLASSES + rng.zipf(2, 3000) % 20, return_counts=True)
-    p = 2.0 ** perplexity.kneser_ney(keys, n).unfolded().astype(float).reshape(-1, perplexity.CLASSES)
-    assert np.allclose(p.sum(1), 1, atol=1e-4)
+def test_both_bands_reject(spark):
+    """Languages are those of the table; text above and text below the band of its language goes, and in another language the same text may stay."""
+    rng = random.Random(2)
+    sentence = lambda words_, n: " ".join(rng.choice(words_) for _ in range(n))
+    some = {x: ["".join(rng.choice(letters) for _ in range(rng.randint(2, 7))) for _ in range(300)] for x, letters in {"xx": "abcdefghij", "yy": "klmnopqrst", None: "uvwxyzabcd"}.items()}
+    rows = [(lang, sentence(w, rng.randint(100, 160))) for lang, w in some.items() for _ in range(60)]
+    dull = sentence(sorted(some["xx"], key=len)[-40:], 120)  # long words alone: most of their letters follow from the ones before
+    noise = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(900))
+    cases = [("xx", noise), ("xx", dull), ("yy", rows[0][1]), ("zz", rows[0][1])]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows + cases)], "doc_id long, lang string, text string")
+    every, name = perplexity.rules(df, lower=4.0, upper=4.0)
+    got = {r.doc_id: r[name] for r in every.collect()}
+    n = len(rows)
+    assert sum(got[i].kept for i in range(n)) >= 0.98 * n
+    assert got[n].log_perplexity > got[n].high and not got[n].kept
+    assert got[n + 1].log_perplexity < got[n + 1].low and not got[n + 1].kept and not got[n + 1].base_failed
+    assert not got[n + 2].kept and got[n + 3].kept
 
 
 def contaminated(docs, items):
@@ -244,9 +355,23 @@ def test_sequences_hold_the_ids(spark):
         assert zlib.crc32(np.array(part, "<u4").tobytes()) == r.ids_crc32
 
 
+def aligned(a, b):
+    """Longest common subsequence of two lists of labelled runs: that of the places of b's in a."""
+    place = {x: i for i, x in enumerate(a)}
+    ends = []
+    for x in (place[y] for y in b if y in place):
+        at = bisect.bisect_left(ends, x)
+        ends[at : at + 1] = [x]
+    return len(ends)
+
+
 def near_classes(docs):
-    sets = {i: frozenset(zip(*[words(t)[k:] for k in range(5)], strict=False)) if len(words(t)) >= 5 else frozenset([tuple(words(t))] if words(t) else []) for i, t in docs}
-    parent = {i: i for i in sets}
+    runs = {}
+    for i, t in docs:
+        w, seen = words(t), Counter()
+        plain = list(zip(*[w[k:] for k in range(5)], strict=False)) if len(w) >= 5 else [tuple(w)] * bool(w)
+        runs[i] = [(x, seen.update([x]) or seen[x]) for x in plain]
+    parent = {i: i for i in runs}
 
     def find(x):
         while parent[x] != x:
@@ -254,11 +379,15 @@ def near_classes(docs):
         return x
 
     text = {i: t or "" for i, t in docs}
-    ids = sorted(sets)
+    ids = sorted(runs)
+    sets = {i: frozenset(r) for i, r in runs.items()}
     for n, a in enumerate(ids):
         for b in ids[:n]:
-            both = len(sets[a] & sets[b])
-            if text[a] == text[b] or both and both >= 0.8 * (len(sets[a]) + len(sets[b]) - both):
+            both, total = len(sets[a] & sets[b]), len(sets[a]) + len(sets[b])
+            if text[a] != text[b] and (not both or both < 0.8 * (total - both)):
+                continue  # no alignment is longer than what they share
+            both = aligned(runs[a], runs[b])
+            if text[a] == text[b] or both >= 0.8 * (total - both):
                 x, y = find(a), find(b)
                 parent[max(x, y)] = min(x, y)
     return {i: find(i) for i in ids}
@@ -284,6 +413,42 @@ def test_near_duplicates(spark, odd):
     assert neardup.deduplicated(odd[0]).columns == odd[0].columns
 
 
+def test_near_duplicates_of_whole_documents(spark):
+    docs = table(spark, "documents")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    rows += [(1000 + i, " ".join(w[len(w) // 2 :] + w[: len(w) // 2])) for i, w in ((i, words(t)) for i, t in rows[:40]) if len(w) > 60]  # turned round: as sets alike, not in order
+    want = near_classes(rows)
+    assert dict(neardup.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()) == want
+    assert len(set(want.values())) < len(want)
+    assert all(want[i] == i for i in want if i >= 1000 and sum(v == want[i] for v in want.values()) == 1)
+
+
+def planted(n, seed=11):
+    """Pairs (a document and its edited copy, five-word runs alike by 0.8 or a little more) among n others that share passages."""
+    rng = random.Random(seed)
+    passage = [[f"p{j}w{rng.randint(0, 90)}" for _ in range(40)] for j in range(5)]
+    rows, pairs = [], []
+    for i in range(n):
+        own = [f"w{rng.randint(0, 3000)}" for _ in range(rng.randint(80, 200))] + rng.choice(passage)
+        rows.append((2 * i, " ".join(own)))
+        if i % 2 == 0:
+            copy = list(own)
+            for at in rng.sample(range(10, len(own) - 10), max(1, len(own) // 50)):
+                copy[at] = f"new{rng.randint(0, 10**6)}"
+            rows.append((2 * i + 1, " ".join(copy)))
+            runs = [set(zip(*[x[k:] for k in range(5)], strict=False)) for x in (own, copy)]
+            if len(runs[0] & runs[1]) >= 0.8 * len(runs[0] | runs[1]):
+                pairs.append((2 * i, 2 * i + 1))
+    return rows, pairs
+
+
+@pytest.mark.parametrize("n", [60, 600, 3000])
+def test_near_duplicates_recall(spark, n):
+    rows, pairs = planted(n)
+    got = dict(neardup.classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(8)).collect())
+    assert sum(got[a] == got[b] for a, b in pairs) >= 0.99 * len(pairs) > 0
+
+
 def test_near_duplicates_that_no_head_touches(spark):
     """Pairs just alike enough in buckets that hold many other classes."""
     common = [f"c{i}" for i in range(104)]
@@ -418,6 +583,42 @@ def test_main_text(spark):
     assert [r.n_chars for r in got[:2]] == [0, 0] and len(got) == 5
 
 
+LONG = ["The council met on Monday and talked for hours about the new bridge over the river.", "Nobody had thought that it would cost so much, the mayor said to those who had come.", "Work is to begin in spring, if the money is found by then and the weather allows it."]
+MENU = "".join(f"<li><a href='/{i}'>Section {i}</a></li>" for i in range(12))
+
+
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [  # no article: the clusters alone; with one: its link lists go, its captions, names and links in a sentence stay
+        (f"<body><ul>{MENU}</ul><div>{''.join(f'<p>{x}</p>' for x in LONG)}</div><div><a href='/a'>About</a></div><ul>{MENU}</ul></body>", " ".join(LONG)),
+        (f"<body><ul>{MENU}</ul><article><h1>Bridge</h1><p>{LONG[0]}</p><ul>{MENU}</ul><p>{LONG[1]}</p><p>A caption</p><p>{LONG[2]}</p><p>By J. Doe</p></article></body>", f"Bridge {LONG[0]} {LONG[1]} A caption {LONG[2]} By J. Doe"),
+        (f"<body><article><p>{LONG[0]} See <a href='/x'>the plan</a>.</p><p><a href='/y'>A link of its own</a></p><p>{LONG[1]}</p></article></body>", f"{LONG[0]} See the plan. A link of its own {LONG[1]}"),
+        (f"<body><article><a href='/1'>Next story</a><br><a href='/2'>Last story</a></article><article><p>{LONG[0]}</p><p>{LONG[1]}</p></article></body>", f"{LONG[0]} {LONG[1]}"),
+        (f"<body><main><div class='sidebar'><p>{LONG[2]}</p></div><p>{LONG[0]} a &lt; b &amp; c&nbsp;&#233;</p><form><p>{LONG[1]}</p></form></main></body>", f"{LONG[0]} a < b & c é"),
+    ],
+)
+def test_clusters_choose(page, want):
+    assert htmltext.main_text(page)[0] == want
+
+
+def test_main_text_of_very_long_pages():
+    """Time grows with the page, also where nothing is closed."""
+    import time
+
+    took = []
+    for n in (20_000, 80_000):
+        began = time.process_time()
+        for tags in ("<div><b><i>x ", "<p><span>y ", "</div>z ", "<a href='q'>w "):
+            htmltext.main_text("<article>" + tags * n)
+        took.append(time.process_time() - began)
+    assert took[1] < 8 * took[0]
+
+
+def test_main_text_with_clashing_columns(spark):
+    df = spark.createDataFrame([(1, "u", f"<article><p>{LONG[0]}</p></article>", "t", 3)] * 2 + [(None, None, None, None, None)], "page_id long, url string, html string, text string, n_chars long")
+    assert sorted((r.page_id or 0, r.text) for r in htmltext.extract(df).collect()) == [(0, ""), (1, LONG[0]), (1, LONG[0])]
+
+
 def test_main_text_of_pages(spark):
     import html
 
