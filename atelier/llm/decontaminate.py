@@ -1,36 +1,34 @@
 """Benchmark decontamination by a prefix-filtered set join.
 
-A window of an item occurs in a document only if all its shingles do (containment 1), so one shingle, the
-rarest over all documents, is its necessary prefix. Documents are joined with the prefixes, positions
-outside the document are dropped by the prefix's place in the window, and every word of the window is then
-compared. The benchmark is the query set: it goes against all documents in blocks of `block` windows, each
-block broadcast (at most about 150 bytes a window), so what is broadcast is bounded at any benchmark size.
+A window of an item occurs in a document only if all its shingles do (containment 1), so one shingle, the rarest over
+all documents, is its necessary prefix; a window with a shingle that no document has can't occur. Documents give their
+shingles that are some prefix, with the words around them; these join the prefixes, the prefix's place bounds where the
+window lies, and every word of it is then compared. The benchmark may have any size: documents carry a sieve of 2^SIEVE bits,
+and a table of windows is broadcast only if it has at most BROADCAST rows; beyond that it is shuffled by shingle.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterator
-from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from atelier.llm import words as W
-from atelier.llm.shared import table
+from atelier.llm.shared import table, written
 
 WINDOW = 10
 SHINGLE = 3
-BLOCK = 200_000
-_SIEVE = 20  # bits
+#: Bits of the sieve, as a power of two: 8 MB.
+SIEVE = 26
+#: Rows of a table of windows (about 150 bytes each) that are broadcast, at most.
+BROADCAST = 200_000
 
 
-def windows(benchmark: DataFrame, *, window: int = WINDOW) -> DataFrame:
-    """(hashes, items): each distinct window as its words' hashes, and the ids of the items that hold it.
+def windows(benchmark: DataFrame, *, window: int = WINDOW, shingle: int = SHINGLE) -> DataFrame:
+    """(item_id, window, n, keys): the distinct windows of each item, their words joined by a space, and the hashes of their shingles.
 
     An item of fewer than `window` words is one window; null and wordless items have none, nor have items without id.
     """
@@ -38,223 +36,158 @@ def windows(benchmark: DataFrame, *, window: int = WINDOW) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for c in W.chunks(batch.column("text"), W.FOLDED, lower=True):
-                out, rows = [], []
-                h = c.hashes.view(np.int64)
+                rows, texts, sizes, keys = [], [], [], []
                 for r in range(c.hi - c.lo):
-                    own = h[c.first[r] : c.first[r + 1]]
-                    found = {own[i : i + window].tobytes() for i in range(max(1, len(own) - window + 1))} if len(own) else set()
-                    out += [np.frombuffer(x, np.int64) for x in sorted(found)]
+                    a, b = int(c.first[r]), int(c.first[r + 1])
+                    words = [c.data[x:y].tobytes() for x, y in zip(c.starts[a:b], c.ends[a:b], strict=True)]
+                    n = min(window, len(words))
+                    width = min(shingle, n)
+                    own = W.grams(c.hashes[a:b], width).view(np.int64) if n else []
+                    found = {b" ".join(words[i : i + n]): own[i : i + n - width + 1] for i in range(len(words) - n + 1)} if n else {}
                     rows += [c.lo + r] * len(found)
-                yield pa.RecordBatch.from_arrays([batch.column("item_id").take(pa.array(rows, pa.int64())), pa.array(out, pa.list_(pa.int64()))], names=["item_id", "hashes"])
+                    texts += [x.decode("utf-8", "replace") for x in found]
+                    sizes += [n] * len(found)
+                    keys += found.values()
+                columns = [batch.column("item_id").take(pa.array(rows, pa.int64())), pa.array(texts, pa.string()), pa.array(sizes, pa.int32()), pa.array(keys, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays(columns, names=["item_id", "window", "n", "keys"])
 
-    made = benchmark.where(F.col("item_id").isNotNull()).select(F.col("item_id").cast("long"), "text").mapInArrow(cut, "item_id long, hashes array<long>")
-    return made.groupBy("hashes").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
+    rows = benchmark.where(F.col("item_id").isNotNull()).select(F.col("item_id").cast("long"), "text")
+    return rows.mapInArrow(cut, "item_id long, window string, n int, keys array<long>")
 
 
-def _gram(h: np.ndarray, width: int) -> np.ndarray:
-    return W.grams(h, width)
+def sieve(keys: DataFrame) -> dict[int, np.ndarray]:
+    """By width, which cells of 2^SIEVE the (width, key) fall into; its packed words are the rows that reach the driver, 2^(SIEVE - 6) a width at most."""
+    cells = keys.select("width", F.shiftrightunsigned("key", 64 - SIEVE).alias("cell"))
+    packed = cells.groupBy("width", F.shiftright("cell", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(cell % 64 as int))")).alias("bits"))
+    rows = packed.toArrow()
+    width, out = rows.column("width").to_numpy(), {}
+    for s in np.unique(width).tolist():
+        words = np.zeros(1 << SIEVE - 6, np.int64)
+        words[rows.column("word").to_numpy()[width == s]] = rows.column("bits").to_numpy()[width == s]
+        out[s] = words.view(np.uint64)
+    return out
 
 
-def _sieve(keys: np.ndarray) -> np.ndarray:
-    found = np.zeros(1 << _SIEVE, bool)
-    found[keys >> np.uint64(64 - _SIEVE)] = True
-    return found
+def _caught(c: W.Chunk, s: int, cells: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places and hashes of a chunk's shingles of width s that fall into the sieve."""
+    keys = W.grams(c.hashes, s)
+    cell = keys >> np.uint64(64 - SIEVE)
+    at = np.flatnonzero((cells[(cell >> np.uint64(6)).astype(np.int64)] >> (cell & np.uint64(63)) & np.uint64(1)).astype(bool) & c.valid(s))
+    return at, keys[at].view(np.int64)
 
 
-@dataclass
-class Sorted:
-    """A sorted array of hashes behind a sieve."""
+def frequencies(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """(width, key, n): how often each shingle occurs in all documents, in one scan; some that only fall into the sieve are among them."""
+    shared = docs.sparkSession.sparkContext.broadcast(sieve(keys))
 
-    keys: np.ndarray
-    sieve: np.ndarray
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for c in W.chunks(batch.column("text"), W.FOLDED, lower=True):
+                for s, cells in shared.value.items():
+                    key, n = np.unique(_caught(c, s, cells)[1], return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), s, np.int32)), pa.array(key), pa.array(n)], names=["width", "key", "n"])
 
-    @classmethod
-    def of(cls, keys: np.ndarray) -> Sorted:
-        keys = np.unique(keys)
-        return cls(keys, _sieve(keys))
+    return docs.select("text").mapInArrow(count, "width int, key long, n long").groupBy("width", "key").agg(F.sum("n").alias("n"))
 
-    def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Positions in h of what is a key, and the keys' numbers."""
-        maybe = np.flatnonzero(self.sieve[h >> np.uint64(64 - _SIEVE)])
-        at = np.searchsorted(self.keys, h[maybe])
-        at[at == len(self.keys)] = 0
-        real = self.keys[at] == h[maybe] if len(self.keys) else np.zeros(len(maybe), bool)
-        return maybe[real], at[real]
 
+def prefixes(docs: DataFrame, cut: DataFrame, *, shingle: int = SHINGLE) -> DataFrame:
+    """(width, key, place, n, window): each window that may occur by its rarest shingle."""
+    width = F.least("n", F.lit(shingle)).alias("width")
+    distinct = cut.groupBy("window").agg(F.any_value("n").alias("n"), F.any_value("keys").alias("keys"))
+    every = written(distinct.select("window", "n", width, F.posexplode("keys").alias("place", "key")), "shingles")
+    counted = frequencies(docs, every).withColumnRenamed("n", "times")
+    first = F.min(F.struct("times", "key", "place", "width", "n")).alias("x")
+    met = every.join(counted, ["width", "key"], "left").groupBy("window").agg(first, F.count(F.when(F.col("times").isNull(), 1)).alias("missing"))
+    return written(met.where("missing = 0").select("x.width", "x.key", "x.place", "x.n", "window"), "prefixes")
 
-def frequencies(docs: DataFrame, vocabulary: dict[int, Sorted]) -> dict[tuple[int, int], int]:
-    """How often each shingle of a block occurs in all documents, by (width, number); at most as many as the block has."""
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = {s: np.zeros(len(v.keys), np.int64) for s, v in shared.value.items()}
+_NEAR = "array<struct<width: int, key: bigint, at: int, skip: int, words: string>>"
+
+
+def candidates(docs: DataFrame, chosen: DataFrame, *, window: int = WINDOW) -> DataFrame:
+    """(doc_id, _text, n_words, near): near has each shingle that may be a prefix: where it begins, and the words around it, `skip` of them before it."""
+    shared = docs.sparkSession.sparkContext.broadcast(sieve(chosen))
+    kind = pa.list_(pa.struct([("width", pa.int32()), ("key", pa.int64()), ("at", pa.int32()), ("skip", pa.int32()), ("words", pa.string())]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for c in W.chunks(batch.column("text"), W.FOLDED, lower=True):
-                for s, v in shared.value.items():
-                    at, number = v.find(_gram(c.hashes, s))
-                    counts[s] += np.bincount(number[c.valid(s)[at]], minlength=len(v.keys))
-        for s, n in counts.items():
-            there = np.flatnonzero(n)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(there), s, np.int32)), pa.array(there), pa.array(n[there])], names=["width", "number", "n"])
-
-    got = docs.select("text").mapInArrow(count, "width int, number long, n long").groupBy("width", "number").agg(F.sum("n").alias("n")).collect()
-    return {(r["width"], r["number"]): r["n"] for r in got}
-
-
-@dataclass
-class Index:
-    """A block's windows by prefix. Parallel arrays are sorted by the prefix's number; words is by length of window."""
-
-    prefixes: dict[int, Sorted]
-    begin: dict[int, np.ndarray]
-    window: dict[int, np.ndarray]
-    place: dict[int, np.ndarray]
-    length: np.ndarray
-    row: np.ndarray
-    words: dict[int, np.ndarray]
-    items: list[list[int]]
-
-
-def index(docs: DataFrame, block: list, shingle: int) -> Index:
-    hashes = [np.array(r["hashes"], np.int64).view(np.uint64) for r in block]
-    width = [min(shingle, len(h)) for h in hashes]
-    grams = [_gram(h, s) for h, s in zip(hashes, width, strict=True)]
-    vocabulary = {s: Sorted.of(np.concatenate([g for g, w in zip(grams, width, strict=True) if w == s])) for s in set(width)}
-    n = frequencies(docs, vocabulary)
-    by: dict[int, list] = defaultdict(list)
-    for i, (g, s) in enumerate(zip(grams, width, strict=True)):
-        numbers = np.searchsorted(vocabulary[s].keys, g).tolist()
-        _, key, place = min((n.get((s, k), 0), k, p) for p, k in enumerate(numbers))
-        by[s].append((key, i, place))
-    prefixes, begin, window, place = {}, {}, {}, {}
-    for s, found in by.items():
-        found.sort()
-        keys = np.array([k for k, _, _ in found])
-        used = np.unique(keys)
-        prefixes[s] = Sorted.of(vocabulary[s].keys[used])
-        begin[s] = np.append(np.searchsorted(keys, used), len(keys))
-        window[s], place[s] = np.array([i for _, i, _ in found]), np.array([p for _, _, p in found])
-    length = np.array([len(h) for h in hashes], np.int64)
-    row = np.zeros(len(hashes), np.int64)
-    words = {}
-    for size in np.unique(length).tolist():
-        own = np.flatnonzero(length == size)
-        row[own] = np.arange(len(own))
-        words[size] = np.stack([hashes[i] for i in own])
-    return Index(prefixes, begin, window, place, length, row, words, [r["items"] for r in block])
-
-
-def _occurrences(c: W.Chunk, x: Index) -> tuple[np.ndarray, np.ndarray]:
-    """First words and numbers of the windows that occur in the chunk's rows."""
-    at_all, window_all = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for s, prefixes in x.prefixes.items():
-        at, number = prefixes.find(_gram(c.hashes, s))
-        times = x.begin[s][number + 1] - x.begin[s][number]
-        entry = np.repeat(x.begin[s][number], times) + np.arange(int(times.sum())) - np.repeat(np.cumsum(times) - times, times)
-        at, window = np.repeat(at, times), x.window[s][entry]
-        row = c.row[at]
-        begin = at - x.place[s][entry]
-        fits = (begin >= c.first[row]) & (begin + x.length[window] <= c.first[row + 1])
-        begin, window = begin[fits], window[fits]
-        for size, known in x.words.items():
-            own = x.length[window] == size
-            b, w = begin[own], window[own]
-            same = np.all(c.hashes[b[:, None] + np.arange(size)] == known[x.row[w]], axis=1)
-            at_all.append(b[same])
-            window_all.append(w[same])
-    return np.concatenate(at_all), np.concatenate(window_all)
-
-
-def clean(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, shingle: int = SHINGLE, block: int = BLOCK) -> DataFrame:
-    """The rows of docs in which no window of an item occurs, with all their columns; no row is shuffled."""
-    schema = docs.schema
-    for rows in _blocks(benchmark, window, block):
-        shared = docs.sparkSession.sparkContext.broadcast(index(docs, rows, shingle))
-
-        def run(batches: Iterator[pa.RecordBatch], shared: Broadcast = shared) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                keep = np.ones(batch.num_rows, bool)
-                for c in W.chunks(batch.column("text"), W.FOLDED, lower=True):
-                    begin, _ = _occurrences(c, shared.value)
-                    keep[c.lo + c.row[begin]] = False
-                yield batch.filter(pa.array(keep))
-
-        docs = docs.mapInArrow(run, schema)
-    return docs
-
-
-def _blocks(benchmark: DataFrame, window: int, block: int) -> Iterator[list]:
-    """The windows of all items, about `block` at a time."""
-    found = windows(benchmark, window=window)
-    blocks = max(1, -(-found.count() // block))
-    numbered = found.withColumn("_b", F.pmod(F.xxhash64("hashes"), F.lit(blocks)))
-    for b in range(blocks):
-        yield numbered.where(F.col("_b") == b).drop("_b").collect()
-
-
-def _match(docs: DataFrame, x: Index, every: bool) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(x)
-
-    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        x = shared.value
+                near: list[list[dict]] = [[] for _ in range(c.hi - c.lo)]
+                for s, cells in shared.value.items():
+                    at, keys = _caught(c, s, cells)
+                    row = c.row[at]
+                    lo, hi = np.maximum(at - (window - s), c.first[row]), np.minimum(at + window, c.first[row + 1])
+                    for i, key, r, a, b in zip(at.tolist(), keys.tolist(), row.tolist(), lo.tolist(), hi.tolist(), strict=True):
+                        words = b" ".join(c.data[x:y].tobytes() for x, y in zip(c.starts[a:b].tolist(), c.ends[a:b].tolist(), strict=True))
+                        near[r].append({"width": s, "key": key, "at": i - int(c.first[r]), "skip": i - a, "words": words.decode("utf-8", "replace")})
+                cut = [batch.column(x).slice(c.lo, c.hi - c.lo) for x in ("doc_id", "_text")]
+                yield pa.RecordBatch.from_arrays([*cut, pa.array(c.n_words, pa.int64()), pa.array(near, kind)], names=["doc_id", "_text", "n_words", "near"])
+
+    rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("_text"), "text")
+    return rows.mapInArrow(run, f"doc_id long, _text long, n_words long, near {_NEAR}")
+
+
+def occurrences(found: DataFrame, chosen: DataFrame, *, broadcast: int = BROADCAST) -> DataFrame:
+    """(doc_id, _text, begin, n, window) of each window that occurs; found: candidates(), chosen: prefixes()."""
+    near = found.select("doc_id", "_text", F.explode("near").alias("x")).select("doc_id", "_text", "x.*")
+    some = F.broadcast(chosen) if chosen.count() <= broadcast else chosen
+    skip = F.col("skip") - F.col("place")  # words before the window
+    words = F.slice(F.split("words", " "), F.greatest(skip, F.lit(0)) + 1, F.col("n"))
+    met = near.join(some, ["width", "key"]).where((skip >= 0) & (F.array_join(words, " ") == F.col("window")))
+    return met.select("doc_id", "_text", (F.col("at") - F.col("place")).alias("begin"), "n", "window")
+
+
+def _searched(docs: DataFrame, benchmark: DataFrame, window: int, shingle: int, broadcast: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Windows of the items, candidates of the documents, and occurrences."""
+    cut = written(windows(benchmark, window=window, shingle=shingle), "windows")
+    chosen = prefixes(docs, cut, shingle=shingle)
+    found = written(candidates(docs, chosen, window=window), "candidates")
+    return cut, found, written(occurrences(found, chosen, broadcast=broadcast), "occurrences")
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, shingle: int = SHINGLE, broadcast: int = BROADCAST) -> DataFrame:
+    """The rows of docs in which no window of an item occurs, with all their columns. Null and empty texts stay."""
+    _, _, hit = _searched(docs, benchmark, window, shingle, broadcast)
+    gone = hit.select(F.col("doc_id").alias("_d"), F.col("_text").alias("_t")).distinct()
+    same = docs["doc_id"].cast("long").eqNullSafe(gone["_d"]) & (F.xxhash64(docs["text"]) == gone["_t"])
+    return docs.join(gone, same, "left_anti")
+
+
+_SPANS = "array<struct<lo: bigint, hi: bigint>>"
+
+
+def _merged(spans: DataFrame) -> DataFrame:
+    """(_d, _t, spans) of rows with begins and ns: joined ranges of words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for c in W.chunks(batch.column("text"), W.FOLDED, lower=True):
-                begin, window = _occurrences(c, x)
-                edge = np.zeros(len(c.starts) + 1, np.int64)
-                np.add.at(edge, begin, 1)
-                np.add.at(edge, begin + x.length[window], -1)
-                hit = np.cumsum(edge[:-1]) > 0
-                lo, hi = W.bounds(hit, c.first.astype(np.int64)) if len(hit) else (begin[:0], begin[:0])
-                spans: dict[int, list] = defaultdict(list)
-                for a, b, r in zip(lo.tolist(), hi.tolist(), c.row[lo].tolist(), strict=True):
-                    spans[r].append({"lo": a - int(c.first[r]), "hi": b - int(c.first[r])})
-                items: dict[int, set] = defaultdict(set)
-                for b, w in zip(begin.tolist(), window.tolist(), strict=True):
-                    items[int(c.row[b])].update(x.items[w])
-                rows = list(range(c.hi - c.lo)) if every else sorted(spans)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("doc_id").slice(c.lo, c.hi - c.lo).take(pa.array(rows, pa.int64())),
-                        batch.column("_text").slice(c.lo, c.hi - c.lo).take(pa.array(rows, pa.int64())),
-                        pa.array(c.n_words[np.array(rows, np.int64)], pa.int64()),
-                        pa.array([spans.get(r, []) for r in rows], pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())]))),
-                        pa.array([sorted(items.get(r, ())) for r in rows], pa.list_(pa.int64())),
-                    ],
-                    names=["doc_id", "_text", "n_words", "spans", "items"],
-                )
-
-    return docs.select("doc_id", "text", F.xxhash64("text").alias("_text")).mapInArrow(match, "doc_id long, _text long, n_words long, spans array<struct<lo: long, hi: long>>, items array<long>")
-
-
-def contamination(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, shingle: int = SHINGLE, block: int = BLOCK) -> DataFrame:
+            out = []
+            for every in batch.column("every").to_pylist():
+                lo, n = np.array([(x["begin"], x["n"]) for x in every], np.int64).T
+                order = np.argsort(lo, kind="stable")
+                lo, hi = lo[order], np.maximum.accumulate((lo + n)[order])
+                first = np.flatnonzero(np.append(True, lo[1:] > hi[:-1]))
+                out.append([{"lo": a, "hi": b} for a, b in zip(lo[first].tolist(), hi[np.append(first[1:], len(lo)) - 1].tolist(), strict=True)])
+            yield pa.RecordBatch.from_arrays([batch.column("_d"), batch.column("_t"), pa.array(out, pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())])))], names=["_d", "_t", "spans"])
+
+    return spans.mapInArrow(run, f"_d long, _t long, spans {_SPANS}")
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, shingle: int = SHINGLE, broadcast: int = BROADCAST) -> DataFrame:
     """(doc_id, n_words, spans, items) for each row of docs: hit word ranges (end exclusive) and the ids of the items that occur.
 
     Null and empty texts have no words and no hits; repeated rows each get their result; a null doc_id stays null;
     an empty benchmark hits nothing. Other columns of docs are left out.
     """
-    docs = docs.select(F.col("doc_id").cast("long"), "text")
-    parts = [_match(docs, index(docs, rows, shingle), every=b == 0) for b, rows in enumerate(_blocks(benchmark, window, block))]
-    if len(parts) == 1:
-        return parts[0].drop("_text")
-    every = reduce(DataFrame.unionByName, parts)
-    # a word is hit if any block hits it: the ranges are merged again
-    spans = F.array_sort(F.flatten(F.collect_set("spans")))
-    joined = F.aggregate(
-        "spans",
-        F.expr("cast(array() as array<struct<lo: bigint, hi: bigint>>)"),
-        lambda made, s: F.when(
-            (F.size(made) > 0) & (F.try_element_at(made, F.lit(-1))["hi"] >= s["lo"]),
-            F.concat(
-                F.slice(made, 1, F.greatest(F.size(made) - 1, F.lit(0))),
-                F.array(F.struct(F.try_element_at(made, F.lit(-1))["lo"].alias("lo"), F.greatest(F.try_element_at(made, F.lit(-1))["hi"], s["hi"]).alias("hi"))),
-            ),
-        ).otherwise(F.concat(made, F.array(s))),
-    )
-    hits = every.where(F.size("spans") > 0).groupBy("doc_id", "_text").agg(spans.alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
-    hits = hits.select(F.col("doc_id").alias("_d"), F.col("_text").alias("_t"), joined.alias("spans"), "items")
-    base = parts[0].select("doc_id", "_text", "n_words")
-    both = base.join(hits, base["doc_id"].eqNullSafe(hits["_d"]) & (base["_text"] == hits["_t"]), "left")
-    return both.select("doc_id", "n_words", F.coalesce("spans", F.expr("cast(array() as array<struct<lo: bigint, hi: bigint>>)")).alias("spans"), F.coalesce("items", F.expr("cast(array() as array<bigint>)")).alias("items"))
+    cut, found, hit = _searched(docs, benchmark, window, shingle, broadcast)
+    hit = hit.withColumnsRenamed({"doc_id": "_d", "_text": "_t"})
+    spans = _merged(hit.groupBy("_d", "_t").agg(F.collect_set(F.struct("begin", "n")).alias("every")))
+    owners = cut.select("window", "item_id").distinct()
+    owners = F.broadcast(owners) if cut.count() <= broadcast else owners
+    items = hit.select("_d", "_t", "window").distinct().join(owners, "window").groupBy("_d", "_t").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
+    per = spans.join(items.withColumnsRenamed({"_d": "_d2", "_t": "_t2"}), F.col("_d").eqNullSafe(F.col("_d2")) & (F.col("_t") == F.col("_t2"))).select("_d", "_t", "spans", "items")
+    both = found.select("doc_id", "_text", "n_words").join(per, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_text") == F.col("_t")), "left")
+    return both.select("doc_id", "n_words", F.coalesce("spans", F.expr(f"cast(array() as {_SPANS})")).alias("spans"), F.coalesce("items", F.expr("cast(array() as array<bigint>)")).alias("items"))
 
 
 def digest(found: DataFrame) -> DataFrame:

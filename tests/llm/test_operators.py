@@ -307,14 +307,14 @@ def contaminated(docs, items):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("block", [200_000, 20])
-def test_decontamination(spark, odd, block):
+@pytest.mark.parametrize("broadcast", [200_000, 0])
+def test_decontamination(spark, odd, broadcast):
     items = [(1, "A b"), (2, None), (3, ""), (10, " ".join(f"s{i}" for i in range(20, 45))), (2, "a b c d e f"), (4, "Élan ÉLAN"), (None, "one")]
     bench = spark.createDataFrame(items, "item_id long, text string")
-    got = sorted((tuple(r) for r in decontaminate.digest(decontaminate.contamination(odd[0], bench, block=block)).collect()), key=repr)
+    got = sorted((tuple(r) for r in decontaminate.digest(decontaminate.contamination(odd[0], bench, broadcast=broadcast)).collect()), key=repr)
     want = contaminated([(r[0], r[1]) for r in odd[1]], [x for x in items if x[0] is not None])
     assert got == want
-    assert Counter(r.doc_id for r in decontaminate.clean(odd[0], bench, block=block).collect()) == Counter(r[0] for r in want if not r[5])
+    assert Counter(r.doc_id for r in decontaminate.clean(odd[0], bench, broadcast=broadcast).collect()) == Counter(r[0] for r in want if not r[5])
     assert not any(r.contaminated for r in decontaminate.digest(decontaminate.contamination(odd[0], bench.limit(0))).collect())
 
 
