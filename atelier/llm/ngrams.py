@@ -22,7 +22,6 @@ from atelier.llm.shared import written
 
 ORDER = 5
 BEGIN = 2  # stands before a text, ORDER - 1 times
-_CHUNK = 1 << 22
 
 _FOLD = np.arange(128, dtype=np.uint32)
 _FOLD[:33] = 32
@@ -68,6 +67,14 @@ def keys(mixed: np.ndarray, at: np.ndarray, salts: np.ndarray, order: int) -> li
     return out
 
 
+def longest(mixed: np.ndarray, at: np.ndarray, salts: np.ndarray, order: int) -> np.ndarray:
+    """The last of keys()."""
+    total = salts * _C[31 + order]
+    for j in range(order):
+        total += mixed[at - j] * _C[j]
+    return total
+
+
 def mixed(points: np.ndarray) -> np.ndarray:
     return W.mix(points.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(1))
 
@@ -80,20 +87,20 @@ def salts(languages: list[str | None]) -> np.ndarray:
 def counts(docs: DataFrame, chosen, *, order: int = ORDER) -> DataFrame:
     """(lang, gram, n): how often each n-gram of `order` symbols ends in the rows of docs (lang, text) that chosen(chunk) marks.
 
-    A task yields the counts of a few megabytes at a time; Spark adds them up before and after the shuffle.
+    A task yields the counts of a megabyte at a time; Spark adds them up before and after the shuffle.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             languages = batch.column("lang")
-            for c in W.chunks(batch.column("text"), W.PLAIN, limit=_CHUNK):
+            for c in W.chunks(batch.column("text"), W.PLAIN):
                 s = symbols(c, order)
                 own = np.flatnonzero(chosen(c)[s.row])
                 if not len(own):
                     continue
                 at, row = s.at[own], s.row[own] + c.lo
                 # rows of one language share their keys; only the last order matters here
-                key = keys(mixed(s.padded), at, salts(languages.to_pylist())[row], order)[-1]
+                key = longest(mixed(s.padded), at, salts(languages.to_pylist())[row], order)
                 _, first, n = np.unique(key, return_index=True, return_counts=True)
                 window = np.ascontiguousarray(s.padded[at[first][:, None] + np.arange(1 - order, 1)])
                 yield pa.RecordBatch.from_arrays([languages.take(pa.array(row[first])), pa.array(window.view(f"<U{order}").reshape(-1)), pa.array(n)], names=["lang", "gram", "n"])
@@ -158,7 +165,7 @@ def hashed(estimated: DataFrame) -> DataFrame:
                 own = np.flatnonzero(width == k)
                 if k:
                     points = np.ascontiguousarray(grams[own].astype(f"<U{k}")).view(np.uint32).reshape(len(own), k)
-                    out[own] = keys(mixed(points.reshape(-1)), np.arange(len(own)) * k + k - 1, own_salts[own], k)[-1]
+                    out[own] = longest(mixed(points.reshape(-1)), np.arange(len(own)) * k + k - 1, own_salts[own], k)
                 else:
                     out[own] = own_salts[own]
             yield pa.RecordBatch.from_arrays([batch.column("kind"), W.signed(out), batch.column("value")], names=["kind", "key", "value"])
@@ -197,17 +204,16 @@ class Model:
     def logs(self, s: Symbols, salts: np.ndarray) -> np.ndarray:
         """Natural log of the probability of each symbol."""
         m, out = mixed(s.padded), np.zeros(len(s.at), np.float64)
-        here = keys(m, s.at, salts, self.order)
         rest = np.arange(len(s.at))
         for k in range(self.order, 0, -1):
-            found = self.kinds[k].find(here[k - 1][rest])
+            found = self.kinds[k].find(longest(m, s.at[rest], salts[rest], k))
             seen = found >= 0
             out[rest[seen]] += self.kinds[k].values[found[seen]]
             rest = rest[~seen]
             if not len(rest):
                 return out
             if k > 1:
-                before = keys(m, s.at[rest] - 1, salts[rest], k - 1)[-1]
+                before = longest(m, s.at[rest] - 1, salts[rest], k - 1)
                 found = self.kinds[-k].find(before)
                 out[rest[found >= 0]] += self.kinds[-k].values[found[found >= 0]]
         found = self.kinds[0].find(salts[rest])
