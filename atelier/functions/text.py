@@ -13,8 +13,8 @@ _NO_TEXTS = "cast(array() as array<string>)"
 
 
 def clean_text(c: Column) -> Column:
-    """Runs of white space become a blank, ends are trimmed, nothing becomes null."""
-    return F.nullif(F.trim(F.regexp_replace(c, r"\s+", " ")), F.lit(""))
+    """Runs of white space become a blank, ends are trimmed, nothing becomes null. Texts without such a run are not rewritten."""
+    return F.nullif(F.trim(F.when(c.rlike(r"[\t-\r]|  "), F.regexp_replace(c, r"\s+", " ")).otherwise(c)), F.lit(""))
 
 
 def slugify(c: Column, *, max_len: int | None = None) -> Column:
@@ -147,6 +147,7 @@ def source_record_id(kind: str, domain: Column, url: Column, title: Column) -> C
     return F.concat_ws(":", domain, F.lit(kind), slug)
 
 
+#: What counts as an address, a number, a navigation line.
 EMAIL = r"(?i)[A-Z0-9._%+-]+@[A-Z0-9.-]+\.[A-Z]{2,}"
 PHONE = r"(?:\+?\d[\d\-\s().]{7,}\d)"
 
@@ -210,9 +211,11 @@ def event_type_from_url_text(url: Column, text: Column) -> Column:
 
 
 def first_by_key(items: Column, key) -> Column:  # noqa: ANN001
-    """The items of an array without those whose key an earlier one has. Keys are compared by an index look-up: for short arrays."""
-    keys = F.transform(items, key)
-    return F.filter(items, lambda x, i: F.array_position(keys, key(x)) == i + 1)
+    """The items of an array without those whose key an earlier one has: the places of equal keys are sorted together, so long arrays stay cheap."""
+    pairs = F.array_sort(F.transform(items, lambda x, i: F.struct(key(x).alias("k"), i.alias("i"), x.alias("x"))))
+    before = F.concat(F.array(F.lit(None).cast("string")), F.transform(pairs, lambda p: p["k"]))
+    heads = F.filter(F.zip_with(pairs, before, lambda p, b: F.when(p.isNotNull() & ~p["k"].eqNullSafe(b), F.struct(p["i"].alias("i"), p["x"].alias("x")))), lambda p: p.isNotNull())
+    return F.transform(F.array_sort(heads), lambda p: p["x"])
 
 
 def ordered_dedupe_join(c: Column, *, split: str, join: str) -> Column:
@@ -221,6 +224,7 @@ def ordered_dedupe_join(c: Column, *, split: str, join: str) -> Column:
     return F.array_join(first_by_key(parts, F.lower), join)
 
 
+#: Fixed values.
 _NAVIGATION = "about the artist|artworks\\s*[▼v]|painting prints|earlier works"
 
 
@@ -276,10 +280,10 @@ def title_suggestion(c: Column) -> Column:
     made = lambda v, p, r: F.struct(v.alias("value"), F.lit(p).alias("confidence"), F.lit(r).alias("reason"))
     return (
         F.when(F.coalesce(c, F.lit("")) == "", None)
-        .when(trimmed != c, made(trimmed, 0.99, "trimmed whitespace"))
-        .when(collapsed != trimmed, made(collapsed, 0.99, "collapsed repeated spaces"))
-        .when(single != collapsed, made(single, 0.95, "removed repeated punctuation"))
-        .when(capitals, made(initcap_alnum(single), 0.90, "converted all-caps title to title case"))
+        .when(trimmed != c, made(trimmed, 0.99, "blanks at the ends"))
+        .when(collapsed != trimmed, made(collapsed, 0.99, "more than one blank"))
+        .when(single != collapsed, made(single, 0.95, "a mark repeats"))
+        .when(capitals, made(initcap_alnum(single), 0.90, "capitals only"))
     )
 
 
@@ -299,6 +303,6 @@ def type_suggestion(text: Column) -> Column:
     out = None
     for kind, p, words in EVENT_KEYWORDS:
         hit = low.rlike("|".join(words))
-        made = F.struct(F.lit(kind).alias("value"), F.lit(p).alias("confidence"), F.lit(f"keyword match for {kind}").alias("reason"))
+        made = F.struct(F.lit(kind).alias("value"), F.lit(p).alias("confidence"), F.lit(f"a word of {kind}").alias("reason"))
         out = F.when(hit, made) if out is None else out.when(hit, made)
     return out

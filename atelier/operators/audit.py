@@ -48,18 +48,82 @@ def audit_changed(matched: DataFrame) -> DataFrame:
     return changed.withColumns({"turn": F.when(F.col("delta") > 0, 0).otherwise(1), "b_preview": X.preview(F.col("b_description")), "a_preview": X.preview(F.col("a_description"))})
 
 
-def backfill_plan(matched: DataFrame, *, field: str) -> DataFrame:
-    """What to do with each matched pair's field: apply, or why not."""
-    new, old = F.col(f"a_{field}"), F.col(f"b_{field}")
-    reason = F.when(F.col("side") != "matched", "unmatched").when(X.blank(F.col("source_record_id")), "no_record_id").when(X.blank(new), "no_new_value").when(new.eqNullSafe(old), "unchanged").otherwise("apply")
+def backfill_plan(matched: DataFrame, *, field: str, record: str = "source_record_id") -> DataFrame:
+    """What to do with each pair's field: apply, or why not. Both sides must name the same record (b_/a_ columns of record, or the key itself)."""
+    new, old = F.coalesce(F.trim(F.col(f"a_{field}")), F.lit("")), F.coalesce(F.trim(F.col(f"b_{field}")), F.lit(""))
+    ids = [F.col(c) if c in matched.columns else F.col(record) for c in (f"b_{record}", f"a_{record}")]
+    reason = (
+        F.when(F.col("side") != "matched", "unmatched").when(new == old, "unchanged").when(X.blank(ids[0]) | X.blank(ids[1]), "no_record_id").when(ids[0] != ids[1], "other_record")
+        .when(new == "", "no_new_value").otherwise("apply")
+    )
     return matched.withColumn("action", reason)
 
 
+def backfill_apply(base: DataFrame, plan: DataFrame, *, field: str, domain: str = "source_domain", record: str = "source_record_id") -> DataFrame:
+    """base with the planned value where a row of the record still has the old one; a record with several plans takes the least new value."""
+    todo = plan.where("action = 'apply'").groupBy(domain, record, F.coalesce(F.col(f"b_{field}"), F.lit("")).alias("_old")).agg(F.min(f"a_{field}").alias("_new"))
+    joined = base.withColumn("_old", F.coalesce(F.col(field), F.lit(""))).join(todo, [domain, record, "_old"], "left")
+    return joined.withColumn(field, F.coalesce("_new", field)).select(*base.columns)
+
+
+def audit_delta(before: DataFrame, after: DataFrame) -> DataFrame:
+    """One row: each number of the second one-row table less that of the first."""
+    names = [c for c, t in before.dtypes if t not in ("string", "boolean") and c in after.columns]
+    b, a = (df.select(*(F.col(c).alias(f"_{p}_{c}") for c in names)) for p, df in (("b", before), ("a", after)))
+    return b.join(F.broadcast(a)).select(*(F.round(F.col(f"_a_{c}") - F.col(f"_b_{c}"), 2).alias(f"delta_{c}") for c in names))
+
+
+def stable_match(before: DataFrame, after: DataFrame, keys: Sequence[Column], order: Sequence[str]) -> DataFrame:
+    """audit_match by the first of several keys (columns that may be blank) that a row has."""
+    own = F.coalesce(*(F.when(~X.blank(k), F.concat(F.lit(f"{i}\x1f"), k)) for i, k in enumerate(keys)), F.lit(""))
+    return audit_match(before.withColumn("_key", own), after.withColumn("_key", own), ["_key"], order)
+
+
+def breaking(df: DataFrame, rule: Column) -> DataFrame:
+    """Rows for which a rule does not hold; a rule that is null does not hold."""
+    return df.where(~F.coalesce(rule, F.lit(False)))
+
+
+def year_range() -> Column:
+    return F.col("year_start").isNull() | F.col("year_end").isNull() | (F.col("year_start") <= F.col("year_end"))
+
+
+def accepted_values(column: str, values: Sequence[str]) -> Column:
+    return F.col(column).isNull() | F.col(column).isin(list(values))
+
+
+def no_negative(*columns: str) -> Column:
+    out = F.lit(True)
+    for c in columns:
+        out &= F.coalesce(F.col(c) >= 0, F.lit(True))
+    return out
+
+
+def artist_linking_failures(links: DataFrame, mentions: DataFrame, artists: DataFrame) -> DataFrame:
+    """(failure, n): duplicate links, links whose names are not equal, and mentions that are only stop phrases; kinds without a failure are left out."""
+    twice = links.groupBy("event_id", "artist_id").agg(F.count("*").alias("c")).where("c > 1").select(F.lit("duplicate_event_artist_links").alias("failure"))
+    named = links.join(artists.select("artist_id", "normalized_artist_name"), "artist_id").join(mentions.select("event_id", F.col("normalized_candidate_artist_name").alias("normalized_artist_name"), F.lit(True).alias("_m")).distinct(), ["event_id", "normalized_artist_name"], "left")
+    lost = named.where("_m is null").select(F.lit("link_without_mention").alias("failure"))
+    generic = mentions.where(F.lower("candidate_artist_name").isin(X.STOP_PHRASES)).select(F.lit("generic_text_should_not_match").alias("failure"))
+    return twice.unionByName(lost).unionByName(generic).groupBy("failure").agg(F.count("*").alias("n"))
+
+
+def raw_ranked_check(latest: DataFrame, rows: DataFrame, keys: Sequence[str | Column], order: Sequence[Column], on: str) -> DataFrame:
+    """Keys whose kept row is not the first in order: (on) of rows that rank first and are not kept."""
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return rows.withColumn("_n", F.row_number().over(w)).where("_n = 1").join(latest.select(on), on, "left_anti").select(on)
+
+
 def suspect_reason(name: Column, *, deny: Sequence[str] = ("selected works", "latest work", "artworks", "paintings", "prints")) -> Column:
     low = F.lower(F.trim(name))
     return F.when(low.rlike("|".join(deny)), "denylist").when(F.contains(name, F.lit(":")), "colon").when(F.length(name) > 60, "too_long").when((low != "") & ~F.contains(low, F.lit(" ")), "single_token")
 
 
+def slug_suggestion(url: Column) -> Column:
+    """The name that the URL's slug spells, for a name of one token."""
+    return X.artist_name_from_slug(url)
+
+
 def check(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     """(rule, failures): rows that break each rule, all in one aggregate."""
     one = df.agg(*(F.count_if(~F.coalesce(c, F.lit(False))).alias(n) for n, c in rules.items()))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from atelier.functions import parse as P
@@ -143,23 +143,37 @@ def _event_keys(events: DataFrame) -> DataFrame:
 LINK = ["n_gallery_name", "n_city", "n_country", "source_domain"]
 
 
-def gallery_events(galleries: DataFrame, events: DataFrame) -> DataFrame:
-    """(raw_gallery_id, linked_events): the sorted distinct events at the gallery's venue."""
-    items = _event_keys(events).groupBy(*LINK).agg(F.array_sort(F.collect_set(F.struct("event_id", "event_title"))).alias("linked_events"))
-    none = F.expr("cast(array() as array<struct<event_id: string, event_title: string>>)")
-    return galleries.select("raw_gallery_id", *LINK).join(items, LINK, "left").select("raw_gallery_id", F.coalesce("linked_events", none).alias("linked_events"))
+def gallery_event_links(galleries: DataFrame, events: DataFrame) -> DataFrame:
+    """(raw_gallery_id, event_id, event_title) of the events at each gallery's venue, as rows; a venue or gallery without a name has none."""
+    there = _event_keys(events).where("n_gallery_name <> ''").select(*LINK, "event_id", "event_title")
+    return galleries.where("n_gallery_name <> ''").select("raw_gallery_id", *LINK).join(there, LINK).select("raw_gallery_id", "event_id", "event_title").distinct()
 
 
-def gallery_artworks(galleries: DataFrame, artworks: DataFrame) -> DataFrame:
-    items = artworks.select(X.norm_key(F.col("gallery_name")).alias("n_gallery_name"), "source_domain", F.struct("raw_artwork_id", "artwork_title").alias("a"))
-    grouped = items.groupBy("n_gallery_name", "source_domain").agg(F.array_sort(F.collect_set("a")).alias("linked_artworks"))
-    none = F.expr("cast(array() as array<struct<raw_artwork_id: string, artwork_title: string>>)")
-    return galleries.select("raw_gallery_id", "n_gallery_name", "source_domain").join(grouped, ["n_gallery_name", "source_domain"], "left").select("raw_gallery_id", F.coalesce("linked_artworks", none).alias("linked_artworks"))
+def gallery_artwork_links(galleries: DataFrame, artworks: DataFrame) -> DataFrame:
+    """(raw_gallery_id, raw_artwork_id, artwork_title), as rows; names that are blank link nothing."""
+    there = artworks.select(X.norm_key(F.col("gallery_name")).alias("n_gallery_name"), "source_domain", "raw_artwork_id", "artwork_title").where("n_gallery_name <> ''")
+    met = galleries.select("raw_gallery_id", "n_gallery_name", "source_domain").join(there, ["n_gallery_name", "source_domain"])
+    return met.groupBy("raw_gallery_id", "raw_artwork_id").agg(F.min("artwork_title").alias("artwork_title"))
+
+
+#: Links of a gallery that an array holds, at most; the row forms hold all of them.
+LINKS = 1000
+
+
+def _held(links: DataFrame, item: Sequence[str], name: str) -> DataFrame:
+    """(raw_gallery_id, name, n_<name>): the first LINKS of each gallery's items in order, and how many there are."""
+    w = Window.partitionBy("raw_gallery_id")
+    ranked = links.withColumns({"_n": F.row_number().over(w.orderBy(*item)), "_all": F.count("*").over(w)})
+    return ranked.groupBy("raw_gallery_id").agg(F.array_sort(F.collect_list(F.when(F.col("_n") <= LINKS, F.struct(*item)))).alias(name), F.max("_all").alias(f"n_{name}"))
 
 
 def mart_galleries(galleries: DataFrame, events: DataFrame, artworks: DataFrame) -> DataFrame:
     kept = latest_galleries(galleries)
-    return kept.withColumn("gallery_id", X.md5_uuid(F.col("normalized_gallery_key"))).join(gallery_events(kept, events), "raw_gallery_id").join(gallery_artworks(kept, artworks), "raw_gallery_id")
+    out = kept.withColumn("gallery_id", X.md5_uuid(F.col("normalized_gallery_key")))
+    for links, item, name in ((gallery_event_links(kept, events), ("event_id", "event_title"), "linked_events"), (gallery_artwork_links(kept, artworks), ("raw_artwork_id", "artwork_title"), "linked_artworks")):
+        none = F.expr(f"cast(array() as array<struct<{item[0]}: string, {item[1]}: string>>)")
+        out = out.join(_held(links, item, name), "raw_gallery_id", "left").withColumns({name: F.coalesce(name, none), f"n_{name}": F.coalesce(f"n_{name}", F.lit(0).cast("long"))})
+    return out
 
 
 #: Names that are site chrome.
@@ -167,29 +181,37 @@ CALLS = r"(?i)(list your gallery|list your art exhibition|submit your gallery|ad
 GENERIC = ["home", "gallery", "galleries", "events", "art in south africa"]
 
 
-def inferred_galleries(events: DataFrame, galleries: DataFrame, *, site: str, label: str) -> DataFrame:
-    """Galleries of the venues that match none; groups of the listing site that are site chrome are left out."""
+INFERRED = ["k_name", "k_city", "k_country", "k_domain"]
+
+
+def inferred_events(events: DataFrame, galleries: DataFrame, *, site: str, label: str) -> DataFrame:
+    """Events whose venue matches no gallery, with the cleaned venue and the keys of the gallery that it stands for."""
     named = _event_keys(events.where(~X.blank(F.col("venue_name")))).join(galleries.select(*LINK).distinct(), LINK, "left_anti")
     name = X.venue_name_clean(F.col("venue_name"), F.col("source_domain"), site=site, label=label)
     trimmed = lambda c: F.nullif(F.trim(F.col(c)), F.lit(""))
-    keyed = named.withColumns(
+    return named.withColumns(
         {
             "original_gallery_name": F.trim("venue_name"), "cleaned": name, "k_name": X.norm_key(F.trim(name)), "k_city": X.norm_key(trimmed("city"), default="unknown-city"),
             "k_country": X.norm_key(trimmed("country"), default="unknown-country"), "k_domain": X.norm_key(trimmed("source_domain"), default="unknown-source"),
         }
     )
+
+
+def inferred_galleries(events: DataFrame, galleries: DataFrame, *, site: str, label: str) -> DataFrame:
+    """Galleries of the venues that match none; groups of the listing site that are site chrome are left out."""
+    trimmed = lambda c: F.nullif(F.trim(F.col(c)), F.lit(""))
     both = F.concat_ws("\n", "cleaned", "original_gallery_name")
-    grouped = keyed.groupBy("k_name", "k_city", "k_country", "k_domain").agg(
+    grouped = inferred_events(events, galleries, site=site, label=label).groupBy(*INFERRED).agg(
         F.min(F.nullif("cleaned", F.lit(""))).alias("gallery_name"), F.min("original_gallery_name").alias("original_gallery_name"), F.min(trimmed("venue_address")).alias("gallery_address"),
         F.min(trimmed("city")).alias("city"), F.min(trimmed("country")).alias("country"), F.min(trimmed("source_domain")).alias("source_domain"), F.min(trimmed("source_url")).alias("source_url"),
-        F.array_sort(F.collect_set(F.struct("event_id", "event_title"))).alias("linked_events"), F.max("crawl_timestamp").alias("crawl_timestamp"),
+        F.countDistinct("event_id").alias("n_linked_events"), F.max("crawl_timestamp").alias("crawl_timestamp"),
         F.bool_or(F.contains("cleaned", F.lit("|")) | F.contains(F.lower("cleaned"), F.lit(label.lower()))).alias("noisy"),
         F.bool_or(both.rlike(CALLS) | (F.contains(F.lower(both), F.lit("art in south africa")) & F.contains(F.lower(both), F.lit(label.lower())))).alias("chrome"),
     )
     bare = F.coalesce("gallery_name", F.lit(""))
     out = F.coalesce(F.col("source_domain") == site, F.lit(False)) & (F.col("chrome") | (F.length(F.trim(bare)) <= 3) | F.lower(bare).isin(GENERIC))
     return grouped.where(~out).withColumns(
-        {"gallery_id": X.md5_uuid(F.concat_ws("|", "k_name", "k_city", "k_country", "k_domain")), "gallery_record_type": F.lit("inferred_from_event"), "quality_flags": X.flag_array({"noisy_inferred_name": F.col("noisy")})}
+        {"gallery_id": X.md5_uuid(F.concat_ws("|", *INFERRED)), "gallery_record_type": F.lit("inferred_from_event"), "quality_flags": X.flag_array({"noisy_inferred_name": F.col("noisy")})}
     ).drop("noisy", "chrome")
 
 
@@ -204,8 +226,8 @@ def latest_reviews(reviews: DataFrame) -> DataFrame:
 
 def artwork_records(artworks: DataFrame, reviews: DataFrame) -> DataFrame:
     """Latest artworks with their latest review."""
-    status = latest_reviews(reviews).select(F.col("artwork_id").alias("raw_artwork_id"), "review_status", "reviewed_at")
-    return latest_artworks(artworks).join(status, "raw_artwork_id", "left").withColumn("review_status", F.coalesce("review_status", F.lit("pending")))
+    status = latest_reviews(reviews).select("artwork_id", "review_status", "reviewed_at")
+    return latest_artworks(artworks).join(status, "artwork_id", "left").withColumn("review_status", F.coalesce("review_status", F.lit("pending")))
 
 
 def event_records(events: DataFrame, overrides: DataFrame) -> DataFrame:
@@ -234,23 +256,31 @@ def artist_profiles(records: DataFrame, edits: DataFrame | None = None) -> DataF
     return out.withColumn("artist_bio", F.coalesce("edited_bio", "cleaned_artist_bio", "original_artist_bio")).drop("best", "_bio")
 
 
+def ambiguous(name: Column) -> Column:
+    """Names that are not one person's."""
+    return F.lower(name).rlike(r"^(unknown|unidentified artist|workshop of|after|attributed to)\b")
+
+
 def artist_dedupe(artworks: DataFrame) -> DataFrame:
-    """Artists by slug; unnamed and attributed works are never merged."""
+    """Artists by slug, with birth and death years where the table has them; ambiguous names are never merged."""
     slug = X.slugify(F.col("artist_name"))
-    ambiguous = F.lower("artist_name").rlike(r"^(unknown|workshop of|after|attributed to)\b")
-    keyed = artworks.where("artist_name is not null").withColumn("artist_key", F.when(ambiguous, F.concat_ws(":", slug, "raw_artwork_id")).otherwise(slug))
+    years = [F.col(c).cast("string") if c in artworks.columns else F.lit(None).cast("string") for c in ("birth_year", "death_year")]
+    one = F.concat_ws(":", slug, "raw_artwork_id")
+    keyed = artworks.where("artist_name is not null").withColumn("artist_key", F.when(ambiguous(F.col("artist_name")), one).otherwise(F.concat_ws("-", slug, *years)))
+    sure = F.when(ambiguous(F.col("artist_name")), 0.2).when(years[0].isNotNull() & years[1].isNotNull(), 1.0).when(years[0].isNotNull() | years[1].isNotNull(), 0.8).otherwise(0.6)
     return keyed.groupBy("artist_key").agg(
-        F.min("artist_name").alias("artist_name"), F.countDistinct("source_domain").alias("source_count"), F.count("*").alias("artwork_count"), F.min("crawl_timestamp").alias("first_seen"), F.max("crawl_timestamp").alias("last_seen")
+        F.min("artist_name").alias("artist_name"), F.countDistinct("source_domain").alias("source_count"), F.count("*").alias("artwork_count"), F.min("crawl_timestamp").alias("first_seen"), F.max("crawl_timestamp").alias("last_seen"),
+        F.max(sure).alias("artist_confidence_score"),
     )
 
 
 def duplicate_groups(artworks: DataFrame) -> DataFrame:
-    """duplicate_group_key, its count, and whether it is shared; counts are joined back, so a hot key is no window."""
+    """duplicate_group_key (artist, title and, where known, year), its count, and whether it is shared. Rows without a key stay out of the shuffle."""
     key = F.concat_ws("|", X.slugify(F.col("artist_name")), X.slugify(F.col("artwork_title")), F.col("year_start").cast("string"))
     keyed = artworks.withColumn("duplicate_group_key", F.when(F.col("artist_name").isNotNull() & F.col("artwork_title").isNotNull(), key))
-    counts = keyed.where("duplicate_group_key is not null").groupBy("duplicate_group_key").agg(F.count("*").alias("duplicate_group_count"))
-    joined = keyed.join(counts, "duplicate_group_key", "left")
-    return joined.withColumns({"duplicate_group_count": F.coalesce("duplicate_group_count", F.lit(1)), "is_duplicate_candidate": F.coalesce(F.col("duplicate_group_count") > 1, F.lit(False))})
+    spread = F.coalesce("duplicate_group_key", F.concat(F.lit("\x1f"), "raw_artwork_id"))  # rows without a key are groups of one
+    n = F.when(F.col("duplicate_group_key").isNull(), F.lit(1).cast("long")).otherwise(F.count("*").over(Window.partitionBy(spread)))
+    return keyed.withColumn("duplicate_group_count", n).withColumn("is_duplicate_candidate", F.col("duplicate_group_count") > 1)
 
 
 def quality_score_full(artworks: DataFrame) -> DataFrame:

@@ -15,8 +15,8 @@ from atelier.operators.tables import all_of, latest_per_key
 
 #: Patterns of names that are page headings.
 SUSPECT = ["%selected works%", "%latest work%", "%artworks%", "%paintings%", "%prints%", "%about the artist%"]
-#: Rules that a match considers at most, the surest; a bounded broadcast.
-RULES = 500
+#: Active rules that are broadcast, at most.
+RULES = 5000
 
 
 def fold_decisions(decisions: DataFrame, key: str, fields: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -51,12 +51,17 @@ def event_quality(events: DataFrame) -> DataFrame:
 
 
 def rule_match(events: DataFrame, rules: DataFrame) -> DataFrame:
-    """(event_id, rule_value, rule_confidence) of the surest active rule whose pattern the event's text contains, on its domain or any."""
-    chosen = rules.where("is_active and field_name = 'event_type' and trim(pattern) <> ''").orderBy(F.desc("confidence"), F.desc("support_count"), F.desc("updated_at"), "pattern", "suggested_value").limit(RULES)
+    """(event_id, rule_value, rule_confidence) of the surest active rule whose pattern the event's text contains, on its domain or any.
+
+    A pattern may be any part of a text, so this is a theta join: rules are the small side, broadcast up to RULES of them and a
+    nested loop beyond; no rule is left out.
+    """
+    active = rules.where("is_active and field_name = 'event_type' and trim(pattern) <> ''").withColumn("_p", F.lower(F.trim("pattern")))
     text = F.lower(F.concat_ws(" ", "event_title", "description"))
     domain = F.coalesce(F.col("r.source_domain"), F.lit(""))
-    hit = F.contains(F.col("e._text"), F.lower(F.trim("r.pattern"))) & ((domain == "") | (domain == F.col("e.source_domain")))
-    found = events.select("event_id", "source_domain", text.alias("_text")).alias("e").join(F.broadcast(chosen).alias("r"), hit)
+    rest = F.broadcast(active) if active.count() <= RULES else active
+    hit = F.contains(F.col("e._text"), F.col("r._p")) & ((domain == "") | (domain == F.col("e.source_domain")))
+    found = events.select("event_id", "source_domain", text.alias("_text")).alias("e").join(rest.alias("r"), hit)
     best = F.struct("r.confidence", "r.support_count", "r.updated_at", "r.pattern")
     return found.groupBy("e.event_id").agg(F.max_by(F.struct(F.col("r.suggested_value").alias("v"), F.col("r.confidence").cast("double").alias("c")), best).alias("m")).select("event_id", F.col("m.v").alias("rule_value"), F.col("m.c").alias("rule_confidence"))
 
@@ -85,31 +90,39 @@ def title_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([SequenceMatcher(None, (x or "").strip().lower(), (y or "").strip().lower()).ratio() for x, y in zip(a, b, strict=True)])
 
 
-def auto_apply(events: DataFrame, rules: DataFrame | None = None, *, limit: int = 500, type_at: float = 0.93, title_at: float = 0.96, similar: float = 0.88) -> DataFrame:
-    """Decisions (event_id, event_type, canonical_event_title) for the newest events that are neither approved nor hidden."""
-    open_ = events.where("not is_hidden and not is_approved").orderBy(F.desc_nulls_last("crawl_timestamp"), F.desc("event_id")).limit(max(1, min(limit, 500)))
-    s = suggest(open_, rules)
+def auto_apply(events: DataFrame, rules: DataFrame | None = None, *, type_at: float = 0.93, title_at: float = 0.96, similar: float = 0.88) -> DataFrame:
+    """Decisions (event_id, event_type, canonical_event_title) for all events that are neither approved nor hidden."""
+    s = suggest(events.where("not is_hidden and not is_approved"), rules)
     safe = (F.col("event_title_confidence") >= title_at) & (title_similarity("event_title", "suggested_event_title") >= similar)
     made = s.select("event_id", F.when(F.col("event_type_confidence") >= type_at, F.col("suggested_event_type")).alias("event_type"), F.when(safe, F.col("suggested_event_title")).alias("canonical_event_title"))
     return made.where("event_type is not null or canonical_event_title is not null")
 
 
-def correction_action(old: Column, new: Column, suggested: Column, reason: Column) -> Column:
+def correction_action(old: Column, new: Column, suggested: Column, reason: Column, override: Column | None = None) -> Column:
+    """What a change of a value amounts to, by a table of what was there (o), is now there (n) and was suggested (s); an override goes first."""
     o, n, s = (F.nullif(F.trim(c), F.lit("")) for c in (old, new, suggested))
-    return (
-        F.when(F.coalesce(reason, F.lit("")).startswith("auto_applied"), F.when(n.isNull(), "reverted").otherwise("rejected"))
-        .when(n.isNull() & o.isNotNull(), "reverted")
-        .when(s.isNotNull() & n.eqNullSafe(s), "accepted")
-        .when(s.isNotNull() & n.isNull(), "rejected")
-        .otherwise("manually_edited")
-    )
+    auto = F.coalesce(reason, F.lit("")).startswith("auto_applied")
+    table = [
+        ("reverted", n.isNull() & (auto | o.isNotNull())),
+        ("rejected", auto | (n.isNull() & s.isNotNull())),
+        ("accepted", n.isNotNull() & n.eqNullSafe(s)),
+    ]
+    known = F.coalesce(*(F.when(when, F.lit(name)) for name, when in table), F.lit("manually_edited"))
+    return known if override is None else F.coalesce(F.nullif(override, F.lit("")), known)
 
 
 def correction_log(decisions: DataFrame, *, key: str, field: str, order: Sequence[Column]) -> DataFrame:
     """One row a decision that changes the field: its value before and after, in decision order."""
-    before = F.lag(field).over(Window.partitionBy(key).orderBy(*order))
-    given = decisions.where(F.col(field).isNotNull()).withColumn("original_value", before)
-    return given.where(~F.nullif("original_value", F.lit("")).eqNullSafe(F.nullif(F.col(field), F.lit("")))).withColumnRenamed(field, "final_value")
+    return corrections(decisions, key=key, fields=[field], order=order).drop("field_name")
+
+
+def corrections(decisions: DataFrame, *, key: str, fields: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """One row a decision and field that it changes: field_name, original_value and final_value, in decision order."""
+    texts = F.array(*(F.struct(F.lit(f).alias("f"), F.col(f).cast("string").alias("v")) for f in fields))
+    given = decisions.withColumn("_c", F.explode(texts)).where("_c.v is not null").drop(*fields)
+    given = given.select("*", F.col("_c.f").alias("field_name"), F.col("_c.v").alias("final_value")).drop("_c")
+    before = given.withColumn("original_value", F.lag("final_value").over(Window.partitionBy(key, "field_name").orderBy(*order)))
+    return before.where(~F.nullif("original_value", F.lit("")).eqNullSafe(F.nullif("final_value", F.lit(""))))
 
 
 def learn_rules(rules: DataFrame, outcomes: DataFrame) -> DataFrame:
@@ -135,18 +148,37 @@ def suspect_name(c: Column) -> Column:
 
 QUEUES = {
     "artworks_pending_review": lambda: F.col("review_status") == "pending",
-    "artists_missing_bio": lambda: X.blank(F.col("original_artist_bio")),
-    "artists_short_bio": lambda: F.length(F.coalesce("cleaned_artist_bio", F.lit(""))) < 80,
-    "artists_poor_bio": lambda: F.col("bio_quality_score") < 60,
+    "artists_missing_bio": lambda: X.blank(F.col("artist_bio")),
+    "artists_short_bio": lambda: ~X.blank(F.col("artist_bio")) & (F.length(F.trim("artist_bio")) < 120),
+    "artists_poor_bio": lambda: F.coalesce("bio_quality_score", F.lit(100)) < 60,
     "artists_suspect_name": lambda: suspect_name(F.col("artist_name")),
     "artists_with_manual_bio": lambda: F.col("edited_bio").isNotNull(),
-    "broken_or_missing_images": lambda: X.blank(F.col("image_url")) | ~F.coalesce(F.col("image_url").rlike("^https?://"), F.lit(False)),
+    "broken_or_missing_images": lambda: X.blank(F.col("image_url")),
 }
 
 
-def moderation_queue(df: DataFrame, name: str) -> DataFrame:
-    """Rows of a queue, with the reason."""
-    return df.where(QUEUES[name]()).withColumn("issue", F.lit(name))
+def moderation_queue(df: DataFrame, name: str, *, status: str = "all", flags: DataFrame | None = None, key: str = "artist_name") -> DataFrame:
+    """Rows of a queue, with the issue and, given flags (key, issue_type, status), how many of the issue are open.
+
+    status open leaves out rows with a resolved flag of the issue, resolved keeps only those; works are open while they are pending.
+    """
+    rows = (df if name == "artists_without_events" else df.where(QUEUES[name]())).withColumn("issue", F.lit(name))
+    if flags is None:
+        return rows
+    own = flags.where(F.col("issue_type") == name)
+    counts = own.where("status = 'open'").groupBy(key).agg(F.count("*").alias("open_flags_count"))
+    rows = rows.join(counts, key, "left").withColumn("open_flags_count", F.coalesce("open_flags_count", F.lit(0).cast("long")))
+    done = own.where("status = 'resolved'").select(key).distinct()
+    return rows if status == "all" else rows.join(done, key, "left_anti" if status == "open" else "left_semi")
+
+
+def queue_summary(artworks: DataFrame, profiles: DataFrame, links: DataFrame) -> DataFrame:
+    """One row with the size of each queue. links: artists (artist_name) that an event names."""
+    of_works = ["artworks_pending_review", "broken_or_missing_images"]
+    a = artworks.agg(*(F.count_if(QUEUES[n]()).alias(n) for n in of_works))
+    p = profiles.agg(*(F.count_if(F.coalesce(QUEUES[n](), F.lit(False))).alias(n) for n in QUEUES if n not in of_works))
+    w = profiles.join(links.select("artist_name").distinct(), "artist_name", "left_anti").agg(F.count("*").alias("artists_without_events"))
+    return a.join(F.broadcast(p)).join(F.broadcast(w))  # one row each
 
 
 def admin_events(df: DataFrame, *, queue: str = "all", as_of: str, search: str | None = None, domain: str | None = None) -> DataFrame:
@@ -156,3 +188,37 @@ def admin_events(df: DataFrame, *, queue: str = "all", as_of: str, search: str |
     }
     more = [F.col("event_title").ilike(f"%{search}%")] * bool(search) + [F.col("source_domain") == domain] * bool(domain)
     return df.where(all_of([state[queue], *more]))
+
+
+def apply_latest(overrides: DataFrame, decisions: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """overrides, a key's whole row replaced by its last decision; columns are those of overrides."""
+    new = latest_per_key(decisions, list(keys), order).select(*overrides.columns)
+    return overrides.join(new.select(*keys), list(keys), "left_anti").unionByName(new)
+
+
+def apply_artist_decisions(overrides: DataFrame, decisions: DataFrame, candidates: DataFrame, order: Sequence[Column]) -> tuple[DataFrame, DataFrame]:
+    """(overrides after the decisions, decisions about unknown artists). An artist's domain is the newest of the candidates (artist_name, source_domain, last_seen)."""
+    newest = latest_per_key(candidates, ["artist_name"], [F.desc_nulls_last("last_seen"), F.asc("source_domain")]).select("artist_name", "source_domain")
+    placed = decisions.join(newest, "artist_name").withColumn("canonical_artist_name", F.nullif(F.trim("canonical_artist_name"), F.lit("")))
+    return apply_latest(overrides, placed, ["artist_name", "source_domain"], order), decisions.join(newest, "artist_name", "left_anti")
+
+
+def apply_artwork_reviews(reviews: DataFrame, approvals: DataFrame, rejections: DataFrame, decisions: DataFrame, known: DataFrame, order: Sequence[Column]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(reviews, approvals, rejections) after the decisions about known artworks.
+
+    Each decision adds to the reviews; an artwork's last one leaves it in approvals or in rejections, never in both.
+    """
+    good = decisions.join(known.select("artwork_id").distinct(), "artwork_id", "left_semi")
+    yes = F.col("action") == "approve"
+    more = good.select("id", "artwork_id", F.when(yes, "approved").otherwise("rejected").alias("review_status"), F.col("decided_at").alias("reviewed_at"), F.col("decided_at").alias("created_at"))
+    last = latest_per_key(good, ["artwork_id"], order)
+    approved, rejected = last.where(yes), last.where(~yes)
+    a = approvals.join(rejected.select("artwork_id"), "artwork_id", "left_anti").unionByName(good.where(yes).join(rejected.select("artwork_id"), "artwork_id", "left_anti").select("id", "artwork_id", "public_visibility", F.col("decided_at").alias("approved_at")), allowMissingColumns=True)
+    r = rejections.join(approved.select("artwork_id"), "artwork_id", "left_anti").unionByName(good.where(~yes).join(approved.select("artwork_id"), "artwork_id", "left_anti").select("id", "artwork_id", F.coalesce("rejection_reason", F.lit("Rejected by reviewer")).alias("rejection_reason"), F.col("decided_at").alias("rejected_at")), allowMissingColumns=True)
+    return reviews.unionByName(more, allowMissingColumns=True), a, r
+
+
+def append_bio_edits(edits: DataFrame, incoming: DataFrame, known: DataFrame) -> DataFrame:
+    """edits and the incoming ones, trimmed, that are not blank and about a known (artist_name, source_domain)."""
+    good = incoming.withColumn("edited_bio", F.trim("edited_bio")).where("edited_bio <> ''").join(known.select("artist_name", "source_domain").distinct(), ["artist_name", "source_domain"], "left_semi")
+    return edits.unionByName(good.select(*edits.columns))

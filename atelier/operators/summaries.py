@@ -30,15 +30,6 @@ def duplicate_resolution(groups: DataFrame, decisions: DataFrame) -> DataFrame:
     return groups.join(decisions.select(F.col("duplicate_id").alias("raw_artwork_id"), F.col("canonical_id").alias("_c")), "raw_artwork_id", "left").withColumn("canonical_id", F.coalesce("_c", "raw_artwork_id")).drop("_c")
 
 
-def source_summary(runs: DataFrame, artworks: DataFrame) -> DataFrame:
-    """By source: runs, records, missing rate, duplicate rate, score. Aggregates are joined, never rows."""
-    a = artworks.groupBy("source_domain").agg(
-        F.count("*").alias("records"), F.round(F.try_divide(F.count_if(F.col("artist_name").isNull()), F.count("*")), 4).alias("missing_rate"),
-        F.round(F.try_divide(F.count_if("is_duplicate_candidate"), F.count("*")), 4).alias("duplicate_rate"), F.round(F.avg("quality_score"), 2).alias("avg_score"),
-    )
-    return a.join(runs.groupBy("source_domain").agg(F.countDistinct("crawl_run_id").alias("runs"), F.max("crawl_timestamp").alias("last_success")), "source_domain", "left")
-
-
 def best_domain(candidates: DataFrame) -> DataFrame:
     """The newest domain of each artist (artist_name, source_domain, last_seen)."""
     return latest_per_key(candidates, ["artist_name"], [F.desc_nulls_last("last_seen"), F.asc("source_domain")]).select("artist_name", "source_domain")

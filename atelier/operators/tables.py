@@ -30,7 +30,6 @@ def upsert_by_key(base: DataFrame, incoming: DataFrame, *, update_cols: Sequence
     key = record_key() if key is None else key
     new = latest_per_key(incoming.withColumn("_k", key), ["_k"], order)
     old = base.withColumn("_k", key)
-    pairs = old.alias("o").join(new.alias("i"), "_k", "full_outer")
     there, came = F.col("o._in_base").isNotNull(), F.col("i._in_new").isNotNull()
     pairs = old.withColumn("_in_base", F.lit(1)).alias("o").join(new.withColumn("_in_new", F.lit(1)).alias("i"), "_k", "full_outer")
     pick = lambda c: F.when(~there, F.col(f"i.{c}")).when(came & F.lit(c in update_cols), F.col(f"i.{c}")).otherwise(F.col(f"o.{c}"))

@@ -251,7 +251,7 @@ def mart_crawl_quality(t):
 
 LATEST = f"{MART}, latest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source_domain, coalesce(source_record_id, raw_artwork_id) ORDER BY crawl_timestamp DESC NULLS LAST, raw_artwork_id DESC) AS n FROM mart) WHERE n = 1)"
 REVIEWED = f"""{LATEST}, rev AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY artwork_id ORDER BY reviewed_at DESC NULLS LAST, created_at DESC, id DESC) AS n FROM a_reviews) WHERE n = 1),
-rec AS (SELECT l.*, coalesce(review_status, 'pending') AS review_status, reviewed_at FROM latest l LEFT JOIN rev ON rev.artwork_id = l.raw_artwork_id)"""
+rec AS (SELECT l.*, coalesce(review_status, 'pending') AS review_status, reviewed_at FROM latest l LEFT JOIN rev ON rev.artwork_id = l.artwork_id)"""
 
 
 @query(f"WITH {LATEST} SELECT raw_artwork_id, source_domain, crawl_timestamp FROM latest")
@@ -306,7 +306,7 @@ def missing_fields_by_source(t):
 ARTIST = f"{MART}, keyed AS (SELECT *, {slug('artist_name')} AS artist_key FROM mart WHERE artist_name IS NOT NULL)"
 
 
-@query(f"WITH {ARTIST} SELECT artist_key, min(artist_name) AS artist_name, count(DISTINCT source_domain) AS source_count, count(*) AS artwork_count, min(crawl_timestamp) AS first_seen, max(crawl_timestamp) AS last_seen FROM keyed GROUP BY 1")
+@query(f"WITH {ARTIST} SELECT artist_key, min(artist_name) AS artist_name, count(DISTINCT source_domain) AS source_count, count(*) AS artwork_count, min(crawl_timestamp) AS first_seen, max(crawl_timestamp) AS last_seen, 0.6::double AS artist_confidence_score FROM keyed GROUP BY 1")
 def artist_dedupe(t):
     return M.artist_dedupe(mart(t))
 
@@ -437,16 +437,37 @@ def suggest_event_title(t):
     return t["a_events"].select("id", s["value"].alias("title"), s["confidence"].alias("confidence"))
 
 
-@query(None)
+@query(rf"""WITH {OVER}, h AS (SELECT *, lower(concat_ws(' ', event_title, description)) AS x, trim(event_title) AS t1, regexp_replace(trim(event_title), '\s+', ' ', 'g') AS t2 FROM er WHERE NOT is_hidden AND NOT is_approved),
+j AS (SELECT event_id, CASE WHEN {_B('event_type')} AND ({SUGGEST.format(*(f'{p}' for _, p, _ in X.EVENT_KEYWORDS))}) >= 0.93 THEN {SUGGEST.format(*(f"'{k}'" for k, _, _ in X.EVENT_KEYWORDS))} END AS event_type, CASE WHEN t1 <> event_title THEN t1 WHEN t2 <> t1 AND 2.0 * length(t2) / (length(t1) + length(t2)) >= 0.88 THEN t2 END AS canonical_event_title FROM h)
+SELECT * FROM j WHERE event_type IS NOT NULL OR canonical_event_title IS NOT NULL""")
 def auto_apply_suggestions(t):
     return D.auto_apply(er(t))
 
 
-@query(f"""WITH {EVENTS}, r AS (SELECT DISTINCT lower(event_type) AS pattern FROM events), x AS (SELECT event_id, lower(concat_ws(' ', event_title, description)) AS h FROM mev) SELECT event_id, max(pattern) AS rule_value FROM x JOIN (SELECT 'opening' AS pattern UNION ALL SELECT 'evening' UNION ALL SELECT 'workshop') ON contains(h, pattern) GROUP BY 1""".replace("r AS (SELECT DISTINCT lower(event_type) AS pattern FROM events), ", ""))
+LEARNED = f"""{EVENTS}, outcome AS (SELECT lower(split_part(o_orderpriority, '-', 2)) AS pattern, CASE WHEN c_mktsegment = 'BUILDING' THEN 'fair' ELSE 'evening' END AS v, CASE WHEN c_mktsegment = 'MACHINERY' THEN lower(n_name) || '.example' END AS d, (o_orderstatus = 'F')::int AS a FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey),
+rule AS (SELECT pattern, v, d, count(*) AS n, round((sum(a) + 2) / (count(*) + 4), 4) AS c FROM outcome GROUP BY 1, 2, 3),
+hit AS (SELECT event_id, arg_max(struct_pack(v := v, c := c), struct_pack(c := c, n := n, v := v, p := pattern)) AS m FROM mev JOIN rule ON contains(lower(concat_ws(' ', event_title, description)), pattern) AND (d IS NULL OR d = source_domain) GROUP BY 1)"""
+
+
+def learned(t):
+    rows = t["orders"].join(t["customer"], F.col("o_custkey") == F.col("c_custkey")).join(t["nation"], F.col("c_nationkey") == F.col("n_nationkey"))
+    o = rows.select(
+        F.lit("event_type").alias("field_name"), F.lower(F.split_part("o_orderpriority", F.lit("-"), F.lit(2))).alias("pattern"), F.when(F.col("c_mktsegment") == "BUILDING", "fair").otherwise("evening").alias("suggested_value"),
+        F.when(F.col("c_mktsegment") == "MACHINERY", F.concat(F.lower("n_name"), F.lit(".example"))).alias("source_domain"), (F.col("o_orderstatus") == "F").cast("int").alias("accepted"),
+    )
+    none = O.empty_relation(t.spark, "field_name string, pattern string, suggested_value string, source_domain string, support_count long, accepted_count long, rejected_count long")
+    return D.learn_rules(none, o).withColumns({"is_active": F.lit(True), "updated_at": F.col("suggested_value")})
+
+
+@query(f"WITH {LEARNED} SELECT event_id, m.v AS rule_value, m.c::double AS rule_confidence FROM hit")
 def learned_rule_match(t):
-    rows = t["orders"].select(F.when(F.col("o_orderkey") % 3 == 0, "opening").when(F.col("o_orderkey") % 3 == 1, "evening").otherwise("workshop").alias("pattern")).distinct()
-    rules = rows.select(F.lit("event_type").alias("field_name"), "pattern", F.col("pattern").alias("suggested_value"), F.lit(None).cast("string").alias("source_domain"), F.lit(0.9).alias("confidence"), F.lit(1).alias("support_count"), F.lit("2024-01-01").alias("updated_at"), F.lit(True).alias("is_active"))
-    return D.rule_match(mart_ev(t), rules).select("event_id", "rule_value")
+    return D.rule_match(mart_ev(t), learned(t))
+
+
+@query(f"""WITH {LEARNED}, h AS (SELECT event_id, event_type, lower(concat_ws(' ', event_title, description)) AS x FROM mev)
+SELECT event_id, CASE WHEN {_B('event_type')} THEN coalesce(m.v, {SUGGEST.format(*(f"'{k}'" for k, _, _ in X.EVENT_KEYWORDS))}) END AS suggested_event_type, CASE WHEN {_B('event_type')} THEN coalesce(m.c::double, {SUGGEST.format(*(f'{p}::double' for _, p, _ in X.EVENT_KEYWORDS))}) END AS event_type_confidence FROM h LEFT JOIN hit USING (event_id)""")
+def suggest_event_type_learned(t):
+    return D.suggest(mart_ev(t), learned(t)).select("event_id", "suggested_event_type", "event_type_confidence")
 
 
 @query(f"WITH {EVENTS} SELECT event_type AS key, count(*) AS n FROM (SELECT coalesce(event_type, 'unknown') AS event_type FROM mev) GROUP BY 1")
@@ -477,14 +498,38 @@ la AS (SELECT gl.raw_gallery_id, count(DISTINCT a.id) AS works FROM gl LEFT JOIN
 SELECT {uuid('normalized_gallery_key')} AS gallery_id, raw_gallery_id, coalesce(ids, '') AS linked_events, works AS linked_artworks FROM gl JOIN le USING (raw_gallery_id) JOIN la USING (raw_gallery_id)""")
 def mart_galleries(t):
     m = M.mart_galleries(gal(t), mart_ev(t), stg(t))
-    return m.select("gallery_id", "raw_gallery_id", F.array_join(F.transform("linked_events", lambda e: e["event_id"]), ",").alias("linked_events"), F.size(F.array_distinct(F.transform("linked_artworks", lambda a: a["raw_artwork_id"]))).cast("long").alias("linked_artworks"))
+    return m.select("gallery_id", "raw_gallery_id", F.array_join(F.transform("linked_events", lambda e: e["event_id"]), ",").alias("linked_events"), F.col("n_linked_artworks").alias("linked_artworks"))
+
 
+_VENUE = rf"""CASE WHEN lower(trim(source_domain)) = '{SITE}' THEN coalesce(nullif(regexp_extract(trim(venue_name), '(?is)^(?:.*)\s+at\s+(.*)\s+\|\s+{LABEL} Art Exhibition Listings$', 1), ''),
+ regexp_replace(regexp_replace(regexp_replace(regexp_replace(trim(venue_name), '(?i)\s+\|\s+{LABEL} Art Exhibition Listings$', ''), '(?i)\s+\|\s+{LABEL} Art Gallery Listings$', ''), '(?i)\s+\|\s+{LABEL} Art Training$', ''), '(?i)\s+\|\s+{LABEL}$', '')) ELSE trim(venue_name) END"""
+INFERRED = rf"""{EVENTS}, {EK}, {GAL}, iu AS (SELECT *, regexp_replace(trim({_VENUE}), '\s+', ' ', 'g') AS cleaned, trim(venue_name) AS original FROM ek WHERE coalesce(trim(venue_name), '') <> '' AND NOT EXISTS (SELECT 1 FROM gl WHERE gl.n_gallery_name = ek.n_gallery_name AND gl.n_city = ek.n_city AND gl.n_country = ek.n_country AND gl.source_domain = ek.source_domain)),
+ig AS (SELECT {uuid('lower(cleaned) || chr(124) || n_city || chr(124) || n_country || chr(124) || source_domain')} AS gallery_id, min(cleaned) AS gallery_name, min(original) AS original_gallery_name, min(venue_address) AS gallery_address, min(city) AS city, min(country) AS country, min(source_domain) AS source_domain, min(source_url) AS source_url,
+ count(DISTINCT event_id) AS events, max(crawl_timestamp) AS crawl_timestamp, bool_or(regexp_matches(cleaned || chr(10) || original, '(?i)(list your gallery|list your art exhibition|submit your gallery|advertise|login|register|sign up)') OR (contains(lower(cleaned || original), 'art in south africa') AND contains(lower(cleaned || original), '{LABEL.lower()}'))) AS chrome
+ FROM iu GROUP BY lower(cleaned), n_city, n_country, source_domain),
+inf AS (SELECT * FROM ig WHERE NOT (coalesce(source_domain = '{SITE}', false) AND (chrome OR length(trim(gallery_name)) <= 3 OR lower(gallery_name) IN ('home', 'gallery', 'galleries', 'events', 'art in south africa'))))"""
 
-@query(f"""WITH {EVENTS}, {EK}, {GAL}, u AS (SELECT * FROM ek WHERE coalesce(trim(venue_name), '') <> '' AND NOT EXISTS (SELECT 1 FROM gl WHERE gl.n_gallery_name = ek.n_gallery_name AND gl.n_city = ek.n_city AND gl.n_country = ek.n_country AND gl.source_domain = ek.source_domain))
-SELECT {uuid('''lower(venue_name) || '|' || n_city || '|' || n_country || '|' || source_domain''')} AS gallery_id, min(venue_name) AS gallery_name, min(venue_address) AS gallery_address, count(DISTINCT event_id) AS events, max(crawl_timestamp) AS crawl_timestamp FROM u GROUP BY lower(venue_name), n_city, n_country, source_domain""".replace("SELECT {uuid", "SELECT {uuid"))
+
+def inferred(t):
+    return M.inferred_galleries(mart_ev(t), M.latest_galleries(gal(t)), site=SITE, label=LABEL)
+
+
+@query(f"WITH {INFERRED} SELECT gallery_id, gallery_name, gallery_address, events, crawl_timestamp FROM inf")
 def inferred_galleries(t):
-    found = M.inferred_galleries(mart_ev(t), M.latest_galleries(gal(t)), site="nowhere.example", label="Nowhere")
-    return found.select("gallery_id", "gallery_name", "gallery_address", F.size("linked_events").cast("long").alias("events"), "crawl_timestamp")
+    return inferred(t).select("gallery_id", "gallery_name", "gallery_address", F.col("n_linked_events").alias("events"), "crawl_timestamp")
+
+
+@query(f"WITH {INFERRED} SELECT DISTINCT gallery_id, gallery_name FROM ig WHERE gallery_id NOT IN (SELECT gallery_id FROM inf)")
+def inferred_cta_exclusion(t):
+    """What the rule for site chrome leaves out."""
+    named = M.inferred_events(mart_ev(t), M.latest_galleries(gal(t)), site=SITE, label=LABEL).groupBy(*M.INFERRED).agg(F.min("cleaned").alias("gallery_name"))
+    groups = named.select(X.md5_uuid(F.concat_ws("|", *M.INFERRED)).alias("gallery_id"), "gallery_name")
+    return groups.join(inferred(t).select("gallery_id"), "gallery_id", "left_anti")
+
+
+@query(rf"SELECT id, regexp_replace(trim({_VENUE}), '\s+', ' ', 'g') AS name FROM a_events")
+def venue_name_clean(t):
+    return t["a_events"].select("id", X.venue_name_clean(F.col("venue_name"), F.col("source_domain"), site=SITE, label=LABEL).alias("name"))
 
 
 @query(f"WITH {GAL} SELECT source_domain, count(*) AS n, count(*) FILTER (email IS NULL) AS no_email, count(*) FILTER (phone IS NULL) AS no_phone, round(avg(contact_quality_score), 2) AS avg_score, max(crawl_timestamp) AS last_crawl FROM gl GROUP BY 1")
@@ -580,47 +625,77 @@ def open_flag_count_join(t):
     return t["a_artists"].select("id").join(counts, "id")
 
 
-@query("""WITH b AS (SELECT *, row_number() OVER (PARTITION BY source_domain, source_record_id ORDER BY doc_id) AS n FROM a_before), a AS (SELECT *, row_number() OVER (PARTITION BY source_domain, source_record_id ORDER BY doc_id) AS n FROM a_after)
-SELECT coalesce(b.source_domain, a.source_domain) AS source_domain, coalesce(b.source_record_id, a.source_record_id) AS source_record_id, b.doc_id AS b_doc_id, a.doc_id AS a_doc_id, CASE WHEN a.doc_id IS NULL THEN 'only_before' WHEN b.doc_id IS NULL THEN 'only_after' ELSE 'matched' END AS side
-FROM b FULL JOIN a ON a.source_domain = b.source_domain AND a.source_record_id = b.source_record_id AND a.n = b.n""")
-def audit_match(t):
-    return matched(t).select("source_domain", "source_record_id", "b_doc_id", "a_doc_id", "side")
+AUDITED = ["artist_name", "artwork_title", "description"]
 
 
-AUDITED = ["artist_name", "artwork_title", "description"]
+def _keys():
+    return [F.when(~X.blank(F.col("source_record_id")), F.concat_ws("|", "source_domain", "source_record_id")), F.col("source_url")]
 
 
 def matched(t):
     scored = lambda name: t[name].withColumn("score", A.record_score(AUDITED))
-    return A.audit_match(scored("a_before"), scored("a_after"), ["source_domain", "source_record_id"], ["doc_id"])
+    return A.stable_match(scored("a_before"), scored("a_after"), _keys(), ["doc_id"])
 
 
 _S = " + ".join(f"(CASE WHEN coalesce(trim({c}), '') <> '' THEN 1 ELSE 0 END)" for c in AUDITED)
-MATCHED = f"""b AS (SELECT *, round(({_S}) * 100.0 / 3, 2)::double AS score, row_number() OVER (PARTITION BY source_domain, source_record_id ORDER BY doc_id) AS n FROM a_before), a AS (SELECT *, round(({_S}) * 100.0 / 3, 2)::double AS score, row_number() OVER (PARTITION BY source_domain, source_record_id ORDER BY doc_id) AS n FROM a_after),
-m AS (SELECT source_domain, source_record_id, b.doc_id AS b_doc_id, a.doc_id AS a_doc_id, b.score AS b_score, a.score AS a_score, a.artist_name AS a_artist_name, b.artist_name AS b_artist_name FROM b FULL JOIN a USING (source_domain, source_record_id, n))"""
+_KEY = "coalesce('0' || source_domain || '|' || nullif(trim(source_record_id), ''), '1' || source_url, '')"
+_SIDE = lambda name: f"(SELECT *, row_number() OVER (PARTITION BY k ORDER BY doc_id) AS n FROM (SELECT *, round(({_S}) * 100.0 / 3, 2)::double AS score, {_KEY} AS k FROM {name}))"
+MATCHED = f"""m AS (SELECT b.doc_id AS b_doc_id, a.doc_id AS a_doc_id, b.score AS b_score, a.score AS a_score, a.artist_name AS a_artist_name, b.artist_name AS b_artist_name, b.description AS b_description, a.description AS a_description, b.source_domain AS b_source_domain,
+ b.source_record_id AS b_source_record_id, a.source_record_id AS a_source_record_id, CASE WHEN a.doc_id IS NULL THEN 'only_before' WHEN b.doc_id IS NULL THEN 'only_after' ELSE 'matched' END AS side FROM {_SIDE('a_before')} b FULL JOIN {_SIDE('a_after')} a ON a.k = b.k AND a.n = b.n)"""
+
 
+@query(f"WITH {MATCHED} SELECT b_doc_id, a_doc_id, side FROM m")
+def audit_match(t):
+    return matched(t).select("b_doc_id", "a_doc_id", "side")
 
-@query(f"WITH {MATCHED} SELECT count(*) FILTER (b_doc_id IS NOT NULL AND a_doc_id IS NOT NULL) AS matched, count(*) FILTER (a_doc_id IS NULL) AS only_before, count(*) FILTER (b_doc_id IS NULL) AS only_after FROM m")
+
+@query(f"WITH {MATCHED} SELECT count(*) FILTER (side = 'matched') AS matched, count(*) FILTER (side = 'only_before') AS only_before, count(*) FILTER (side = 'only_after') AS only_after, round(avg(b_score) FILTER (side = 'matched'), 2) AS mean_before, round(avg(a_score) FILTER (side = 'matched'), 2) AS mean_after, round(avg(a_score - b_score) FILTER (side = 'matched'), 2) AS mean_delta FROM m")
 def audit_matched(t):
-    return A.audit_matched(matched(t)).select("matched", "only_before", "only_after")
+    return A.audit_matched(matched(t))
+
 
+_STATS = "count(*) AS records, count(DISTINCT lower(artist_name)) AS artists, " + ", ".join(f"count(*) FILTER (coalesce(trim({c}), '') <> '') AS with_{c}" for c in AUDITED) + ", round(avg(length(description)), 2) AS mean_description, median(length(description)) AS median_description"
 
-@query("SELECT count(*) AS records, count(DISTINCT lower(artist_name)) AS artists, " + ", ".join(f"count(*) FILTER (coalesce(trim({c}), '') <> '') AS with_{c}" for c in AUDITED) + ", round(avg(length(description)), 2) AS mean_description, median(length(description)) AS median_description FROM a_after")
+
+@query(f"SELECT {_STATS} FROM a_after")
 def audit_stats(t):
     return A.audit_stats(t["a_after"], AUDITED)
 
 
-@query(f"WITH {MATCHED} SELECT b_doc_id, a_doc_id, sign(a_score - b_score)::int AS direction FROM m WHERE a_doc_id IS NOT NULL AND b_doc_id IS NOT NULL AND round(a_score - b_score, 2) <> 0")
+@query(f"WITH b AS (SELECT {_STATS} FROM a_before), a AS (SELECT {_STATS} FROM a_after) SELECT " + ", ".join(f"round(a.{c} - b.{c}, 2) AS delta_{c}" for c in ["records", "artists", *(f"with_{x}" for x in AUDITED), "mean_description", "median_description"]) + " FROM a, b")
+def audit_delta(t):
+    return A.audit_delta(A.audit_stats(t["a_before"], AUDITED), A.audit_stats(t["a_after"], AUDITED))
+
+
+_PREVIEW = lambda c: f"CASE WHEN length({ct(c)}) > 140 THEN rtrim(left({ct(c)}, 139)) || '…' ELSE {ct(c)} END"
+
+
+@query(f"WITH {MATCHED} SELECT b_doc_id, a_doc_id, sign(a_score - b_score)::int AS direction, {_PREVIEW('b_description')} AS b_preview, {_PREVIEW('a_description')} AS a_preview FROM m WHERE side = 'matched' AND round(a_score - b_score, 2) <> 0")
 def audit_changed_records(t):
-    return A.audit_changed(matched(t)).select("b_doc_id", "a_doc_id", F.signum("delta").cast("int").alias("direction"))
+    return A.audit_changed(matched(t)).select("b_doc_id", "a_doc_id", F.signum("delta").cast("int").alias("direction"), "b_preview", "a_preview")
+
+
+@query(f"WITH {MATCHED} SELECT b_doc_id, a_doc_id, CASE WHEN a_score > b_score THEN 0 ELSE 1 END AS turn, round(a_score - b_score, 2) AS delta FROM m WHERE side = 'matched' AND round(a_score - b_score, 2) <> 0 ORDER BY turn, abs(a_score - b_score) DESC, b_doc_id, a_doc_id LIMIT 100")
+def changed_record_order(t):
+    return O.paged(A.audit_changed(matched(t)), [F.asc("turn"), F.desc(F.abs("delta")), F.asc("b_doc_id"), F.asc("a_doc_id")], limit=100).select("b_doc_id", "a_doc_id", "turn", "delta")
+
+
+_PLAN = "CASE WHEN side <> 'matched' THEN 'unmatched' WHEN coalesce(trim(a_artist_name), '') = coalesce(trim(b_artist_name), '') THEN 'unchanged' WHEN coalesce(trim(b_source_record_id), '') = '' OR coalesce(trim(a_source_record_id), '') = '' THEN 'no_record_id' WHEN a_source_record_id <> b_source_record_id THEN 'other_record' WHEN coalesce(trim(a_artist_name), '') = '' THEN 'no_new_value' ELSE 'apply' END"
 
 
-@query(f"WITH {MATCHED} SELECT b_doc_id, a_doc_id, CASE WHEN a_doc_id IS NULL OR b_doc_id IS NULL THEN 'unmatched' WHEN coalesce(trim(a_artist_name), '') = '' THEN 'no_new_value' WHEN a_artist_name = b_artist_name THEN 'unchanged' ELSE 'apply' END AS action FROM m")
+@query(f"WITH {MATCHED} SELECT b_doc_id, a_doc_id, {_PLAN} AS action FROM m")
 def backfill_plan(t):
     return A.backfill_plan(matched(t), field="artist_name").select("b_doc_id", "a_doc_id", "action")
 
 
-@query("SELECT doc_id, CASE WHEN contains(lower(artist_name), 'selected works') THEN 'denylist' WHEN artist_name IS NOT NULL THEN 'single_token' END AS reason FROM a_after")
+@query(f"""WITH {MATCHED}, p AS (SELECT b_source_domain AS d, b_source_record_id AS r, coalesce(b_artist_name, '') AS o, min(a_artist_name) AS v FROM m WHERE {_PLAN} = 'apply' GROUP BY 1, 2, 3)
+SELECT doc_id, coalesce(v, artist_name) AS artist_name FROM a_before LEFT JOIN p ON d = source_domain AND r = source_record_id AND o = coalesce(artist_name, '')""")
+def backfill_apply(t):
+    plan = A.backfill_plan(matched(t), field="artist_name").withColumnsRenamed({"b_source_domain": "source_domain", "b_source_record_id": "source_record_id"})
+    return A.backfill_apply(t["a_before"], plan, field="artist_name").select("doc_id", "artist_name")
+
+
+@query("SELECT doc_id, CASE WHEN contains(lower(artist_name), 'selected works') THEN 'denylist' WHEN contains(artist_name, ':') THEN 'colon' WHEN length(artist_name) > 60 THEN 'too_long' WHEN artist_name <> '' AND NOT contains(artist_name, ' ') THEN 'single_token' END AS reason FROM a_after")
 def suspect_names(t):
     return t["a_after"].select("doc_id", A.suspect_reason(F.col("artist_name")).alias("reason"))
 
@@ -738,8 +813,8 @@ def latest_rejection_lateral(t):
 @query(f"""WITH {EVENTS}, {EK}, {GAL} SELECT e.event_id, arg_max(gl.raw_gallery_id, struct_pack(a := gl.crawl_timestamp, b := gl.raw_gallery_id)) AS raw_gallery_id FROM ek e JOIN gl USING (n_gallery_name, n_city, n_country, source_domain) GROUP BY 1""")
 def event_gallery_lookup(t):
     kept = M.latest_galleries(gal(t))
-    held = M.gallery_events(kept, mart_ev(t)).join(kept.select("raw_gallery_id", "crawl_timestamp"), "raw_gallery_id")
-    return held.select(F.explode("linked_events.event_id").alias("event_id"), "raw_gallery_id", "crawl_timestamp").groupBy("event_id").agg(F.max_by("raw_gallery_id", F.struct("crawl_timestamp", "raw_gallery_id")).alias("raw_gallery_id"))
+    held = M.gallery_event_links(kept, mart_ev(t)).join(kept.select("raw_gallery_id", "crawl_timestamp"), "raw_gallery_id")
+    return held.groupBy("event_id").agg(F.max_by("raw_gallery_id", F.struct("crawl_timestamp", "raw_gallery_id")).alias("raw_gallery_id"))
 
 
 @query(f"WITH {EQ} SELECT source_domain, event_type, count(*) AS n, count(*) FILTER (is_approved) AS approved, count(*) FILTER (is_hidden) AS hidden, round(avg(quality_score), 2) AS avg_score FROM es GROUP BY 1, 2")
@@ -779,13 +854,6 @@ def best_domain_for_artist(t):
     return S.best_domain(mart(t).where("artist_name is not null").groupBy("artist_name", "source_domain").agg(F.max("crawl_timestamp").alias("last_seen")))
 
 
-@query(f"""WITH {DUP} SELECT source_domain, count(*) AS records, round(count(*) FILTER (artist_name IS NULL) / count(*), 4) AS missing_rate, round(count(*) FILTER (c > 1) / count(*), 4) AS duplicate_rate, round(avg(quality_score), 2) AS avg_score,
- count(DISTINCT crawl_run_id) AS runs, max(crawl_timestamp) AS last_success FROM dup GROUP BY 1""")
-def mart_sources(t):
-    m = mart(t)
-    return S.source_summary(m, M.duplicate_groups(m))
-
-
 @query(f"WITH {REVIEWED} SELECT raw_artwork_id FROM rec WHERE review_status = 'approved' AND artist_name IS NOT NULL AND source_url IS NOT NULL AND source_record_id NOT IN (SELECT entity_id || '-1' FROM a_flags WHERE action = 'open') ")
 def public_visibility(t):
     rec = records(t).where("source_record_id is not null")
@@ -815,10 +883,9 @@ def review_queue_order(t):
     return O.paged(g, [F.desc("is_duplicate_candidate"), F.asc("quality_score"), F.desc("crawl_timestamp"), F.asc("raw_artwork_id")]).select("raw_artwork_id", F.col("is_duplicate_candidate").alias("duplicate"), "quality_score")
 
 
-@query(f"WITH {MART} SELECT raw_artwork_id FROM mart WHERE raw_artwork_id NOT IN (SELECT artwork_id FROM a_reviews) ORDER BY created_at DESC, raw_artwork_id LIMIT 100")
+@query(f"WITH {MART} SELECT raw_artwork_id FROM mart WHERE artwork_id NOT IN (SELECT artwork_id FROM a_reviews) ORDER BY created_at DESC, raw_artwork_id LIMIT 100")
 def seed_review_queue(t):
-    reviewed = t["a_reviews"].select(F.col("artwork_id").alias("raw_artwork_id"))
-    return O.paged(mart(t).join(reviewed, "raw_artwork_id", "left_anti"), [F.desc("created_at"), F.asc("raw_artwork_id")], limit=100).select("raw_artwork_id")
+    return O.paged(mart(t).join(t["a_reviews"].select("artwork_id"), "artwork_id", "left_anti"), [F.desc("created_at"), F.asc("raw_artwork_id")], limit=100).select("raw_artwork_id")
 
 
 @query(f"""WITH {EVENTS}, n AS (SELECT l.artist_id, mev.event_id, row_number() OVER (PARTITION BY l.artist_id ORDER BY mev.start_date DESC NULLS LAST, mev.event_id) AS k FROM links l JOIN mev USING (event_id))

@@ -8,6 +8,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 
 from atelier.plans import queries as Q
+from atelier.plans import record_queries  # noqa: F401  (registers its queries)
 from atelier.sources.adapters import Tables, oracle
 
 

@@ -1,6 +1,7 @@
 """Record tables as projections of the driver's tables, in SQL that both engines run as it stands.
 
-Only an ordered list differs: `@LIST(value; separator; order)` becomes each engine's own aggregate.
+Only an ordered list differs: `@LIST(value; separator; order)` becomes each engine's own aggregate. `@UUID(value)` is short for the
+value's MD5 in the form of a UUID.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ FROM lineitem JOIN part p ON l_partkey = p_partkey JOIN supplier s ON l_suppkey
 SELECT cast(o_orderkey AS string) AS id, lower(n_name) || '.example' AS source_domain, 'Source ' || n_name AS source_name, 'https://' || lower(n_name) || '.example/event/' || cast(o_orderkey AS string) AS source_url,
   cast(o_orderkey AS string) AS source_record_id, CASE WHEN o_orderkey % 3 = 0 THEN 'exhibition' ELSE NULL END AS event_type,
   CASE o_orderkey % 6 WHEN 0 THEN '  Exhibition of ' || c_mktsegment WHEN 1 THEN 'ARTIST TALK' WHEN 2 THEN 'Workshop with  friends' WHEN 3 THEN 'Grand opening!!' WHEN 4 THEN NULL ELSE 'Evening of ' || o_orderpriority END AS event_title,
-  CASE WHEN o_orderkey % 29 = 0 THEN ' ' ELSE c_name END AS venue_name, CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE cast(c_custkey AS string) || ' Main Road' END AS venue_address,
+  CASE WHEN o_orderkey % 29 = 0 THEN ' ' WHEN o_orderkey % 31 = 0 THEN 'Opening night at ' || c_name || ' | Customer Art Exhibition Listings' WHEN o_orderkey % 37 = 0 THEN 'List your gallery ' || o_orderpriority WHEN o_orderkey % 41 = 0 THEN 'Home' WHEN o_orderkey % 43 = 0 THEN 'ab' ELSE c_name END AS venue_name, CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE cast(c_custkey AS string) || ' Main Road' END AS venue_address,
   n_name AS city, r_name AS country, cast(o_orderdate AS date) AS start_date,
   CASE WHEN o_orderkey % 23 = 0 THEN cast(cast(o_orderdate AS date) - INTERVAL '1' DAY AS date) WHEN o_orderkey % 5 = 0 THEN NULL ELSE cast(cast(o_orderdate AS date) + INTERVAL '30' DAY AS date) END AS end_date,
   m.mentions AS description, CASE WHEN o_orderkey % 4 = 1 THEN NULL ELSE 'https://img.example/e' || cast(o_orderkey AS string) || '.jpg' END AS image_url,
@@ -52,10 +53,10 @@ SELECT 'g' || cast(c_custkey AS string) || '-' || cast(v AS string) AS id, lower
   CASE c_custkey % 8 WHEN 2 THEN 'http://www.instagram.com/Listing/' WHEN 4 THEN 'https://instagram.com/G' || cast(c_custkey AS string) ELSE NULL END AS instagram_url,
   CASE WHEN c_custkey % 10 = 0 THEN 'https://www.facebook.com/g' || cast(c_custkey AS string) ELSE NULL END AS facebook_url,
   CASE WHEN v = 1 THEN timestamp '2024-02-01 00:00:00' ELSE timestamp '2024-01-01 00:00:00' END AS crawl_timestamp, timestamp '2024-01-01 00:00:00' AS created_at
-FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey CROSS JOIN (SELECT 0 AS v UNION ALL SELECT 1 AS v) versions WHERE c_custkey % 2 = 0
+FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey CROSS JOIN (SELECT 0 AS v UNION ALL SELECT 1 AS v) versions WHERE c_acctbal > 0
 """,
     "a_reviews": """
-SELECT 'r' || cast(doc_id AS string) AS id, cast(doc_id - doc_id % 3 AS string) || '-1' AS artwork_id, CASE WHEN quality = 1 THEN 'approved' WHEN toxic = 1 THEN 'rejected' ELSE 'pending' END AS review_status,
+SELECT 'r' || cast(doc_id AS string) AS id, @UUID(cast(doc_id - doc_id % 3 AS string) || '-1') AS artwork_id, CASE WHEN quality = 1 THEN 'approved' WHEN toxic = 1 THEN 'rejected' ELSE 'pending' END AS review_status,
   CASE WHEN doc_id % 4 = 0 THEN NULL ELSE timestamp '2024-03-01 00:00:00' + doc_id % 50 * INTERVAL '1' DAY END AS reviewed_at, timestamp '2024-02-01 00:00:00' AS created_at FROM labels
 """,
     "a_event_overrides": """
@@ -70,22 +71,84 @@ SELECT 'f' || cast(event_id AS string) AS id, 'artist' AS entity_type, cast(user
 SELECT cast(event_id AS string) AS id, cast(user_id AS string) AS event_id, CASE WHEN event_id % 3 = 0 THEN NULL ELSE event_id % 2 = 0 END AS is_hidden,
   CASE WHEN event_id % 5 = 0 THEN '' WHEN event_id % 5 = 1 THEN NULL ELSE 'T' || cast(event_id % 7 AS string) END AS canonical_event_title, ts AS decided_at FROM events
 """,
-    "a_before": "SELECT doc_id, source AS source_domain, 'rec-' || cast(doc_id - doc_id % 2 AS string) AS source_record_id, lang AS artist_name, substr(text, 1, 40) AS artwork_title, substr(text, 1, 200) AS description, n_chars FROM documents",
+    "a_before": """
+SELECT doc_id, source AS source_domain, CASE WHEN doc_id % 17 = 0 THEN NULL ELSE 'rec-' || cast(doc_id - doc_id % 2 AS string) END AS source_record_id, 'https://' || source || '/' || cast(doc_id AS string) AS source_url, lang AS artist_name,
+  lang || ' ' || source AS artwork_title, text AS description, n_chars FROM documents
+""",
     "a_after": """
-SELECT doc_id, source AS source_domain, 'rec-' || cast(doc_id - doc_id % 2 AS string) AS source_record_id, CASE WHEN doc_id % 7 = 0 THEN lang || ' selected works' WHEN doc_id % 11 = 0 THEN NULL ELSE lang END AS artist_name,
-  CASE WHEN doc_id % 5 = 0 THEN NULL ELSE substr(text, 1, 40) END AS artwork_title, CASE WHEN doc_id % 9 = 0 THEN NULL ELSE substr(text, 1, 260) END AS description, n_chars FROM documents WHERE doc_id % 13 <> 0
+SELECT doc_id, source AS source_domain, CASE WHEN doc_id % 17 = 0 OR doc_id % 19 = 0 THEN NULL ELSE 'rec-' || cast(doc_id - doc_id % 2 AS string) END AS source_record_id, 'https://' || source || '/' || cast(doc_id AS string) AS source_url,
+  CASE WHEN doc_id % 7 = 0 THEN lang || ' selected works' WHEN doc_id % 11 = 0 THEN NULL WHEN doc_id % 12 = 0 THEN lang || ': ' || source WHEN doc_id % 15 = 0 THEN lang || ' ' || source || ' ' || md5(text) || md5(source) ELSE lang END AS artist_name,
+  CASE WHEN doc_id % 5 = 0 THEN NULL ELSE lang || ' ' || source END AS artwork_title, CASE WHEN doc_id % 9 = 0 THEN NULL WHEN doc_id % 4 = 0 THEN text || ' and more' ELSE text END AS description, n_chars
+FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id AND l.toxic = 1)
+""",
+    "a_sources": """
+SELECT cast(n_nationkey AS string) AS id, '  Source  ' || n_name AS source_name, lower(n_name) || '.example' AS source_domain, 'https://www.' || lower(n_name) || '.example' AS base_url,
+  CASE WHEN n_regionkey = 1 THEN '' WHEN n_regionkey = 2 THEN 'museum' ELSE 'gallery' END AS source_type, CASE WHEN n_regionkey = 3 THEN 'high' ELSE 'low' END AS risk_level, n_regionkey <> 4 AS is_active FROM nation
+""",
+    "a_runs": """
+SELECT 'run-' || cast(c_nationkey AS string) || '-' || cast(year(o_orderdate) AS string) || '-' || cast(month(o_orderdate) AS string) AS id, cast(c_nationkey AS string) AS source_id, ' spider ' || cast(c_nationkey AS string) AS spider_name,
+  CASE WHEN count(*) FILTER (WHERE o_orderstatus = 'P') > 0 THEN 'failed' ELSE 'success' END AS run_status, min(o_orderdate) AS started_at, max(o_orderdate) AS finished_at, count(*) AS records_found,
+  count(*) FILTER (WHERE o_orderstatus = 'F') AS records_inserted, count(*) FILTER (WHERE o_orderstatus = 'O') AS records_updated, count(*) FILTER (WHERE o_orderstatus = 'P') AS records_failed
+FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_nationkey, year(o_orderdate), month(o_orderdate)
+""",
+    "a_errors": """
+SELECT 'e' || cast(l_orderkey AS string) || '-' || cast(l_linenumber AS string) AS id, cast(s_nationkey AS string) AS source_id, CASE WHEN l_tax > 0.04 THEN 'timeout' ELSE ' http ' END AS error_type, '  ' || l_linestatus || '  ' AS error_message,
+  CASE WHEN l_tax > 0.04 THEN NULL ELSE 404 END AS http_status, l_shipdate AS created_at FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE l_returnflag = 'R'
+""",
+    "a_event_artists": """
+SELECT cast(l_orderkey AS string) || '-' || cast(l_linenumber AS string) AS id, cast(l_orderkey AS string) AS event_id, '  ' || s_name || '  Artist' AS artist_name, lower(s_name) AS artist_name_normalized, CASE WHEN l_linestatus = 'O' THEN '' ELSE 'https://x.example/' || s_name END AS artist_profile_url, 'parsed ' AS match_type
+FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
+""",
+    "a_approvals": """
+SELECT 'p' || cast(doc_id AS string) AS id, @UUID(cast(doc_id - doc_id % 3 AS string) || '-1') AS artwork_id, doc_id % 7 <> 0 AS public_visibility, timestamp '2024-03-01 00:00:00' + doc_id % 50 * INTERVAL '1' DAY AS approved_at, 'reviewer' AS approved_by
+FROM labels WHERE quality = 1
+""",
+    "a_rejections": """
+SELECT 'x' || cast(doc_id AS string) AS id, @UUID(cast(doc_id - doc_id % 3 AS string) || '-1') AS artwork_id, CASE WHEN toxic = 1 THEN 'toxic' ELSE 'poor' END AS rejection_reason, timestamp '2024-03-01 00:00:00' + doc_id % 50 * INTERVAL '1' DAY AS rejected_at
+FROM labels WHERE quality = 0
+""",
+    "a_artist_overrides": """
+SELECT DISTINCT s_name || ' Studio' AS artist_name, lower(n_name) || '.example' AS source_domain, s_acctbal < 0 AS is_hidden, CASE WHEN s_acctbal > 5000 THEN 'The ' || s_name ELSE NULL END AS canonical_artist_name, 'checked' AS reason
+FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_acctbal < 0 OR s_acctbal > 5000
+""",
+    "a_artist_decisions": """
+SELECT 'd' || cast(event_id AS string) AS id, s_name || ' Studio' AS artist_name, event_type = 'error' AS is_hidden, CASE WHEN event_type = 'purchase' THEN '  ' WHEN event_type = 'click' THEN ' New ' || s_name || ' ' ELSE NULL END AS canonical_artist_name, event_type AS reason, ts AS decided_at
+FROM events JOIN supplier ON user_id % 40 = s_suppkey
+""",
+    "a_bio_edits": """
+SELECT 'b' || cast(doc_id AS string) AS id, s_name || ' Studio' AS artist_name, lower(n_name) || '.example' AS source_domain, CASE WHEN doc_id % 10 = 0 THEN '   ' ELSE '  ' || text || ' ' END AS edited_bio, timestamp '2024-01-01 00:00:00' + n_chars * INTERVAL '1' MINUTE AS created_at
+FROM documents JOIN supplier ON doc_id % 60 = s_suppkey JOIN nation ON s_nationkey = n_nationkey
+""",
+    "a_gallery_overrides": """
+SELECT @UUID(lower(c_name) || '|' || lower(n_name) || '|' || lower(r_name) || '|' || lower(n_name) || '.example') AS gallery_id, c_mktsegment = 'BUILDING' AS is_hidden, c_mktsegment = 'MACHINERY' AS is_approved, CASE WHEN c_acctbal > 5000 THEN 'Gallery ' || c_name ELSE NULL END AS canonical_gallery_name, CASE WHEN c_acctbal > 8000 THEN 'museum' ELSE NULL END AS canonical_gallery_type
+FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')
+""",
+    "a_gallery_decisions": """
+SELECT cast(o_orderkey AS string) AS id, @UUID(lower(c_name) || '|' || lower(n_name) || '|' || lower(r_name) || '|' || CASE WHEN o_orderpriority = '5-LOW' THEN 'nowhere' ELSE lower(n_name) END || '.example') AS gallery_id, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderstatus = 'F' END AS is_hidden,
+  CASE WHEN o_orderstatus = 'O' THEN NULL WHEN o_totalprice > 200000 THEN '' ELSE 'Name ' || o_orderpriority END AS canonical_gallery_name, CASE WHEN o_orderstatus = 'P' THEN 'fair' ELSE NULL END AS canonical_gallery_type, o_orderdate AS decided_at
+FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+""",
+    "a_review_decisions": """
+SELECT cast(o_orderkey AS string) AS id, @UUID(cast(o_orderkey AS string) || '-1') AS artwork_id, CASE WHEN o_orderstatus = 'F' THEN 'approve' ELSE 'reject' END AS action, o_totalprice > 100000 AS public_visibility, CASE WHEN o_orderstatus = 'P' THEN 'unclear' ELSE NULL END AS rejection_reason, o_orderdate AS decided_at FROM orders
 """,
 }
 
 _LIST = re.compile(r"@LIST\((.*?); (.*?); (.*?)\)")
 
 
+_UUID = re.compile(r"@UUID\(((?:[^()]|\((?:[^()]|\([^()]*\))*\))*)\)")
+
+
+def _plain(name: str) -> str:
+    return _UUID.sub(lambda m: " || '-' || ".join(f"substr(md5({m[1]}), {at}, {n})" for at, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))), SQL[name])
+
+
 def spark_sql(name: str) -> str:
-    return _LIST.sub(r"listagg(\1, \2) WITHIN GROUP (ORDER BY \3)", SQL[name])
+    return _LIST.sub(r"listagg(\1, \2) WITHIN GROUP (ORDER BY \3)", _plain(name))
 
 
 def duck_sql(name: str) -> str:
-    return _LIST.sub(r"string_agg(\1, \2 ORDER BY \3)", SQL[name])
+    return _LIST.sub(r"string_agg(\1, \2 ORDER BY \3)", _plain(name))
 
 
 class Tables:
