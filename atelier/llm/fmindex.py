@@ -12,7 +12,7 @@ import numpy as np
 
 SAMPLE = 8
 #: Steps, as powers of two, in which the rows that share a prefix are looked for.
-_STEPS = (9, 6, 3, 0)
+_STEPS = (12, 9, 6, 3, 0)
 
 
 class Bits:
@@ -97,17 +97,18 @@ class FMIndex:
 
     def widened(self, lo: np.ndarray, hi: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All rows that share `length` symbols with the rows lo to hi (exclusive)."""
-        lo, hi = lo.copy(), hi.copy()
+        lo, hi = np.where(length > 0, lo, 0), np.where(length > 0, hi, self.n)
+        some = np.flatnonzero(length)
         for j in _STEPS:
             least, step = self.shared[j], 1 << j
-            move = np.arange(len(lo))
+            move = some
             while len(move):  # the step rows up to lo share enough with the one before each
                 at = lo[move] - step + 1
                 fits = (at > 0) & (at < len(least))
                 move = move[fits]
                 move = move[least[at[fits]] >= length[move]]
                 lo[move] -= step
-            move = np.arange(len(hi))
+            move = some
             while len(move):
                 move = move[hi[move] < len(least)]
                 move = move[(least[hi[move]] >= length[move]) & (hi[move] + step <= self.n)]
