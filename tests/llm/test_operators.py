@@ -627,13 +627,79 @@ def test_main_text_of_pages(spark):
         assert r.text == " ".join(html.unescape(re.sub(r"<[^>]*>", " ", inner)).split()) and r.n_chars == len(r.text)
 
 
+BSD = """Copyright (c) 2011, A. Person
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice,
+   this list of conditions and the following disclaimer.
+"""
+GPL = """# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation, either version 3 of the License, or
+# (at your option) any later version.
+#
+# You should have received a copy of the GNU General Public License
+# along with this program.
+"""
+NOTICES = [  # text, families that are confirmed; the last ones are licences that the model does not know, and other uses of the words
+    ("Licensed under the Apache License, Version 2.0.", "apache-2.0"),
+    ("x\nReleased under the MIT License.\ny", "mit"),
+    ("foo This work is licensed under the GNU General Public License, version 3.", "gpl"),
+    ("Licensed under CC BY-NC 4.0.", "cc-by-nc"),
+    ("Licensed under CC BY-SA 4.0.", "cc-by-sa"),
+    (BSD, "bsd"),
+    (GPL, "gpl"),
+    ("MIT License", "mit"),
+    ("The MIT License (MIT)\n\nCopyright (c) 2015 A B", "mit"),
+    ("modify it under the terms of the GNU Lesser General Public\nLicense as published by the Free Software Foundation", "lgpl"),
+    ("Some prose that goes on.\nSPDX-License-Identifier: MPL-2.0\nmore", "mpl-2.0"),
+    ("He got a license to drive", ""),
+    ("This Agreement is governed by the Eclipse Public License version 1.0 of the Foundation.", ""),
+    ("This software is provided 'as-is', without any express or implied\nwarranty. In no event will the authors be held liable.", ""),
+    ("Boost Software License - Version 1.0 - August 17th, 2003", ""),
+    ("The Artistic License 2.0 applies to this package.", ""),
+    (None, ""),
+    ("", ""),
+    ("the license of " + "x " * 3000, ""),
+    ("#" * 100_000 + "\nlicense", ""),
+    ("." * 100_000 + " permission", ""),
+]
+
+
 def test_licences(spark, odd):
     model = licences.train(licences.corpus_lines(table(spark, "documents")))
-    cases = [("Licensed under the Apache License, Version 2.0.", "apache-2.0"), ("x\nReleased under the MIT License.\ny", "mit"), ("He got a license to drive", ""), ("foo This work is licensed under the GNU General Public License, version 3.", "gpl"), ("Licensed under CC BY-NC 4.0.", "cc-by-nc"), ("Licensed under CC BY-SA 4.0.", "cc-by-sa"), (None, ""), ("", ""), ("the license of " + "x " * 3000, "")]
-    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id long, text string")
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(NOTICES)], "doc_id long, text string")
     got = licences.scan(df, model)
-    found = {r.doc_id: ",".join(x.family for x in r.licences if x.confirmed) for r in got.collect()}
-    assert found == {i: f for i, (_, f) in enumerate(cases)}
+    found = {r.doc_id: ",".join(sorted({x.family for x in r.licences if x.confirmed})) for r in got.collect()}
+    assert found == {i: f for i, (_, f) in enumerate(NOTICES)}
     assert not re.search("Python|Arrow|Pandas", got._jdf.queryExecution().executedPlan().toString())
     assert licences.scan(odd[0], model).count() == len(odd[1]) and licences.scan(odd[0].limit(0), model).count() == 0
     assert licences.train([]).families[0] == "unknown"
+
+
+def test_licences_of_whole_documents(spark):
+    """By brute force: a paragraph is confirmed for a family if the model, with dictionaries, says so and a template is in it."""
+    docs = table(spark, "documents")
+    model = licences.train(licences.corpus_lines(docs))
+    end = re.compile("\n[^\\w\n]*\n|(?<=[\\w)\"'][.!?;:])[ \t\r\"')]*\n")
+    for r in licences.scan(docs, model).collect():
+        want = []
+        for i, p in enumerate(end.split(r.text or "")):
+            w = re.findall("[a-z0-9]+", p.lower())
+            pairs = {f"{a} {b}" for a, b in pairwise(w)}
+            if not any(c in p.lower() or c.replace("-", " ") in p.lower() for c in licences.CUES):
+                continue
+            z = np.array(model.bias)
+            for g in set(w) | pairs:
+                z = z + np.array(model.weights.get(g, 0.0))
+            if k := int(z.argmax()):
+                family = model.families[k]
+                near = [(len(t & pairs), len(t)) for t in ({g for g in licences.grams(x) if " " in g} for x in licences.TEMPLATES[family])]
+                similar = max(max(n / size, n / len(pairs) if len(pairs) >= licences.PART else 0) for n, size in near)
+                if np.exp(z - z.max()).sum() <= 2 and similar >= licences.SIMILAR:
+                    want.append((i, family))
+        assert [(x.paragraph, x.family) for x in r.licences if x.confirmed] == want
+        for phrase, family in (("Licensed under the Apache License, Version 2.0.", "apache-2.0"), ("Released under the MIT License.", "mit"), ("Licensed under CC BY-NC 4.0.", "cc-by-nc")):
+            assert (phrase in (r.text or "")) <= (family in {f for _, f in want})
