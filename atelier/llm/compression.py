@@ -1,7 +1,8 @@
 """Quality by compression: zstandard dictionaries of good and of bad text.
 
-A text is compressed with either dictionary; the difference of the sizes over the text's length, with the mean
-compressed share and the length beside it, goes through a logistic calibration. Dictionaries are built from labelled
+A text is compressed with dictionaries of either kind, a pair for each of a few dictionary sizes: small ones hold what all texts of
+a kind share, large ones what some share. The differences of the sizes over the text's length go through a logistic
+calibration, with the mean compressed share and the length beside them. Dictionaries are built from labelled
 rows of folds 0 and 1, the calibration from fold 3, fold being crc32(doc_id as text) mod 4; fold 2 is never learnt from.
 """
 
@@ -23,7 +24,7 @@ from atelier.llm.shared import table
 SAMPLE_ROWS = 1500
 SAMPLE_BYTES = 1 << 20
 CALIBRATION_ROWS = 4000
-DICTIONARY_BYTES = 1 << 16
+DICTIONARY_BYTES = (1 << 11, 1 << 13, 1 << 15)
 LEVEL = 3
 THRESHOLD = 0.7
 HELD_OUT = 2
@@ -33,12 +34,12 @@ def fold(doc_id: str = "doc_id") -> F.Column:
     return F.pmod(F.crc32(F.col(doc_id).cast("string")), F.lit(4))
 
 
-def dictionary(texts: list[bytes]) -> bytes:
+def dictionary(texts: list[bytes], size: int) -> bytes:
     """A trained dictionary, or plain text where there are too few samples to train one."""
     try:
-        return zstd.train_dictionary(DICTIONARY_BYTES, texts, level=LEVEL).as_bytes()
+        return zstd.train_dictionary(size, texts, level=LEVEL).as_bytes()
     except zstd.ZstdError:
-        return b"\n".join(texts)[-DICTIONARY_BYTES:]
+        return b"\n".join(texts)[-size:]
 
 
 def _compressor(data: bytes) -> zstd.ZstdCompressor:
@@ -50,37 +51,40 @@ def _compressor(data: bytes) -> zstd.ZstdCompressor:
     return zstd.ZstdCompressor(dict_data=made, level=LEVEL, **options)
 
 
-def sizes(docs: DataFrame, bad: bytes, good: bytes) -> DataFrame:
-    """(doc_id, n, bad, good): bytes of each whole text, and compressed with either dictionary."""
+def sizes(docs: DataFrame, bad: list[bytes], good: list[bytes]) -> DataFrame:
+    """(doc_id, n, bad_<i>, good_<i>): bytes of each whole text, and compressed with each dictionary."""
+    names = [f"{kind}_{i}" for i in range(len(bad)) for kind in ("bad", "good")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_bad, by_good = _compressor(bad), _compressor(good)
+        by = [_compressor(x) for pair in zip(bad, good, strict=True) for x in pair]
         for batch in batches:
             data, offsets = W.raw(batch.column("text"))
             view, edges = memoryview(data), offsets.tolist()
             texts = [view[a:b] for a, b in zip(edges, edges[1:], strict=False)]
-            counts = [pa.array(x, pa.int64()) for x in (np.diff(offsets), [len(by_bad.compress(t)) for t in texts], [len(by_good.compress(t)) for t in texts])]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *counts], names=["doc_id", "n", "bad", "good"])
+            counts = [pa.array(x, pa.int64()) for x in (np.diff(offsets), *([len(c.compress(t)) for t in texts] for c in by))]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *counts], names=["doc_id", "n", *names])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n long, bad long, good long")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, ", ".join(f"{c} long" for c in ("doc_id", "n", *names)))
 
 
 @dataclass
 class Model:
-    bad: bytes = b""
-    good: bytes = b""
+    bad: list[bytes] = field(default_factory=list)
+    good: list[bytes] = field(default_factory=list)
     weights: list[float] = field(default_factory=list)
 
     def score(self) -> F.Column:
         """Probability that a row of sizes() is good; 0.5 if nothing was learnt."""
-        return 1 / (1 + F.exp(-sum((F.lit(w) * x for w, x in zip(self.weights, features(), strict=False)), F.lit(0.0))))
+        return 1 / (1 + F.exp(-sum((F.lit(w) * x for w, x in zip(self.weights, features(len(self.bad)), strict=False)), F.lit(0.0))))
 
 
-def features() -> list:
-    """1, the normalised difference, the same by length, the mean compressed share (and squared), and the log length."""
+def features(pairs: int) -> list:
+    """1, the normalised difference of each pair, the same by length, the middle pair's mean compressed share (and squared), and the log length."""
     n = F.greatest(F.col("n"), F.lit(1))
-    d, share, log = (F.col("bad") - F.col("good")) / n, F.least((F.col("bad") + F.col("good")) / (2 * n), F.lit(2.0)), F.log1p(n.cast("double"))
-    return [F.lit(1.0), d, d * log, share, share * share, log]
+    log = F.log1p(n.cast("double"))
+    d = [(F.col(f"bad_{i}") - F.col(f"good_{i}")) / n for i in range(pairs)]
+    share = F.least((F.col(f"bad_{pairs // 2}") + F.col(f"good_{pairs // 2}")) / (2 * n), F.lit(2.0))
+    return [F.lit(1.0), *d, *(x * log for x in d), share, share * share, log]
 
 
 def logistic(x: np.ndarray, y: np.ndarray, *, ridge: float = 1e-3, steps: int = 40) -> list[float]:
@@ -105,10 +109,10 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     ids = first(for_words.where("quality = 0"), SAMPLE_ROWS).unionByName(first(for_words.where("quality = 1"), SAMPLE_ROWS))
     texts = docs.select(F.col("doc_id").cast("long"), "text").where(F.octet_length("text").between(1, SAMPLE_BYTES))
     got = texts.join(F.broadcast(ids), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "text").select("quality", "text").collect()
-    bad, good = (dictionary([r["text"].encode() for r in got if r["quality"] == q]) for q in (0, 1))
+    bad, good = ([dictionary([r["text"].encode() for r in got if r["quality"] == q], size) for size in DICTIONARY_BYTES] for q in (0, 1))
     chosen = first(known.where("fold = 3"), CALIBRATION_ROWS)
     rows = sizes(docs.join(F.broadcast(chosen.select("doc_id")), "doc_id", "left_semi"), bad, good).join(F.broadcast(chosen), "doc_id")
-    rows = rows.select("quality", *(x.alias(f"x{i}") for i, x in enumerate(features()))).toPandas()
+    rows = rows.select("quality", *(x.alias(f"x{i}") for i, x in enumerate(features(len(bad))))).toPandas()
     y = rows.pop("quality").to_numpy(float)
     if not len(y) or y.min() == y.max():
         return Model(bad, good, [])

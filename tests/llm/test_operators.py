@@ -159,7 +159,17 @@ def test_quality_classifier(spark, odd):
     got = {r.doc_id: r for r in compression.quality(docs, model).collect()}
     assert all(r.held_out == (zlib.crc32(str(i).encode()) % 4 == 2) and 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.7) for i, r in got.items())
     held = [(got[r.doc_id].predicted, r.quality) for r in labels.collect() if got[r.doc_id].held_out]
-    assert sum(p == q for p, q in held) / len(held) > 0.95
+    assert sum(p == q for p, q in held) / len(held) > 0.98
+    # by brute force: the sizes under each dictionary, and the logistic function
+    pairs = [[compression._compressor(x) for x in pair] for pair in zip(model.bad, model.good, strict=True)]
+    assert len(pairs) == 3
+    for r in docs.limit(300).collect():
+        t = (r.text or "").encode()
+        n = max(1, len(t))
+        sizes = [[len(c.compress(t)) for c in pair] for pair in pairs]
+        d, share = [(b - g) / n for b, g in sizes], min(sum(sizes[1]) / (2 * n), 2.0)
+        x = [1.0, *d, *(v * np.log1p(n) for v in d), share, share * share, np.log1p(n)]
+        assert abs(got[r.doc_id].score - 1 / (1 + np.exp(-np.dot(model.weights, x)))) < 1e-9
     assert compression.quality(odd[0], model).count() == len(odd[1])
     assert {r.score for r in compression.quality(odd[0], compression.fit(odd[0], labels.limit(0))).collect()} == {0.5}
 
