@@ -10,22 +10,22 @@ from atelier.llm.shared import table, written
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejected documents go: those that fail the base rules, and those outside their language's perplexity band."""
+    """Rejected documents go: those that fail the base rules (null and empty texts do), and those outside their language's perplexity band."""
     return perplexity.filtered(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near-duplicates the document of the least doc_id stays."""
+    """Of each class of near-duplicates the document of the least doc_id stays. Rows without doc_id stay, and rows that repeat a kept doc_id."""
     return neardup.deduplicated(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which a window of a benchmark item occurs go."""
+    """Documents in which a window of a benchmark item occurs go. Null and empty texts stay; an empty benchmark removes nothing."""
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Spans of personal data are replaced by their kind, and n_chars follows."""
+    """Spans of personal data are replaced by their kind, and n_chars follows. Null texts stay null."""
     out = privacy.redacted(docs, privacy.train(docs))
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 
