@@ -123,6 +123,23 @@ def url_canonicalize(c: Column, *, mode: str = "plain") -> Column:
     return F.when(scheme != "", F.concat(scheme, F.lit("://"), host, path, F.when(query == "", "").otherwise(F.concat(F.lit("?"), query))))
 
 
+#: Classes of URLs by their path, in order.
+URL_CLASSES = [
+    ("artist_profile", r"/artists?/[a-z-]+/?$"), ("event_detail", r"/(?:exhibitions|events?)/[^/?]+"), ("artwork_detail", r"/work/[0-9]+"), ("collection", r"/collections?/"),
+    ("directory_profile", r"/directory/"), ("listing", r"[?&]page=[0-9]+|/(?:list|listing|show)"),
+]
+
+
+def url_class(c: Column) -> Column:
+    """struct of class and reject_reason (null for a valid URL): at most 200 characters, no markup or blanks, no @, one host."""
+    reason = (
+        F.when(c.isNull() | (c == ""), "empty").when(F.length(c) > 200, "too_long").when(c.rlike(r"[<>\"\s]"), "markup").when(F.contains(c, F.lit("@")), "address")
+        .when(F.size(F.regexp_extract_all(c, F.lit("https?://"), F.lit(0))) != 1, "not_one_host")
+    )
+    kind = F.coalesce(F.when(reason.isNotNull(), F.lit("invalid")), *(F.when(c.rlike(p), F.lit(k)) for k, p in URL_CLASSES), F.lit("other"))
+    return F.struct(kind.alias("class"), reason.alias("reject_reason"))
+
+
 def page_number(c: Column) -> Column:
     return F.coalesce(F.nullif(F.regexp_extract(c, r"[?&]page=([0-9]{1,9})(?:&|#|$)", 1), F.lit("")).cast("int"), F.lit(1))
 

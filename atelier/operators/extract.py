@@ -126,6 +126,11 @@ def json_ld_artworks(elements: DataFrame) -> DataFrame:
     return json_ld(elements, "VisualArtwork").select("page_id", F.coalesce(get("$.url"), F.col("url")).alias("source_url"), get("$.name").alias("artwork_title"), creator.alias("artist_name"), get("$.dateCreated").alias("artwork_date_text"), get("$.artMedium").alias("medium_text"), get("$.image").alias("image_url"))
 
 
+def json_get(payload: Column, keys: list[str], *, default: str = "[]") -> Column:
+    """The first of the keys' values, as text, that a JSON object has; the default without any."""
+    return F.coalesce(*(F.nullif(F.get_json_object(payload, f"$.{k}"), F.lit("")) for k in keys), F.lit(default))
+
+
 #: Headings that name a section, not a person.
 LABELS = ["about the artist", "artworks", "biography", "exhibitions", "contact", "home", "selected works", "latest work"]
 

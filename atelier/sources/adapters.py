@@ -130,6 +130,26 @@ FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey =
 """,
     "a_review_decisions": """
 SELECT cast(o_orderkey AS string) AS id, @UUID(cast(o_orderkey AS string) || '-1') AS artwork_id, CASE WHEN o_orderstatus = 'F' THEN 'approve' ELSE 'reject' END AS action, o_totalprice > 100000 AS public_visibility, CASE WHEN o_orderstatus = 'P' THEN 'unclear' ELSE NULL END AS rejection_reason, o_orderdate AS decided_at FROM orders
+""",
+    "a_phrases": """
+SELECT id, k, y, n_name, c_name,
+  CASE k % 9 WHEN 0 THEN '£' || a || ',' || b WHEN 1 THEN 'USD ' || a || ',' || b || '.75' WHEN 2 THEN a || ' - ' || c || ' ZAR' WHEN 3 THEN '€' || a || ' to €' || c WHEN 4 THEN 'Price on request' WHEN 5 THEN 'Not for sale' WHEN 6 THEN '¥' || b WHEN 7 THEN 'sold for $' || a ELSE 'ask the gallery' END AS price,
+  CASE k % 7 WHEN 0 THEN a || ' x ' || c || ' cm' WHEN 1 THEN a || ' 1/2 × 8 in' WHEN 2 THEN a || '.5 x 20 x 3 cm' WHEN 3 THEN a || ' cm' WHEN 4 THEN '  ' || c || ' X ' || a || ' CM ' WHEN 5 THEN 'dimensions variable' ELSE a || ' 3/4 x 5 1/4 inches' END AS dims,
+  CASE k % 8 WHEN 0 THEN 'Circa ' || cast(y AS string) WHEN 1 THEN cast(y AS string) || ' – ' || cast(y + 5 AS string) WHEN 2 THEN 'early ' || cast(12 + k % 8 AS string) || 'th century' WHEN 3 THEN 'Mid-' || cast(14 + k % 5 AS string) || 'th Century' WHEN 4 THEN 'ca ' || cast(y AS string) WHEN 5 THEN 'n.d.'
+    WHEN 6 THEN cast(y AS string) || '/' || cast(y + 9 AS string) ELSE 'late ' || cast(4 + k % 15 AS string) || 'th century' END AS dated,
+  'Shown ' || d1 || CASE k % 3 WHEN 0 THEN '  –  ' || d2 WHEN 1 THEN ' - ' || d2 ELSE '' END AS shown,
+  CASE k % 4 WHEN 0 THEN 'Opening reception: ' || d1 || ' at ' || cast(1 + k % 11 AS string) || ':30 pm' WHEN 1 THEN 'opening ' || d1 || ', ' || cast(k % 24 AS string) || ':15' WHEN 2 THEN 'Opening on ' || d1 ELSE 'closing ' || d1 END AS opening,
+  CASE k % 3 WHEN 0 THEN 'Show ' || c_name || ' - Solo Show at ' || n_name || ' Hall in ' || r_name ELSE 'Only a title ' || c_name END AS seo,
+  CASE k % 4 WHEN 0 THEN 'A show. Artists: ' || c_name || ', ' || n_name || ' X' ELSE 'Paintings by Anna Bee and Carl Dee; Jo & ' || r_name || ' Ess' END AS byline,
+  'He was born in ' || CASE WHEN k % 5 = 0 THEN 'spring' ELSE cast(y AS string) END || ' and died in ' || cast(y + 60 AS string) AS life,
+  'Venue: ' || c_name || ' | more' || chr(10) || 'Address : ' || cast(k AS string) || '  Main Road' || chr(10) || 'x' AS labelled,
+  CASE k % 3 WHEN 0 THEN 'Write to INFO@' || replace(lower(n_name), '_', '') || '.example or call +27 21 555 ' || cast(1000 + k % 9000 AS string) ELSE 'No contact ' || r_name END AS contact,
+  'https://www.' || lower(n_name) || '.example/' || CASE k % 4 WHEN 0 THEN 'artists/anna-van-' || lower(split_part('Alpha,Beta,Gamma,Delta', ',', cast(1 + k % 4 AS int))) || '/' WHEN 1 THEN 'show.php?nom=' || lower(split_part('Alpha,Beta,Gamma,Delta', ',', cast(1 + k % 3 AS int))) || '&x=1' WHEN 2 THEN 'exhibitions/Workshop-For-All?utm_source=a#top' ELSE '' END AS url,
+  CASE k % 4 WHEN 0 THEN '{"artists": "' || c_name || '"}' WHEN 1 THEN '{"performers": "' || n_name || '", "artist": "' || c_name || ' B"}' WHEN 2 THEN '{"participants": ""}' ELSE NULL END AS payload
+FROM (SELECT *, cast(o_orderkey AS string) AS id, o_orderkey AS k, 1700 + o_orderkey % 300 AS y, cast(cast(floor(o_totalprice / 1000) AS int) + 1 AS string) AS a, lpad(cast(cast(floor(o_totalprice) AS int) % 1000 AS string), 3, '0') AS b, cast(cast(floor(o_totalprice / 1000) AS int) + 17 AS string) AS c,
+  cast(day(o_orderdate) AS string) || ' ' || split_part('January,February,March,April,May,June,July,August,September,October,November,December', ',', cast(month(o_orderdate) AS int)) || ' ' || cast(year(o_orderdate) AS string) AS d1,
+  cast(1 + day(o_orderdate) % 28 AS string) || ' ' || substr(split_part('January,February,March,April,May,June,July,August,September,October,November,December', ',', cast(month(o_orderdate) AS int)), 1, 3) || ' ' || cast(year(o_orderdate) + 1 AS string) AS d2
+  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey) x
 """,
 }
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -13,14 +12,15 @@ from atelier.operators.tables import upsert_by_key
 
 
 def stream_upsert(stream: DataFrame, target: str, checkpoint: str, *, update_cols: Sequence[str], order: Sequence[Column]) -> StreamingQuery:
-    """Merges each batch into the newest version below target; a version is named by its batch, so a repeated batch writes the same one."""
+    """Merges each batch into the newest version below target; a version is named by its batch, so a repeated batch writes the same one.
+
+    Only the first batch starts from nothing; a later one whose base is missing or can't be read fails, and the stream with it.
+    Versions before the last two are not read again and may be removed.
+    """
     spark = stream.sparkSession
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        try:
-            base = spark.read.schema(batch.schema).parquet(f"{target}/version={batch_id - 1}")
-        except AnalysisException:
-            base = batch.limit(0)
+        base = spark.read.schema(batch.schema).parquet(f"{target}/version={batch_id - 1}") if batch_id else batch.limit(0)
         upsert_by_key(base, batch, update_cols=update_cols, order=order).write.mode("overwrite").parquet(f"{target}/version={batch_id}")
 
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
