@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from atelier.functions import text as X
-from atelier.functions.parse import date_range_parse
+from atelier.functions.parse import date_range_parse, opening_datetime_parse
 from atelier.operators.tables import latest_per_key
 
 _BLOCKS = frozenset("article blockquote body dd div dl dt figcaption footer h1 h2 h3 h4 h5 h6 header li main nav ol p section td th tr ul".split())
@@ -120,10 +120,22 @@ def json_ld(elements: DataFrame, kind: str) -> DataFrame:
 
 
 def json_ld_artworks(elements: DataFrame) -> DataFrame:
-    """Artwork rows of VisualArtwork objects; the creator may be a text, an object or a list."""
+    """Artwork rows of VisualArtwork objects; the creator may be a text, an object or a list. What JSON-LD lacks comes from the page: its image, its heading."""
     get = lambda path: F.nullif(F.trim(F.get_json_object("item", path)), F.lit(""))
-    creator = F.coalesce(get("$.creator.name"), get("$.creator[0].name"), F.when(~get("$.creator").rlike(r"^[\[{]"), get("$.creator")))
-    return json_ld(elements, "VisualArtwork").select("page_id", F.coalesce(get("$.url"), F.col("url")).alias("source_url"), get("$.name").alias("artwork_title"), creator.alias("artist_name"), get("$.dateCreated").alias("artwork_date_text"), get("$.artMedium").alias("medium_text"), get("$.image").alias("image_url"))
+    creator = F.coalesce(get("$.creator.name"), get("$.creator[0].name"), get("$.creator[0]"), F.when(~get("$.creator").rlike(r"^[\[{]"), get("$.creator")))
+    creator = F.when(~creator.startswith("{"), creator)
+    rows = json_ld(elements, "VisualArtwork").join(elements.select("page_id", "headings", "images"), "page_id")
+    image = absolute(F.col("url"), F.coalesce(get("$.image.url"), F.when(~get("$.image").rlike(r"^[\[{]"), get("$.image")), F.get(F.col("images"), F.lit(0))["src"]))
+    place = F.coalesce(get("$.locationCreated.address.addressLocality"), get("$.locationCreated.name"))
+    return rows.select(
+        "page_id", F.coalesce(get("$.url"), F.col("url")).alias("source_url"), F.coalesce(get("$.name"), F.get("headings", F.lit(0))).alias("artwork_title"), creator.alias("artist_name"),
+        get("$.dateCreated").alias("artwork_date_text"), get("$.artMedium").alias("medium_text"), image.alias("image_url"), place.alias("city"), get("$.isPartOf.name").alias("institution_name"),
+    )
+
+
+def json_ld_collections(elements: DataFrame) -> DataFrame:
+    """Distinct (name, city) of the collections that artworks are part of, with how many works each has."""
+    return json_ld_artworks(elements).where("institution_name is not null").groupBy(F.col("institution_name").alias("name"), "city").agg(F.count("*").alias("n_artworks"))
 
 
 def json_get(payload: Column, keys: list[str], *, default: str = "[]") -> Column:
@@ -143,9 +155,12 @@ def artist_name(elements: DataFrame) -> DataFrame:
 
 
 def artist_bio(elements: DataFrame, *, most: int = 3, shortest: int = 80) -> DataFrame:
-    """(page_id, biography, candidates): the first distinct long blocks that are neither contacts nor navigation."""
-    good = F.filter("blocks", lambda b: (F.length(b) >= shortest) & ~X.contains_email(b) & ~F.contains(b, F.lit("|")))
-    return elements.select("page_id", F.nullif(F.array_join(F.slice(F.array_distinct(good), 1, most), "\n\n"), F.lit("")).alias("biography"), F.size(good).alias("candidates"))
+    """(page_id, biography, candidates, fallback_used): the first distinct long blocks that are neither contacts nor navigation; else the longest of the shorter ones."""
+    plain = F.filter("blocks", lambda b: ~X.contains_email(b) & ~F.contains(b, F.lit("|")) & ~F.lower(b).isin(LABELS))
+    good = F.filter(plain, lambda b: F.length(b) >= shortest)
+    first = F.array_join(F.slice(F.array_distinct(good), 1, most), "\n\n")
+    longest = F.array_max(F.transform(F.filter(plain, lambda b: F.length(b) >= shortest // 2), lambda b: F.struct(F.length(b).alias("n"), b.alias("b"))))["b"]
+    return elements.select("page_id", F.coalesce(F.nullif(first, F.lit("")), longest).alias("biography"), F.size(good).alias("candidates"), ((F.size(good) == 0) & longest.isNotNull()).alias("fallback_used"))
 
 
 NOT_ARTWORK = "logo|icon|banner|avatar|sprite|placeholder|spacer|pixel"
@@ -170,3 +185,37 @@ def events(elements: DataFrame) -> DataFrame:
 
 def extraction_stats(rows: DataFrame, reason: Column) -> DataFrame:
     return rows.groupBy(reason.alias("reason")).agg(F.count("*").alias("n"))
+
+
+def event_page(elements: DataFrame, *, cities: list[str]) -> DataFrame:
+    """One row a page of an event: title, type, venue, address, city, dates, opening, image, artists (name, profile_url), contact, record id."""
+    text = F.array_join("blocks", "\n")
+    title = F.coalesce(F.try_element_at(F.filter("headings", lambda h: ~F.lower(h).isin(LABELS)), F.lit(1)), F.col("title"))
+    dated = F.array_join(F.filter("blocks", lambda b: ~F.lower(b).rlike("opening|closing")), "\n")
+    meta = F.try_element_at(F.filter("meta", lambda m: m["name"] == "og:image"), F.lit(1))["content"]
+    profiles = F.transform(F.filter("links", lambda x: x["href"].rlike("/artists?/[^/?#]")), lambda x: F.struct(X.clean_text(x["text"]).alias("name"), x["href"].alias("href")))
+    e = elements.withColumns({"_text": text, "_title": title, "_d": date_range_parse(dated), "_profiles": profiles, "description": F.array_join(F.slice("blocks", 1, 8), "\n")})
+    named = F.array_distinct(F.concat(F.coalesce(X.split_artist_names(X.label_value(F.col("_text"), ["artists?", "featuring"])), F.expr("cast(array() as array<string>)")), F.filter(F.transform("_profiles", lambda p: p["name"]), lambda n: n.isNotNull())))
+    url = lambda n: F.try_element_at(F.filter("_profiles", lambda p: p["name"] == n), F.lit(1))["href"]
+    e = e.withColumn("artists", F.transform(named, lambda n: F.struct(n.alias("name"), absolute(F.col("url"), url(n)).alias("profile_url"))))
+    domain = F.regexp_replace(F.regexp_extract("url", "^[a-z]+://([^/?#]*)", 1), r"^www\.", "")
+    return e.select(
+        "page_id", F.col("url").alias("source_url"), domain.alias("source_domain"), X.source_record_id("event", domain, F.col("url"), F.col("_title")).alias("source_record_id"), F.col("_title").alias("event_title"),
+        X.event_type_from_url_text(F.col("url"), F.col("_title")).alias("event_type"), X.label_value(F.col("_text"), ["venue"]).alias("venue_name"), X.label_value(F.col("_text"), ["address"]).alias("venue_address"),
+        X.city_gazetteer(F.concat_ws(" ", "_text", "url"), cities).alias("city"), F.col("_d.start_date").alias("start_date"), F.col("_d.end_date").alias("end_date"), opening_datetime_parse(F.col("_text")).alias("opening_datetime"), "description",
+        absolute(F.col("url"), F.coalesce(meta, F.get(F.col("images"), F.lit(0))["src"])).alias("image_url"), "artists", X.contact_extract(F.col("_text"), F.transform("links", lambda x: x["href"])).alias("contact"),
+    )
+
+
+def event_page_artists(events: DataFrame) -> DataFrame:
+    return events.select("source_record_id", "source_url", F.explode("artists").alias("a")).select("source_record_id", "source_url", F.col("a.name").alias("artist_name"), X.normalize_person_name(F.col("a.name")).alias("artist_name_normalized"), F.col("a.profile_url").alias("artist_profile_url"), F.lit("parsed").alias("match_type"))
+
+
+def event_page_images(events: DataFrame) -> DataFrame:
+    return events.where("image_url is not null").select("source_record_id", "source_url", "image_url", F.lit("primary").alias("image_type"), X.content_hash(F.col("source_url"), F.col("image_url"), F.col("event_title")).alias("content_hash"))
+
+
+def event_page_galleries(events: DataFrame) -> DataFrame:
+    """The venues, one row each (domain, name, city), with the first contact that a page gives."""
+    rows = events.where("venue_name is not null").select("source_domain", F.col("venue_name").alias("gallery_name"), F.col("venue_address").alias("address"), "city", F.col("contact.email").alias("email"), F.col("contact.phone").alias("phone"), "page_id")
+    return latest_per_key(rows, ["source_domain", "gallery_name", "city"], [F.asc("page_id")])

@@ -760,16 +760,6 @@ def artist_bio_extract(t):
     return E.artist_bio(E.page_elements(t["pages"]))
 
 
-@query(None)
-def events_extract(t):
-    return E.events(E.page_elements(t["pages"]))
-
-
-@query(None)
-def artworks_extract(t):
-    return E.artworks(E.page_elements(t["pages"]))
-
-
 # ---- filters, summaries, bundles
 
 

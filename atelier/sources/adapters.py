@@ -150,6 +150,14 @@ FROM (SELECT *, cast(o_orderkey AS string) AS id, o_orderkey AS k, 1700 + o_orde
   cast(day(o_orderdate) AS string) || ' ' || split_part('January,February,March,April,May,June,July,August,September,October,November,December', ',', cast(month(o_orderdate) AS int)) || ' ' || cast(year(o_orderdate) AS string) AS d1,
   cast(1 + day(o_orderdate) % 28 AS string) || ' ' || substr(split_part('January,February,March,April,May,June,July,August,September,October,November,December', ',', cast(month(o_orderdate) AS int)), 1, 3) || ' ' || cast(year(o_orderdate) + 1 AS string) AS d2
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey) x
+""",
+    "a_pages": """
+SELECT cast(id AS bigint) AS page_id, 'https://www.' || lower(n_name) || '.example/exhibitions/show-' || id || '?utm_source=q' AS url,
+  '<html><head><title>' || c_name || ' | Site</title><meta property="og:image" content="/img/' || id || '.jpg"><script type="application/ld+json">{"@graph": [{"@type": "VisualArtwork", "name": "Work ' || id || '", "creator": '
+  || CASE k % 3 WHEN 0 THEN '{"name": "' || c_name || '"}' WHEN 1 THEN '[{"name": "' || c_name || '"}]' ELSE '"' || c_name || '"' END || ', "dateCreated": "' || cast(y AS string) || '", "isPartOf": {"@type": "Collection", "name": "' || n_name || '"}, "locationCreated": {"address": {"addressLocality": "' || n_name || '"}}}, {"@type": "Person"}]}</script></head>'
+  || '<body><h1>Artworks</h1><h2>' || seo || '</h2><p>Venue: ' || c_name || ' Hall</p><p>Address: ' || id || ' Main Road</p><p>Artists: Anna Bee &amp; Carl Dee</p><p><a href="/artists/anna-bee/">Anna Bee</a> <a href="mailto:Hall' || id || '@x.example">write</a></p><p>' || shown || '</p><p>' || opening || '</p>'
+  || '<p>' || byline || ' - a long paragraph about the work of the people whom the hall shows this year, with more words than a heading has.</p><img src="/img/red-sea-' || id || '.jpg"><img src="/img/logo.png"><img src="/img/' || id || '.png" alt="Blue ' || id || '"></body></html>' AS html
+FROM a_phrases
 """,
 }
 
@@ -181,6 +189,7 @@ class Tables:
         if name not in SQL:
             return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         text = spark_sql(name)
+        text = re.sub(r"\bFROM (a_[a-z_]+)", lambda m: f"FROM ({spark_sql(m[1])}) {m[1]}", text)  # an adapter over another
         used = {t: self[t] for t in BASE if re.search(rf"\b{t}\b", text)}
         for t, df in used.items():
             df.createOrReplaceTempView(f"atelier_{t}")
@@ -189,7 +198,9 @@ class Tables:
 
 def oracle(text: str) -> str:
     """The oracle's text with the adapters that it names as common table expressions."""
-    used = [n for n in SQL if re.search(rf"\b{n}\b", text)]
+    used = {n for n in SQL if re.search(rf"\b{n}\b", text)}
+    used |= {m for n in used for m in SQL if re.search(rf"\bFROM {m}\b", SQL[n])}
+    used = [n for n in SQL if n in used]
     ctes = ", ".join(f"{n} AS ({duck_sql(n)})" for n in used)
     text = text.strip()
     if not ctes:
