@@ -122,4 +122,4 @@ def test_inferred_galleries_leave_out_chrome(spark):
     events = events.withColumns({"venue_address": F.lit(None).cast("string"), "source_url": F.lit("u"), "event_title": F.lit("t"), "crawl_timestamp": F.lit("2024-01-01").cast("timestamp")})
     none = spark.createDataFrame([], "n_gallery_name string, n_city string, n_country string, source_domain string")
     got = M.inferred_galleries(events, none, site=SITE, label=LABEL).collect()
-    assert [(r.gallery_name, len(r.linked_events)) for r in got] == [("The Vault", 2)]
+    assert [(r.gallery_name, r.n_linked_events) for r in got] == [("The Vault", 2)]
