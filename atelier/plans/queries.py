@@ -570,9 +570,9 @@ def apply_event_decisions(t):
     return after
 
 
-@query("SELECT id, event_id FROM a_decisions WHERE event_id NOT IN (SELECT cast(o_orderkey AS string) FROM orders)")
+@query("SELECT id, event_id FROM a_decisions WHERE event_id NOT IN (SELECT id FROM a_events WHERE event_type = 'exhibition')")
 def failed_decisions(t):
-    known = t["orders"].select(F.col("o_orderkey").cast("string").alias("event_id"))
+    known = t["a_events"].where("event_type = 'exhibition'").select(F.col("id").alias("event_id"))
     return D.apply_decisions(t["a_event_overrides"], t["a_decisions"], known, key="event_id", fields=["is_hidden"], order=[F.col("decided_at"), F.col("id")])[1].select("id", "event_id")
 
 
@@ -773,9 +773,9 @@ def admin_galleries_filter(t):
     return S.filtered_list(M.latest_galleries(gal(t)), search={"gallery_name": "customer"}, missing=["phone"]).where("contact_quality_score <= 6").select("raw_gallery_id", "contact_quality_score")
 
 
-@query(f"WITH {REVIEWED} SELECT DISTINCT artist_name, source_domain FROM rec WHERE artist_name ILIKE '%00001%' AND source_domain = 'nation_3.example'")
+@query(f"WITH {REVIEWED} SELECT DISTINCT artist_name, source_domain FROM rec WHERE artist_name ILIKE '%0_STU%' AND source_domain <> 'nation_3.example'")
 def artists_filter(t):
-    return S.filtered_list(M.artist_profiles(records(t)), search={"artist_name": "00001"}, equal={"source_domain": "nation_3.example"}).select("artist_name", "source_domain")
+    return S.filtered_list(M.artist_profiles(records(t)), search={"artist_name": "0_STU"}).where("source_domain <> 'nation_3.example'").select("artist_name", "source_domain")
 
 
 @query("SELECT id, entity_id FROM a_flags WHERE issue_type = 'duplicate' AND action = 'open'")
@@ -788,9 +788,9 @@ def suspect_name_filter(t):
     return t["a_after"].where(D.suspect_name(F.col("artist_name"))).select("doc_id")
 
 
-@query(f"WITH {EVENTS} SELECT artist_id FROM artist WHERE artist_id NOT IN (SELECT artist_id FROM links JOIN mev USING (event_id) WHERE city = 'NATION_1')")
+@query(f"WITH {EVENTS} SELECT artist_id FROM artist WHERE artist_id NOT IN (SELECT artist_id FROM links JOIN mev USING (event_id) WHERE city = 'NATION_1' AND start_date < date '1995-03-01')")
 def artists_without_events(t):
-    there = M.artist_event_links(links(t), mart_ev(t)).where("city = 'NATION_1'").select("artist_id").distinct()
+    there = M.artist_event_links(links(t), mart_ev(t)).where("city = 'NATION_1' and start_date < date '1995-03-01'").select("artist_id").distinct()
     return M.int_artists(t["a_artists"]).select("artist_id").join(there, "artist_id", "left_anti")
 
 
