@@ -181,13 +181,32 @@ def queue_summary(artworks: DataFrame, profiles: DataFrame, links: DataFrame) ->
     return a.join(F.broadcast(p)).join(F.broadcast(w))  # one row each
 
 
-def admin_events(df: DataFrame, *, queue: str = "all", as_of: str, search: str | None = None, domain: str | None = None) -> DataFrame:
+def admin_events(
+    df: DataFrame, *, queue: str = "all", as_of: str, search: str | None = None, domain: str | None = None, kind: str | None = None, city: str | None = None,
+    start_from: str | None = None, start_until: str | None = None, missing: Sequence[str] = (), linked: bool | None = None,
+) -> DataFrame:
+    """A queue of events, narrowed by what is asked for: text in title or venue, domain, type, city, dates, missing fields, and whether artists are linked."""
     state = {
         "all": F.lit(True), "needs_review": ~F.col("is_approved") & ~F.col("is_hidden"), "low_quality": F.col("quality_score") <= 2, "approved": F.col("is_approved"), "hidden": F.col("is_hidden"),
         "edited": F.col("moderation_override_exists"), "recent": F.col("crawl_timestamp") >= F.lit(as_of).cast("timestamp") - F.expr("INTERVAL '7' DAY"),
     }
-    more = [F.col("event_title").ilike(f"%{search}%")] * bool(search) + [F.col("source_domain") == domain] * bool(domain)
-    return df.where(all_of([state[queue], *more]))
+    more = [state[queue], *(F.col(f"missing_{m}") for m in missing)]
+    more += [F.col("event_title").ilike(f"%{search}%") | F.col("venue_name").ilike(f"%{search}%")] if search else []
+    more += [F.col(c) == v for c, v in (("source_domain", domain), ("event_type", kind), ("city", city)) if v]
+    more += [F.col("start_date") >= F.lit(start_from).cast("date")] if start_from else []
+    more += [F.col("start_date") <= F.lit(start_until).cast("date")] if start_until else []
+    more += [(F.size("linked_artists") > 0) == F.lit(linked)] if linked is not None else []
+    return df.where(all_of(more))
+
+
+#: What a flag may be about.
+ENTITIES = ["artist", "artwork", "event", "gallery"]
+
+
+def valid_flags(actions: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(flags that name an entity, its kind and an issue, the others)."""
+    good = F.col("entity_type").isin(ENTITIES) & ~X.blank(F.col("entity_id")) & ~X.blank(F.col("issue_type"))
+    return actions.where(good), actions.where(~F.coalesce(good, F.lit(False)))
 
 
 def apply_latest(overrides: DataFrame, decisions: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:

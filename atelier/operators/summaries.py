@@ -42,6 +42,26 @@ def filtered_list(df: DataFrame, *, search: dict[str, str] | None = None, equal:
     return df.where(all_of(parts))
 
 
+#: Weight of a word that a field holds.
+FIELDS = {"artwork_title": 3, "artist_name": 3, "medium_text": 1, "description": 1, "source_name": 1}
+
+
+def record_search(df: DataFrame, query: str, *, weights: dict[str, int] | None = None, exact: int = 10) -> DataFrame:
+    """Rows that hold a word of the query, with a score: the weight of each field for each word that it holds, and `exact` for a title or artist that is the query."""
+    words = F.array(*map(F.lit, sorted(set(query.lower().split()))))
+    total = F.lit(0)
+    for c, w in (weights or FIELDS).items():
+        total = total + F.size(F.array_intersect(F.split(F.lower(F.coalesce(F.col(c), F.lit(""))), "[^a-z0-9#]+"), words)) * w
+    for c in ("artwork_title", "artist_name"):
+        total = total + F.when(F.lower(F.trim(c)) == " ".join(query.lower().split()), exact).otherwise(0)
+    return df.withColumn("score", total).where("score > 0")
+
+
+def quality_summary(df: DataFrame, keys: Sequence[str], score: Column, flags: dict[str, Column]) -> DataFrame:
+    """By keys: rows, how many carry each flag, the mean score and the newest crawl."""
+    return df.groupBy(*keys).agg(F.count("*").alias("n"), *(F.count_if(c).alias(n) for n, c in flags.items()), F.round(F.avg(score), 2).alias("avg_score"), F.max("crawl_timestamp").alias("last_crawl"))
+
+
 def bundle(parents: DataFrame, key: str, parts: dict[str, DataFrame], *, most: int = 500) -> DataFrame:
     """Each parent with an array of its `most` newest rows of every part (key, turn, item); they are ranked first, so arrays stay bounded."""
     out = parents

@@ -409,7 +409,7 @@ def event_enrichment(t):
     return D.event_quality(er(t)).select("event_id", "quality_score", F.array_join("quality_flags", ",").alias("flags"))
 
 
-@query(f"WITH {EQ} SELECT event_id, quality_score FROM es WHERE quality_score <= 3 AND NOT is_hidden AND event_title ILIKE '%opening%'")
+@query(f"WITH {EQ} SELECT event_id, quality_score FROM es WHERE quality_score <= 3 AND NOT is_hidden AND (event_title ILIKE '%opening%' OR venue_name ILIKE '%opening%')")
 def admin_events_filter(t):
     return D.event_quality(er(t)).where("quality_score <= 3 and not is_hidden").transform(lambda d: D.admin_events(d, as_of="1998-01-01", search="opening")).select("event_id", "quality_score")
 
@@ -729,13 +729,6 @@ def recent_activity(t):
     return t["events"].join(F.broadcast(last), F.col("ts") >= F.col("m") - F.expr("INTERVAL '7' DAY")).groupBy("user_id").agg(F.count("*").alias("n"), F.max("ts").alias("last_seen"))
 
 
-@query("""WITH q AS (SELECT id, len(list_intersect(string_split(lower(coalesce(artwork_title, '')), ' '), ['customer', 'red', 'steel', 'oil'])) * 3 + len(list_intersect(string_split(lower(coalesce(medium_text, '')), ' '), ['customer', 'red', 'steel', 'oil'])) AS score FROM a_artworks) SELECT id, score::int AS score FROM q WHERE score > 0""")
-def record_search(t):
-    words = F.array(*map(F.lit, ["customer", "red", "steel", "oil"]))
-    hits = lambda c: F.size(F.array_intersect(F.split(F.lower(F.coalesce(F.col(c), F.lit(""))), " "), words))
-    return t["a_artworks"].select("id", (hits("artwork_title") * 3 + hits("medium_text")).alias("score")).where("score > 0")
-
-
 # ---- pages
 
 

@@ -437,3 +437,56 @@ def no_negative_prices(t):
 @query("SELECT id FROM a_reviews WHERE review_status NOT IN ('approved', 'pending')")
 def accepted_values(t):
     return A.breaking(t["a_reviews"], A.accepted_values("review_status", ["approved", "pending"])).select("id")
+
+
+# ---- searches, filters and summaries over the views
+
+
+_WORDS = "['steel', 'oil', 'supplier#000000003', 'studio']"
+_HELD = lambda c, w: f"len(list_intersect(list_distinct(regexp_split_to_array(lower(coalesce({c}, '')), '[^a-z0-9#]+')), {_WORDS})) * {w}"
+
+
+@query(f"WITH {MART}, s AS (SELECT raw_artwork_id, {' + '.join(_HELD(c, w) for c, w in S.FIELDS.items())} + CASE WHEN lower(artist_name) = 'oil steel studio supplier#000000003' THEN 10 ELSE 0 END AS score FROM mart) SELECT raw_artwork_id, score::int AS score FROM s WHERE score > 0")
+def record_search(t):
+    return S.record_search(Q.mart(t), "Oil steel Studio Supplier#000000003").select("raw_artwork_id", "score")
+
+
+@query(f"WITH {MART} SELECT raw_artwork_id, 10::int AS score FROM mart WHERE artist_name = 'Supplier#000000003 Studio'")
+def record_search_exact(t):
+    """With all weights at nothing, only the exact names count."""
+    return S.record_search(Q.mart(t), "supplier#000000003  STUDIO", weights={"source_name": 0}).select("raw_artwork_id", "score")
+
+
+@query(f"WITH {EQ} SELECT event_id FROM es WHERE NOT is_approved AND NOT is_hidden AND missing_description = false AND city IN ('NATION_1') AND start_date BETWEEN date '1996-01-01' AND date '1999-12-31' AND len(linked_artists) > 0 AND event_type = 'exhibition' AND source_domain = 'nation_1.example'")
+def admin_events_predicates(t):
+    return D.admin_events(D.event_quality(Q.er(t)), queue="needs_review", as_of=AS_OF, city="NATION_1", domain="nation_1.example", kind="exhibition", start_from="1996-01-01", start_until="1999-12-31", linked=True).where("not missing_description").select("event_id")
+
+
+@query(f"WITH {EQ} SELECT event_id FROM es WHERE moderation_override_exists AND missing_venue = false AND quality_score >= 0 AND missing_artists")
+def admin_events_edited(t):
+    return D.admin_events(D.event_quality(Q.er(t)), queue="edited", as_of=AS_OF, missing=["artists"], linked=False).where("not missing_venue").select("event_id")
+
+
+@query(f"WITH {ENRICHED} SELECT source_domain, coalesce(canonical_gallery_type, gallery_record_type) AS kind, count(*) AS n, count(*) FILTER (is_approved) AS approved, count(*) FILTER (is_hidden) AS hidden, count(*) FILTER (missing_email) AS missing_email, round(avg(quality_score), 2) AS avg_score, max(crawl_timestamp) AS last_crawl FROM gq GROUP BY 1, 2")
+def gallery_quality_by_type(t):
+    g = galleries(t).withColumn("kind", F.coalesce("canonical_gallery_type", "gallery_record_type"))
+    return S.quality_summary(g, ["source_domain", "kind"], F.col("quality_score"), {"approved": F.col("is_approved"), "hidden": F.col("is_hidden"), "missing_email": F.col("missing_email")})
+
+
+@query(f"WITH {EQ} SELECT source_domain, event_type, count(*) AS n, count(*) FILTER (is_approved) AS approved, count(*) FILTER (missing_date) AS missing_date, round(avg(try_cast(payload_score AS double)), 2) AS avg_score, max(crawl_timestamp) AS last_crawl FROM es GROUP BY 1, 2")
+def event_quality_by_payload(t):
+    """The mean is that of the payloads' own scores."""
+    return S.quality_summary(D.event_quality(Q.er(t)), ["source_domain", "event_type"], F.col("payload_score").try_cast("double"), {"approved": F.col("is_approved"), "missing_date": F.col("missing_date")})
+
+
+@query("SELECT id FROM (SELECT id, CASE WHEN action = 'open' THEN entity_type ELSE 'page' END AS e, issue_type FROM a_flags) WHERE e = 'artist' AND issue_type <> 'duplicate'")
+def valid_flags(t):
+    rows = t["a_flags"].withColumn("entity_type", F.when(F.col("action") == "open", F.col("entity_type")).otherwise("page")).withColumn("issue_type", F.when(F.col("issue_type") != "duplicate", F.col("issue_type")).otherwise("  "))
+    return D.valid_flags(rows)[0].select("id")
+
+
+@query(f"""WITH {Q.STG}, p AS (SELECT raw_artwork_id, list_transform(regexp_extract_all(price_text, '[0-9][0-9,]*(?:\\.[0-9]+)?'), lambda x: replace(x, ',', '')::double) AS v, price_text, dimensions_text FROM stg)
+SELECT raw_artwork_id, v[1] AS price, CASE WHEN price_text LIKE '$%' THEN 'USD' WHEN price_text LIKE '€%' THEN 'EUR' WHEN price_text LIKE 'GBP%' THEN 'GBP' END AS currency, CASE WHEN dimensions_text LIKE '% in' THEN 26.67 ELSE try_cast(split_part(dimensions_text, ' x ', 1) AS double) END AS height FROM p""")
+def join_parsed_attributes(t):
+    p = M.parsed_attributes(Q.stg(t))
+    return p.select("raw_artwork_id", F.col("price_numeric").cast("double").alias("price"), F.col("currency_code").alias("currency"), F.col("height_cm").cast("double").alias("height"))
