@@ -8,9 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that spark.checkpoint.dir names; only where it is unset (as in tests), one below the warehouse."""
+    """The folder that spark.checkpoint.dir names; on one machine (as in tests), where it is unset, one below the warehouse."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        master = spark.conf.get("spark.master", "local")
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("name a folder that driver and executors share in spark.checkpoint.dir")
         found = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
     return found.rstrip("/")
 
