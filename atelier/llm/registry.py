@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ["compression", "decontaminate", "htmltext", "licences", "neardup", "packing", "perplexity", "privacy", "substrings", "warc"]
+MODULES = ["binarycodes", "compression", "decontaminate", "htmltext", "licences", "neardup", "negatives", "orchard", "packing", "perplexity", "privacy", "substrings", "warc"]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
