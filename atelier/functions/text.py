@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -323,3 +325,108 @@ def type_suggestion(text: Column) -> Column:
         made = F.struct(F.lit(kind).alias("value"), F.lit(p).alias("confidence"), F.lit(f"a word of {kind}").alias("reason"))
         out = F.when(hit, made) if out is None else out.when(hit, made)
     return out
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value), with value computed once however often the body uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+#: From this length on, characters of the second text that make up more than a hundredth of it start no block.
+LONG_TEXT = 200
+#: Stands for such a character; no text has it.
+_NONE = "￿"
+
+
+def _masked(text: Column) -> Column:
+    chars = F.split(text, "")
+    often = lambda c: F.length(text) - F.length(F.replace(text, c, F.lit(""))) > F.floor(F.length(text) / 100) + 1
+    common = F.filter(F.array_distinct(chars), often)
+    return F.when(F.length(text) < LONG_TEXT, text).otherwise(F.array_join(F.transform(chars, lambda c: F.when(F.array_contains(common, c), F.lit(_NONE)).otherwise(c)), ""))
+
+
+def _shared_prefix(a: Column, b: Column) -> Column:
+    n = F.least(F.length(a), F.length(b))
+    return F.when(n < 1, 0).otherwise(F.size(F.filter(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda k: F.left(a, k) == F.left(b, k))))
+
+
+def _longest(a: Column, m: Column) -> Column:
+    """Length of the longest text that both hold, by halving: whatever holds one of k characters holds one of k - 1. Neither is empty."""
+    n = F.least(F.length(a), F.length(m))
+    held = lambda k: F.exists(F.sequence(F.lit(1), F.length(a) - k + 1), lambda i: F.contains(m, F.substr(a, i, k)))
+    halves = F.sequence(F.lit(0), F.ceil(F.log2(n)).cast("int") + 1)
+
+    def step(s: Column, _: Column) -> Column:
+        mid = F.floor((s["lo"] + s["hi"] + 1) / 2).cast("int")
+        return F.when(s["lo"] >= s["hi"], s).when(held(mid), F.struct(mid.alias("lo"), s["hi"].alias("hi"))).otherwise(F.struct(s["lo"].alias("lo"), (mid - 1).alias("hi")))
+
+    return F.aggregate(halves, F.struct(F.lit(0).alias("lo"), n.alias("hi")), step)["lo"]
+
+
+def matching_share(a: Column, b: Column) -> Column:
+    """Twice the characters in matching blocks of two texts over the characters of both, trimmed and in lower case; two empty texts match wholly.
+
+    The longest text that both hold is a block (the first in a, then the first in b), and so on to its left and its right. Parts between
+    blocks are taken level by level, so the work follows the number of blocks. In a long b, frequent characters only lengthen blocks.
+    """
+    plain = lambda c: F.lower(F.regexp_replace(F.coalesce(c, F.lit("")), r"(?U)^\s+|\s+$", ""))
+    part = lambda x, y, m: F.struct(x.alias("a"), y.alias("b"), m.alias("m"))
+
+    def blocks(x: Column, y: Column, m: Column) -> Column:
+        long = F.length(y) >= LONG_TEXT
+
+        def found(p: Column) -> Column:
+            k = _longest(p["a"], p["m"])
+
+            def placed(k: Column) -> Column:
+                i = F.filter(F.sequence(F.lit(1), F.length(p["a"]) - k + 1), lambda i: F.contains(p["m"], F.substr(p["a"], i, k)))[0]
+                return F.when(k == 0, F.struct(F.lit(1).alias("i"), F.lit(1).alias("j"), k.alias("k"))).otherwise(let(i, lambda i: F.struct(i.alias("i"), F.position(F.substr(p["a"], i, k), p["m"]).alias("j"), k.alias("k"))))
+
+            def grown(at: Column) -> Column:
+                before = _shared_prefix(F.reverse(F.left(p["a"], at["i"] - 1)), F.reverse(F.left(p["b"], at["j"] - 1)))
+                rest = lambda t, x: F.substr(t, x + at["k"], F.length(t))
+                after = _shared_prefix(rest(p["a"], at["i"]), rest(p["b"], at["j"]))
+                return let(before, lambda s: F.struct((at["i"] - s).alias("i"), (at["j"] - s).alias("j"), (at["k"] + s + after).alias("k")))
+
+            at = let(k, placed)
+            return let(F.when(long, let(at, grown)).otherwise(at), lambda at: F.struct(p.alias("p"), at.alias("at")))
+
+        def parts(f: Column) -> Column:
+            p, at = f["p"], f["at"]
+            rest = lambda t, x: F.substr(t, x + at["k"], F.length(t))
+            left = part(F.left(p["a"], at["i"] - 1), F.left(p["b"], at["j"] - 1), F.left(p["m"], at["j"] - 1))
+            right = part(rest(p["a"], at["i"]), rest(p["b"], at["j"]), rest(p["m"], at["j"]))
+            return F.slice(F.array(left, right), F.lit(1), F.when(at["k"] > 0, 2).otherwise(0))
+
+        def level(s: Column, _: Column) -> Column:
+            matched = lambda f: F.aggregate(f, F.lit(0), lambda n, x: n + x["at"]["k"])
+            open_ = lambda f: F.filter(F.flatten(F.transform(f, parts)), lambda p: (p["a"] != "") & (p["b"] != ""))
+            return F.when(F.size(s["open"]) == 0, s).otherwise(let(F.transform(s["open"], found), lambda f: F.struct(open_(f).alias("open"), (s["n"] + matched(f)).alias("n"))))
+
+        start = F.struct(F.filter(F.array(part(x, y, m)), lambda p: (p["a"] != "") & (p["b"] != "")).alias("open"), F.lit(0).alias("n"))
+        return F.aggregate(F.sequence(F.lit(0), F.least(F.length(x), F.length(y))), start, level)["n"]
+
+    def share(t: Column) -> Column:
+        both = F.length(t["a"]) + F.length(t["b"])
+        return F.when(both == 0, 1.0).when(t["a"] == t["b"], 1.0).otherwise(2.0 * let(_masked(t["b"]), lambda m: blocks(t["a"], t["b"], m)) / both)
+
+    return let(F.struct(plain(a).alias("a"), plain(b).alias("b")), share)
+
+
+def shared_letters(a: Column, b: Column) -> Column:
+    """An upper bound of matching_share of texts that are trimmed and in lower case: by how often each character stands in both."""
+    both = F.length(a) + F.length(b)
+    times = lambda t, c: F.length(t) - F.length(F.replace(t, c, F.lit("")))
+    n = F.aggregate(F.array_distinct(F.split(a, "")), F.lit(0), lambda n, c: n + F.when(c == "", 0).otherwise(F.least(times(a, c), times(b, c))))
+    return F.when(both == 0, 1.0).otherwise(2.0 * n / both)
+
+
+def similar(a: Column, b: Column, least: float) -> Column:
+    """Whether matching_share is `least` or more; lengths, then letters, settle most pairs that are not."""
+    plain = lambda c: F.lower(F.regexp_replace(F.coalesce(c, F.lit("")), r"(?U)^\s+|\s+$", ""))
+
+    def decide(t: Column) -> Column:
+        x, y = F.length(t["a"]), F.length(t["b"])
+        return F.when(t["a"] == t["b"], True).when(2.0 * F.least(x, y) < least * (x + y), False).when(shared_letters(t["a"], t["b"]) < least, False).otherwise(matching_share(t["a"], t["b"]) >= least)
+
+    return let(F.struct(plain(a).alias("a"), plain(b).alias("b")), decide)

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from atelier.functions import parse as P
 from atelier.functions import text as X
-from atelier.operators.tables import latest_per_key, overlay
+from atelier.operators.tables import first_rows, latest_per_key, overlay
+from atelier.sources.shared import written
 
 #: Medium category by keyword, in order.
 MEDIUMS = [
@@ -173,13 +174,14 @@ LINKS = 1000
 
 def _held(links: DataFrame, item: Sequence[str], name: str) -> DataFrame:
     """(raw_gallery_id, name, n_<name>): the first LINKS of each gallery's items in order, and how many there are."""
-    w = Window.partitionBy("raw_gallery_id")
-    ranked = links.withColumns({"_n": F.row_number().over(w.orderBy(*item)), "_all": F.count("*").over(w)})
-    return ranked.groupBy("raw_gallery_id").agg(F.array_sort(F.collect_list(F.when(F.col("_n") <= LINKS, F.struct(*item)))).alias(name), F.max("_all").alias(f"n_{name}"))
+    links = written(links.select("raw_gallery_id", *item), "links")
+    first = first_rows(links, ["raw_gallery_id"], [F.asc_nulls_first(c) for c in item], LINKS)
+    held = first.groupBy("raw_gallery_id").agg(F.array_sort(F.collect_list(F.struct(*item))).alias(name))
+    return held.join(links.groupBy("raw_gallery_id").agg(F.count("*").alias(f"n_{name}")), "raw_gallery_id")
 
 
 def mart_galleries(galleries: DataFrame, events: DataFrame, artworks: DataFrame) -> DataFrame:
-    kept = latest_galleries(galleries)
+    kept = written(latest_galleries(galleries), "galleries")
     out = kept.withColumn("gallery_id", X.md5_uuid(F.col("normalized_gallery_key")))
     for links, item, name in ((gallery_event_links(kept, events), ("event_id", "event_title"), "linked_events"), (gallery_artwork_links(kept, artworks), ("raw_artwork_id", "artwork_title"), "linked_artworks")):
         none = F.expr(f"cast(array() as array<struct<{item[0]}: string, {item[1]}: string>>)")

@@ -3,20 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from difflib import SequenceMatcher
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from atelier.functions import text as X
 from atelier.operators.tables import all_of, latest_per_key
+from atelier.sources.shared import written
 
 #: Patterns of names that are page headings.
 SUSPECT = ["%selected works%", "%latest work%", "%artworks%", "%paintings%", "%prints%", "%about the artist%"]
 #: Active rules that are broadcast, at most.
 RULES = 5000
+#: Characters of the parts by which more rules are found
+GRAM = 4
 
 
 def fold_decisions(decisions: DataFrame, key: str, fields: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -50,28 +50,53 @@ def event_quality(events: DataFrame) -> DataFrame:
     return events.withColumns({**flags, "quality_score": sum((c.cast("int") for c in there), F.lit(0)), "quality_flags": X.flag_array(flags)})
 
 
-def rule_match(events: DataFrame, rules: DataFrame) -> DataFrame:
+def rule_match(events: DataFrame, rules: DataFrame, *, few: int = RULES) -> DataFrame:
     """(event_id, rule_value, rule_confidence) of the surest active rule whose pattern the event's text contains, on its domain or any.
 
-    A pattern may be any part of a text, so this is a theta join: rules are the small side, broadcast up to RULES of them and a
-    nested loop beyond; no rule is left out.
+    Up to `few` rules are broadcast and tried on every event. More are found by grams: a text that contains a pattern contains the
+    pattern's rarest part of GRAM characters (a shorter pattern is its own part), so events meet only rules whose part they have, and
+    then the pattern is looked for. No rule is left out.
     """
     active = rules.where("is_active and field_name = 'event_type' and trim(pattern) <> ''").withColumn("_p", F.lower(F.trim("pattern")))
-    text = F.lower(F.concat_ws(" ", "event_title", "description"))
+    active = written(active.select("_p", "pattern", "suggested_value", "source_domain", "confidence", "support_count", "updated_at"), "rules")
+    texts = events.select("event_id", "source_domain", F.lower(F.concat_ws(" ", "event_title", "description")).alias("_text"))
     domain = F.coalesce(F.col("r.source_domain"), F.lit(""))
-    rest = F.broadcast(active) if active.count() <= RULES else active
     hit = F.contains(F.col("e._text"), F.col("r._p")) & ((domain == "") | (domain == F.col("e.source_domain")))
-    found = events.select("event_id", "source_domain", text.alias("_text")).alias("e").join(rest.alias("r"), hit)
+    if active.count() <= few:
+        found = texts.alias("e").join(F.broadcast(active).alias("r"), hit)
+    else:
+        texts = written(texts, "texts")
+        met = _met(texts, active).alias("m")
+        found = met.join(texts.alias("e"), "event_id").join(active.alias("r"), F.col("m._p") == F.col("r._p")).where(hit)
     best = F.struct("r.confidence", "r.support_count", "r.updated_at", "r.pattern")
     return found.groupBy("e.event_id").agg(F.max_by(F.struct(F.col("r.suggested_value").alias("v"), F.col("r.confidence").cast("double").alias("c")), best).alias("m")).select("event_id", F.col("m.v").alias("rule_value"), F.col("m.c").alias("rule_confidence"))
 
 
+def _grams(text: Column, size: Column) -> Column:
+    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(text) - size + 1)), lambda i: F.substr(text, i, size)))
+
+
+def _met(texts: DataFrame, rules: DataFrame) -> DataFrame:
+    """(event_id, _p): a superset of the patterns that each text contains, by the part of each pattern that fewest texts have."""
+    size = F.least(F.length("_p"), F.lit(GRAM))
+    parts = written(rules.select("_p").distinct().select("_p", F.explode(_grams(F.col("_p"), size)).alias("gram")), "parts")
+    wanted = parts.select("gram").distinct()
+    sizes = [r[0] for r in parts.select(F.length("gram")).distinct().collect()]  # GRAM of them at most
+    every = F.array_distinct(F.flatten(F.array(*[_grams(F.col("_text"), F.lit(n)) for n in sizes])))
+    # only parts of patterns leave the scan: Spark broadcasts them where their size allows, and shuffles grams else
+    there = written(texts.select("event_id", F.explode(every).alias("gram")).join(wanted, "gram"), "grams")
+    counts = there.groupBy("gram").agg(F.count("*").alias("n"))
+    # a pattern with a part that no text has is in no text
+    rarest = parts.join(counts, "gram", "left").groupBy("_p").agg(F.min_by("gram", F.struct(F.coalesce("n", F.lit(0)), "gram")).alias("gram"))
+    return there.join(written(rarest, "rarest"), "gram").select("event_id", "_p")
+
+
 def suggest(events: DataFrame, rules: DataFrame | None = None) -> DataFrame:
     """suggested_event_type and _title with confidence and reason; a learned rule goes before the keywords; a known type gets none."""
     free = X.blank(F.col("event_type"))
     kind = X.type_suggestion(F.concat_ws(" ", "event_title", "description"))
-    title = X.title_suggestion(F.col("event_title"))
-    out = events.withColumns({"_k": kind, "_t": title})
+    # each computed once, however many of its fields are used
+    out = events.withColumns({"_k": X.let(kind, lambda x: x), "_t": X.let(X.title_suggestion(F.col("event_title")), lambda x: x)})
     if rules is not None:
         out = out.join(rule_match(events, rules), "event_id", "left")
     else:
@@ -84,16 +109,10 @@ def suggest(events: DataFrame, rules: DataFrame | None = None) -> DataFrame:
     ).drop("_k", "_t", "rule_value", "rule_confidence")
 
 
-@F.pandas_udf(T.DoubleType())
-def title_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Matching share of two titles, trimmed and in lower case; rows to be judged only."""
-    return pd.Series([SequenceMatcher(None, (x or "").strip().lower(), (y or "").strip().lower()).ratio() for x, y in zip(a, b, strict=True)])
-
-
 def auto_apply(events: DataFrame, rules: DataFrame | None = None, *, type_at: float = 0.93, title_at: float = 0.96, similar: float = 0.88) -> DataFrame:
     """Decisions (event_id, event_type, canonical_event_title) for all events that are neither approved nor hidden."""
     s = suggest(events.where("not is_hidden and not is_approved"), rules)
-    safe = (F.col("event_title_confidence") >= title_at) & (title_similarity("event_title", "suggested_event_title") >= similar)
+    safe = F.when(F.col("event_title_confidence") >= title_at, X.similar(F.col("event_title"), F.col("suggested_event_title"), similar))
     made = s.select("event_id", F.when(F.col("event_type_confidence") >= type_at, F.col("suggested_event_type")).alias("event_type"), F.when(safe, F.col("suggested_event_title")).alias("canonical_event_title"))
     return made.where("event_type is not null or canonical_event_title is not null")
 
@@ -227,10 +246,10 @@ def apply_artwork_reviews(reviews: DataFrame, approvals: DataFrame, rejections:
 
     Each decision adds to the reviews; an artwork's last one leaves it in approvals or in rejections, never in both.
     """
-    good = decisions.join(known.select("artwork_id").distinct(), "artwork_id", "left_semi")
+    good = written(decisions.join(known.select("artwork_id").distinct(), "artwork_id", "left_semi"), "decisions")
     yes = F.col("action") == "approve"
     more = good.select("id", "artwork_id", F.when(yes, "approved").otherwise("rejected").alias("review_status"), F.col("decided_at").alias("reviewed_at"), F.col("decided_at").alias("created_at"))
-    last = latest_per_key(good, ["artwork_id"], order)
+    last = written(latest_per_key(good, ["artwork_id"], order), "last")
     approved, rejected = last.where(yes), last.where(~yes)
     a = approvals.join(rejected.select("artwork_id"), "artwork_id", "left_anti").unionByName(good.where(yes).join(rejected.select("artwork_id"), "artwork_id", "left_anti").select("id", "artwork_id", "public_visibility", F.col("decided_at").alias("approved_at")), allowMissingColumns=True)
     r = rejections.join(approved.select("artwork_id"), "artwork_id", "left_anti").unionByName(good.where(~yes).join(approved.select("artwork_id"), "artwork_id", "left_anti").select("id", "artwork_id", F.coalesce("rejection_reason", F.lit("Rejected by reviewer")).alias("rejection_reason"), F.col("decided_at").alias("rejected_at")), allowMissingColumns=True)

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from atelier.functions import text as X
-from atelier.operators.tables import all_of, latest_per_key
+from atelier.operators.tables import all_of, first_rows, latest_per_key
+from atelier.sources.shared import written
 
 
 def enrichment_overlay(df: DataFrame, edits: DataFrame, *, key: str, fields: Sequence[str]) -> DataFrame:
@@ -26,8 +27,38 @@ def public_visibility(artworks: DataFrame, flags: DataFrame) -> DataFrame:
 
 
 def duplicate_resolution(groups: DataFrame, decisions: DataFrame) -> DataFrame:
-    """canonical_id of each work: that of a decision (duplicate_id, canonical_id), else its own."""
-    return groups.join(decisions.select(F.col("duplicate_id").alias("raw_artwork_id"), F.col("canonical_id").alias("_c")), "raw_artwork_id", "left").withColumn("canonical_id", F.coalesce("_c", "raw_artwork_id")).drop("_c")
+    """canonical_id of each work: where the decisions (duplicate_id, canonical_id) that start from it end, else its own."""
+    ends = decision_ends(decisions).withColumnsRenamed({"id": "raw_artwork_id", "end": "_c"})
+    return groups.join(ends, "raw_artwork_id", "left").withColumn("canonical_id", F.coalesce("_c", "raw_artwork_id")).drop("_c")
+
+
+def decision_ends(decisions: DataFrame) -> DataFrame:
+    """(id, end) of each duplicate_id: the last of the chain of decisions (duplicate_id, canonical_id), or the least id of the cycle that it runs into.
+
+    Of several decisions about one id the least canonical_id counts; nulls decide nothing. Steps are doubled, so the rounds are no more than the
+    logarithm of the decisions; `low` is the least id on the way, which on a cycle, once around, is the cycle's. Hubs that many chains end in
+    are one row each, joined to all of them, and such a join is split where it is skewed.
+    """
+    first = decisions.where("duplicate_id is not null and canonical_id is not null").groupBy(F.col("duplicate_id").alias("id")).agg(F.min("canonical_id").alias("next"))
+    at = written(first.select("id", "next", F.col("id").alias("low")), "steps")
+    most = max(1, at.count().bit_length())
+    for _ in range(most):
+        ahead = at.select(F.col("id").alias("next"), F.col("next").alias("then"), F.col("low").alias("_low"))
+        moved = at.join(ahead, "next", "left").select("id", F.coalesce("then", "next").alias("next"), F.least("low", F.coalesce("_low", "low")).alias("low"), F.coalesce(F.col("then") != F.col("next"), F.lit(False)).alias("moved"))
+        moved = written(moved, "steps")
+        at = moved.drop("moved")
+        if moved.where("moved").isEmpty():
+            break
+    # whoever is still followed by a decision is on a cycle
+    ring = at.select(F.col("id").alias("next"), F.col("low").alias("ring"))
+    return at.join(ring, "next", "left").select("id", F.coalesce("ring", "next").alias("end"))
+
+
+def review_order(groups: DataFrame, reviews: DataFrame) -> DataFrame:
+    """Works in the order of review: the priority (least number of the work's reviews (artwork_id, priority), none last), possible duplicates, low scores, new ones."""
+    first = reviews.groupBy("artwork_id").agg(F.min("priority").alias("priority"))
+    order = [F.desc_nulls_last("priority"), F.desc("is_duplicate_candidate"), F.asc("quality_score"), F.desc("crawl_timestamp"), F.asc("raw_artwork_id")]
+    return groups.join(first, "artwork_id", "left").orderBy(*order)
 
 
 def best_domain(candidates: DataFrame) -> DataFrame:
@@ -63,11 +94,12 @@ def quality_summary(df: DataFrame, keys: Sequence[str], score: Column, flags: di
 
 
 def bundle(parents: DataFrame, key: str, parts: dict[str, DataFrame], *, most: int = 500) -> DataFrame:
-    """Each parent with an array of its `most` newest rows of every part (key, turn, item); they are ranked first, so arrays stay bounded."""
+    """Each parent with an array of its `most` newest rows of every part (key, turn, item), and n_<part>, how many there are; the parts themselves hold all."""
     out = parents
     for name, df in parts.items():
-        w = Window.partitionBy(key).orderBy(F.desc_nulls_last("turn"), F.asc("item"))
-        first = df.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= most)
+        rows = written(df.select(key, "turn", "item"), name)
+        first = first_rows(rows, [key], [F.desc_nulls_last("turn"), F.asc("item")], most)
         cut = first.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("_n", "item"))).alias(name)).select(key, F.transform(name, lambda x: x["item"]).alias(name))
-        out = out.join(cut, key, "left").withColumn(name, F.coalesce(name, F.expr("cast(array() as array<string>)")))
+        out = out.join(cut, key, "left").join(rows.groupBy(key).agg(F.count("*").alias(f"n_{name}")), key, "left")
+        out = out.withColumns({name: F.coalesce(name, F.expr("cast(array() as array<string>)")), f"n_{name}": F.coalesce(f"n_{name}", F.lit(0).cast("long"))})
     return out

@@ -19,6 +19,22 @@ def latest_per_key(df: DataFrame, keys: Sequence[str | Column], order: Sequence[
 first_per_key = latest_per_key
 
 
+#: Parts in which a key's rows are cut down before they meet.
+SALTS = 32
+
+
+def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column], most: int, *, salts: int = SALTS) -> DataFrame:
+    """Each key's first `most` rows, with their place in _n; end the order with a unique column.
+
+    Rows are cut to `most` in each of `salts` parts of a key, and then among what is left: a key with many rows is spread, and no task sorts more
+    than `most` * `salts` rows of it.
+    """
+    part = Window.partitionBy(*keys, "_part").orderBy(*order)
+    spread = df.withColumn("_part", F.pmod(F.xxhash64(*df.columns), F.lit(salts)))
+    few = spread.withColumn("_n", F.row_number().over(part)).where(F.col("_n") <= most).drop("_part", "_n")
+    return few.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col("_n") <= most)
+
+
 def record_key(domain: str = "source_domain", record: str = "source_record_id", url: str = "source_url") -> Column:
     """What identifies a record: domain with record id, or with URL where there is no id."""
     has = F.coalesce(F.col(record), F.lit("")) != ""

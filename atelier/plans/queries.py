@@ -675,9 +675,9 @@ def audit_changed_records(t):
     return A.audit_changed(matched(t)).select("b_doc_id", "a_doc_id", F.signum("delta").cast("int").alias("direction"), "b_preview", "a_preview")
 
 
-@query(f"WITH {MATCHED} SELECT b_doc_id, a_doc_id, CASE WHEN a_score > b_score THEN 0 ELSE 1 END AS turn, round(a_score - b_score, 2) AS delta FROM m WHERE side = 'matched' AND round(a_score - b_score, 2) <> 0 ORDER BY turn, abs(a_score - b_score) DESC, b_doc_id, a_doc_id LIMIT 100")
+@query(f"WITH {MATCHED} SELECT b_doc_id, a_doc_id, CASE WHEN a_score > b_score THEN 0 ELSE 1 END AS turn, round(a_score - b_score, 2) AS delta FROM m WHERE side = 'matched' AND round(a_score - b_score, 2) <> 0 ORDER BY turn, abs(a_score - b_score) DESC, b_doc_id, a_doc_id")
 def changed_record_order(t):
-    return O.paged(A.audit_changed(matched(t)), [F.asc("turn"), F.desc(F.abs("delta")), F.asc("b_doc_id"), F.asc("a_doc_id")], limit=100).select("b_doc_id", "a_doc_id", "turn", "delta")
+    return A.audit_changed(matched(t)).orderBy(F.asc("turn"), F.desc(F.abs("delta")), F.asc("b_doc_id"), F.asc("a_doc_id")).select("b_doc_id", "a_doc_id", "turn", "delta")
 
 
 _PLAN = "CASE WHEN side <> 'matched' THEN 'unmatched' WHEN coalesce(trim(a_artist_name), '') = coalesce(trim(b_artist_name), '') THEN 'unchanged' WHEN coalesce(trim(b_source_record_id), '') = '' OR coalesce(trim(a_source_record_id), '') = '' THEN 'no_record_id' WHEN a_source_record_id <> b_source_record_id THEN 'other_record' WHEN coalesce(trim(a_artist_name), '') = '' THEN 'no_new_value' ELSE 'apply' END"
@@ -852,7 +852,10 @@ def enrichment_overlay(t):
     return S.enrichment_overlay(base, edits, key="s_suppkey", fields=["artist_name"]).select("s_suppkey", "artist_name", "source_artist_name")
 
 
-@query(f"WITH {DUP}, c AS (SELECT k, min(raw_artwork_id) AS canonical_id FROM dup WHERE c > 1 GROUP BY 1), d AS (SELECT raw_artwork_id, min(canonical_id) AS canonical_id FROM dup JOIN c USING (k) GROUP BY 1) SELECT raw_artwork_id, coalesce(canonical_id, raw_artwork_id) AS canonical_id FROM dup LEFT JOIN d USING (raw_artwork_id)")
+@query(f"""WITH RECURSIVE {DUP}, c AS (SELECT k, min(raw_artwork_id) AS canonical_id FROM dup WHERE c > 1 GROUP BY 1), d AS MATERIALIZED (SELECT raw_artwork_id AS id, min(canonical_id) AS next FROM dup JOIN c USING (k) GROUP BY 1),
+w(id, p, seen) AS (SELECT id, id, []::varchar[] FROM d UNION ALL SELECT w.id, d.next, list_append(seen, p) FROM w JOIN d ON w.p = d.id WHERE NOT list_contains(seen, p)),
+e AS (SELECT w.id, CASE WHEN list_contains(seen, p) THEN list_min(seen[list_position(seen, p):]) ELSE p END AS e FROM w LEFT JOIN d ON w.p = d.id WHERE d.id IS NULL OR list_contains(seen, p))
+SELECT raw_artwork_id, coalesce(e, raw_artwork_id) AS canonical_id FROM dup LEFT JOIN e ON id = raw_artwork_id""")
 def duplicate_resolution(t):
     g = M.duplicate_groups(mart(t))
     first = g.where("is_duplicate_candidate").groupBy("duplicate_group_key").agg(F.min("raw_artwork_id").alias("canonical_id"))
@@ -860,10 +863,12 @@ def duplicate_resolution(t):
     return S.duplicate_resolution(g, decisions).select("raw_artwork_id", "canonical_id")
 
 
-@query(f"WITH {DUP} SELECT raw_artwork_id, c > 1 AS duplicate, quality_score FROM dup ORDER BY c > 1 DESC, quality_score, crawl_timestamp DESC, raw_artwork_id LIMIT 50")
+@query(f"""WITH {DUP}, p AS (SELECT artwork_id, min(doc_id % 3) AS priority FROM (SELECT {uuid("(doc_id - doc_id % 3)::varchar || '-1'")} AS artwork_id, doc_id FROM labels) GROUP BY 1)
+SELECT raw_artwork_id, coalesce(priority, -1) AS priority, c > 1 AS duplicate, quality_score FROM dup LEFT JOIN p USING (artwork_id) ORDER BY priority DESC NULLS LAST, c > 1 DESC, quality_score, crawl_timestamp DESC, raw_artwork_id""")
 def review_queue_order(t):
-    g = M.duplicate_groups(mart(t))
-    return O.paged(g, [F.desc("is_duplicate_candidate"), F.asc("quality_score"), F.desc("crawl_timestamp"), F.asc("raw_artwork_id")]).select("raw_artwork_id", F.col("is_duplicate_candidate").alias("duplicate"), "quality_score")
+    """The whole queue: priority of the review first, works without one last."""
+    reviews = t["a_reviews"].select("artwork_id", (F.regexp_extract("id", "[0-9]+", 0).cast("long") % 3).alias("priority"))
+    return S.review_order(M.duplicate_groups(mart(t)), reviews).select("raw_artwork_id", F.coalesce("priority", F.lit(-1)).alias("priority"), F.col("is_duplicate_candidate").alias("duplicate"), "quality_score")
 
 
 @query(f"WITH {MART} SELECT raw_artwork_id FROM mart WHERE artwork_id NOT IN (SELECT artwork_id FROM a_reviews) ORDER BY created_at DESC, raw_artwork_id LIMIT 100")
@@ -872,10 +877,10 @@ def seed_review_queue(t):
 
 
 @query(f"""WITH {EVENTS}, n AS (SELECT l.artist_id, mev.event_id, row_number() OVER (PARTITION BY l.artist_id ORDER BY mev.start_date DESC NULLS LAST, mev.event_id) AS k FROM links l JOIN mev USING (event_id))
-SELECT a.artist_id, coalesce(string_agg(event_id, ',' ORDER BY k) FILTER (k <= 20), '') AS events FROM artist a LEFT JOIN n USING (artist_id) GROUP BY 1""")
+SELECT a.artist_id, coalesce(string_agg(event_id, ',' ORDER BY k) FILTER (k <= 500), '') AS events, count(event_id) AS n_events FROM artist a LEFT JOIN n USING (artist_id) GROUP BY 1""")
 def artist_profile_bundle(t):
     held = M.artist_event_links(links(t), mart_ev(t)).select("artist_id", F.col("start_date").alias("turn"), F.col("event_id").alias("item"))
-    return S.bundle(M.int_artists(t["a_artists"]).select("artist_id"), "artist_id", {"events": held}, most=20).select("artist_id", F.array_join("events", ",").alias("events"))
+    return S.bundle(M.int_artists(t["a_artists"]).select("artist_id"), "artist_id", {"events": held}).select("artist_id", F.array_join("events", ",").alias("events"), "n_events")
 
 
 @query(f"WITH {MART} SELECT source_domain, round(count(*) FILTER (artwork_title IS NULL) / count(*), 4) AS missing_title, round(count(*) FILTER (price_parse_status = 'failed') / count(*), 4) AS price_failed FROM mart GROUP BY 1")

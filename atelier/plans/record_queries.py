@@ -331,7 +331,7 @@ def corrections(t):
 # ---- bundles, activity, series
 
 
-@query(f"""WITH {EVENTS}, {Q.EK}, {GAL}, n AS (SELECT event_id, artist_name, row_number() OVER (PARTITION BY event_id ORDER BY artist_name, artist_id) AS k FROM links), a AS (SELECT event_id, string_agg(artist_name, ',' ORDER BY k) AS artists FROM n WHERE k <= 20 GROUP BY 1),
+@query(f"""WITH {EVENTS}, {Q.EK}, {GAL}, n AS (SELECT event_id, artist_name, row_number() OVER (PARTITION BY event_id ORDER BY artist_name, artist_id) AS k FROM links), a AS (SELECT event_id, string_agg(artist_name, ',' ORDER BY k) AS artists FROM n GROUP BY 1),
 g AS (SELECT e.event_id, arg_max(gl.gallery_name, struct_pack(a := gl.crawl_timestamp, b := gl.raw_gallery_id)) AS gallery_name FROM ek e JOIN gl USING (n_gallery_name, n_city, n_country, source_domain) GROUP BY 1)
 SELECT mev.event_id, event_title, coalesce(artists, '') AS artists, gallery_name FROM mev LEFT JOIN a USING (event_id) LEFT JOIN g USING (event_id)""")
 def event_bundle(t):
@@ -340,16 +340,16 @@ def event_bundle(t):
     parts = {"artists": people.select("event_id", (-F.col("_r")).alias("turn"), F.col("artist_name").alias("item"))}
     venue = M.gallery_event_links(kept, events).join(kept.select("raw_gallery_id", "gallery_name", "crawl_timestamp"), "raw_gallery_id")
     venue = venue.groupBy("event_id").agg(F.max_by("gallery_name", F.struct("crawl_timestamp", "raw_gallery_id")).alias("gallery_name"))
-    out = S.bundle(events.select("event_id", "event_title"), "event_id", parts, most=20).join(venue, "event_id", "left")
+    out = S.bundle(events.select("event_id", "event_title"), "event_id", parts).join(venue, "event_id", "left")
     return out.select("event_id", "event_title", F.array_join("artists", ",").alias("artists"), "gallery_name")
 
 
 @query(f"""WITH {FULL}, p AS (SELECT DISTINCT artist_name, source_domain FROM full_ WHERE artist_name IS NOT NULL), n AS (SELECT artist_name, source_domain, raw_artwork_id, row_number() OVER (PARTITION BY artist_name, source_domain ORDER BY crawl_timestamp DESC NULLS LAST, raw_artwork_id) AS k FROM full_ WHERE artist_name IS NOT NULL)
-SELECT p.artist_name, p.source_domain, string_agg(raw_artwork_id, ',' ORDER BY k) FILTER (k <= 25) AS works FROM p JOIN n USING (artist_name, source_domain) GROUP BY 1, 2""")
+SELECT p.artist_name, p.source_domain, string_agg(raw_artwork_id, ',' ORDER BY k) FILTER (k <= 500) AS works, count(*) AS n_works FROM p JOIN n USING (artist_name, source_domain) GROUP BY 1, 2""")
 def artist_works_bundle(t):
     works = full(t).where("artist_name is not null").select(F.concat_ws("\x1f", "artist_name", "source_domain").alias("k"), F.col("crawl_timestamp").alias("turn"), F.col("raw_artwork_id").alias("item"))
     people = M.artist_profiles(full(t)).select(F.concat_ws("\x1f", "artist_name", "source_domain").alias("k"), "artist_name", "source_domain")
-    return S.bundle(people, "k", {"works": works}, most=25).select("artist_name", "source_domain", F.array_join("works", ",").alias("works"))
+    return S.bundle(people, "k", {"works": works}).select("artist_name", "source_domain", F.array_join("works", ",").alias("works"), "n_works")
 
 
 ACTIVITY = f"{EVENTS}, act AS (SELECT l.event_id, l.artist_id, l.artist_name, mev.city, mev.start_date, mev.event_title FROM links l JOIN mev USING (event_id))"

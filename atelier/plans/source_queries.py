@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,20 +9,14 @@ from atelier.operators import tables as O
 from atelier.plans import queries as Q
 from atelier.plans.queries import MART, query
 from atelier.sources import readers as R
-
-
-def scratch(df: DataFrame, what: str) -> str:
-    """A new folder in the shared one that the cluster names; below the warehouse where none is named."""
-    spark = df.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
-    return f"{base.rstrip('/')}/{what}-{uuid.uuid4().hex}"
+from atelier.sources.shared import scratch
 
 
 @query("SELECT id, source_domain, source_url, artwork_title, price_text, NULL::varchar AS institution_name, crawl_timestamp FROM a_artworks")
 def scan_raw(t):
     """Rows written without some declared columns come back with the whole schema."""
     rows = t["a_artworks"]
-    path = scratch(rows, "raw")
+    path = scratch(t.spark, "raw")
     R.materialize(rows, f"{path}/artworks")
     return R.scan_raw(t.spark, path, "artworks").select("id", "source_domain", "source_url", "artwork_title", "price_text", "institution_name", "crawl_timestamp")
 
@@ -32,13 +24,13 @@ def scan_raw(t):
 @query(f"WITH {MART} SELECT source_domain, medium_category, count(*) AS n FROM mart GROUP BY 1, 2")
 def materialize(t):
     rows = Q.mart(t).select("source_domain", "medium_category", "raw_artwork_id")
-    return R.materialize(rows, scratch(rows, "mart"), partition_by=["medium_category"]).groupBy("source_domain", "medium_category").agg(F.count("*").alias("n"))
+    return R.materialize(rows, scratch(t.spark, "mart"), partition_by=["medium_category"]).groupBy("source_domain", "medium_category").agg(F.count("*").alias("n"))
 
 
 @query("SELECT DISTINCT p_type AS keyword, p_brand AS category FROM part")
 def load_seed(t):
     rows = t["part"].select(F.col("p_type").alias("keyword"), F.col("p_brand").alias("category")).distinct()
-    path = scratch(rows, "seed")
+    path = scratch(t.spark, "seed")
     rows.write.option("header", True).csv(path)
     return R.load_seed(t.spark, path, "keyword string, category string")
 
@@ -46,7 +38,7 @@ def load_seed(t):
 @query("SELECT id, artwork_title, artist_name FROM a_artworks WHERE coalesce(artwork_title, '') <> ''")
 def read_records_json(t):
     rows = t["a_artworks"].select("id", "artwork_title", "artist_name")
-    path = scratch(rows, "records")
+    path = scratch(t.spark, "records")
     rows.write.json(path)
     return R.read_records_json(t.spark, path, ddl="id string, artwork_title string, artist_name string", require="artwork_title")
 
@@ -85,6 +77,6 @@ def empty_relation(t):
 @query("SELECT 'sources' AS part, count(*) AS lines FROM nation UNION ALL SELECT 'orders', 1")
 def write_report(t):
     nations, orders = t["nation"].select("n_name"), t["orders"].agg(F.count("*").alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
-    path = scratch(nations, "report")
+    path = scratch(t.spark, "report")
     R.write_report({"sources": nations, "orders": orders}, path)
     return t.spark.read.schema("part string, row string").json(path).groupBy("part").agg(F.count("*").alias("lines"))

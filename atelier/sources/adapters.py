@@ -213,4 +213,5 @@ def oracle(text: str) -> str:
     text = text.strip()
     if not ctes:
         return text
-    return f"WITH {ctes}, {text[5:]}" if text[:5].upper() == "WITH " else f"WITH {ctes} {text}"
+    recursive = "RECURSIVE " if text[:15].upper() == "WITH RECURSIVE " else ""
+    return f"WITH {recursive}{ctes}, {text[5 + len(recursive):]}" if text[:5].upper() == "WITH " else f"WITH {ctes} {text}"

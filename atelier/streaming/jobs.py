@@ -8,20 +8,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from atelier.operators.tables import upsert_by_key
+from atelier.streaming import buckets as B
 
 
-def stream_upsert(stream: DataFrame, target: str, checkpoint: str, *, update_cols: Sequence[str], order: Sequence[Column]) -> StreamingQuery:
-    """Merges each batch into the newest version below target; a version is named by its batch, so a repeated batch writes the same one.
+def stream_upsert(stream: DataFrame, target: str, checkpoint: str, *, update_cols: Sequence[str], order: Sequence[Column], key: Column | None = None, buckets: int = B.BUCKETS) -> StreamingQuery:
+    """Merges each batch into the bucketed table at target; a batch's number names what it writes, so a repeated batch changes nothing.
 
     Only the first batch starts from nothing; a later one whose base is missing or can't be read fails, and the stream with it.
-    Versions before the last two are not read again and may be removed.
     """
-    spark = stream.sparkSession
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        base = spark.read.schema(batch.schema).parquet(f"{target}/version={batch_id - 1}") if batch_id else batch.limit(0)
-        upsert_by_key(base, batch, update_cols=update_cols, order=order).write.mode("overwrite").parquet(f"{target}/version={batch_id}")
+        B.merge(batch, batch_id, target, update_cols=update_cols, order=order, key=key, buckets=buckets)
 
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

@@ -8,6 +8,7 @@ from atelier.operators import audit as A
 from atelier.operators import marts as M
 from atelier.operators import moderation as D
 from atelier.operators import records as R
+from atelier.operators import summaries as S
 
 SITE, LABEL = "list.example", "List.example"
 
@@ -98,7 +99,64 @@ def test_stream_needs_its_base(spark, tmp_path):
     run = lambda: S.stream_upsert(spark.readStream.schema(schema).parquet(source), out, str(tmp_path / "ck"), update_cols=["title"], order=[F.desc("ts")]).awaitTermination()
     spark.createDataFrame([("1", "d", "r", "u", "a", 1)], schema).write.parquet(source)
     run()
-    (tmp_path / "out/version=0").rename(tmp_path / "moved")
+    (tmp_path / "out/manifest/batch=0").rename(tmp_path / "moved")
     spark.createDataFrame([("2", "d", "q", "u", "b", 2)], schema).write.mode("append").parquet(source)
     with pytest.raises(Exception, match="(?i)path|exist"):
         run()
+
+
+def test_decisions_in_chains_and_cycles(spark):
+    pairs = [("b", "a"), ("c", "b"), ("d", "c"), ("x", "y"), ("y", "z"), ("z", "x"), ("t", "u"), ("u", "x"), ("s", "s"), ("r", "s"), ("m", "q"), ("m", "n"), ("n", "m"), (None, "a"), ("k", None)]
+    pairs += [(f"p{i:04}", f"p{i - 1:04}") for i in range(1, 700)] + [(f"q{i:03}", f"q{(i + 1) % 37:03}") for i in range(37)]
+    got = {r.id: r.end for r in S.decision_ends(spark.createDataFrame(pairs, "duplicate_id string, canonical_id string")).collect()}
+    want = {"b": "a", "c": "a", "d": "a", "x": "x", "y": "x", "z": "x", "t": "x", "u": "x", "s": "s", "r": "s", "m": "m", "n": "m"}
+    assert got == want | {f"p{i:04}": "p0000" for i in range(1, 700)} | {f"q{i:03}": "q000" for i in range(37)}
+    works = spark.createDataFrame([("d",), ("free",)], "raw_artwork_id string")
+    assert {(r.raw_artwork_id, r.canonical_id) for r in S.duplicate_resolution(works, spark.createDataFrame(pairs, "duplicate_id string, canonical_id string")).collect()} == {("d", "a"), ("free", "free")}
+    assert S.decision_ends(spark.createDataFrame([], "duplicate_id string, canonical_id string")).count() == 0
+
+
+def test_rules_by_grams_equal_the_nested_loop(spark):
+    rng = __import__("random").Random(4)
+    words = ["show", "hall", "Night", "éa", "a", "of light", "sho", "ow h", "zz", "night show", "  trimmed ", "", "日本の"]
+    events = [(str(i), rng.choice(["d", "e"]), rng.choice([None, "Night Show"]), " ".join(rng.choice(words) for _ in range(rng.randint(0, 6)))) for i in range(300)]
+    rules = [("event_type", p, f"v{i}", rng.choice([None, "", "d"]), round(rng.random(), 4), i, True, i) for i, p in enumerate(words * 3)] + [("other", "a", "no", None, 0.99, 1, True, 1), ("event_type", "a", "off", None, 0.99, 1, False, 1), ("event_type", None, "null", None, 0.99, 1, True, 1)]
+    e = spark.createDataFrame(events, "event_id string, source_domain string, event_title string, description string")
+    r = spark.createDataFrame(rules, "field_name string, pattern string, suggested_value string, source_domain string, confidence double, support_count int, is_active boolean, updated_at int")
+    loop, grams = D.rule_match(e, r), D.rule_match(e, r, few=0)
+    assert "BroadcastNestedLoop" in loop._jdf.queryExecution().toString() and "NestedLoop" not in grams._jdf.queryExecution().toString() and "Cartesian" not in grams._jdf.queryExecution().toString()
+    assert sorted(map(tuple, loop.collect())) == sorted(map(tuple, grams.collect())) != []
+    assert D.rule_match(e, r.limit(0), few=0).count() == 0
+
+
+def test_batches_rewrite_only_the_buckets_they_touch(spark, tmp_path):
+    from atelier.streaming import buckets as B
+
+    schema = "id string, source_domain string, source_record_id string, source_url string, title string, price string, ts int"
+    target, kept = str(tmp_path / "t"), dict(update_cols=["title", "ts"], order=[F.desc("ts"), F.desc("id")], buckets=16)
+    batch = lambda *rows: spark.createDataFrame(rows, schema)
+    first = batch(*[(str(i), "d", f"r{i}", None, "old", f"p{i}", 1) for i in range(200)])
+    B.merge(first, 0, target, **kept)
+    second = batch(("900", "d", "r7", "u", "new", "later", 3), ("901", "d", "r7", "u", "older", "x", 2), ("902", "d", None, "https://a", "added", "y", 2), ("903", None, None, None, "no key", None, 2))
+    before = {p.name for p in (tmp_path / "t/data/batch=0").iterdir() if p.name.startswith("bucket=")}
+    B.merge(second, 1, target, **kept)
+    files = lambda: {p.relative_to(tmp_path): p.stat().st_mtime_ns for p in (tmp_path / "t/data/batch=0").rglob("*.parquet")}
+    old, touched = files(), {p.name for p in (tmp_path / "t/data/batch=1").iterdir() if p.name.startswith("bucket=")}
+    assert len(before) == 16 and 1 <= len(touched) <= 3
+    rows = lambda n=None: sorted(map(tuple, B.current(spark, target, first.schema, batch_id=n).collect()), key=str)
+    want = rows()
+    assert len(want) == 202 and ("7", "d", "r7", None, "new", "p7", 3) in want and len(rows(0)) == 200
+    content = lambda: {p.parent.name: spark.read.parquet(str(p)).collect() for p in (tmp_path / "t/data/batch=1").rglob("*.parquet")}
+    once = content()
+    B.merge(second, 1, target, **kept)  # a repeated batch
+    assert content() == once and rows() == want and files() == old
+    B.merge(batch(), 2, target, **kept)
+    B.merge(batch(("7", "d", "r7", None, "last", None, 4)), 3, target, **kept)
+    want = rows()
+    assert ("7", "d", "r7", None, "last", "p7", 4) in want
+    assert B.vacuum(spark, target) > 0 and rows() == want and len(rows(2)) == 202
+    with pytest.raises(Exception, match="(?i)path|exist"):
+        rows(0)
+    with pytest.raises(ValueError, match="buckets"):
+        B.merge(second, 4, target, **(kept | {"buckets": 8}))
+    assert B.current(spark, str(tmp_path / "none"), first.schema).count() == 0

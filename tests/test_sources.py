@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from atelier.operators import tables as O
 from atelier.sources import readers as R
+from atelier.streaming import buckets as B
 from atelier.streaming import jobs as S
 
 
@@ -44,7 +45,7 @@ def test_streams(spark, tmp_path):
     for i, title in enumerate(["old", "new"]):
         spark.createDataFrame([(str(i), "d", "r", "u", title, None)], schema).withColumn("ts", F.lit(f"2024-01-0{i + 1}").cast("timestamp")).coalesce(1).write.mode("append").parquet(source)
         S.stream_upsert(spark.readStream.schema(schema).parquet(source), str(tmp_path / "out"), str(tmp_path / "ck"), update_cols=["title"], order=[F.desc("ts")]).awaitTermination()
-    assert [(r.id, r.title) for r in spark.read.parquet(str(tmp_path / "out/version=1")).collect()] == [("0", "new")]
+    assert [(r.id, r.title) for r in B.current(spark, str(tmp_path / "out"), spark.read.parquet(source).schema).collect()] == [("0", "new")]
     query = S.stream_first_seen(spark.readStream.schema(schema).parquet(source), ["source_record_id"], ts="ts", within="30 days").writeStream.format("memory").queryName("seen").trigger(availableNow=True).start()
     query.awaitTermination()
     assert spark.table("seen").count() == 1
