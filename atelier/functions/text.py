@@ -430,3 +430,53 @@ def similar(a: Column, b: Column, least: float) -> Column:
         return F.when(t["a"] == t["b"], True).when(2.0 * F.least(x, y) < least * (x + y), False).when(shared_letters(t["a"], t["b"]) < least, False).otherwise(matching_share(t["a"], t["b"]) >= least)
 
     return let(F.struct(plain(a).alias("a"), plain(b).alias("b")), decide)
+
+
+#: Headings that name a section; parts of headings that are chrome; names that are none, and how such names begin.
+SECTION_LABELS = ["artist statement", "about the artist", "selected works", "latest work", "artworks", "paintings", "prints", "drawing", "sculpture"]
+CHROME = ["recent work", "featured work", "art in south africa"]
+NO_NAMES = ["art training", "art quiz", "recent work", "featured work", "art in south africa"]
+NO_NAME_STARTS = ["art galleries", "art auctions", "watch list"]
+#: What titles add to a name.
+TITLE_NOISE = ["South African Artists", "Artist Statement", "About"]
+
+
+def artist_label(c: Column) -> Column:
+    """Whether a heading names a section rather than a person: a label, a short "about", chrome, or words with a colon; blank ones do."""
+
+    def of(low: Column) -> Column:
+        words = F.size(F.split(low, " "))
+        chrome = F.exists(F.array(*map(F.lit, CHROME)), lambda w: F.contains(low, w))
+        return (low == "") | low.isin(SECTION_LABELS) | (F.contains(low, F.lit("about ")) & (words <= 6)) | chrome | (F.contains(low, F.lit(":")) & (words > 2))
+
+    return let(F.lower(F.trim(F.regexp_replace(F.coalesce(c, F.lit("")), r"\s+", " "))), of)
+
+
+def _word(w: str) -> str:
+    return rf"(?i)\b\Q{w}\E\b"
+
+
+def artist_title(c: Column, *, site: str) -> Column:
+    """A page title's first part that is no label, without the site's name and what it adds; else its first part."""
+    plain = c
+    for w in (site, *TITLE_NOISE):
+        plain = F.regexp_replace(plain, _word(w), " ")
+    parts = F.filter(F.transform(F.split(F.regexp_replace(plain, r"\s+", " "), r"[|-]"), lambda p: F.trim(p)), lambda p: p != "")
+    return let(parts, lambda p: F.coalesce(F.try_element_at(F.filter(p, lambda x: ~artist_label(x)), F.lit(1)), F.try_element_at(p, F.lit(1))))
+
+
+def artist_name_clean(c: Column, *, site: str) -> Column:
+    """The name before any chrome that stands behind it."""
+    cut = "|".join([*CHROME, rf"[|-] \Q{site}\E"])
+    flat = F.trim(F.regexp_replace(c, r"\s+", " "))
+    return let(F.regexp_replace(F.regexp_replace(flat, rf"(?i)(?:{cut}).*$", ""), r"[ |\-–—]+$", ""), lambda x: F.nullif(x, F.lit("")))
+
+
+def artist_name_valid(c: Column, *, site: str) -> Column:
+    """Whether a name can be a person's: not blank, none of the site's own pages, no chrome."""
+
+    def of(low: Column) -> Column:
+        starts = F.exists(F.array(*map(F.lit, [site.lower(), *NO_NAME_STARTS])), lambda w: F.startswith(low, w))
+        return F.coalesce(~low.isin(NO_NAMES) & ~starts & ~F.exists(F.array(*map(F.lit, CHROME[:2])), lambda w: F.contains(low, w)), F.lit(False))
+
+    return let(F.lower(artist_name_clean(c, site=site)), of)

@@ -17,6 +17,11 @@ _BLOCKS = frozenset("article blockquote body dd div dl dt figcaption footer h1 h
 _ELEMENTS = "page_id long, url string, title string, headings array<string>, blocks array<string>, links array<struct<href: string, text: string>>, images array<struct<src: string, alt: string, title: string>>, meta array<struct<name: string, content: string>>, json_ld array<string>"
 
 
+_TREE = "array<struct<at: int, last: int, up: int, tag: string, classes: string, id: string, mark: string, text: string>>"
+_VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+_UNREAD = frozenset(("script", "style", "noscript", "template"))
+
+
 class _Page(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
@@ -70,16 +75,84 @@ class _Page(HTMLParser):
             self.link["text"] = " ".join((self.link["text"] + data).split())
 
 
-def page_elements(pages: DataFrame) -> DataFrame:
-    """Title, headings, text blocks, links, images, meta fields and JSON-LD texts of each page; null html has none."""
+class _Tree(_Page):
+    """The page with its nodes in document order: an element's own place (from 1), its subtree's last place and its parent's place (0: none).
+
+    Texts are nodes of tag #text. classes is the class words between blanks, mark the itemprop and data-testid, as name=value between blanks.
+    An end tag closes what is open inside its element; one that closes nothing is left out. A block closes an open paragraph, a list item the one before it.
+    """
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.tree: list[dict] = []
+        self.open: list[dict] = []
+
+    def _node(self, tag: str, **more: str) -> dict:
+        at = len(self.tree) + 1
+        node = {"at": at, "last": at, "up": self.open[-1]["at"] if self.open else 0, "tag": tag, "classes": "", "id": "", "mark": "", "text": None} | more
+        self.tree.append(node)
+        return node
+
+    def _close(self, depth: int) -> None:
+        for node in self.open[depth:]:
+            node["last"] = len(self.tree)
+        del self.open[depth:]
+
+    def _innermost(self, tag: str, stop: tuple[str, ...] = ()) -> int | None:
+        for depth in range(len(self.open) - 1, -1, -1):
+            if self.open[depth]["tag"] == tag:
+                return depth
+            if self.open[depth]["tag"] in stop:
+                return None
+        return None
+
+    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        links, images = len(self.links), len(self.images)
+        super().handle_starttag(tag, attrs)
+        closes = self._innermost("p", ("table", "td", "button")) if tag in _BLOCKS else None
+        if closes is None and tag in ("li", "dt", "dd", "option"):
+            closes = self._innermost(tag, ("ul", "ol", "dl", "select"))
+        if closes is not None:
+            self._close(closes)
+        a = {k: v or "" for k, v in attrs}
+        node = self._node(tag, classes=f" {' '.join(a.get('class', '').split())} ", id=a.get("id", ""), mark="".join(f" {k}={a[k].strip()} " for k in ("itemprop", "data-testid") if a.get(k)))
+        for found in (*self.links[links:], *self.images[images:]):
+            found["at"] = node["at"]
+        if tag not in _VOID:
+            self.open.append(node)
+
+    def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        self.handle_starttag(tag, attrs)
+        if tag not in _VOID:
+            self.handle_endtag(tag)
+
+    def handle_endtag(self, tag: str) -> None:
+        super().handle_endtag(tag)
+        if (depth := self._innermost(tag)) is not None:
+            self._close(depth)
+
+    def handle_data(self, data: str) -> None:
+        super().handle_data(data)
+        if not (self.open and self.open[-1]["tag"] in _UNREAD) and data.strip():
+            self._node("#text", text=" ".join(data.split()))
+
+    def close(self) -> None:
+        super().close()
+        self._close(0)
+
+
+def page_elements(pages: DataFrame, *, tree: bool = False) -> DataFrame:
+    """Title, headings, text blocks, links, images, meta fields and JSON-LD texts of each page, and on demand its tree; null html has none."""
+    kind = _ELEMENTS.replace("href: string, text: string", "href: string, text: string, at: int").replace("title: string>>", "title: string, at: int>>") + f", tree {_TREE}" if tree else _ELEMENTS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = pa.list_(pa.string())
-        pairs = lambda *names: pa.list_(pa.struct([(n, pa.string()) for n in names]))
+        pairs = lambda *names: pa.list_(pa.struct([(n, pa.string()) for n in names] + [("at", pa.int32())] * (tree and names[0] in ("href", "src"))))
+        nodes = pa.list_(pa.struct([(n, pa.int32()) for n in ("at", "last", "up")] + [(n, pa.string()) for n in ("tag", "classes", "id", "mark", "text")]))
         for batch in batches:
             done = []
             for html in batch.column("html").to_pylist():
-                page = _Page()
+                page = _Tree() if tree else _Page()
                 page.feed(html or "")
                 page.close()
                 page.flush()
@@ -88,9 +161,10 @@ def page_elements(pages: DataFrame) -> DataFrame:
                 batch.column("page_id"), batch.column("url"), pa.array([p.title or None for p in done], pa.string()), pa.array([p.headings for p in done], texts), pa.array([p.blocks for p in done], texts),
                 pa.array([p.links for p in done], pairs("href", "text")), pa.array([p.images for p in done], pairs("src", "alt", "title")), pa.array([p.meta for p in done], pairs("name", "content")), pa.array([p.json_ld for p in done], texts),
             ]
-            yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in "page_id url title headings blocks links images meta json_ld".split()])
+            more = [pa.array([p.tree for p in done], nodes)] if tree else []
+            yield pa.RecordBatch.from_arrays(columns + more, names=["page_id", "url", "title", "headings", "blocks", "links", "images", "meta", "json_ld", *["tree"] * tree])
 
-    return pages.select(F.col("page_id").cast("long"), "url", "html").mapInArrow(run, _ELEMENTS)
+    return pages.select(F.col("page_id").cast("long"), "url", "html").mapInArrow(run, kind)
 
 
 def absolute(base: Column, href: Column) -> Column:
@@ -109,13 +183,14 @@ def page_links(elements: DataFrame, classes: dict[str, str]) -> DataFrame:
     return links.select("page_id", url.alias("url")).where("url is not null").distinct().withColumn("class", kind)
 
 
-def json_ld(elements: DataFrame, kind: str) -> DataFrame:
-    """(page_id, url, item) of the JSON-LD objects of a type: single documents, arrays and graphs."""
-    docs = elements.select("page_id", "url", F.explode("json_ld").alias("j"))
+def json_ld(elements: DataFrame, kind: str, *, keep: list[str] | None = None) -> DataFrame:
+    """(page_id, url, item) of the JSON-LD objects of a type: single documents, arrays and graphs; and the page's columns that are to be kept."""
+    keep = keep or []
+    docs = elements.select("page_id", "url", *keep, F.explode("json_ld").alias("j"))
     one = F.from_json("j", "`@type` string, `@graph` array<string>")
     many = F.from_json("j", "array<string>")
     items = F.when(F.ltrim("j").startswith("["), many).when(one["@graph"].isNotNull(), one["@graph"]).otherwise(F.array("j"))
-    found = docs.select("page_id", "url", F.explode(items).alias("item"))
+    found = docs.select("page_id", "url", *keep, F.explode(items).alias("item"))
     return found.where(F.get_json_object("item", "$.@type") == kind)
 
 
@@ -124,7 +199,7 @@ def json_ld_artworks(elements: DataFrame) -> DataFrame:
     get = lambda path: F.nullif(F.trim(F.get_json_object("item", path)), F.lit(""))
     creator = F.coalesce(get("$.creator.name"), get("$.creator[0].name"), get("$.creator[0]"), F.when(~get("$.creator").rlike(r"^[\[{]"), get("$.creator")))
     creator = F.when(~creator.startswith("{"), creator)
-    rows = json_ld(elements, "VisualArtwork").join(elements.select("page_id", "headings", "images"), "page_id")
+    rows = json_ld(elements, "VisualArtwork", keep=["headings", "images"])
     image = absolute(F.col("url"), F.coalesce(get("$.image.url"), F.when(~get("$.image").rlike(r"^[\[{]"), get("$.image")), F.get(F.col("images"), F.lit(0))["src"]))
     place = F.coalesce(get("$.locationCreated.address.addressLocality"), get("$.locationCreated.name"))
     return rows.select(
@@ -183,8 +258,9 @@ def events(elements: DataFrame) -> DataFrame:
     return blocks.withColumn("d", d).where("d.start_date is not null").select("page_id", "position", F.trim(F.regexp_extract("b", r"^(.*?)\s*[0-9]{1,2} [A-Za-z]{3,9} [0-9]{4}", 1)).alias("title"), "d.start_date", "d.end_date", F.col("b").alias("description"))
 
 
-def extraction_stats(rows: DataFrame, reason: Column) -> DataFrame:
-    return rows.groupBy(reason.alias("reason")).agg(F.count("*").alias("n"))
+def extraction_stats(rows: DataFrame, reason: Column, *, by: list[str] | None = None) -> DataFrame:
+    """Rows by reason, and by the columns of `by` (as the artist) before it."""
+    return rows.groupBy(*(by or []), reason.alias("reason")).agg(F.count("*").alias("n"))
 
 
 def event_page(elements: DataFrame, *, cities: list[str]) -> DataFrame:
