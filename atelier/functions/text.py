@@ -480,3 +480,23 @@ def artist_name_valid(c: Column, *, site: str) -> Column:
         return F.coalesce(~low.isin(NO_NAMES) & ~starts & ~F.exists(F.array(*map(F.lit, CHROME[:2])), lambda w: F.contains(low, w)), F.lit(False))
 
     return let(F.lower(artist_name_clean(c, site=site)), of)
+
+
+#: Fields of an event's payload that name people, the first of them counts.
+PAYLOAD_NAMES = ["artists", "artist", "participants", "performers"]
+
+
+def payload_texts(payload: Column, keys: list[str] | None = None) -> Column:
+    """The texts of a JSON payload's first field that has any: a text, a list of texts, an object with a name, or a list of those. Anything else, and what isn't JSON, has none."""
+    none = F.expr(_NO_TEXTS)
+
+    def text(v: Column) -> Column:
+        kind = F.schema_of_variant(v)
+        return F.when(kind == "STRING", F.try_variant_get(v, "$", "string")).when(kind.startswith("OBJECT"), let(F.try_variant_get(v, "$.name", "variant"), lambda n: F.when(F.schema_of_variant(n) == "STRING", F.try_variant_get(n, "$", "string"))))
+
+    def of(v: Column, k: str) -> Column:
+        many = F.try_variant_get(v, f"$.{k}", "array<variant>")
+        found = F.when(many.isNotNull(), F.transform(many, text)).otherwise(let(F.try_variant_get(v, f"$.{k}", "variant"), lambda x: F.array(text(x))))
+        return let(F.filter(found, lambda t: F.coalesce(F.trim(t) != "", F.lit(False))), lambda ts: F.when(F.size(ts) > 0, ts))
+
+    return let(F.try_parse_json(payload), lambda v: F.coalesce(*(of(v, k) for k in keys or PAYLOAD_NAMES), none))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from atelier.functions import text as X
+from atelier.sources.shared import written
 
 
 def record_score(fields: Sequence[str]) -> Column:
@@ -79,6 +80,26 @@ def stable_match(before: DataFrame, after: DataFrame, keys: Sequence[Column], or
     return audit_match(before.withColumn("_key", own), after.withColumn("_key", own), ["_key"], order)
 
 
+def residual_match(before: DataFrame, after: DataFrame, keys: Sequence[Column], *, on: str, order: Sequence[str]) -> DataFrame:
+    """(b_<on>, a_<on>, level): pairs by the first key, then of what is left by the second, and so on; what no key pairs has no level.
+
+    Within a key's value the first rows of both sides meet, then the second, in the given order. Rows with a blank key wait for the next.
+    `on` is unique on either side.
+    """
+    left, pairs = {"b": before, "a": after}, None
+    for level, key in enumerate(keys):
+        ranked = {}
+        for side, df in left.items():
+            keyed = df.withColumn("_key", key).where(~X.blank(F.col("_key")))
+            ranked[side] = keyed.select("_key", F.row_number().over(Window.partitionBy("_key").orderBy(*order)).alias("_n"), F.col(on).alias(f"{side}_{on}"))
+        found = written(ranked["b"].join(ranked["a"], ["_key", "_n"]).select(f"b_{on}", f"a_{on}", F.lit(level).alias("level")), "pairs")
+        pairs = found if pairs is None else pairs.unionByName(found)
+        left = {side: df.join(found.select(F.col(f"{side}_{on}").alias(on)), on, "left_anti") for side, df in left.items()}
+    for side, df in left.items():
+        pairs = pairs.unionByName(df.select(F.col(on).alias(f"{side}_{on}")), allowMissingColumns=True)
+    return pairs
+
+
 def breaking(df: DataFrame, rule: Column) -> DataFrame:
     """Rows for which a rule does not hold; a rule that is null does not hold."""
     return df.where(~F.coalesce(rule, F.lit(False)))
@@ -143,6 +164,22 @@ def ingest_gate(df: DataFrame, *, run_id: str, as_of: str, recent: str, minimum:
     return counts.select(n.alias("records"), (n >= minimum).alias("passed"), F.when(n < minimum, "too few records").when(F.col("strict") > 0, "run").otherwise("recent").alias("reason"))
 
 
+def city_gate(events: DataFrame, *, domain: str, since: str, as_of: str, recent: str, cities: Sequence[str], galleries: DataFrame | None = None, per_city: bool = True) -> DataFrame:
+    """(records, cities_with_records, galleries, passed, reason) of a domain's events in the configured cities: those since the run began or, without any, those of the recent interval.
+
+    It passes with a record, with a city of recent records (unless per_city is off) and, where galleries are given, with a gallery of the same time.
+    """
+    key, wanted = F.lower(F.trim("city")), [c.lower() for c in cities]
+    began, lately = F.lit(since).cast("timestamp"), F.lit(as_of).cast("timestamp") - F.expr(f"INTERVAL {recent}")
+    counts = lambda df, extra: df.where((F.col("source_domain") == domain) & key.isin(wanted)).agg(F.count_if(F.col("crawl_timestamp") >= began).alias("_strict"), F.count_if(F.col("crawl_timestamp") >= lately).alias("_recent"), *extra)
+    either = F.when(F.col("_strict") > 0, F.col("_strict")).otherwise(F.col("_recent"))
+    e = counts(events, [F.count_distinct(F.when(F.col("crawl_timestamp") >= lately, key)).alias("cities_with_records")]).select(either.alias("records"), "cities_with_records", F.when(F.col("_strict") > 0, "run").otherwise("recent").alias("_by"))
+    g = (counts(galleries, []).select(either.alias("galleries")) if galleries is not None else events.sparkSession.range(1).select(F.lit(None).cast("long").alias("galleries")))
+    both = e.join(F.broadcast(g))  # one row each
+    reason = F.when(F.col("records") == 0, "no records").when(F.lit(per_city) & (F.col("cities_with_records") == 0), "no city").when(F.col("galleries") == 0, "no galleries")
+    return both.select("records", "cities_with_records", "galleries", reason.isNull().alias("passed"), F.coalesce(reason, F.col("_by")).alias("reason"))
+
+
 def freshness(df: DataFrame, *, as_of: str, warn: int = 7, error: int = 30) -> DataFrame:
     """(source_domain, last_seen, age_days, status) against the day given."""
     last = df.groupBy("source_domain").agg(F.max("crawl_timestamp").alias("last_seen"))

@@ -95,9 +95,12 @@ def int_artists(raw: DataFrame) -> DataFrame:
     return cleaned.withColumn("normalized_artist_name", X.normalize_person_name(F.col("artist_name"))).where("normalized_artist_name is not null")
 
 
-def mentions(events: DataFrame, cols: Sequence[str] = ("event_title", "description"), *, split_on_and: bool = False) -> DataFrame:
-    """Distinct (event_id, candidate, normalized) of the given text columns, in one pass."""
-    tokens = F.explode(F.flatten(F.array(*(X.tokenize_mentions(F.col(c), split_on_and=split_on_and) for c in cols))))
+def mentions(events: DataFrame, cols: Sequence[str] = ("event_title", "description"), *, split_on_and: bool = False, payload: str | None = None) -> DataFrame:
+    """Distinct (event_id, candidate, normalized) of the given text columns, and of the people that a payload names, in one pass."""
+    parts = [X.tokenize_mentions(F.col(c), split_on_and=split_on_and) for c in cols]
+    if payload:
+        parts.append(F.flatten(F.transform(X.payload_texts(F.col(payload)), lambda x: X.tokenize_mentions(x, split_on_and=split_on_and))))
+    tokens = F.explode(F.flatten(F.array(*parts)))
     found = events.select("event_id", tokens.alias("candidate_artist_name")).withColumn("normalized_candidate_artist_name", X.normalize_person_name(F.col("candidate_artist_name")))
     return found.where("normalized_candidate_artist_name is not null").distinct()
 

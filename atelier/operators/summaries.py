@@ -61,6 +61,13 @@ def review_order(groups: DataFrame, reviews: DataFrame) -> DataFrame:
     return groups.join(first, "artwork_id", "left").orderBy(*order)
 
 
+def domain_candidates(profiles: DataFrame, records: DataFrame, raw: DataFrame, *, site: str) -> DataFrame:
+    """(artist_name, source_domain, last_seen): the domains of each artist in the profiles, in the records (by their original name) and in the raw works, the newest time of each; rows without domain are the site's."""
+    newest = lambda df, name: df.groupBy(F.col(name).alias("artist_name"), F.coalesce("source_domain", F.lit(site)).alias("source_domain")).agg(F.max("crawl_timestamp").alias("last_seen"))
+    three = profiles.select("artist_name", "source_domain", "last_seen").unionByName(newest(records, "original_artist_name")).unionByName(newest(raw, "artist_name"))
+    return three.where("artist_name is not null").groupBy("artist_name", "source_domain").agg(F.max("last_seen").alias("last_seen"))
+
+
 def best_domain(candidates: DataFrame) -> DataFrame:
     """The newest domain of each artist (artist_name, source_domain, last_seen)."""
     return latest_per_key(candidates, ["artist_name"], [F.desc_nulls_last("last_seen"), F.asc("source_domain")]).select("artist_name", "source_domain")

@@ -158,6 +158,27 @@ SELECT cast(id AS bigint) AS page_id, 'https://www.' || lower(n_name) || '.examp
   || '<body><h1>Artworks</h1><h2>' || seo || '</h2><p>Venue: ' || c_name || ' Hall</p><p>Address: ' || id || ' Main Road</p><p>Artists: Anna Bee &amp; Carl Dee</p><p><a href="/artists/anna-bee/">Anna Bee</a> <a href="mailto:Hall' || id || '@x.example">write</a></p><p>' || shown || '</p><p>' || opening || '</p>'
   || '<p>' || byline || ' - a long paragraph about the work of the people whom the hall shows this year, with more words than a heading has.</p><img src="/img/red-sea-' || id || '.jpg"><img src="/img/logo.png"><img src="/img/' || id || '.png" alt="Blue ' || id || '"></body></html>' AS html
 FROM a_phrases
+""",
+    "a_profile_pages": """
+SELECT cast(id AS bigint) AS page_id, 'https://www.' || lower(n_name) || '.example/artist-' || id || '/' AS url,
+  '<html><head><title>' || c_name || ' | Guide</title></head><body><nav>Home Artists</nav><main><h1>' || CASE k % 2 WHEN 0 THEN c_name ELSE 'Selected Works' END || '</h1>'
+  || CASE k % 3 WHEN 0 THEN '<div class="wide about"><p>Painter from ' || n_name || ' whose canvases of ' || cast(y AS string) || ' layer memory and migration.</p></div>'
+    WHEN 1 THEN '<h2>About the artist</h2><p>Painter from ' || n_name || ' whose canvases of ' || cast(y AS string) || ' layer memory and migration.</p><p>Born on the coast.<p>Lives inland.</p><h2>Shows</h2><p>Shows are listed elsewhere on this site for the time being.</p>' ELSE '' END
+  || '<img src="/artist-' || id || '/one.jpg" alt="One ' || id || '"><img src="/artist-' || id || '/studio.jpg"><img src="/img/free.jpg"><img src="/img/logo.png"><img src="https://cdn.example/artist-' || id || '/far.jpg"></main></body></html>' AS html
+FROM a_phrases
+""",
+    "a_venue_pages": """
+SELECT cast(id AS bigint) AS page_id, 'https://www.' || lower(n_name) || '.example/events/show-' || id AS url,
+  '<html><head><title>Show ' || id || ' - Solo Show at ' || n_name || ' Hall in Town ' || cast(y AS string) || '</title></head><body><main><h1>' || CASE k % 3 WHEN 2 THEN 'Save  Event' ELSE 'Night ' || id END || '</h1><p>' || shown || '</p>'
+  || CASE k % 3 WHEN 0 THEN '<div class="location"><span itemprop="name">Hall ' || id || '</span><span itemprop="streetAddress">' || id || ' Way</span><span itemprop="addressLocality">' || n_name || '</span></div>'
+    WHEN 1 THEN '<section class="the-venue"><h3>Room ' || id || '</h3><p>Address: ' || id || ' Main Road</p><p>City: ' || n_name || '</p><p>Country: Land</p><a href="https://room' || id || '.example/">site</a><a href="https://instagram.com/room' || id || '">i</a></section>' ELSE '<div class="venue"><p>Share</p></div>' END
+  || '</main><footer><a href="https://facebook.com/listing">f</a></footer></body></html>' AS html
+FROM a_phrases
+""",
+    "a_event_payloads": """
+SELECT cast(o_orderkey AS string) AS id, CASE o_orderkey % 9 WHEN 0 THEN '{"artists": "' || c_name || ' & Jo Bee, Tickets"}' WHEN 1 THEN '{"artists": ["' || c_name || '", "Ann Lee", "", 7]}' WHEN 2 THEN '{"artist": "", "participants": [{"name": "' || c_name || '", "url": "x"}, {"name": "Sam Ray"}, {"id": 3}]}'
+  WHEN 3 THEN '{"performers": {"name": "' || c_name || '"}}' WHEN 4 THEN '{"artists": [], "artist": "' || c_name || '"}' WHEN 5 THEN '{"artists": 12}' WHEN 6 THEN '["' || c_name || '"]' WHEN 7 THEN '{"artists": "' || c_name ELSE NULL END AS payload
+FROM orders JOIN customer ON o_custkey = c_custkey
 """,
 }
 
