@@ -4,10 +4,10 @@ The standard library's parser streams its events; block tags end a line, and a l
 characters, those of links left out, over its tags. Subtrees that never hold article text (menus, adverts, forms, comments,
 ...) are left out by tag, role, and class or id words. The ratios of what remains are smoothed with a Gaussian; lines over
 the threshold (the ratios' standard deviation, at most their mean) form clusters; a run of lines of link text alone is in
-none. The clusters choose twice. They choose the regions: an <article> or <main> that holds none goes, unless no other
-does. And they choose the lines: a region keeps its clusters and the short lines of text of its own around them (titles,
-captions, names), but no run of links; a page without a region keeps the clusters' lines and the gaps of up to `gap` such
-lines between them.
+none. The clusters choose the region: from the page down, the container that holds most of the clusters' characters is entered,
+whatever its tag is, and an <article> or <main> that is reached so is the region. Where no container holds most, each one
+that holds a cluster stays, and so does what stands directly beside them, from the first cluster to the last and `gap` short lines around.
+Inside a region all lines stay but runs of links before its first cluster and after its last; a heading right before it belongs to it.
 """
 
 from __future__ import annotations
@@ -38,8 +38,13 @@ WORDS = frozenset(
     sidebar social sponsor sponsored subscribe toolbar widget""".split()
 )
 MAIN = frozenset(["article", "main"])
+#: What holds blocks of text rather than being one.
+CONTAINERS = frozenset("article center div main section table tbody td tr".split())
+HEADINGS = frozenset("h1 h2 h3".split())
 #: Share of a line's characters in links from which it is a link.
 LINKED = 0.9
+#: Share of the clusters' characters that a container has to hold to be entered.
+MOST = 0.6
 
 
 def _boilerplate(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
@@ -58,38 +63,40 @@ def _boilerplate(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
 
 
 class Lines(HTMLParser):
-    """lines: (text, tags, region, characters in links), region being the number of the outermost article or main, or 0.
+    """lines: (text, tags, characters in links, container, whether it is a heading), container being the number of the innermost open one.
 
-    places holds where each tag's open elements stand, so an event costs the same however many elements are open.
+    above holds each container's own container, and marked those that are an article or main; 0 is the page. places holds where each
+    tag's open elements stand, so an event costs the same however many elements are open.
     """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int, int]] = []
+        self.lines: list[tuple[str, int, int, int, bool]] = []
         self.parts: list[str] = []
         self.linked = 0
         self.tags = 0
         self.open: list[str] = []
         self.places: dict[str, list[int]] = defaultdict(list)
         self.skip_from = -1  # depth of the boilerplate subtree, or -1
-        self.region_from = -1
-        self.region = self.regions = 0
+        self.above, self.marked = [0], {0: False}
+        self.inside: list[tuple[int, int]] = []  # depth and number of the open containers
 
     def end_line(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            self.lines.append((text, self.tags, self.region, min(self.linked, len(text))))
+            self.lines.append((text, self.tags, min(self.linked, len(text)), self.inside[-1][1] if self.inside else 0, any(self.places[h] for h in HEADINGS)))
             self.tags = 0
         self.parts, self.linked = [], 0
 
     def close_to(self, depth: int) -> None:
+        if self.inside and depth <= self.inside[-1][0] and self.skip_from < 0:
+            self.end_line()
         while len(self.open) > depth:
             self.places[self.open.pop()].pop()
+        while self.inside and depth <= self.inside[-1][0]:
+            self.inside.pop()
         if depth <= self.skip_from:
             self.skip_from = -1
-        if depth <= self.region_from:
-            self.end_line()
-            self.region_from, self.region = -1, 0
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in BLOCKS or tag in SKIPPED:
@@ -108,11 +115,12 @@ class Lines(HTMLParser):
         if self.skip_from < 0:
             if _boilerplate(tag, attrs):
                 self.skip_from = len(self.open) - 1
-            elif self.region_from < 0 and (tag in MAIN or ("role", "main") in attrs or ("itemprop", "articleBody") in attrs):
+            elif tag in CONTAINERS or ("role", "main") in attrs or ("itemprop", "articleBody") in attrs:
                 self.end_line()
-                self.region_from = len(self.open) - 1
-                self.regions += 1
-                self.region = self.regions
+                number = len(self.above)
+                self.above.append(self.inside[-1][1] if self.inside else 0)
+                self.marked[number] = tag in MAIN or tag not in CONTAINERS or ("role", "main") in attrs or ("itemprop", "articleBody") in attrs
+                self.inside.append((len(self.open) - 1, number))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
@@ -146,6 +154,70 @@ def smoothed(ratios: list[float], sigma: float) -> list[float]:
     return out
 
 
+def _held(lines: list[tuple[str, int, int, int, bool]], above: list[int], content: list[bool]) -> tuple[list[int], list[list[int]]]:
+    """Of each container: the clusters' characters in it, and the containers in it that hold any. A container's number is above that of its own."""
+    held, inner = [0] * len(above), [[] for _ in above]
+    for (text, _, _, box, _), c in zip(lines, content, strict=True):
+        held[box] += len(text) * c
+    for box in range(len(above) - 1, 0, -1):
+        held[above[box]] += held[box]
+    for box in range(1, len(above)):
+        if held[box]:
+            inner[above[box]].append(box)
+    return held, inner
+
+
+def _region(held: list[int], inner: list[list[int]], marked: dict[int, bool]) -> int:
+    """The container that most of the clusters' characters lead to, an article or main at most."""
+    at = 0
+    while not marked[at]:
+        best = max(inner[at], key=lambda box: held[box], default=0)
+        if not best or held[best] < MOST * held[at]:
+            break
+        at = best
+    return at
+
+
+def _chosen(lines: list[tuple[str, int, int, int, bool]], above: list[int], marked: dict[int, bool], content: list[bool], listed: list[bool], gap: int) -> list[int]:
+    held, inner = _held(lines, above, content)
+    if not held[0]:  # no cluster at all: what articles there are, if any
+        boxes = {box for box, m in marked.items() if m}
+        child = _children(above, boxes)
+        return [i for i, x in enumerate(lines) if child[x[3]] and not listed[i]]
+    region = _region(held, inner, marked)
+    whole = region != 0 and (marked[region] or not inner[region])
+    parts = {region} if whole else set(inner[region])
+    of = _children(above, {region} if region else set())
+    part = _children(above, parts)
+    first, last = next(i for i, c in enumerate(content) if c), len(lines) - 1 - next(i for i, c in enumerate(reversed(content)) if c)
+    own = [i for i, x in enumerate(lines) if part[x[3]]]
+    if whole:
+        keep = set(own)
+    else:  # those beside the parts, directly in the region
+        beside = [i for i, x in enumerate(lines) if x[3] == region]
+        keep = set(own) | {i for i in beside if first - gap <= i <= last + gap and (region or first <= i <= last or not listed[i])}
+    if region and own:
+        inside = [i for i, x in enumerate(lines) if of[x[3]]]
+        before = inside[0] - 1
+        while before >= 0 and lines[before][4] and not listed[before]:
+            keep.add(before)
+            before -= 1
+    ends: dict[int, list[int]] = {}
+    for i in sorted(keep):
+        if content[i]:
+            ends.setdefault(part[lines[i][3]], [i, i])[1] = i
+    # runs of links stay between the clusters of their part
+    return [i for i in sorted(keep) if not listed[i] or (part[lines[i][3]] in ends and ends[part[lines[i][3]]][0] < i < ends[part[lines[i][3]]][1])]
+
+
+def _children(above: list[int], boxes: set[int]) -> list[int]:
+    """The box of each container that it is or lies in, else 0."""
+    out = [0] * len(above)
+    for box in range(1, len(above)):
+        out[box] = out[above[box]] or (box if box in boxes else 0)
+    return out
+
+
 def main_text(html: str | None, *, sigma: float = 1.0, gap: int = 2) -> tuple[str, int, int]:
     """The text, the page's lines outside boilerplate, and the lines kept."""
     if not html:
@@ -157,27 +229,17 @@ def main_text(html: str | None, *, sigma: float = 1.0, gap: int = 2) -> tuple[st
     lines = parser.lines
     if not lines:
         return "", 0, 0
-    ratios = [(len(text) - linked) / max(1, tags) for text, tags, _, linked in lines]
+    ratios = [(len(text) - linked) / max(1, tags) for text, tags, linked, _, _ in lines]
     mean = sum(ratios) / len(ratios)
     threshold = min(mean, math.sqrt(sum((r - mean) ** 2 for r in ratios) / len(ratios)))
-    links = [LINKED * len(text) <= linked for text, _, _, linked in lines]
+    links = [LINKED * len(text) <= linked for text, _, linked, _, _ in lines]
     listed = list(links)  # a link alone among text is part of it; several in a row are a list
     for i in range(len(lines)):
         listed[i] = links[i] and bool(0 < i and links[i - 1] or i + 1 < len(lines) and links[i + 1])
-    content = [r >= threshold and r > 0 and not run for r, run in zip(smoothed(ratios, sigma), listed, strict=True)]
-    regions = {region for (_, _, region, _), c in zip(lines, content, strict=True) if c and region}
-    if not regions:  # the clusters lie outside: a page whose articles are empty, or has none
-        regions = {region for _, _, region, _ in lines if region}
-    if regions:
-        kept = [text for (text, _, region, _), ends in zip(lines, listed, strict=True) if region in regions and not ends]
-    else:
-        at = [i for i, c in enumerate(content) if c and ratios[i] >= threshold]
-        keep = set(at)
-        for a, b in zip(at, at[1:], strict=False):
-            if b - a <= gap + 1:
-                keep.update(i for i in range(a, b) if not listed[i])
-        kept = [lines[i][0] for i in sorted(keep)]
-    return " ".join(kept), len(lines), len(kept)
+    # a cluster's own lines; what is over the threshold by its neighbours alone chooses nothing
+    content = [s >= threshold and r >= threshold and r > 0 and not run for s, r, run in zip(smoothed(ratios, sigma), ratios, listed, strict=True)]
+    kept = _chosen(lines, parser.above, parser.marked, content, listed, gap)
+    return " ".join(lines[i][0] for i in kept), len(lines), len(kept)
 
 
 def extract(pages: DataFrame, *, sigma: float = 1.0, gap: int = 2) -> DataFrame:

@@ -599,9 +599,11 @@ MENU = "".join(f"<li><a href='/{i}'>Section {i}</a></li>" for i in range(12))
 
 @pytest.mark.parametrize(
     ("page", "want"),
-    [  # no article: the clusters alone; with one: its link lists go, its captions, names and links in a sentence stay
+    [  # no article: the clusters alone; with one: link lists before and after its clusters go, those between them, captions, names and links in a sentence stay
         (f"<body><ul>{MENU}</ul><div>{''.join(f'<p>{x}</p>' for x in LONG)}</div><div><a href='/a'>About</a></div><ul>{MENU}</ul></body>", " ".join(LONG)),
-        (f"<body><ul>{MENU}</ul><article><h1>Bridge</h1><p>{LONG[0]}</p><ul>{MENU}</ul><p>{LONG[1]}</p><p>A caption</p><p>{LONG[2]}</p><p>By J. Doe</p></article></body>", f"Bridge {LONG[0]} {LONG[1]} A caption {LONG[2]} By J. Doe"),
+        (f"<body><ul>{MENU}</ul><article><ul>{MENU}</ul><h1>Bridge</h1><p>{LONG[0]}</p><ul>{MENU}</ul><p>{LONG[1]}</p><p>A caption</p><p>{LONG[2]}</p><p>By J. Doe</p><ul>{MENU}</ul></article></body>", f"Bridge {LONG[0]} {' '.join(f'Section {i}' for i in range(12))} {LONG[1]} A caption {LONG[2]} By J. Doe"),
+        (f"<body><div><ul>{MENU}</ul></div><h1>Bridge</h1><div><div><p>{LONG[0]}</p><p>{LONG[1]}</p><p>Short</p></div></div><div><p>Imprint</p></div></body>", f"Bridge {LONG[0]} {LONG[1]} Short"),
+        (f"<body><div><p>{LONG[0]}</p><p>A</p></div><div>{MENU}</div><div><p>{LONG[1]}</p><p>B</p></div><div><p>{LONG[2]}</p><p>C</p></div><div>Tail</div></body>", f"{LONG[0]} A {LONG[1]} B {LONG[2]} C"),
         (f"<body><article><p>{LONG[0]} See <a href='/x'>the plan</a>.</p><p><a href='/y'>A link of its own</a></p><p>{LONG[1]}</p></article></body>", f"{LONG[0]} See the plan. A link of its own {LONG[1]}"),
         (f"<body><article><a href='/1'>Next story</a><br><a href='/2'>Last story</a></article><article><p>{LONG[0]}</p><p>{LONG[1]}</p></article></body>", f"{LONG[0]} {LONG[1]}"),
         (f"<body><main><div class='sidebar'><p>{LONG[2]}</p></div><p>{LONG[0]} a &lt; b &amp; c&nbsp;&#233;</p><form><p>{LONG[1]}</p></form></main></body>", f"{LONG[0]} a < b & c é"),
@@ -611,6 +613,24 @@ def test_clusters_choose(page, want):
     assert htmltext.main_text(page)[0] == want
 
 
+@pytest.mark.parametrize(("tags", "bare"), [("article|main", False), ("article|main", True), ("article|main|nav|header|footer|aside|form", True)])
+def test_clusters_find_the_article_without_its_marks(tags, bare):
+    """The given pages with <article> (then classes, then all tags that say what they hold) turned into <div>: what was the article is still found."""
+    import html
+
+    import duckdb
+
+    shares = []
+    for (page,) in duckdb.sql("SELECT html FROM '/root/testdata/sf0.01/pages.parquet'").fetchall():
+        want = Counter(html.unescape(re.sub(r"<[^>]*>", " ", re.search(r"<article>(.*?)</article>", page, re.S)[1])).split())
+        page = re.sub(rf"<(/?)({tags})\b", r"<\1div", page)
+        got = Counter(htmltext.main_text(re.sub(r'\s(class|id|role)="[^"]*"', "", page) if bare else page)[0].split())
+        same = (got & want).total()
+        shares.append((same / max(1, got.total()), same / want.total()))
+    precision, recall = (sum(x) / len(shares) for x in zip(*shares, strict=True))
+    assert precision >= 0.95 and recall >= 0.95
+
+
 def test_main_text_of_very_long_pages():
     """Time grows with the page, also where nothing is closed."""
     import time
