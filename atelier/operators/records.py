@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from atelier.functions import text as X
 from atelier.operators import marts as M
-from atelier.operators.tables import latest_per_key
+from atelier.operators.tables import first_rows, latest_per_key
+from atelier.sources.shared import written
 
 
 def cleaned(df: DataFrame, columns: str, *, keep: str = "") -> DataFrame:
@@ -67,20 +68,39 @@ def public_records(records: DataFrame, flags: DataFrame) -> DataFrame:
 # ---- galleries
 
 
-_GALLERY = "gallery_id gallery_name original_gallery_name gallery_address city country source_domain source_url gallery_record_type phone email website_url instagram_url facebook_url crawl_timestamp".split()
+_GALLERY = "gallery_id gallery_name original_gallery_name gallery_address city country source_domain source_url gallery_record_type phone email website_url instagram_url facebook_url raw_payload crawl_timestamp".split()
+#: What a reviewer may say about a gallery.
+CANONICAL = [f"canonical_{c}" for c in "gallery_name gallery_type address city country phone email website_url instagram_url facebook_url".split()]
+GALLERY_DECISIONS = ["is_hidden", "is_approved", *CANONICAL, "moderation_reason", "moderator_notes"]
 
 
 def galleries_union(scraped: DataFrame, inferred: DataFrame) -> DataFrame:
     """Galleries that were scraped, and those that events name; columns that a side lacks are null."""
     one = scraped.withColumn("gallery_address", F.col("address")).withColumn("gallery_record_type", F.lit("scraped"))
-    return one.unionByName(inferred, allowMissingColumns=True).select(*_GALLERY)
+    both = one.unionByName(inferred, allowMissingColumns=True)
+    return (both if "raw_payload" in both.columns else both.withColumn("raw_payload", F.lit(None).cast("string"))).select(*_GALLERY)
 
 
-def gallery_records(galleries: DataFrame, links: DataFrame, overrides: DataFrame) -> DataFrame:
-    """The union with the number of its events, missing_* flags and override. links: (gallery_id, event_id), distinct."""
-    n = links.groupBy("gallery_id").agg(F.count("*").alias("n_events"))
-    state = overrides.select("gallery_id", "is_hidden", "is_approved", "canonical_gallery_name", "canonical_gallery_type", F.lit(True).alias("moderation_override_exists"))
-    out = galleries.join(n, "gallery_id", "left").join(state, "gallery_id", "left")
+def _firsts(rows: DataFrame, item: str, name: str) -> DataFrame:
+    """(gallery_id, name, n): each gallery's first M.LINKS items, and how many there are."""
+    rows = written(rows.select("gallery_id", item), name)
+    held = first_rows(rows, ["gallery_id"], [F.asc(item)], M.LINKS).groupBy("gallery_id").agg(F.array_sort(F.collect_list(item)).alias(name))
+    return rows.groupBy("gallery_id").agg(F.count("*").alias(f"n_{name.removeprefix('linked_')}")).join(held, "gallery_id")
+
+
+def gallery_records(galleries: DataFrame, links: DataFrame, overrides: DataFrame, works: DataFrame | None = None) -> DataFrame:
+    """The union with its events (and works, where given), the artists of its payload, missing_* flags and the whole override, whose fields stand beside the gallery's own.
+
+    links: (gallery_id, event_id), distinct; works: (gallery_id, raw_artwork_id), distinct. Arrays hold the first M.LINKS, n_events and n_artworks count all.
+    """
+    said = [c for c in (*GALLERY_DECISIONS, "updated_at") if c in overrides.columns]
+    state = overrides.select("gallery_id", *said, F.lit(True).alias("moderation_override_exists"))
+    out = linked_artists_from_payload(galleries, "raw_payload", "$.represented_artists").join(_firsts(links, "event_id", "linked_events"), "gallery_id", "left").join(state, "gallery_id", "left")
+    arrays = ["linked_events"]
+    if works is not None:
+        out, arrays = out.join(_firsts(works, "raw_artwork_id", "linked_artworks"), "gallery_id", "left"), ["linked_events", "linked_artworks"]
+        out = out.withColumn("n_artworks", F.coalesce("n_artworks", F.lit(0).cast("long")))
+    out = out.withColumns({c: F.coalesce(c, F.expr("cast(array() as array<string>)")) for c in arrays})
     none = {c: F.coalesce(c, F.lit(False)) for c in ("is_hidden", "is_approved", "moderation_override_exists")}
     return out.withColumns({**none, "n_events": F.coalesce("n_events", F.lit(0).cast("long"))}).withColumns(
         {
@@ -136,7 +156,9 @@ def linked_artists_from_payload(df: DataFrame, payload: str, path: str) -> DataF
 def artist_records(artists: DataFrame, overrides: DataFrame) -> DataFrame:
     """The artist dimension with how many sources hide the artist, and the newest canonical name."""
     o = overrides.withColumn("artist_key", X.slugify(F.col("artist_name")))
-    state = o.groupBy("artist_key").agg(F.count_if("is_hidden").alias("hidden_in"), F.min("canonical_artist_name").alias("canonical_artist_name"))
+    turn = F.struct(F.col("updated_at") if "updated_at" in overrides.columns else F.lit(None).cast("timestamp"), F.col("canonical_artist_name"))
+    named = F.max_by("canonical_artist_name", F.when(F.col("canonical_artist_name").isNotNull(), turn))
+    state = o.groupBy("artist_key").agg(F.count_if("is_hidden").alias("hidden_in"), named.alias("canonical_artist_name"))
     return artists.join(state, "artist_key", "left").withColumn("hidden_in", F.coalesce("hidden_in", F.lit(0).cast("long")))
 
 

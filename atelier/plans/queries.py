@@ -22,9 +22,15 @@ LABEL = "Customer"
 FOUND: dict[str, tuple[Callable[[Tables], DataFrame], str | None]] = {}
 
 
-def query(sql: str | None = None) -> Callable:
+def query(sql: str | None = None, *, staged: bool = False) -> Callable:
+    """Registers a query. A staged one reads several times from the shared stages (works, events, links, galleries), which are then written once."""
+
     def keep(f: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
-        FOUND[f.__name__] = (f, sql)
+        def run(t: Tables) -> DataFrame:
+            t.staged = True
+            return f(t)
+
+        FOUND[f.__name__] = (run if staged else f, sql)
         return f
 
     return keep
@@ -95,23 +101,27 @@ def stg(t: Tables) -> DataFrame:
 
 
 def mart(t: Tables) -> DataFrame:
-    return M.mart_artworks(t["a_artworks"], domain=SITE)
+    return t.once("mart", lambda: M.mart_artworks(t["a_artworks"], domain=SITE))
 
 
 def ev(t: Tables) -> DataFrame:
-    return M.stg_events(t["a_events"])
+    return t.once("events", lambda: M.stg_events(t["a_events"]))
+
+
+def found(t: Tables) -> DataFrame:
+    return t.once("mentions", lambda: M.mentions(ev(t)))
 
 
 def links(t: Tables) -> DataFrame:
-    return M.event_artists(M.mentions(ev(t)), M.int_artists(t["a_artists"]))
+    return t.once("links", lambda: M.event_artists(found(t), M.int_artists(t["a_artists"])))
 
 
 def mart_ev(t: Tables) -> DataFrame:
-    return M.mart_events(ev(t), links(t))
+    return t.once("mart_events", lambda: M.mart_events(ev(t), links(t)))
 
 
 def gal(t: Tables) -> DataFrame:
-    return M.int_galleries(M.stg_galleries(t["a_galleries"]), site=SITE, label=LABEL, own="listing")
+    return t.once("galleries", lambda: M.int_galleries(M.stg_galleries(t["a_galleries"]), site=SITE, label=LABEL, own="listing"))
 
 
 # ---- staging and scalar functions
@@ -404,7 +414,7 @@ EQ = f"""{OVER}, eq AS (SELECT *, start_date IS NULL AS missing_date, {_B('venue
 
 
 @query(f"""WITH {EQ} SELECT event_id, quality_score, array_to_string(list_filter([CASE WHEN missing_date THEN 'missing_date' END, CASE WHEN missing_venue THEN 'missing_venue' END, CASE WHEN missing_artists THEN 'missing_artists' END, CASE WHEN missing_artists THEN 'no_linked_artists' END,
- CASE WHEN artist_count > 3 THEN 'multiple_artist_match' END, CASE WHEN missing_description THEN 'missing_description' END, CASE WHEN missing_source_url THEN 'missing_source_url' END, CASE WHEN end_before_start THEN 'end_before_start' END], lambda x: x IS NOT NULL), ',') AS flags FROM es""")
+ CASE WHEN artist_count > 3 THEN 'multiple_artist_match' END, CASE WHEN missing_description THEN 'missing_description' END, CASE WHEN missing_source_url THEN 'missing_source_url' END, CASE WHEN end_before_start THEN 'end_before_start' END], lambda x: x IS NOT NULL), ',') AS flags FROM es""", staged=True)
 def event_enrichment(t):
     return D.event_quality(er(t)).select("event_id", "quality_score", F.array_join("quality_flags", ",").alias("flags"))
 
@@ -495,7 +505,7 @@ def latest_gallery(t):
 
 @query(f"""WITH {EVENTS}, {EK}, {GAL}, le AS (SELECT gl.raw_gallery_id, array_to_string(list_sort(list(DISTINCT e.event_id) FILTER (e.event_id IS NOT NULL)), ',') AS ids FROM gl LEFT JOIN ek e USING (n_gallery_name, n_city, n_country, source_domain) GROUP BY 1),
 la AS (SELECT gl.raw_gallery_id, count(DISTINCT a.id) AS works FROM gl LEFT JOIN a_artworks a ON {key('a.gallery_name')} = n_gallery_name AND a.source_domain = gl.source_domain GROUP BY 1)
-SELECT {uuid('normalized_gallery_key')} AS gallery_id, raw_gallery_id, coalesce(ids, '') AS linked_events, works AS linked_artworks FROM gl JOIN le USING (raw_gallery_id) JOIN la USING (raw_gallery_id)""")
+SELECT {uuid('normalized_gallery_key')} AS gallery_id, raw_gallery_id, coalesce(ids, '') AS linked_events, works AS linked_artworks FROM gl JOIN le USING (raw_gallery_id) JOIN la USING (raw_gallery_id)""", staged=True)
 def mart_galleries(t):
     m = M.mart_galleries(gal(t), mart_ev(t), stg(t))
     return m.select("gallery_id", "raw_gallery_id", F.array_join(F.transform("linked_events", lambda e: e["event_id"]), ",").alias("linked_events"), F.col("n_linked_artworks").alias("linked_artworks"))
@@ -514,12 +524,12 @@ def inferred(t):
     return M.inferred_galleries(mart_ev(t), M.latest_galleries(gal(t)), site=SITE, label=LABEL)
 
 
-@query(f"WITH {INFERRED} SELECT gallery_id, gallery_name, gallery_address, events, crawl_timestamp FROM inf")
+@query(f"WITH {INFERRED} SELECT gallery_id, gallery_name, gallery_address, events, crawl_timestamp FROM inf", staged=True)
 def inferred_galleries(t):
     return inferred(t).select("gallery_id", "gallery_name", "gallery_address", F.col("n_linked_events").alias("events"), "crawl_timestamp")
 
 
-@query(f"WITH {INFERRED} SELECT DISTINCT gallery_id, gallery_name FROM ig WHERE gallery_id NOT IN (SELECT gallery_id FROM inf)")
+@query(f"WITH {INFERRED} SELECT DISTINCT gallery_id, gallery_name FROM ig WHERE gallery_id NOT IN (SELECT gallery_id FROM inf)", staged=True)
 def inferred_cta_exclusion(t):
     """What the rule for site chrome leaves out."""
     named = M.inferred_events(mart_ev(t), M.latest_galleries(gal(t)), site=SITE, label=LABEL).groupBy(*M.INFERRED).agg(F.min("cleaned").alias("gallery_name"))
@@ -781,7 +791,7 @@ def suspect_name_filter(t):
     return t["a_after"].where(D.suspect_name(F.col("artist_name"))).select("doc_id")
 
 
-@query(f"WITH {EVENTS} SELECT artist_id FROM artist WHERE artist_id NOT IN (SELECT artist_id FROM links JOIN mev USING (event_id) WHERE city = 'NATION_1' AND start_date < date '1995-03-01')")
+@query(f"WITH {EVENTS} SELECT artist_id FROM artist WHERE artist_id NOT IN (SELECT artist_id FROM links JOIN mev USING (event_id) WHERE city = 'NATION_1' AND start_date < date '1995-03-01')", staged=True)
 def artists_without_events(t):
     there = M.artist_event_links(links(t), mart_ev(t)).where("city = 'NATION_1' and start_date < date '1995-03-01'").select("artist_id").distinct()
     return M.int_artists(t["a_artists"]).select("artist_id").join(there, "artist_id", "left_anti")
@@ -793,7 +803,7 @@ def latest_rejection_lateral(t):
     return t["a_reviews"].where("review_status <> 'approved'").groupBy("artwork_id").agg(F.max_by("id", last).alias("rejection"))
 
 
-@query(f"""WITH {EVENTS}, {EK}, {GAL} SELECT e.event_id, arg_max(gl.raw_gallery_id, struct_pack(a := gl.crawl_timestamp, b := gl.raw_gallery_id)) AS raw_gallery_id FROM ek e JOIN gl USING (n_gallery_name, n_city, n_country, source_domain) GROUP BY 1""")
+@query(f"""WITH {EVENTS}, {EK}, {GAL} SELECT e.event_id, arg_max(gl.raw_gallery_id, struct_pack(a := gl.crawl_timestamp, b := gl.raw_gallery_id)) AS raw_gallery_id FROM ek e JOIN gl USING (n_gallery_name, n_city, n_country, source_domain) GROUP BY 1""", staged=True)
 def event_gallery_lookup(t):
     kept = M.latest_galleries(gal(t))
     held = M.gallery_event_links(kept, mart_ev(t)).join(kept.select("raw_gallery_id", "crawl_timestamp"), "raw_gallery_id")
@@ -805,7 +815,7 @@ def event_quality_summary(t):
     return D.event_quality(er(t)).groupBy("source_domain", "event_type").agg(F.count("*").alias("n"), F.count_if("is_approved").alias("approved"), F.count_if("is_hidden").alias("hidden"), F.round(F.avg("quality_score"), 2).alias("avg_score"))
 
 
-@query(f"WITH {EQ}, {GAL} SELECT 'events' AS entity, count(*) AS n, count(*) FILTER (is_approved) AS good FROM es UNION ALL SELECT 'galleries', count(*), count(*) FILTER (contact_quality_score >= 6) FROM gl UNION ALL SELECT 'reviews', count(*), count(*) FILTER (review_status = 'approved') FROM a_reviews")
+@query(f"WITH {EQ}, {GAL} SELECT 'events' AS entity, count(*) AS n, count(*) FILTER (is_approved) AS good FROM es UNION ALL SELECT 'galleries', count(*), count(*) FILTER (contact_quality_score >= 6) FROM gl UNION ALL SELECT 'reviews', count(*), count(*) FILTER (review_status = 'approved') FROM a_reviews", staged=True)
 def moderation_summary(t):
     one = lambda df, name, good: df.agg(F.count("*").alias("n"), F.count_if(good).alias("good")).select(F.lit(name).alias("entity"), "n", "good")
     return one(D.event_quality(er(t)), "events", F.col("is_approved")).unionByName(one(M.latest_galleries(gal(t)), "galleries", F.col("contact_quality_score") >= 6)).unionByName(one(t["a_reviews"], "reviews", F.col("review_status") == "approved"))
@@ -877,7 +887,7 @@ def seed_review_queue(t):
 
 
 @query(f"""WITH {EVENTS}, n AS (SELECT l.artist_id, mev.event_id, row_number() OVER (PARTITION BY l.artist_id ORDER BY mev.start_date DESC NULLS LAST, mev.event_id) AS k FROM links l JOIN mev USING (event_id))
-SELECT a.artist_id, coalesce(string_agg(event_id, ',' ORDER BY k) FILTER (k <= 500), '') AS events, count(event_id) AS n_events FROM artist a LEFT JOIN n USING (artist_id) GROUP BY 1""")
+SELECT a.artist_id, coalesce(string_agg(event_id, ',' ORDER BY k) FILTER (k <= 500), '') AS events, count(event_id) AS n_events FROM artist a LEFT JOIN n USING (artist_id) GROUP BY 1""", staged=True)
 def artist_profile_bundle(t):
     held = M.artist_event_links(links(t), mart_ev(t)).select("artist_id", F.col("start_date").alias("turn"), F.col("event_id").alias("item"))
     return S.bundle(M.int_artists(t["a_artists"]).select("artist_id"), "artist_id", {"events": held}).select("artist_id", F.array_join("events", ",").alias("events"), "n_events")

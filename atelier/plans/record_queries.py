@@ -60,7 +60,7 @@ full_ AS (SELECT l.* REPLACE (coalesce(o.canonical_artist_name, l.artist_name) A
 
 
 def full(t):
-    return R.artwork_records(Q.mart(t), t["a_artist_overrides"], t["a_reviews"], t["a_approvals"])
+    return t.once("records", lambda: R.artwork_records(Q.mart(t), t["a_artist_overrides"], t["a_reviews"], t["a_approvals"]))
 
 
 @query(f"WITH {APPROVED} SELECT id, artwork_id, public_visibility FROM app")
@@ -110,7 +110,7 @@ def raw_ranked_check(t):
 
 
 ARTISTS = f"""{MART}, ad AS (SELECT {slug('artist_name')} AS artist_key, min(artist_name) AS artist_name, count(DISTINCT source_domain) AS source_count, count(*) AS artwork_count FROM mart WHERE artist_name IS NOT NULL GROUP BY 1),
-ho AS (SELECT {slug('artist_name')} AS artist_key, count(*) FILTER (is_hidden) AS hidden_in, min(canonical_artist_name) AS canonical_artist_name FROM a_artist_overrides GROUP BY 1)"""
+ho AS (SELECT {slug('artist_name')} AS artist_key, count(*) FILTER (is_hidden) AS hidden_in, max(canonical_artist_name) AS canonical_artist_name FROM a_artist_overrides GROUP BY 1)"""
 
 
 @query(f"WITH {ARTISTS} SELECT ad.*, coalesce(hidden_in, 0) AS hidden_in, canonical_artist_name FROM ad LEFT JOIN ho USING (artist_key)")
@@ -164,44 +164,62 @@ ENRICHED = f"""{UNION}, ge AS (SELECT *, {_N('gallery_address')} AS missing_addr
 gq AS (SELECT *, (NOT {_N('gallery_name')})::int + (NOT missing_address)::int + (NOT missing_city)::int + (NOT missing_country)::int + (NOT missing_website)::int + (NOT missing_phone)::int + (NOT missing_email)::int + (NOT missing_social)::int + (NOT missing_linked_events)::int AS quality_score FROM ge)"""
 
 
+def kept_galleries(t):
+    return t.once("kept_galleries", lambda: M.latest_galleries(Q.gal(t)).withColumn("gallery_id", X.md5_uuid(F.col("normalized_gallery_key"))))
+
+
 def union(t):
-    kept = M.latest_galleries(Q.gal(t)).withColumn("gallery_id", X.md5_uuid(F.col("normalized_gallery_key")))
-    return R.galleries_union(kept, Q.inferred(t))
+    return t.once("union", lambda: R.galleries_union(kept_galleries(t), Q.inferred(t)))
 
 
 def gallery_links(t):
-    kept, events = M.latest_galleries(Q.gal(t)), Q.mart_ev(t)
-    ids = kept.select("raw_gallery_id", X.md5_uuid(F.col("normalized_gallery_key")).alias("gallery_id"))
+    kept, events = kept_galleries(t), Q.mart_ev(t)
+    ids = kept.select("raw_gallery_id", "gallery_id")
     scraped = M.gallery_event_links(kept, events).join(ids, "raw_gallery_id").select("gallery_id", "event_id")
     named = M.inferred_events(events, kept, site=Q.SITE, label=Q.LABEL).select(X.md5_uuid(F.concat_ws("|", *M.INFERRED)).alias("gallery_id"), "event_id")
     return scraped.unionByName(named).distinct()
 
 
+def gallery_works(t):
+    ids = kept_galleries(t).select("raw_gallery_id", "gallery_id")
+    return M.gallery_artwork_links(kept_galleries(t), Q.stg(t)).join(ids, "raw_gallery_id").select("gallery_id", "raw_artwork_id")
+
+
 def galleries(t):
     return R.gallery_enrichment(R.gallery_records(union(t), gallery_links(t), t["a_gallery_overrides"]))
 
 
-@query(f"WITH {UNION} SELECT gallery_record_type, source_domain, count(*) AS n, count(phone) AS phones FROM gu GROUP BY 1, 2")
+@query(f"WITH {UNION} SELECT gallery_record_type, source_domain, count(*) AS n, count(phone) AS phones FROM gu GROUP BY 1, 2", staged=True)
 def galleries_union(t):
     return union(t).groupBy("gallery_record_type", "source_domain").agg(F.count("*").alias("n"), F.count("phone").alias("phones"))
 
 
-@query(f"WITH {UNION} SELECT gallery_id, gallery_name, gallery_record_type, is_hidden, is_approved, canonical_gallery_name, n_events, {key('gallery_name')} AS normalized_gallery_name FROM gr")
+_SAID = ", ".join(f"o.{c}" for c in (*R.CANONICAL[2:], "moderation_reason", "moderator_notes", "updated_at"))
+
+
+@query(f"""WITH {UNION}, pl AS (SELECT {uuid('gl.normalized_gallery_key')} AS gallery_id, raw_payload, raw_gallery_id, n_gallery_name, gl.source_domain FROM gl JOIN a_galleries g ON g.id = gl.raw_gallery_id),
+le AS (SELECT gallery_id, string_agg(event_id, ',' ORDER BY event_id) AS linked_events FROM (SELECT *, row_number() OVER (PARTITION BY gallery_id ORDER BY event_id) AS n FROM gev) WHERE n <= 1000 GROUP BY 1),
+la AS (SELECT gallery_id, count(DISTINCT a.id) AS n_artworks FROM pl JOIN a_artworks a ON {key('a.gallery_name')} = n_gallery_name AND a.source_domain = pl.source_domain GROUP BY 1)
+SELECT gr.gallery_id, gallery_name, gallery_record_type, gr.is_hidden, gr.is_approved, gr.canonical_gallery_name, gr.canonical_gallery_type, {_SAID}, n_events, coalesce(linked_events, '') AS linked_events, coalesce(n_artworks, 0) AS n_artworks,
+ CASE WHEN raw_payload LIKE '%"name"%' THEN raw_payload->>'$.represented_artists[0].name' || '@,Jo Bee@https://x.example/jo' ELSE '' END AS linked_artists, raw_payload, {key('gallery_name')} AS normalized_gallery_name
+FROM gr LEFT JOIN pl USING (gallery_id) LEFT JOIN le USING (gallery_id) LEFT JOIN la USING (gallery_id) LEFT JOIN a_gallery_overrides o ON o.gallery_id = gr.gallery_id""", staged=True)
 def gallery_records(t):
-    return R.gallery_records(union(t), gallery_links(t), t["a_gallery_overrides"]).select("gallery_id", "gallery_name", "gallery_record_type", "is_hidden", "is_approved", "canonical_gallery_name", "n_events", "normalized_gallery_name")
+    g = R.gallery_records(union(t), gallery_links(t), t["a_gallery_overrides"], gallery_works(t))
+    people = F.array_join(F.transform("linked_artists", lambda a: F.concat_ws("@", a["name"], F.coalesce(a["profile_url"], F.lit("")))), ",")
+    return g.select("gallery_id", "gallery_name", "gallery_record_type", "is_hidden", "is_approved", *R.CANONICAL, "moderation_reason", "moderator_notes", "updated_at", "n_events", F.array_join("linked_events", ",").alias("linked_events"), "n_artworks", people.alias("linked_artists"), "raw_payload", "normalized_gallery_name")
 
 
-@query(f"WITH {ENRICHED} SELECT gallery_id, quality_score, array_to_string(list_filter([{', '.join(f'''CASE WHEN {c} THEN '{c}' END''' for c in R.MISSING)}], lambda x: x IS NOT NULL), ',') AS flags FROM gq")
+@query(f"WITH {ENRICHED} SELECT gallery_id, quality_score, array_to_string(list_filter([{', '.join(f'''CASE WHEN {c} THEN '{c}' END''' for c in R.MISSING)}], lambda x: x IS NOT NULL), ',') AS flags FROM gq", staged=True)
 def gallery_enrichment(t):
     return galleries(t).select("gallery_id", "quality_score", F.array_join("quality_flags", ",").alias("flags"))
 
 
-@query(f"WITH {ENRICHED} SELECT gallery_id, quality_score FROM gq WHERE NOT is_approved AND NOT is_hidden AND missing_email AND gallery_name ILIKE '%customer%'")
+@query(f"WITH {ENRICHED} SELECT gallery_id, quality_score FROM gq WHERE NOT is_approved AND NOT is_hidden AND missing_email AND gallery_name ILIKE '%customer%'", staged=True)
 def admin_galleries_queue(t):
     return R.admin_galleries(galleries(t), queue="needs_review", missing=["email"], search="customer").select("gallery_id", "quality_score")
 
 
-@query(f"WITH {ENRICHED} SELECT count(*) AS total, count(*) FILTER (is_approved) AS approved, count(*) FILTER (is_hidden) AS hidden, count(*) FILTER (NOT is_approved AND NOT is_hidden) AS unmoderated, {', '.join(f'count(*) FILTER ({c}) AS {c}' for c in R.MISSING if c not in ('missing_website', 'missing_linked_events'))}, count(*) FILTER (quality_score <= 3) AS low_quality, count(*) FILTER (crawl_timestamp >= timestamp '2024-02-03' - INTERVAL 7 DAY) AS recently_crawled FROM gq")
+@query(f"WITH {ENRICHED} SELECT count(*) AS total, count(*) FILTER (is_approved) AS approved, count(*) FILTER (is_hidden) AS hidden, count(*) FILTER (NOT is_approved AND NOT is_hidden) AS unmoderated, {', '.join(f'count(*) FILTER ({c}) AS {c}' for c in R.MISSING if c not in ('missing_website', 'missing_linked_events'))}, count(*) FILTER (quality_score <= 3) AS low_quality, count(*) FILTER (crawl_timestamp >= timestamp '2024-02-03' - INTERVAL 7 DAY) AS recently_crawled FROM gq", staged=True)
 def gallery_metrics(t):
     recent = F.col("crawl_timestamp") >= F.lit("2024-02-03").cast("timestamp") - F.expr("INTERVAL '7' DAY")
     flags = {"approved": F.col("is_approved"), "hidden": F.col("is_hidden"), "unmoderated": ~F.col("is_approved") & ~F.col("is_hidden"), **{c: F.col(c) for c in R.MISSING if c not in ("missing_website", "missing_linked_events")}, "low_quality": F.col("quality_score") <= 3, "recently_crawled": recent}
@@ -228,11 +246,14 @@ def linked_artists_from_payload(t):
 # ---- decisions
 
 
-@query(f"""WITH {UNION}, d AS (SELECT * FROM a_gallery_decisions WHERE gallery_id IN (SELECT gallery_id FROM gu)), l AS (SELECT gallery_id, {', '.join(f'arg_max({c}, struct_pack(a := decided_at, b := id)) FILTER ({c} IS NOT NULL) AS {c}' for c in ('is_hidden', 'canonical_gallery_name', 'canonical_gallery_type'))} FROM d GROUP BY 1)
-SELECT coalesce(o.gallery_id, l.gallery_id) AS gallery_id, coalesce(l.is_hidden, o.is_hidden) AS is_hidden, CASE WHEN l.canonical_gallery_name IS NOT NULL THEN nullif(l.canonical_gallery_name, '') ELSE o.canonical_gallery_name END AS canonical_gallery_name, coalesce(l.canonical_gallery_type, o.canonical_gallery_type) AS canonical_gallery_type
-FROM a_gallery_overrides o FULL JOIN l ON o.gallery_id = l.gallery_id""")
+_TEXTS = R.GALLERY_DECISIONS[2:]
+_AFTER = ", ".join([f"coalesce(l.{c}, o.{c}) AS {c}" for c in R.GALLERY_DECISIONS[:2]] + [f"CASE WHEN l.{c} IS NOT NULL THEN nullif(l.{c}, '') ELSE o.{c} END AS {c}" for c in _TEXTS])
+
+
+@query(f"""WITH {UNION}, d AS (SELECT * FROM a_gallery_decisions WHERE gallery_id IN (SELECT gallery_id FROM gu)), l AS (SELECT gallery_id, {', '.join(f'arg_max({c}, struct_pack(a := decided_at, b := id)) FILTER ({c} IS NOT NULL) AS {c}' for c in R.GALLERY_DECISIONS)} FROM d GROUP BY 1)
+SELECT coalesce(o.gallery_id, l.gallery_id) AS gallery_id, {_AFTER} FROM a_gallery_overrides o FULL JOIN l ON o.gallery_id = l.gallery_id""", staged=True)
 def apply_gallery_decisions(t):
-    after, _ = D.apply_decisions(t["a_gallery_overrides"], t["a_gallery_decisions"], union(t), key="gallery_id", fields=["is_hidden", "canonical_gallery_name", "canonical_gallery_type"], order=[F.col("decided_at"), F.col("id")])
+    after, _ = D.apply_decisions(t["a_gallery_overrides"], t["a_gallery_decisions"], union(t), key="gallery_id", fields=R.GALLERY_DECISIONS, order=[F.col("decided_at"), F.col("id")])
     return after
 
 
@@ -288,7 +309,7 @@ def artist_profiles_edited(t):
 
 @query(f"""WITH {FULL}, {EVENTS.replace('ev AS (', 'ev AS (', 1)}, p AS (SELECT DISTINCT artist_name, source_domain FROM full_ WHERE artist_name IS NOT NULL)
 SELECT (SELECT count(*) FROM full_ WHERE review_status = 'pending') AS artworks_pending_review, (SELECT count(*) FROM full_ WHERE coalesce(trim(image_url), '') = '') AS broken_or_missing_images, (SELECT count(*) FROM p WHERE artist_name NOT IN (SELECT artist_name FROM links)) AS artists_without_events,
- (SELECT count(*) FROM p JOIN (SELECT DISTINCT artist_name, source_domain FROM a_bio_edits) USING (artist_name, source_domain)) AS artists_with_manual_bio""")
+ (SELECT count(*) FROM p JOIN (SELECT DISTINCT artist_name, source_domain FROM a_bio_edits) USING (artist_name, source_domain)) AS artists_with_manual_bio""", staged=True)
 def queue_summary(t):
     out = D.queue_summary(full(t), M.artist_profiles(full(t), t["a_bio_edits"]), Q.links(t))
     return out.select("artworks_pending_review", "broken_or_missing_images", "artists_without_events", "artists_with_manual_bio")
@@ -333,7 +354,7 @@ def corrections(t):
 
 @query(f"""WITH {EVENTS}, {Q.EK}, {GAL}, n AS (SELECT event_id, artist_name, row_number() OVER (PARTITION BY event_id ORDER BY artist_name, artist_id) AS k FROM links), a AS (SELECT event_id, string_agg(artist_name, ',' ORDER BY k) AS artists FROM n GROUP BY 1),
 g AS (SELECT e.event_id, arg_max(gl.gallery_name, struct_pack(a := gl.crawl_timestamp, b := gl.raw_gallery_id)) AS gallery_name FROM ek e JOIN gl USING (n_gallery_name, n_city, n_country, source_domain) GROUP BY 1)
-SELECT mev.event_id, event_title, coalesce(artists, '') AS artists, gallery_name FROM mev LEFT JOIN a USING (event_id) LEFT JOIN g USING (event_id)""")
+SELECT mev.event_id, event_title, coalesce(artists, '') AS artists, gallery_name FROM mev LEFT JOIN a USING (event_id) LEFT JOIN g USING (event_id)""", staged=True)
 def event_bundle(t):
     events, kept = Q.mart_ev(t), M.latest_galleries(Q.gal(t))
     people = Q.links(t).withColumn("_r", F.row_number().over(Window.partitionBy("event_id").orderBy("artist_name", "artist_id")))
@@ -345,7 +366,7 @@ def event_bundle(t):
 
 
 @query(f"""WITH {FULL}, p AS (SELECT DISTINCT artist_name, source_domain FROM full_ WHERE artist_name IS NOT NULL), n AS (SELECT artist_name, source_domain, raw_artwork_id, row_number() OVER (PARTITION BY artist_name, source_domain ORDER BY crawl_timestamp DESC NULLS LAST, raw_artwork_id) AS k FROM full_ WHERE artist_name IS NOT NULL)
-SELECT p.artist_name, p.source_domain, string_agg(raw_artwork_id, ',' ORDER BY k) FILTER (k <= 500) AS works, count(*) AS n_works FROM p JOIN n USING (artist_name, source_domain) GROUP BY 1, 2""")
+SELECT p.artist_name, p.source_domain, string_agg(raw_artwork_id, ',' ORDER BY k) FILTER (k <= 500) AS works, count(*) AS n_works FROM p JOIN n USING (artist_name, source_domain) GROUP BY 1, 2""", staged=True)
 def artist_works_bundle(t):
     works = full(t).where("artist_name is not null").select(F.concat_ws("\x1f", "artist_name", "source_domain").alias("k"), F.col("crawl_timestamp").alias("turn"), F.col("raw_artwork_id").alias("item"))
     people = M.artist_profiles(full(t)).select(F.concat_ws("\x1f", "artist_name", "source_domain").alias("k"), "artist_name", "source_domain")
@@ -420,12 +441,12 @@ def check_source_linkage(t):
     return A.breaking(M.int_artworks(Q.stg(t)), M.source_linkage(Q.SITE)).select("raw_artwork_id")
 
 
-@query(f"WITH {EVENTS}, twice AS (SELECT event_id, artist_id FROM links UNION ALL SELECT l.event_id, l.artist_id FROM links l JOIN a_events e ON e.id = l.event_id WHERE e.event_type = 'exhibition') SELECT 'duplicate_event_artist_links' AS failure, count(*) AS n FROM (SELECT event_id, artist_id FROM twice GROUP BY 1, 2 HAVING count(*) > 1) HAVING count(*) > 0")
+@query(f"WITH {EVENTS}, twice AS (SELECT event_id, artist_id FROM links UNION ALL SELECT l.event_id, l.artist_id FROM links l JOIN a_events e ON e.id = l.event_id WHERE e.event_type = 'exhibition') SELECT 'duplicate_event_artist_links' AS failure, count(*) AS n FROM (SELECT event_id, artist_id FROM twice GROUP BY 1, 2 HAVING count(*) > 1) HAVING count(*) > 0", staged=True)
 def check_artist_linking(t):
     """Failures of links that hold those of exhibitions twice."""
     links = Q.links(t)
     shows = Q.ev(t).where("event_type = 'exhibition'").select("event_id")
-    return A.artist_linking_failures(links.unionByName(links.join(shows, "event_id", "left_semi")), M.mentions(Q.ev(t)), M.int_artists(t["a_artists"]))
+    return A.artist_linking_failures(links.unionByName(links.join(shows, "event_id", "left_semi")), Q.found(t), M.int_artists(t["a_artists"]))
 
 
 @query("SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_extendedprice - 20000 < 0")
@@ -467,7 +488,7 @@ def admin_events_edited(t):
     return D.admin_events(D.event_quality(Q.er(t)), queue="edited", as_of=AS_OF, missing=["artists"], linked=False).where("not missing_venue").select("event_id")
 
 
-@query(f"WITH {ENRICHED} SELECT source_domain, coalesce(canonical_gallery_type, gallery_record_type) AS kind, count(*) AS n, count(*) FILTER (is_approved) AS approved, count(*) FILTER (is_hidden) AS hidden, count(*) FILTER (missing_email) AS missing_email, round(avg(quality_score), 2) AS avg_score, max(crawl_timestamp) AS last_crawl FROM gq GROUP BY 1, 2")
+@query(f"WITH {ENRICHED} SELECT source_domain, coalesce(canonical_gallery_type, gallery_record_type) AS kind, count(*) AS n, count(*) FILTER (is_approved) AS approved, count(*) FILTER (is_hidden) AS hidden, count(*) FILTER (missing_email) AS missing_email, round(avg(quality_score), 2) AS avg_score, max(crawl_timestamp) AS last_crawl FROM gq GROUP BY 1, 2", staged=True)
 def gallery_quality_by_type(t):
     g = galleries(t).withColumn("kind", F.coalesce("canonical_gallery_type", "gallery_record_type"))
     return S.quality_summary(g, ["source_domain", "kind"], F.col("quality_score"), {"approved": F.col("is_approved"), "hidden": F.col("is_hidden"), "missing_email": F.col("missing_email")})

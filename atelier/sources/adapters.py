@@ -7,9 +7,12 @@ value's MD5 in the form of a UUID.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from atelier.sources.shared import written
+
 BASE = "region nation customer supplier part orders lineitem events documents pages benchmark labels conversations".split()
 
 SQL: dict[str, str] = {
@@ -52,7 +55,8 @@ SELECT 'g' || cast(c_custkey AS string) || '-' || cast(v AS string) AS id, lower
   CASE c_custkey % 8 WHEN 0 THEN NULL WHEN 2 THEN 'WWW.Site' || cast(c_custkey AS string) || '.example/?utm_source=a&id=5&UTM_medium=b&z=1' ELSE 'https://site' || cast(c_custkey AS string) || '.example/a?utm_term=q' END AS website_url,
   CASE c_custkey % 8 WHEN 2 THEN 'http://www.instagram.com/Listing/' WHEN 4 THEN 'https://instagram.com/G' || cast(c_custkey AS string) ELSE NULL END AS instagram_url,
   CASE WHEN c_custkey % 10 = 0 THEN 'https://www.facebook.com/g' || cast(c_custkey AS string) ELSE NULL END AS facebook_url,
-  CASE WHEN v = 1 THEN timestamp '2024-02-01 00:00:00' ELSE timestamp '2024-01-01 00:00:00' END AS crawl_timestamp, timestamp '2024-01-01 00:00:00' AS created_at
+  CASE WHEN v = 1 THEN timestamp '2024-02-01 00:00:00' ELSE timestamp '2024-01-01 00:00:00' END AS crawl_timestamp, timestamp '2024-01-01 00:00:00' AS created_at,
+  CASE c_custkey % 4 WHEN 0 THEN '{"represented_artists": [{"name": "Artist of ' || c_name || '"}, {"name": "Jo Bee", "profile_url": "https://x.example/jo"}]}' WHEN 1 THEN '{"represented_artists": []}' ELSE NULL END AS raw_payload
 FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey CROSS JOIN (SELECT 0 AS v UNION ALL SELECT 1 AS v) versions WHERE c_acctbal > 0
 """,
     "a_reviews": """
@@ -120,12 +124,16 @@ SELECT 'b' || cast(doc_id AS string) AS id, s_name || ' Studio' AS artist_name,
 FROM documents JOIN supplier ON doc_id % 60 = s_suppkey JOIN nation ON s_nationkey = n_nationkey
 """,
     "a_gallery_overrides": """
-SELECT @UUID(lower(c_name) || '|' || lower(n_name) || '|' || lower(r_name) || '|' || lower(n_name) || '.example') AS gallery_id, c_mktsegment = 'BUILDING' AS is_hidden, c_mktsegment = 'MACHINERY' AS is_approved, CASE WHEN c_acctbal > 5000 THEN 'Gallery ' || c_name ELSE NULL END AS canonical_gallery_name, CASE WHEN c_acctbal > 8000 THEN 'museum' ELSE NULL END AS canonical_gallery_type
+SELECT @UUID(lower(c_name) || '|' || lower(n_name) || '|' || lower(r_name) || '|' || lower(n_name) || '.example') AS gallery_id, c_mktsegment = 'BUILDING' AS is_hidden, c_mktsegment = 'MACHINERY' AS is_approved, CASE WHEN c_acctbal > 5000 THEN 'Gallery ' || c_name ELSE NULL END AS canonical_gallery_name, CASE WHEN c_acctbal > 8000 THEN 'museum' ELSE NULL END AS canonical_gallery_type,
+  CASE WHEN c_custkey % 7 = 0 THEN cast(c_custkey AS string) || ' New Road' ELSE NULL END AS canonical_address, CASE WHEN c_custkey % 11 = 0 THEN 'New ' || n_name ELSE NULL END AS canonical_city, CASE WHEN c_custkey % 13 = 0 THEN r_name ELSE NULL END AS canonical_country, CASE WHEN c_custkey % 5 = 0 THEN '+27 555 ' || cast(c_custkey AS string) ELSE NULL END AS canonical_phone,
+  CASE WHEN c_custkey % 6 = 0 THEN 'hall' || cast(c_custkey AS string) || '@x.example' ELSE NULL END AS canonical_email, CASE WHEN c_custkey % 9 = 0 THEN 'https://hall' || cast(c_custkey AS string) || '.example' ELSE NULL END AS canonical_website_url, CASE WHEN c_custkey % 10 = 0 THEN 'https://instagram.com/h' || cast(c_custkey AS string) ELSE NULL END AS canonical_instagram_url,
+  CASE WHEN c_custkey % 14 = 0 THEN 'https://facebook.com/h' || cast(c_custkey AS string) ELSE NULL END AS canonical_facebook_url, c_mktsegment AS moderation_reason, CASE WHEN c_custkey % 3 = 0 THEN 'seen' ELSE NULL END AS moderator_notes, timestamp '2024-05-01 00:00:00' AS updated_at
 FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')
 """,
     "a_gallery_decisions": """
 SELECT cast(o_orderkey AS string) AS id, @UUID(lower(c_name) || '|' || lower(n_name) || '|' || lower(r_name) || '|' || CASE WHEN o_orderpriority = '5-LOW' THEN 'nowhere' ELSE lower(n_name) END || '.example') AS gallery_id, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderstatus = 'F' END AS is_hidden,
-  CASE WHEN o_orderstatus = 'O' THEN NULL WHEN o_totalprice > 200000 THEN '' ELSE 'Name ' || o_orderpriority END AS canonical_gallery_name, CASE WHEN o_orderstatus = 'P' THEN 'fair' ELSE NULL END AS canonical_gallery_type, o_orderdate AS decided_at
+  CASE WHEN o_orderstatus = 'O' THEN NULL WHEN o_totalprice > 200000 THEN '' ELSE 'Name ' || o_orderpriority END AS canonical_gallery_name, CASE WHEN o_orderstatus = 'P' THEN 'fair' ELSE NULL END AS canonical_gallery_type, CASE WHEN o_orderkey % 4 = 0 THEN o_orderkey % 8 = 0 ELSE NULL END AS is_approved,
+  CASE o_orderkey % 3 WHEN 0 THEN '' WHEN 1 THEN 'canonical_address ' || cast(o_orderkey AS string) ELSE NULL END AS canonical_address, CASE o_orderkey % 4 WHEN 0 THEN '' WHEN 1 THEN 'canonical_city ' || cast(o_orderkey AS string) ELSE NULL END AS canonical_city, CASE o_orderkey % 5 WHEN 0 THEN '' WHEN 1 THEN 'canonical_country ' || cast(o_orderkey AS string) ELSE NULL END AS canonical_country, CASE o_orderkey % 6 WHEN 0 THEN '' WHEN 1 THEN 'canonical_phone ' || cast(o_orderkey AS string) ELSE NULL END AS canonical_phone, CASE o_orderkey % 7 WHEN 0 THEN '' WHEN 1 THEN 'canonical_email ' || cast(o_orderkey AS string) ELSE NULL END AS canonical_email, CASE o_orderkey % 8 WHEN 0 THEN '' WHEN 1 THEN 'canonical_website_url ' || cast(o_orderkey AS string) ELSE NULL END AS canonical_website_url, CASE o_orderkey % 9 WHEN 0 THEN '' WHEN 1 THEN 'canonical_instagram_url ' || cast(o_orderkey AS string) ELSE NULL END AS canonical_instagram_url, CASE o_orderkey % 10 WHEN 0 THEN '' WHEN 1 THEN 'canonical_facebook_url ' || cast(o_orderkey AS string) ELSE NULL END AS canonical_facebook_url, CASE o_orderkey % 11 WHEN 0 THEN '' WHEN 1 THEN 'moderation_reason ' || cast(o_orderkey AS string) ELSE NULL END AS moderation_reason, CASE o_orderkey % 12 WHEN 0 THEN '' WHEN 1 THEN 'moderator_notes ' || cast(o_orderkey AS string) ELSE NULL END AS moderator_notes, o_orderdate AS decided_at
 FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
 """,
     "a_review_decisions": """
@@ -213,6 +221,15 @@ class Tables:
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark, self.sf_dir = spark, sf_dir
+        self.staged, self.made = False, {}
+
+    def once(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        """make(), written on its first use where the query is staged: what several parts of one plan need is then computed and scanned once."""
+        if not self.staged:
+            return make()
+        if name not in self.made:
+            self.made[name] = written(make(), name)
+        return self.made[name]
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in SQL:
