@@ -14,6 +14,11 @@ TRACKING = "utm_source utm_medium utm_campaign utm_term utm_content".split()
 _NO_TEXTS = "cast(array() as array<string>)"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value), with value computed once however often the body uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def clean_text(c: Column) -> Column:
     """Runs of white space become a blank, ends are trimmed, nothing becomes null. Texts without such a run are not rewritten."""
     return F.nullif(F.trim(F.when(c.rlike(r"[\t-\r]|  "), F.regexp_replace(c, r"\s+", " ")).otherwise(c)), F.lit(""))
@@ -113,16 +118,19 @@ def social_normalize(c: Column, host: str, *, own: str) -> Column:
 
 def url_canonicalize(c: Column, *, mode: str = "plain") -> Column:
     """Lower host without www, no fragment, tracking parameters or last slash. mode: plain, sorted (parameters) or page (only the page parameter)."""
-    u = F.regexp_replace(F.trim(c), "#.*$", "")
-    scheme, host = F.lower(F.regexp_extract(u, "^([A-Za-z][A-Za-z0-9+.-]*)://", 1)), F.regexp_replace(F.lower(F.regexp_extract(u, "^[A-Za-z][A-Za-z0-9+.-]*://([^/?]*)", 1)), r"^www\.", "")
-    path = F.regexp_replace(F.regexp_extract(u, "^[A-Za-z][A-Za-z0-9+.-]*://[^/?]*([^?]*)", 1), "/+$", "")
-    params = F.filter(F.split(F.regexp_extract(u, r"\?(.*)$", 1), "&"), lambda p: (p != "") & ~F.lower(F.split_part(p, F.lit("="), F.lit(1))).isin([*TRACKING, "ref", "fbclid", "gclid"]))
-    if mode == "sorted":
-        params = F.array_sort(params)
-    if mode == "page":
-        params = F.filter(params, lambda p: p.rlike("^page="))
-    query = F.array_join(params, "&")
-    return F.when(scheme != "", F.concat(scheme, F.lit("://"), host, path, F.when(query == "", "").otherwise(F.concat(F.lit("?"), query))))
+
+    def of(u: Column) -> Column:
+        host = F.regexp_replace(F.lower(F.regexp_extract(u, "^[A-Za-z][A-Za-z0-9+.-]*://([^/?]*)", 1)), r"^www\.", "")
+        path = F.regexp_replace(F.regexp_extract(u, "^[A-Za-z][A-Za-z0-9+.-]*://[^/?]*([^?]*)", 1), "/+$", "")
+        params = F.filter(F.split(F.regexp_extract(u, r"\?(.*)$", 1), "&"), lambda p: (p != "") & ~F.lower(F.split_part(p, F.lit("="), F.lit(1))).isin([*TRACKING, "ref", "fbclid", "gclid"]))
+        if mode == "sorted":
+            params = F.array_sort(params)
+        if mode == "page":
+            params = F.filter(params, lambda p: p.rlike("^page="))
+        tail = let(F.array_join(params, "&"), lambda q: F.when(q == "", "").otherwise(F.concat(F.lit("?"), q)))
+        return let(F.lower(F.regexp_extract(u, "^([A-Za-z][A-Za-z0-9+.-]*)://", 1)), lambda scheme: F.when(scheme != "", F.concat(scheme, F.lit("://"), host, path, tail)))
+
+    return let(F.regexp_replace(F.trim(c), "#.*$", ""), of)
 
 
 #: Classes of URLs by their path, in order.
@@ -249,23 +257,26 @@ _NAVIGATION = "about the artist|artworks\\s*[▼v]|painting prints|earlier works
 
 def bio_clean(c: Column) -> Column:
     """struct of the cleaned biography and what was found: contacts removed, headings and year lines dropped, repeated paragraphs and sentences once."""
-    raw = F.coalesce(c, F.lit(""))
-    no_contact = contact_redact(raw)
-    lines = F.regexp_replace(no_contact, rf"(?im)^\s*({_NAVIGATION})\s*$", " ")
-    lines = F.regexp_replace(F.regexp_replace(lines, r"(?im)^\s*(?:19|20)\d{2}\s*[-–:|].*$", " "), r"[\r\t]+", " ")
-    paragraphs = ordered_dedupe_join(lines, split="\n{2,}", join="\n\n")
-    sentences = ordered_dedupe_join(F.regexp_replace(paragraphs, r"\s+", " "), split="[.!?]+", join=". ")
-    cleaned = clean_text(sentences)
-    letters, capitals = F.length(F.regexp_replace(raw, "[^A-Za-z]", "")), F.length(F.regexp_replace(raw, "[^A-Z]", ""))
-    return F.struct(
-        cleaned.alias("cleaned"),
-        contains_email(c).alias("contains_email"),
-        contains_phone(c).alias("contains_phone"),
-        raw.rlike(f"(?i)({_NAVIGATION})").alias("navigation_noise"),
-        (F.length(F.coalesce(cleaned, F.lit(""))) < 80).alias("too_short"),
-        ((no_contact != raw) | (paragraphs != no_contact) | (sentences != paragraphs)).alias("duplicate_content"),
-        (F.when(letters < 20, False).otherwise(capitals * 10 > letters * 6)).alias("noisy_uppercase"),
-    )
+
+    def of(raw: Column, no_contact: Column, paragraphs: Column, sentences: Column, cleaned: Column) -> Column:
+        letters, capitals = F.length(F.regexp_replace(raw, "[^A-Za-z]", "")), F.length(F.regexp_replace(raw, "[^A-Z]", ""))
+        return F.struct(
+            cleaned.alias("cleaned"),
+            contains_email(raw).alias("contains_email"),
+            contains_phone(raw).alias("contains_phone"),
+            raw.rlike(f"(?i)({_NAVIGATION})").alias("navigation_noise"),
+            (F.length(F.coalesce(cleaned, F.lit(""))) < 80).alias("too_short"),
+            ((no_contact != raw) | (paragraphs != no_contact) | (sentences != paragraphs)).alias("duplicate_content"),
+            (F.when(letters < 20, False).otherwise(capitals * 10 > letters * 6)).alias("noisy_uppercase"),
+        )
+
+    def lines(no_contact: Column) -> Column:
+        plain = F.regexp_replace(no_contact, rf"(?im)^\s*({_NAVIGATION})\s*$", " ")
+        return F.regexp_replace(F.regexp_replace(plain, r"(?im)^\s*(?:19|20)\d{2}\s*[-–:|].*$", " "), r"[\r\t]+", " ")
+
+    once = lambda paragraphs: ordered_dedupe_join(F.regexp_replace(paragraphs, r"\s+", " "), split="[.!?]+", join=". ")
+    # each step is computed once, however often the next ones look at it
+    return let(F.coalesce(c, F.lit("")), lambda raw: let(contact_redact(raw), lambda n: let(ordered_dedupe_join(lines(n), split="\n{2,}", join="\n\n"), lambda p: let(once(p), lambda x: let(clean_text(x), lambda done: of(raw, n, p, x, done))))))
 
 
 def bio_score(b: Column) -> Column:
@@ -292,18 +303,22 @@ def blank(c: Column) -> Column:
 
 def title_suggestion(c: Column) -> Column:
     """struct of value, confidence, reason: the first step that changes a title - trim, collapse, repeated punctuation, all capitals."""
-    trimmed = F.trim(c)
-    collapsed = F.regexp_replace(trimmed, r"\s+", " ")
-    single = F.regexp_replace(F.regexp_replace(F.regexp_replace(collapsed, "!{2,}", "!"), r"\?{2,}", "?"), r"\.{2,}", ".")
-    capitals = single.rlike(r"\p{Lu}") & ~single.rlike(r"\p{Ll}")
     made = lambda v, p, r: F.struct(v.alias("value"), F.lit(p).alias("confidence"), F.lit(r).alias("reason"))
-    return (
-        F.when(F.coalesce(c, F.lit("")) == "", None)
-        .when(trimmed != c, made(trimmed, 0.99, "blanks at the ends"))
-        .when(collapsed != trimmed, made(collapsed, 0.99, "more than one blank"))
-        .when(single != collapsed, made(single, 0.95, "a mark repeats"))
-        .when(capitals, made(initcap_alnum(single), 0.90, "capitals only"))
-    )
+    collapse = lambda x: F.regexp_replace(x, r"\s+", " ")
+    single = lambda x: F.regexp_replace(F.regexp_replace(F.regexp_replace(x, "!{2,}", "!"), r"\?{2,}", "?"), r"\.{2,}", ".")
+
+    def of(t: Column) -> Column:
+        capitals = t["s"].rlike(r"\p{Lu}") & ~t["s"].rlike(r"\p{Ll}")
+        return (
+            F.when(F.coalesce(t["c"], F.lit("")) == "", None)
+            .when(t["t"] != t["c"], made(t["t"], 0.99, "blanks at the ends"))
+            .when(t["x"] != t["t"], made(t["x"], 0.99, "more than one blank"))
+            .when(t["s"] != t["x"], made(t["s"], 0.95, "a mark repeats"))
+            .when(capitals, made(initcap_alnum(t["s"]), 0.90, "capitals only"))
+        )
+
+    steps = lambda t: let(collapse(t), lambda x: let(single(x), lambda s: let(F.struct(c.alias("c"), t.alias("t"), x.alias("x"), s.alias("s")), of)))
+    return let(F.trim(c), steps)
 
 
 #: Event type, confidence, keywords, in order.
@@ -327,10 +342,6 @@ def type_suggestion(text: Column) -> Column:
     return out
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """body(value), with value computed once however often the body uses it."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
 
 #: From this length on, characters of the second text that make up more than a hundredth of it start no block.
 LONG_TEXT = 200
