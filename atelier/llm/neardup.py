@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from bisect import bisect_left
 from collections.abc import Iterator
+from math import log
 
 import numpy as np
 import pyarrow as pa
@@ -210,18 +211,22 @@ def _rest(members: DataFrame, labels: DataFrame, texts: DataFrame, *, size: int,
     several = named.groupBy("bin", "hash").agg(F.min("label").alias("_a"), F.max("label").alias("_b")).where("_a < _b").select("bin", "hash")
     nodes = written(named.join(several, ["bin", "hash"], "left_semi").select("node", "label").distinct(), "open")
     tokens = _shingles(texts.join(nodes.select(F.col("node").alias("doc_id")).hint("merge"), "doc_id", "left_semi"), size=size)
-    common = tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
+    # counts are tables: joined with the rows, both sides are dealt by the token, and Spark splits a frequent token's rows
+    common = written(tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1"), "counts")
     room = F.col("n") - F.ceil(F.lit(least) * F.col("n") - 1e-9) + 1 - (F.col("n") - F.size("own"))  # places of the prefix that are left for shared shingles
     own = tokens.join(common, "token").groupBy("node", "n").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("own"))
     prefix = own.withColumn("room", room.cast("int")).where("room > 0").select("node", "n", (F.col("n") - F.size("own")).alias("alone"), F.posexplode(F.slice("own", F.lit(1), F.col("room"))).alias("at", "x"))
-    # behind: shingles from this one on
-    rows = written(prefix.select("node", "n", (F.col("n") - F.col("alone") - F.col("at")).alias("behind"), F.col("x.token").alias("token")).join(nodes, "node"), "prefixes")
+    # behind: shingles from this one on. band: texts that are alike enough are of the same band of lengths, or of neighbouring ones
+    band = F.floor(F.log("n") / F.lit(-log(least)) + 1e-9).cast("int")
+    rows = written(prefix.select("node", "n", (F.col("n") - F.col("alone") - F.col("at")).alias("behind"), F.col("x.token").alias("token"), band.alias("band")).join(nodes, "node"), "prefixes")
     per = rows.groupBy("token", "label").agg(F.count("*").alias("k"))
-    largest = per.groupBy("token").agg(F.count("*").alias("classes"), F.max_by("label", F.struct("k", "label")).alias("main")).where("classes > 1").drop("classes")
-    open_ = rows.join(largest, "token")
-    outside = open_.where("label <> main").select("token", F.col("node").alias("other"), F.col("label").alias("other_label"), F.col("n").alias("m"), F.col("behind").alias("other_behind"))
+    largest = written(per.groupBy("token").agg(F.count("*").alias("classes"), F.max_by("label", F.struct("k", "label")).alias("main")).where("classes > 1").drop("classes"), "largest")
+    open_ = written(rows.join(largest, "token"), "shared")
+    # of two classes at a token, one at least is not its largest: its rows meet all others of the three bands
+    bands = F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band")
+    outside = open_.where("label <> main").select("token", F.col("node").alias("other"), F.col("label").alias("other_label"), F.col("n").alias("m"), F.col("behind").alias("other_behind"), bands)
     enough = F.least("behind", "other_behind") >= F.lit(least / (1 + least)) * (F.col("n") + F.col("m")) - 1e-9
-    met = open_.drop("main").join(outside, "token").where((F.col("label") != F.col("other_label")) & enough)
+    met = open_.drop("main").join(outside, ["token", "band"]).where((F.col("label") != F.col("other_label")) & enough)
     return met.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
 
 

@@ -459,6 +459,24 @@ def test_near_duplicates_recall(spark, n):
     assert sum(got[a] == got[b] for a, b in pairs) >= 0.99 * len(pairs) > 0
 
 
+def test_open_buckets_of_every_length_are_joined(spark):
+    """Texts made of common passages alone, of many lengths and classes: the exact join over tokens and bands of lengths finds the links that brute force does."""
+    rng = random.Random(11)
+    passages = [" ".join(f"p{k}w{i}" for i in range(rng.randint(4, 14))) for k in range(14)]
+    rows = [(i, " ".join(rng.choices(passages, k=rng.randint(1, 9)))) for i in range(260)]
+    texts = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    nodes = texts.select(F.col("doc_id").alias("node"), F.lit(0).alias("bin"), F.lit(0).cast("long").alias("hash"))
+    labels = spark.createDataFrame([(i, i - i % 3) for i, _ in rows], "node long, label long")
+    found = {(r.a, r.b) for r in neardup._rest(nodes, labels, neardup.candidates(texts, nodes), size=5, least=0.8).collect()}
+    runs = {}
+    for c in W.chunks(pa.array([t for _, t in rows]), W.PLAIN):
+        h, row = neardup.runs(c)
+        own = neardup.labelled(h, row)
+        runs |= {c.lo + r: own[row == r] for r in range(c.hi - c.lo)}
+    want = {(a, b) for a in runs for b in runs if a < b and a - a % 3 != b - b % 3 and neardup.similarity(runs[a], runs[b], 0.8) >= 0.8}
+    assert want and want <= found and len(found) < 20 * len(want)
+
+
 def test_near_duplicates_that_no_head_touches(spark):
     """Pairs just alike enough in buckets that hold many other classes."""
     common = [f"c{i}" for i in range(104)]
