@@ -38,3 +38,15 @@ def test_queries_without_oracle_run(spark):
 
 def test_entry(spark):
     assert registry.entry(spark, SMALL).count() > 0
+
+
+@pytest.mark.parametrize("name", ["check_artist_linking", "apply_artwork_reviews", "queue_summary", "gallery_records", "gallery_enrichment", "event_bundle", "mart_galleries", "crawl_quality_full", "json_ld_artwork"])
+def test_plans_read_each_stage_few_times(spark, name):
+    plan = registry.queries()[name](spark, SMALL)._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("FileScan") <= 15 and plan.count("MapInArrow") <= 1 and "CartesianProduct" not in plan
+
+
+def test_titles_and_many_rules_need_no_python_and_no_nested_loop(spark):
+    for name in ("title_similarity", "auto_apply_suggestions", "learned_rule_match_by_grams"):
+        plan = registry.queries()[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan and "Arrow" not in plan and "NestedLoop" not in plan
