@@ -202,7 +202,7 @@ le AS (SELECT gallery_id, string_agg(event_id, ',' ORDER BY event_id) AS linked_
 la AS (SELECT gallery_id, count(DISTINCT a.id) AS n_artworks FROM pl JOIN a_artworks a ON {key('a.gallery_name')} = n_gallery_name AND a.source_domain = pl.source_domain GROUP BY 1)
 SELECT gr.gallery_id, gallery_name, gallery_record_type, gr.is_hidden, gr.is_approved, gr.canonical_gallery_name, gr.canonical_gallery_type, {_SAID}, n_events, coalesce(linked_events, '') AS linked_events, coalesce(n_artworks, 0) AS n_artworks,
  CASE WHEN raw_payload LIKE '%"name"%' THEN raw_payload->>'$.represented_artists[0].name' || '@,Jo Bee@https://x.example/jo' ELSE '' END AS linked_artists, raw_payload, {key('gallery_name')} AS normalized_gallery_name
-FROM gr LEFT JOIN pl USING (gallery_id) LEFT JOIN le USING (gallery_id) LEFT JOIN la USING (gallery_id) LEFT JOIN a_gallery_overrides o ON o.gallery_id = gr.gallery_id""", staged=True)
+FROM gr LEFT JOIN pl ON pl.gallery_id = gr.gallery_id AND gallery_record_type = 'scraped' LEFT JOIN le ON le.gallery_id = gr.gallery_id LEFT JOIN la ON la.gallery_id = gr.gallery_id LEFT JOIN a_gallery_overrides o ON o.gallery_id = gr.gallery_id""", staged=True)
 def gallery_records(t):
     g = R.gallery_records(union(t), gallery_links(t), t["a_gallery_overrides"], gallery_works(t))
     people = F.array_join(F.transform("linked_artists", lambda a: F.concat_ws("@", a["name"], F.coalesce(a["profile_url"], F.lit("")))), ",")
