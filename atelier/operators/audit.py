@@ -135,7 +135,11 @@ def raw_ranked_check(latest: DataFrame, rows: DataFrame, keys: Sequence[str | Co
     return rows.withColumn("_n", F.row_number().over(w)).where("_n = 1").join(latest.select(on), on, "left_anti").select(on)
 
 
-def suspect_reason(name: Column, *, deny: Sequence[str] = ("selected works", "latest work", "artworks", "paintings", "prints")) -> Column:
+#: Words of page headings that a name doesn't hold.
+DENIED = ("selected works", "latest work", "artworks", "paintings", "prints")
+
+
+def suspect_reason(name: Column, *, deny: Sequence[str] = DENIED) -> Column:
     low = F.lower(F.trim(name))
     return F.when(low.rlike("|".join(deny)), "denylist").when(F.contains(name, F.lit(":")), "colon").when(F.length(name) > 60, "too_long").when((low != "") & ~F.contains(low, F.lit(" ")), "single_token")
 
