@@ -149,6 +149,17 @@ def slug_suggestion(url: Column) -> Column:
     return X.artist_name_from_slug(url)
 
 
+def suspect_names(df: DataFrame, *, name: str = "artist_name", url: str = "source_url", overrides: dict[str, str] | None = None, deny: Sequence[str] = DENIED) -> DataFrame:
+    """Rows whose name is suspect, with reason and the name that the URL's slug spells (empty where it spells none).
+
+    In order: the whole name is a heading, it holds a colon, it is longer than 60 characters, or it is one token though the slug spells a name.
+    """
+    said, spelled = X.clean_text(F.col(name)), X.artist_name_from_slug(F.col(url), overrides=overrides)
+    one = ~F.contains(said, F.lit(" ")) & spelled.isNotNull()
+    reason = F.when(F.lower(said).isin(list(deny)), "denylist").when(F.contains(said, F.lit(":")), "colon").when(F.length(said) > 60, "too_long").when(one, "single_token")
+    return df.withColumns({"reason": reason, "suggested_artist_name": F.coalesce(spelled, F.lit(""))}).where("reason is not null")
+
+
 def check(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     """(rule, failures): rows that break each rule, all in one aggregate."""
     one = df.agg(*(F.count_if(~F.coalesce(c, F.lit(False))).alias(n) for n, c in rules.items()))

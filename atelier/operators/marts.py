@@ -246,10 +246,16 @@ def artwork_records(artworks: DataFrame, reviews: DataFrame) -> DataFrame:
     return latest_artworks(artworks).join(status, "artwork_id", "left").withColumn("review_status", F.coalesce("review_status", F.lit("pending")))
 
 
-def event_records(events: DataFrame, overrides: DataFrame) -> DataFrame:
-    marked = overrides.withColumn("_there", F.lit(True))
+def event_records(events: DataFrame, overrides: DataFrame, raw: DataFrame | None = None) -> DataFrame:
+    """Events with their override: what it says goes before the event's own title and type, and stands beside them as canonical_*, with its notes and time where it has them.
+
+    Given the raw events (id, payload), each event has its raw_payload as well. Events without an override are neither hidden nor approved.
+    """
     over = overlay(events, overrides, "event_id", {"event_title": "canonical_event_title", "event_type": "event_type"})
-    state = marked.select("event_id", "is_hidden", "is_approved", "moderation_reason", "_there")
+    said = [c for c in ("moderation_reason", "moderator_notes", "updated_at") if c in overrides.columns]
+    state = overrides.select("event_id", "is_hidden", "is_approved", "canonical_event_title", F.col("event_type").alias("canonical_event_type"), *said, F.lit(True).alias("_there"))
+    if raw is not None:
+        over = over.join(raw.select(F.col("id").alias("event_id"), F.col("payload").alias("raw_payload")), "event_id", "left")
     return over.join(state, "event_id", "left").withColumns(
         {"is_hidden": F.coalesce("is_hidden", F.lit(False)), "is_approved": F.coalesce("is_approved", F.lit(False)), "moderation_override_exists": F.coalesce("_there", F.lit(False))}
     ).drop("_there")
@@ -286,7 +292,7 @@ def artist_dedupe(artworks: DataFrame) -> DataFrame:
     sure = F.when(ambiguous(F.col("artist_name")), 0.2).when(years[0].isNotNull() & years[1].isNotNull(), 1.0).when(years[0].isNotNull() | years[1].isNotNull(), 0.8).otherwise(0.6)
     return keyed.groupBy("artist_key").agg(
         F.min("artist_name").alias("artist_name"), F.countDistinct("source_domain").alias("source_count"), F.count("*").alias("artwork_count"), F.min("crawl_timestamp").alias("first_seen"), F.max("crawl_timestamp").alias("last_seen"),
-        F.max(sure).alias("artist_confidence_score"),
+        F.max(sure).alias("artist_confidence_score"), F.min(years[0]).alias("birth_year"), F.min(years[1]).alias("death_year"),
     )
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -200,6 +201,22 @@ def queue_summary(artworks: DataFrame, profiles: DataFrame, links: DataFrame) ->
     return a.join(F.broadcast(p)).join(F.broadcast(w))  # one row each
 
 
+def moderation_summary(profiles: DataFrame, artworks: DataFrame, events: DataFrame, galleries: DataFrame) -> DataFrame:
+    """(entity_type, total, approved, hidden, needs_review) of the four kinds of records, one aggregate each.
+
+    An artist that is not hidden is approved once it has a canonical name; a work is approved where it is public, and hidden with its artist.
+    """
+    hidden, approved = F.coalesce("is_hidden", F.lit(False)), F.coalesce("is_approved", F.lit(False))
+    named, public = ~X.blank(F.col("canonical_artist_name")), F.coalesce("public_visibility", F.lit(False))
+    waiting = F.coalesce("review_status", F.lit("pending")).isin("pending", "unreviewed")
+    kinds = {
+        "artists": (profiles, ~hidden & named, hidden, ~hidden & ~named), "artworks": (artworks, public, F.coalesce("artist_is_hidden", F.lit(False)), waiting & ~public),
+        "events": (events, approved, hidden, ~approved & ~hidden), "galleries": (galleries, approved, hidden, ~approved & ~hidden),
+    }
+    counts = [df.agg(F.count("*").alias("total"), *(F.count_if(c).alias(n) for n, c in zip(("approved", "hidden", "needs_review"), of))).select(F.lit(kind).alias("entity_type"), "*") for kind, (df, *of) in kinds.items()]
+    return reduce(DataFrame.unionByName, counts)
+
+
 def admin_events(
     df: DataFrame, *, queue: str = "all", as_of: str, search: str | None = None, domain: str | None = None, kind: str | None = None, city: str | None = None,
     start_from: str | None = None, start_until: str | None = None, missing: Sequence[str] = (), linked: bool | None = None,

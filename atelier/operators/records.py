@@ -206,3 +206,12 @@ def crawl_quality_full(sources: DataFrame, runs: DataFrame, errors: DataFrame, a
     out = r.join(e, ["source_id", "crawl_date"], "full_outer").join(ids, "source_id").join(a, ["source_domain", "crawl_date"], "full_outer")
     counts = "records_inserted records_failed error_count records_found missing_artist_count missing_title_count missing_image_count duplicate_candidate_count".split()
     return out.withColumns({c: F.coalesce(c, F.lit(0).cast("long")) for c in counts})
+
+
+def rate_metrics(quality: DataFrame, keys: list[str]) -> DataFrame:
+    """By keys, of crawl_quality_full's rows: failed records a record found, and the missing and duplicate rates; null where no record was found."""
+    counts = "records_found records_failed missing_artist_count missing_title_count missing_image_count duplicate_candidate_count".split()
+    total = quality.groupBy(*keys).agg(*(F.sum(c).alias(c) for c in counts))
+    rate = lambda c: F.round(F.try_divide(c, "records_found"), 4)
+    names = ["error_rate", "missing_artist_rate", "missing_title_rate", "missing_image_rate", "duplicate_rate"]
+    return total.select(*keys, "records_found", *(rate(c).alias(n) for c, n in zip(counts[1:], names)))

@@ -73,6 +73,19 @@ def route_class(columns: Iterable[str]) -> Column:
     )
 
 
+#: The tables that items go to.
+CLASSES = ["artwork", "event", "artist", "event_artist", "image", "gallery"]
+
+
+def route_items(items: DataFrame) -> tuple[dict[str, DataFrame], DataFrame]:
+    """({class: its items}, the rejected items with the reason). Items are rows of one wide table, null where their kind has no such field."""
+    routed = items.withColumn("class", route_class(items.columns))
+    have = set(items.columns)
+    blank = [F.coalesce(F.col(c).cast("string"), F.lit("")) == "" if c in have else F.lit(True) for c in ("source_url", "source_domain")]
+    why = F.when(blank[0], "no source_url").when(blank[1], "no source_domain").otherwise("no known shape")
+    return {c: routed.where(F.col("class") == c) for c in CLASSES}, routed.where("class = 'rejected'").withColumn("reason", why)
+
+
 def select_with_fallback(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """Each alias from the column of its name, else from its fallback, else null."""
     have = set(df.columns)

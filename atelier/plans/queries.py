@@ -318,7 +318,7 @@ ARTIST = f"{MART}, keyed AS (SELECT *, {slug('artist_name')} AS artist_key FROM
 
 @query(f"WITH {ARTIST} SELECT artist_key, min(artist_name) AS artist_name, count(DISTINCT source_domain) AS source_count, count(*) AS artwork_count, min(crawl_timestamp) AS first_seen, max(crawl_timestamp) AS last_seen, 0.6::double AS artist_confidence_score FROM keyed GROUP BY 1")
 def artist_dedupe(t):
-    return M.artist_dedupe(mart(t))
+    return M.artist_dedupe(mart(t)).drop("birth_year", "death_year")
 
 
 DUP = f"""{MART}, dk AS (SELECT *, CASE WHEN artist_name IS NOT NULL AND artwork_title IS NOT NULL THEN concat_ws('|', {slug('artist_name')}, {slug('artwork_title')}, cast(year_start AS varchar)) END AS k FROM mart),
@@ -564,7 +564,28 @@ def artist_profiles(t):
     return M.artist_profiles(records(t)).select("artist_name", "source_domain", "artwork_count", "last_seen", "profile_url")
 
 
-@query(None)
+def _once(x: str, split: str, join: str) -> str:
+    """Parts of x in order, the first of each lower-cased and trimmed form."""
+    parts = f"list_filter(list_transform(regexp_split_to_array({x}, '{split}'), lambda q: trim(q)), lambda q: q <> '')"
+    return f"(SELECT coalesce(string_agg(w, {join} ORDER BY o), '') FROM (SELECT w, o FROM (SELECT unnest({parts}) AS w, generate_subscripts({parts}, 1) AS o) QUALIFY row_number() OVER (PARTITION BY lower(w) ORDER BY o) = 1))"
+
+
+_EMAIL, _PHONE = r"(?i)[A-Z0-9._%+-]+@[A-Z0-9.-]+\.[A-Z]{2,}", r"(?:\+?\d[\d\-\s().]{7,}\d)"
+_NAV = r"about the artist|artworks\s*[▼v]|painting prints|earlier works"
+
+
+def bio_sql(name: str, rows: str) -> str:
+    """name as rows (with raw_bio) and what becomes of the biography: cleaned, score, flags."""
+    lines = rf"regexp_replace(regexp_replace(regexp_replace(redacted, '(?im)^\s*({_NAV})\s*$', ' ', 'g'), '(?im)^\s*(?:19|20)\d{{2}}\s*[-–:|].*$', ' ', 'g'), '[\r\t]+', ' ', 'g')"
+    return rf"""{name}_1 AS (SELECT *, coalesce(raw_bio, '') AS raw_, regexp_replace(regexp_replace(coalesce(raw_bio, ''), '{_EMAIL}', ' ', 'g'), '{_PHONE}', ' ', 'g') AS redacted FROM ({rows})),
+{name}_2 AS (SELECT *, {_once(lines, chr(92) + "n{2,}", "chr(10) || chr(10)")} AS paragraphs FROM {name}_1), {name}_3 AS (SELECT *, {_once(r"regexp_replace(paragraphs, '\s+', ' ', 'g')", "[.!?]+", "'. '")} AS sentences FROM {name}_2),
+{name}_4 AS (SELECT *, {ct('sentences')} AS cleaned, regexp_matches(raw_, '{_EMAIL}') AS e, regexp_matches(raw_, '{_PHONE}') AS f, regexp_matches(raw_, '(?i)({_NAV})') AS g, redacted <> raw_ OR paragraphs <> redacted OR sentences <> paragraphs AS d,
+ length(regexp_replace(raw_, '[^A-Za-z]', '', 'g')) AS letters, length(regexp_replace(raw_, '[^A-Z]', '', 'g')) AS capitals FROM {name}_3),
+{name} AS (SELECT *, greatest(0, 100 - e::int * 30 - f::int * 20 - g::int * 20 - d::int * 10 - (length(coalesce(cleaned, '')) < 80)::int * 10 - (letters >= 20 AND capitals * 10 > letters * 6)::int * 10) AS score,
+ array_to_string(list_filter([CASE WHEN e THEN 'contains_email' END, CASE WHEN f THEN 'contains_phone' END, CASE WHEN g THEN 'navigation_noise' END, CASE WHEN length(coalesce(cleaned, '')) < 80 THEN 'too_short' END, CASE WHEN d THEN 'duplicate_content' END], lambda x: x IS NOT NULL), ',') AS flags FROM {name}_4)"""
+
+
+@query(f"WITH {bio_sql('bio', 'SELECT doc_id, text AS raw_bio FROM documents')} SELECT doc_id, cleaned, score, flags FROM bio")
 def artist_bios(t):
     b = X.bio_clean(F.col("text"))
     docs = t["documents"].withColumn("b", b)
@@ -815,12 +836,6 @@ def event_quality_summary(t):
     return D.event_quality(er(t)).groupBy("source_domain", "event_type").agg(F.count("*").alias("n"), F.count_if("is_approved").alias("approved"), F.count_if("is_hidden").alias("hidden"), F.round(F.avg("quality_score"), 2).alias("avg_score"))
 
 
-@query(f"WITH {EQ}, {GAL} SELECT 'events' AS entity, count(*) AS n, count(*) FILTER (is_approved) AS good FROM es UNION ALL SELECT 'galleries', count(*), count(*) FILTER (contact_quality_score >= 6) FROM gl UNION ALL SELECT 'reviews', count(*), count(*) FILTER (review_status = 'approved') FROM a_reviews", staged=True)
-def moderation_summary(t):
-    one = lambda df, name, good: df.agg(F.count("*").alias("n"), F.count_if(good).alias("good")).select(F.lit(name).alias("entity"), "n", "good")
-    return one(D.event_quality(er(t)), "events", F.col("is_approved")).unionByName(one(M.latest_galleries(gal(t)), "galleries", F.col("contact_quality_score") >= 6)).unionByName(one(t["a_reviews"], "reviews", F.col("review_status") == "approved"))
-
-
 @query(f"WITH {EQ} SELECT count(*) AS total, count(*) FILTER (missing_venue) AS missing_venue, count(*) FILTER (missing_artists) AS missing_artists, count(*) FILTER (artist_count > 3) AS multiple, count(*) FILTER (missing_description) AS missing_description, count(*) FILTER (end_before_start) AS end_before_start, count(*) FILTER (is_hidden) AS hidden FROM es")
 def moderation_metrics(t):
     e = D.event_quality(er(t))
@@ -837,7 +852,12 @@ def queue_missing_images(t):
     return D.moderation_queue(records(t), "broken_or_missing_images").select("raw_artwork_id")
 
 
-@query(None)
+def best_bios(rows: str) -> str:
+    """The biography of the best row of each (artist_name, source_domain)."""
+    return f"SELECT artist_name, source_domain, arg_max(struct_pack(d := description), struct_pack(a := source_url IS NOT NULL AND description IS NOT NULL, b := coalesce(crawl_timestamp, timestamp '1900-01-01'), c := raw_artwork_id)).d AS raw_bio FROM {rows} WHERE artist_name IS NOT NULL GROUP BY 1, 2"
+
+
+@query(f"WITH {REVIEWED}, {bio_sql('bio', best_bios('rec'))} SELECT artist_name, source_domain, score AS bio_quality_score FROM bio WHERE coalesce(trim(coalesce(cleaned, raw_bio)), '') <> '' AND length(trim(coalesce(cleaned, raw_bio))) < 120")
 def queue_artists_short_bio(t):
     return D.moderation_queue(M.artist_profiles(records(t)), "artists_short_bio").select("artist_name", "source_domain", "bio_quality_score")
 

@@ -233,11 +233,12 @@ def event_metrics(t):
     return D.event_quality(Q.er(t)).agg(F.count("*").alias("total"), *O.count_flags(flags))
 
 
-@query("SELECT s_suppkey, array_to_string(list_sort(list(DISTINCT c_name || '@' || coalesce(nullif(cast(c_nationkey AS varchar), '7'), ''))), ',') AS artists FROM supplier JOIN customer ON c_custkey % 100 = s_suppkey GROUP BY 1")
+@query("SELECT s_suppkey, array_to_string(list_sort(list(DISTINCT c_name || '@' || coalesce(nullif(cast(c_nationkey AS varchar), '7'), ''))), ',') AS artists FROM supplier JOIN customer ON c_custkey % (SELECT count(*) FROM supplier) = s_suppkey GROUP BY 1")
 def linked_artists_from_payload(t):
     """Payloads made of the customers of a supplier, each twice, some without a profile."""
     url = F.when(F.col("c_nationkey") != 7, F.col("c_nationkey").cast("string"))
-    people = t["supplier"].join(t["customer"], F.col("c_custkey") % 100 == F.col("s_suppkey")).select("s_suppkey", F.struct(F.col("c_name").alias("name"), url.alias("profile_url")).alias("p"))
+    n = F.broadcast(t["supplier"].agg(F.count("*").alias("_all")))  # one row
+    people = t["supplier"].join(t["customer"].join(n), F.col("c_custkey") % F.col("_all") == F.col("s_suppkey")).select("s_suppkey", F.struct(F.col("c_name").alias("name"), url.alias("profile_url")).alias("p"))
     made = people.unionByName(people).groupBy("s_suppkey").agg(F.to_json(F.struct(F.collect_list("p").alias("represented_artists"))).alias("payload"))
     out = R.linked_artists_from_payload(made, "payload", "$.represented_artists")
     return out.select("s_suppkey", F.array_join(F.array_sort(F.transform("linked_artists", lambda a: F.concat_ws("@", a["name"], F.coalesce(a["profile_url"], F.lit(""))))), ",").alias("artists"))
@@ -307,12 +308,16 @@ def artist_profiles_edited(t):
     return p.select("artist_name", "source_domain", F.col("edited_bio").isNotNull().alias("edited"), F.md5(F.when(F.col("edited_bio").isNotNull(), F.col("artist_bio"))).alias("bio"))
 
 
-@query(f"""WITH {FULL}, {EVENTS.replace('ev AS (', 'ev AS (', 1)}, p AS (SELECT DISTINCT artist_name, source_domain FROM full_ WHERE artist_name IS NOT NULL)
-SELECT (SELECT count(*) FROM full_ WHERE review_status = 'pending') AS artworks_pending_review, (SELECT count(*) FROM full_ WHERE coalesce(trim(image_url), '') = '') AS broken_or_missing_images, (SELECT count(*) FROM p WHERE artist_name NOT IN (SELECT artist_name FROM links)) AS artists_without_events,
- (SELECT count(*) FROM p JOIN (SELECT DISTINCT artist_name, source_domain FROM a_bio_edits) USING (artist_name, source_domain)) AS artists_with_manual_bio""", staged=True)
+_BIO = "coalesce(e.edited_bio, bio.cleaned, bio.raw_bio)"
+
+
+@query(f"""WITH {FULL}, {EVENTS}, {Q.bio_sql('bio', Q.best_bios('full_'))}, be AS (SELECT artist_name, source_domain, edited_bio FROM a_bio_edits QUALIFY row_number() OVER (PARTITION BY artist_name, source_domain ORDER BY created_at DESC, id DESC) = 1),
+p AS (SELECT bio.artist_name, e.edited_bio, score, {_BIO} AS artist_bio FROM bio LEFT JOIN be e ON e.artist_name = bio.artist_name AND e.source_domain = bio.source_domain)
+SELECT (SELECT count(*) FROM full_ WHERE review_status = 'pending') AS artworks_pending_review, (SELECT count(*) FROM full_ WHERE coalesce(trim(image_url), '') = '') AS broken_or_missing_images, count(*) FILTER (coalesce(trim(artist_bio), '') = '') AS artists_missing_bio,
+ count(*) FILTER (trim(artist_bio) <> '' AND length(trim(artist_bio)) < 120) AS artists_short_bio, count(*) FILTER (coalesce(score, 100) < 60) AS artists_poor_bio, count(*) FILTER (regexp_matches(artist_name, '(?i)selected works|latest work|artworks|paintings|prints|about the artist')) AS artists_suspect_name,
+ count(edited_bio) AS artists_with_manual_bio, count(*) FILTER (artist_name NOT IN (SELECT artist_name FROM links)) AS artists_without_events FROM p""", staged=True)
 def queue_summary(t):
-    out = D.queue_summary(full(t), M.artist_profiles(full(t), t["a_bio_edits"]), Q.links(t))
-    return out.select("artworks_pending_review", "broken_or_missing_images", "artists_without_events", "artists_with_manual_bio")
+    return D.queue_summary(full(t), M.artist_profiles(full(t), t["a_bio_edits"]), Q.links(t))
 
 
 FLAGGED = "fa AS (SELECT s_name || ' Studio' AS artist_name, CASE WHEN l_linestatus = 'O' THEN 'artists_with_manual_bio' ELSE 'artists_missing_bio' END AS issue_type, CASE WHEN s_acctbal < 4000 THEN 'resolved' WHEN l_returnflag = 'R' THEN 'open' ELSE 'closed' END AS status FROM lineitem JOIN supplier ON l_suppkey = s_suppkey)"

@@ -8,7 +8,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 
 from atelier.plans import queries as Q
-from atelier.plans import merge_queries, page_queries, record_queries, section_queries, source_queries, text_queries  # noqa: F401  (they register their queries)
+from atelier.plans import merge_queries, page_queries, record_queries, review_queries, section_queries, source_queries, text_queries  # noqa: F401  (they register their queries)
 from atelier.sources.adapters import Tables, oracle
 
 

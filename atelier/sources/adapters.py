@@ -65,7 +65,8 @@ SELECT 'r' || cast(doc_id AS string) AS id, @UUID(cast(doc_id - doc_id % 3 AS st
 """,
     "a_event_overrides": """
 SELECT cast(doc_id AS string) AS event_id, toxic = 1 AS is_hidden, quality = 1 AS is_approved, CASE WHEN doc_id % 2 = 0 THEN 'Title ' || cast(doc_id AS string) ELSE NULL END AS canonical_event_title,
-  CASE WHEN doc_id % 3 = 1 THEN 'talk' ELSE NULL END AS event_type, CASE WHEN doc_id % 5 = 0 THEN 'auto_applied' ELSE NULL END AS moderation_reason FROM labels
+  CASE WHEN doc_id % 3 = 1 THEN 'talk' ELSE NULL END AS event_type, CASE WHEN doc_id % 5 = 0 THEN 'auto_applied' ELSE NULL END AS moderation_reason,
+  CASE WHEN doc_id % 7 = 0 THEN 'seen' ELSE NULL END AS moderator_notes, timestamp '2024-05-01 00:00:00' + doc_id % 30 * INTERVAL '1' DAY AS updated_at FROM labels
 """,
     "a_flags": """
 SELECT 'f' || cast(event_id AS string) AS id, 'artist' AS entity_type, cast(user_id % 100 AS string) AS entity_id, CASE WHEN event_type = 'purchase' THEN 'duplicate' ELSE 'suspect' END AS issue_type,
@@ -117,11 +118,11 @@ FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_acctbal < 0 OR s_
 """,
     "a_artist_decisions": """
 SELECT 'd' || cast(event_id AS string) AS id, s_name || ' Studio' AS artist_name, event_type = 'error' AS is_hidden, CASE WHEN event_type = 'purchase' THEN '  ' WHEN event_type = 'click' THEN ' New ' || s_name || ' ' ELSE NULL END AS canonical_artist_name, event_type AS reason, ts AS decided_at
-FROM events JOIN supplier ON user_id % 40 = s_suppkey
+FROM (SELECT *, user_id % (SELECT count(*) FROM supplier) AS k FROM events) e JOIN supplier ON k = s_suppkey
 """,
     "a_bio_edits": """
 SELECT 'b' || cast(doc_id AS string) AS id, s_name || ' Studio' AS artist_name, lower(n_name) || '.example' AS source_domain, CASE WHEN doc_id % 10 = 0 THEN '   ' ELSE '  ' || text || ' ' END AS edited_bio, timestamp '2024-01-01 00:00:00' + n_chars * INTERVAL '1' MINUTE AS created_at
-FROM documents JOIN supplier ON doc_id % 60 = s_suppkey JOIN nation ON s_nationkey = n_nationkey
+FROM (SELECT *, doc_id % (SELECT count(*) FROM supplier) AS k FROM documents) d JOIN supplier ON k = s_suppkey JOIN nation ON s_nationkey = n_nationkey
 """,
     "a_gallery_overrides": """
 SELECT @UUID(lower(c_name) || '|' || lower(n_name) || '|' || lower(r_name) || '|' || lower(n_name) || '.example') AS gallery_id, c_mktsegment = 'BUILDING' AS is_hidden, c_mktsegment = 'MACHINERY' AS is_approved, CASE WHEN c_acctbal > 5000 THEN 'Gallery ' || c_name ELSE NULL END AS canonical_gallery_name, CASE WHEN c_acctbal > 8000 THEN 'museum' ELSE NULL END AS canonical_gallery_type,

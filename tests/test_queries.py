@@ -40,7 +40,7 @@ def test_entry(spark):
     assert registry.entry(spark, SMALL).count() > 0
 
 
-@pytest.mark.parametrize("name", ["check_artist_linking", "apply_artwork_reviews", "queue_summary", "gallery_records", "gallery_enrichment", "event_bundle", "mart_galleries", "crawl_quality_full", "json_ld_artwork"])
+@pytest.mark.parametrize("name", ["check_artist_linking", "apply_artwork_reviews", "queue_summary", "moderation_summary", "event_records_full", "gallery_records", "gallery_enrichment", "event_bundle", "mart_galleries", "crawl_quality_full", "json_ld_artwork"])
 def test_plans_read_each_stage_few_times(spark, name):
     plan = registry.queries()[name](spark, SMALL)._jdf.queryExecution().sparkPlan().toString()
     assert plan.count("FileScan") <= 15 and plan.count("MapInArrow") <= 1 and "CartesianProduct" not in plan

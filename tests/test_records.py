@@ -160,3 +160,41 @@ def test_batches_rewrite_only_the_buckets_they_touch(spark, tmp_path):
     with pytest.raises(ValueError, match="buckets"):
         B.merge(second, 4, target, **(kept | {"buckets": 8}))
     assert B.current(spark, str(tmp_path / "none"), first.schema).count() == 0
+
+
+def test_moderation_summary_of_four_kinds(spark):
+    people = spark.createDataFrame([(None, None), (False, " "), (False, "A"), (True, "B"), (None, "C")], "is_hidden boolean, canonical_artist_name string")
+    works = spark.createDataFrame([(True, False, "approved"), (None, None, None), (False, True, "unreviewed"), (False, False, "rejected")], "public_visibility boolean, artist_is_hidden boolean, review_status string")
+    events = spark.createDataFrame([(None, None), (True, False), (True, True), (False, True)], "is_approved boolean, is_hidden boolean")
+    rows = {r[0]: tuple(r[1:]) for r in D.moderation_summary(people, works, events, events.limit(0)).collect()}
+    assert rows == {"artists": (5, 2, 1, 2), "artworks": (4, 1, 1, 2), "events": (4, 2, 2, 1), "galleries": (0, 0, 0, 0)}
+
+
+def test_artists_with_years_are_told_apart(spark):
+    rows = [("Ann Lee", "1", "a", 1900, 1950), ("ann lee", "2", "b", 1900, 1950), ("Ann Lee", "3", "a", 1901, None), ("Ann Lee", "4", "a", None, None), ("Unknown", "5", "a", 1900, None), ("Unknown", "6", "a", 1900, None), (None, "7", "a", 1900, 1950)]
+    works = spark.createDataFrame(rows, "artist_name string, raw_artwork_id string, source_domain string, birth_year int, death_year int").withColumn("crawl_timestamp", F.lit("2024-01-01").cast("timestamp"))
+    got = {r["artist_key"]: (r["artwork_count"], r["source_count"], r["artist_confidence_score"], r["birth_year"]) for r in M.artist_dedupe(works).collect()}
+    assert got == {"ann-lee-1900-1950": (2, 2, 1.0, "1900"), "ann-lee-1901": (1, 1, 0.8, "1901"), "ann-lee": (1, 1, 0.6, None), "unknown:5": (1, 1, 0.2, "1900"), "unknown:6": (1, 1, 0.2, "1900")}
+
+
+def test_suspect_names_in_order(spark):
+    url = "https://x.example/artists/anna-bee/"
+    rows = [("Prints", url), ("prints: new", url), ("x" * 61, url), ("Anna", url), ("Anna", "https://x.example/"), ("Anna Bee", url), (" ", url), (None, url), ("Anna", None)]
+    got = [tuple(r) for r in A.suspect_names(spark.createDataFrame(rows, "artist_name string, source_url string")).select("reason", "suggested_artist_name").collect()]
+    assert got == [("denylist", "Anna Bee"), ("colon", "Anna Bee"), ("too_long", "Anna Bee"), ("single_token", "Anna Bee")]
+
+
+def test_rates_without_records_are_null(spark):
+    columns = "source_domain string, records_found long, records_failed long, missing_artist_count long, missing_title_count long, missing_image_count long, duplicate_candidate_count long"
+    rows = [("a", 4, 1, 2, 0, 4, 1), ("a", 4, 0, 0, 0, 0, 1), ("b", 0, 3, 0, 0, 0, 0)]
+    got = {r[0]: tuple(r[1:]) for r in R.rate_metrics(spark.createDataFrame(rows, columns), ["source_domain"]).collect()}
+    assert got == {"a": (8, 0.125, 0.25, 0.0, 0.5, 0.25), "b": (0, None, None, None, None, None)}
+
+
+def test_items_are_routed_or_rejected_with_a_reason(spark):
+    from atelier.operators import tables as O
+
+    rows = [("1", "u", "d", "t", None, None), ("2", "u", None, "t", None, None), ("3", None, "d", "t", None, None), ("4", None, None, None, "e", "n"), ("5", "u", "d", None, None, None), ("6", "u", "d", None, None, "n")]
+    routed, rejected = O.route_items(spark.createDataFrame(rows, "id string, source_url string, source_domain string, artwork_title string, event_id string, artist_name string"))
+    assert {c: [r["id"] for r in df.collect()] for c, df in routed.items()} == {"artwork": ["1"], "event": [], "artist": ["6"], "event_artist": ["4"], "image": [], "gallery": []}
+    assert {r["id"]: r["reason"] for r in rejected.collect()} == {"2": "no source_domain", "3": "no source_url", "5": "no known shape"}
