@@ -14,15 +14,16 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import zstandard as zstd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from atelier.llm import words as W
 from atelier.llm.shared import table
 
-#: Bounds of what is learnt from: rows a class for a dictionary (texts of at most SAMPLE_BYTES), rows for the calibration.
+#: Bounds of what is learnt from: rows a class for a dictionary (texts of at most TEXT_BYTES, SAMPLE_BYTES together), rows for the calibration.
 SAMPLE_ROWS = 1500
-SAMPLE_BYTES = 1 << 20
+TEXT_BYTES = 1 << 20
+SAMPLE_BYTES = 1 << 26
 CALIBRATION_ROWS = 4000
 DICTIONARY_BYTES = (1 << 11, 1 << 13, 1 << 15)
 LEVEL = 3
@@ -101,14 +102,17 @@ def logistic(x: np.ndarray, y: np.ndarray, *, ridge: float = 1e-3, steps: int =
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
-    """Learns labels.quality from at most 2 * SAMPLE_ROWS + CALIBRATION_ROWS rows, those of the smallest hash of doc_id."""
+    """Learns labels.quality from at most 2 * SAMPLE_ROWS + CALIBRATION_ROWS rows, those of the smallest hash of doc_id, and 2 * SAMPLE_BYTES of text."""
     known = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1)).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("quality").alias("quality"))
     known = known.withColumns({"fold": fold(), "turn": F.xxhash64("doc_id")}).where(F.col("fold") != HELD_OUT)
     first = lambda rows, n: rows.orderBy("turn", "doc_id").limit(n).select("doc_id", "quality")
     for_words = known.where(F.col("fold") != 3)
     ids = first(for_words.where("quality = 0"), SAMPLE_ROWS).unionByName(first(for_words.where("quality = 1"), SAMPLE_ROWS))
-    texts = docs.select(F.col("doc_id").cast("long"), "text").where(F.octet_length("text").between(1, SAMPLE_BYTES))
-    got = texts.join(F.broadcast(ids), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "text").select("quality", "text").collect()
+    texts = docs.select(F.col("doc_id").cast("long"), "text").where(F.octet_length("text").between(1, TEXT_BYTES)).join(F.broadcast(ids), "doc_id")
+    turn = Window.partitionBy("quality").orderBy(F.xxhash64("doc_id"), "doc_id", "text")
+    # the driver gets texts of SAMPLE_BYTES a class at most; a doc_id that repeats is bounded with the rest
+    held = texts.withColumns({"_bytes": F.sum(F.octet_length("text").cast("long")).over(turn), "_n": F.row_number().over(turn)}).where((F.col("_bytes") <= SAMPLE_BYTES) & (F.col("_n") <= SAMPLE_ROWS))
+    got = held.orderBy("quality", "_n").select("quality", "text").collect()
     bad, good = ([dictionary([r["text"].encode() for r in got if r["quality"] == q], size) for size in DICTIONARY_BYTES] for q in (0, 1))
     chosen = first(known.where("fold = 3"), CALIBRATION_ROWS)
     rows = sizes(docs.join(F.broadcast(chosen.select("doc_id")), "doc_id", "left_semi"), bad, good).join(F.broadcast(chosen), "doc_id")

@@ -751,3 +751,19 @@ def test_licences_of_whole_documents(spark):
         assert [(x.paragraph, x.family) for x in r.licences if x.confirmed] == want
         for phrase, family in (("Licensed under the Apache License, Version 2.0.", "apache-2.0"), ("Released under the MIT License.", "mit"), ("Licensed under CC BY-NC 4.0.", "cc-by-nc")):
             assert (phrase in (r.text or "")) <= (family in {f for _, f in want})
+
+
+def test_quality_sample_is_bounded_in_bytes(spark, monkeypatch):
+    rows = [(i, ("good words of text " if i % 2 else "bad noise here ") * (20 + i % 7)) for i in range(400)]
+    docs = spark.createDataFrame(rows + rows[:50], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(compression, "dictionary", lambda texts, size: seen.append(texts) or b"\n".join(texts)[-size:])
+    monkeypatch.setattr(compression, "SAMPLE_BYTES", 5000)
+    compression.fit(docs, labels)
+    assert all(0 < sum(map(len, texts)) <= 5000 for texts in seen)
+    seen.clear()
+    monkeypatch.setattr(compression, "SAMPLE_BYTES", 1 << 26)
+    monkeypatch.setattr(compression, "SAMPLE_ROWS", 30)
+    compression.fit(docs, labels)
+    assert all(20 < len(texts) <= 30 for texts in seen)
