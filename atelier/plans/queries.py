@@ -769,12 +769,17 @@ def page_elements(t):
     return e.select("page_id", F.col("title").isNotNull().alias("titled"), F.size("links").alias("links"), F.size("headings").alias("headings"))
 
 
-@query(None)
+@query(r"""WITH l AS (SELECT DISTINCT page_id, regexp_extract(url, '^([a-z]+://)', 1) || regexp_replace(lower(regexp_extract(url, '^[a-z]+://([^/?#]+)', 1)), '^www\.', '') || regexp_replace(unnest(regexp_extract_all(html, '<a href="(/[^"]*)"', 1)), '/+$', '') AS url FROM pages)
+SELECT page_id, url, CASE WHEN regexp_matches(url, '/[a-z]{2}/[0-9]+') THEN 'detail' WHEN regexp_matches(url, '/page') THEN 'listing' ELSE 'other' END AS class FROM l""")
 def page_links_by_class(t):
     return E.page_links(E.page_elements(t["pages"]), {"detail": "/[a-z]{2}/[0-9]+", "listing": "/page"})
 
 
-@query(None)
+DECODED = "regexp_replace(replace(replace(replace({}, '&lt;', '<'), '&gt;', '>'), '&quot;', chr(34)), '&amp;?', '&', 'g')"  # a reference may end without a semicolon
+
+
+@query(rf"""WITH h AS (SELECT page_id, unnest(regexp_extract_all(html, '<h1>([^<]*)</h1>', 1)) AS head, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title FROM pages), c AS (SELECT page_id, {ct(DECODED.format('head'))} AS head, {ct("regexp_replace(" + DECODED.format('title') + ", '^(.+?)\\s+[|–-]\\s.*$', '\\1')")} AS title FROM h)
+SELECT page_id, CASE WHEN length(head) <= 60 AND NOT contains(head, ':') THEN head WHEN length(title) <= 60 THEN title END AS artist_name FROM c""")
 def artist_name_extract(t):
     return E.artist_name(E.page_elements(t["pages"]))
 
