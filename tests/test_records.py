@@ -198,3 +198,13 @@ def test_items_are_routed_or_rejected_with_a_reason(spark):
     routed, rejected = O.route_items(spark.createDataFrame(rows, "id string, source_url string, source_domain string, artwork_title string, event_id string, artist_name string"))
     assert {c: [r["id"] for r in df.collect()] for c, df in routed.items()} == {"artwork": ["1"], "event": [], "artist": ["6"], "event_artist": ["4"], "image": [], "gallery": []}
     assert {r["id"]: r["reason"] for r in rejected.collect()} == {"2": "no source_domain", "3": "no source_url", "5": "no known shape"}
+
+
+def test_repeated_ids_are_settled_by_the_row(spark):
+    schema = "source_domain string, source_record_id string, raw_artwork_id string, crawl_timestamp timestamp, artist_name string, source_url string, description string"
+    rows = [("d", None, "1-1", None, name, f"u{name}", "x") for name in "abcdef"]
+    one = lambda rows: M.latest_artworks(spark.createDataFrame(rows, schema).coalesce(1)).first().artist_name
+    assert one(rows) == one(rows[::-1])
+    same = [("d", str(i), "1-1", None, "A", f"u{i}", "x") for i in range(6)]
+    best = lambda rows: M.artist_profiles(spark.createDataFrame(rows, schema).coalesce(1)).first().profile_url
+    assert best(same) == best(same[::-1])
