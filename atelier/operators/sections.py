@@ -125,10 +125,12 @@ def scoped_artworks(elements: DataFrame) -> DataFrame:
     file = F.regexp_extract(F.col("image_url"), r"/([^/?#]*)(?:[?#].*)?$", 1)
     name = F.initcap(F.regexp_replace(F.regexp_replace(file, r"\.[A-Za-z]{3,4}$", ""), "[-_]+", " "))
     rows = at.select("*", F.lower(F.regexp_extract("url", r"^[a-z]+://[^/?#]+/([^/?#]+)", 1)).alias("slug"), X.title_infer(F.col("alt"), F.col("hint"), F.nullif(name, F.lit(""))).alias("artwork_title"), file.alias("_file"))
-    other = lambda c: F.exists(F.array(*map(F.lit, NOT_WORKS)), lambda w: F.contains(words(c), w))
+    # what is searched is made once, not once a word
+    other = lambda c: X.let(words(c), lambda held: F.exists(F.array(*map(F.lit, NOT_WORKS)), lambda w: F.contains(held, w)))
+    of_chrome = X.let(path(F.col("image_url")), lambda p: F.exists(F.array(*map(F.lit, CHROME_IMAGES)), lambda w: F.contains(p, w)))
     reason = (
         F.when(F.col("image_url").isNull() | (host(F.col("image_url")) != host(F.col("url"))), "other_host")
-        .when(F.exists(F.array(*map(F.lit, CHROME_IMAGES)), lambda w: F.contains(path(F.col("image_url")), w)), "chrome")
+        .when(of_chrome, "chrome")
         .when((F.col("slug") == "") | ~F.contains(path(F.col("image_url")), F.concat(F.lit("/"), F.col("slug"), F.lit("/"))), "out_of_scope")
         .when(other(F.col("_file")) | other(F.col("artwork_title")), "not_a_work")
         .otherwise("kept")

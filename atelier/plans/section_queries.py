@@ -23,6 +23,11 @@ def profiles(t):
     return E.page_elements(t["a_profile_pages"], tree=True)
 
 
+def images(t):
+    """Scoped images need no tree."""
+    return S.scoped_artworks(E.page_elements(t["a_profile_pages"]))
+
+
 def venues(t):
     return S.venue_event(E.page_elements(t["a_venue_pages"], tree=True), country="Land")
 
@@ -42,12 +47,12 @@ def artist_label_tests(t):
   CASE f WHEN 1 THEN 'One ' || id WHEN 2 THEN 'Studio' WHEN 3 THEN 'Free' WHEN 4 THEN 'Logo' ELSE 'Far' END AS artwork_title, CASE f WHEN 1 THEN 'kept' WHEN 2 THEN 'not_a_work' WHEN 3 THEN 'out_of_scope' WHEN 4 THEN 'chrome' ELSE 'other_host' END AS reason
 FROM a_phrases, unnest([1, 2, 3, 4, 5]) AS u(f)""")
 def image_filters(t):
-    return S.scoped_artworks(profiles(t)).select("page_id", "image_url", "artwork_title", "reason")
+    return images(t).select("page_id", "image_url", "artwork_title", "reason")
 
 
 @query("SELECT 'artist-' || id AS slug, r AS reason, 1::bigint AS n FROM a_phrases, unnest(['kept', 'not_a_work', 'out_of_scope', 'chrome', 'other_host']) AS u(r)")
 def extraction_stats_by_artist(t):
-    return E.extraction_stats(S.scoped_artworks(profiles(t)), F.col("reason"), by=["slug"])
+    return E.extraction_stats(images(t), F.col("reason"), by=["slug"])
 
 
 @query(f"""SELECT id::bigint AS page_id, lower(n_name) || '.example:event:show-' || id AS source_record_id, CASE WHEN k % 3 = 2 THEN 'Show ' ELSE 'Night ' END || id AS event_title, 'Solo Show' AS event_type, CASE k % 3 WHEN 0 THEN 'Hall ' || id WHEN 1 THEN 'Room ' || id ELSE n_name || ' Hall' END AS venue_name,
