@@ -40,3 +40,17 @@ def test_artworks_and_events(elements):
     assert [(r.image_url, r.artwork_title) for r in E.artworks(elements).collect()] == [("https://www.site.example/img/red-sea.jpg", "Red Sea")]
     assert [(r.title, r.start_date, r.end_date) for r in E.events(elements).collect()] == [("Grand show", dt.date(2024, 3, 12), dt.date(2024, 5, 3))]
     assert [(r.artist_name, r.artwork_title) for r in E.json_ld_artworks(elements).collect()] == [("Ann Lee", "Sea")]
+
+
+@pytest.mark.parametrize("kind", [E._Page, E._Tree])
+def test_plain_pages_are_read_as_the_parser_reads_them(kind):
+    plain = '<!DOCTYPE html><html><head><title>A &amp; b</title><script type="application/ld+json">{"a": "<b>"}</script></head><body><h1>H</h1><p class="x  y">one &lt;two<br/>three<img src="a.png" alt="A"><ul><li>l<li>m</ul><a href="/q">link</a></body></html>'
+    odd = ["<p>a < b</p>", "<title>a<b>c</title>", "<script><!-- </script> --></script>", "<textarea><p></textarea>", '<a href="x?a=1&b=2">q</a>', "<p>open", "<!-- c -->x", "<script src='x'/>y"]
+    assert kind().read(plain)  # by the short way
+    for html in [plain, *odd]:
+        fed = kind()
+        fed.feed(html)
+        fed.close()
+        fed.flush()
+        got = E._read(kind, html)
+        assert [getattr(got, c, None) for c in ("title", "headings", "blocks", "links", "images", "meta", "json_ld", "tree")] == [getattr(fed, c, None) for c in ("title", "headings", "blocks", "links", "images", "meta", "json_ld", "tree")]
