@@ -5,8 +5,8 @@ sentence belong together. A logistic regression over sparse word 1- and 2-grams
 trained on the driver from the paragraphs of the texts below, their fragments, and the class `unknown`: other licences, sentences
 that use licence words otherwise, and paragraphs of a bounded sample of the corpus. Its probabilities are calibrated by a
 temperature from whole paragraphs that were held out. A prediction is confirmed by comparison with the family's paragraphs: enough
-of one's word pairs must stand in the paragraph, or enough of the paragraph's in one. A paragraph without any cue is unknown; the
-model's words are looked up only in the others.
+of one's word pairs must stand in the paragraph, or enough of the paragraph's in one. Every paragraph is judged; one without any word of the
+model is unknown. Cue words only choose the sample and count paragraphs that speak of licences.
 """
 
 from __future__ import annotations
@@ -239,7 +239,6 @@ def scan(docs: DataFrame, model: Model) -> DataFrame:
     pairs_of = [[]] + [[sorted({g for g in grams(t) if " " in g}) for t in texts] for texts in TEMPLATES.values()]
     templates = F.from_json(F.lit(json.dumps(pairs_of)), "array<array<array<string>>>")
     every = F.transform(F.split(text, _END), lambda p, i: F.struct(i.alias("paragraph"), p.alias("text")))
-    lines = F.filter(every, lambda p: cued(p["text"]))
 
     def known(g: Column) -> Column:
         return F.try_element_at(F.element_at(weights, (F.crc32(g) % BUCKETS).cast("int") + 1), g)
@@ -275,9 +274,10 @@ def scan(docs: DataFrame, model: Model) -> DataFrame:
             ((p["probability"] >= 0.5) & (near >= SIMILAR)).alias("confirmed"),
         )
 
-    judged = F.when(cued(text), F.transform(F.transform(F.transform(lines, terms), logits), best))
-    found = docs.withColumn("_judged", F.coalesce(judged, F.expr("cast(array() as array<struct<paragraph: int, class: int, probability: double, pairs: array<string>>>)")))
-    return found.withColumns({"n_cues": F.size("_judged"), "licences": F.transform(F.filter("_judged", lambda p: p["class"] > 1), compared)}).drop("_judged")
+    known_words = F.filter(F.transform(every, terms), lambda p: F.size(p["terms"]) > 0)
+    judged = F.filter(F.transform(F.transform(known_words, logits), best), lambda p: p["class"] > 1)
+    cues = F.when(cued(text), F.size(F.filter(F.split(text, _END), cued))).otherwise(0)
+    return docs.withColumns({"n_cues": cues, "_judged": judged}).withColumn("licences", F.transform("_judged", compared)).drop("_judged")
 
 
 def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:

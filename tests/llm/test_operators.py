@@ -767,3 +767,11 @@ def test_quality_sample_is_bounded_in_bytes(spark, monkeypatch):
     monkeypatch.setattr(compression, "SAMPLE_ROWS", 30)
     compression.fit(docs, labels)
     assert all(20 < len(texts) <= 30 for texts in seen)
+
+
+def test_licences_without_a_cue_word(spark):
+    text = "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."
+    df = spark.createDataFrame([(1, f"Some prose.\n\n{text}\n\nMore prose."), (2, ""), (3, None), (4, "\n\n...")], "doc_id long, text string")
+    got = {r.doc_id: r for r in licences.scan(df, licences.train([])).collect()}
+    assert [(x.paragraph, x.family, x.confirmed) for x in got[1].licences if x.confirmed] == [(1, "unlicense", True)] and got[1].n_cues == 0
+    assert [len(got[i].licences) for i in (2, 3, 4)] == [0, 0, 0]
