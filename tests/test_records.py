@@ -208,3 +208,14 @@ def test_repeated_ids_are_settled_by_the_row(spark):
     same = [("d", str(i), "1-1", None, "A", f"u{i}", "x") for i in range(6)]
     best = lambda rows: M.artist_profiles(spark.createDataFrame(rows, schema).coalesce(1)).first().profile_url
     assert best(same) == best(same[::-1])
+
+
+def test_galleries_make_no_mentions(spark, monkeypatch):
+    from atelier.plans import queries as Q
+    from atelier.plans import record_queries as RQ
+    from atelier.sources.adapters import Tables
+
+    monkeypatch.setattr(M, "mentions", lambda *a, **k: pytest.fail("galleries need no mentions"))
+    t = Tables(spark, "/root/testdata/sf0.001")
+    t.staged = True
+    assert RQ.galleries(t).count() > 0 and Q.mart_galleries.__name__ == "mart_galleries" and Q.mart_galleries(t).count() > 0
