@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from html import unescape
 from html.parser import HTMLParser
+from itertools import accumulate, chain
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -16,17 +17,43 @@ from atelier.functions.parse import date_range_parse, opening_datetime_parse
 from atelier.operators.tables import latest_per_key
 
 _BLOCKS = frozenset("article blockquote body dd div dl dt figcaption footer h1 h2 h3 h4 h5 h6 header li main nav ol p section td th tr ul".split())
-_ELEMENTS = "page_id long, url string, title string, headings array<string>, blocks array<string>, links array<struct<href: string, text: string>>, images array<struct<src: string, alt: string, title: string>>, meta array<struct<name: string, content: string>>, json_ld array<string>"
+_ELEMENTS = ["page_id long", "url string", "title string", "headings array<string>", "blocks array<string>", "links array<struct<href: string, text: string>>", "images array<struct<src: string, alt: string, title: string>>", "meta array<struct<name: string, content: string>>", "json_ld array<string>"]
 
 
 _TREE = "array<struct<at: int, last: int, up: int, tag: string, classes: string, id: string, mark: string, text: string>>"
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 _UNREAD = frozenset(("script", "style", "noscript", "template"))
-#: A text, a tag whose attributes are quoted and free of references, or an end tag.
-_PLAIN = re.compile(r'([^<]++)|<([a-zA-Z][a-zA-Z0-9]*+)((?:\s++[a-zA-Z][-a-zA-Z]*+="[^"&]*+")*+)\s*+(/?)>|</([a-zA-Z][a-zA-Z0-9]*+)>|<![dD][oO][cC][tT][yY][pP][eE] html>')
+#: What stands between < and >: a tag whose attributes are quoted and free of references, an end tag, or the document type.
+_PLAIN = re.compile(r'([a-zA-Z][a-zA-Z0-9]*+)((?:\s++[a-zA-Z][-a-zA-Z]*+="[^"&]*+")*+)\s*+(/?)|/([a-zA-Z][a-zA-Z0-9]*+)|![dD][oO][cC][tT][yY][pP][eE] html')
 _ATTRIBUTE = re.compile(r'([a-zA-Z][-a-zA-Z]*+)="([^"&]*+)"')
 #: Elements whose content HTMLParser reads in ways of its own.
 _ODD = frozenset("iframe math noembed noframes noscript plaintext svg textarea xmp".split())
+_SILENT = frozenset(("title", "script", "style", "json"))
+_RAW = frozenset(("script", "style", "title"))
+_HELD = frozenset(("title", "script", "style", "h1", "h2", "h3"))
+#: Tags as they were read before, of those met first: most pages repeat them.
+_TAGS: dict[str, tuple[str, list[tuple[str, str]], str] | None] = {}
+_MOST_TAGS = 4096
+
+
+def _tag(inner: str) -> tuple[str, list[tuple[str, str]], str] | None:
+    """(name, attributes, kind) of what stands between < and >; kind is "" for a start, "/" for an element closed at once, "end" for an end and "type" for the document type. None: no plain tag."""
+    if (m := _PLAIN.fullmatch(inner)) is None:
+        found = None
+    else:
+        name, attributes, closed, end = m.groups()
+        if name is None:
+            found = (end.lower(), [], "end") if end else ("", [], "type")
+        else:
+            name = name.lower()
+            found = None if name in _ODD else (name, [(k.lower(), v) for k, v in _ATTRIBUTE.findall(attributes)] if attributes else [], closed)
+    if len(_TAGS) < _MOST_TAGS:
+        _TAGS[inner] = found
+    return found
+
+
+#: Pages that are read before they become columns.
+_ROWS = 1000
 
 
 class _Page(HTMLParser):
@@ -35,40 +62,45 @@ class _Page(HTMLParser):
         self.title, self.headings, self.blocks, self.links, self.images, self.meta, self.json_ld = "", [], [], [], [], [], []
         self.text: list[str] = []
         self.inside = ""  # title, heading, script kind
-        self.link: dict | None = None
+        self.link: list | None = None
         self.part: list[str] = []
 
     def read(self, html: str) -> bool:
-        """Reads a page of plain tags, giving the handlers what feed() and close() would, in a third of the time; False at anything else: such a page is fed."""
-        at, size = 0, len(html)
+        """Reads a page of plain tags, giving the handlers what feed() and close() would, in a fraction of the time; False at anything else: such a page is fed."""
+        parts = html.split("<")
+        start, startend, end, data, tags = self.handle_starttag, self.handle_startendtag, self.handle_endtag, self.handle_data, _TAGS
+        if parts[0]:
+            data(unescape(parts[0]) if "&" in parts[0] else parts[0])
+        at, size = 1, len(parts)
         while at < size:
-            if (m := _PLAIN.match(html, at)) is None:
+            inner, closing, text = parts[at].partition(">")
+            at += 1
+            known = tags[inner] if inner in tags else _tag(inner)
+            if known is None or not closing:
                 return False
-            at = m.end()
-            text, tag, attributes, closed, end = m.groups()
-            if text:
-                self.handle_data(unescape(text) if "&" in text else text)
-            elif end:
-                self.handle_endtag(end.lower())
-            elif tag:
-                tag = tag.lower()
-                if tag in _ODD:
-                    return False
-                attrs = [(k.lower(), v) for k, v in _ATTRIBUTE.findall(attributes)] if attributes else []
-                if tag in ("script", "style", "title"):
-                    stop = html.find(f"</{tag}>", at)
-                    held = html[at:stop].lower()
-                    if closed or stop < 0 or f"</{tag}" in held or "<!--" in held or (tag == "title" and "<" in held):
+            tag, attrs, kind = known
+            if kind == "end":
+                end(tag)
+            elif kind == "":
+                if tag in _RAW:
+                    stop = f"/{tag}>"
+                    while at < size and not parts[at].startswith(stop):
+                        text = f"{text}<{parts[at]}"
+                        at += 1
+                    held = text.lower()
+                    if at == size or f"</{tag}" in held or "<!--" in held or (tag == "title" and "<" in held):
                         return False
-                    self.handle_starttag(tag, attrs)
-                    if tag != "title":
-                        if held:
-                            self.handle_data(html[at:stop])
-                        at = stop
-                elif closed:
-                    self.handle_startendtag(tag, attrs)
-                else:
-                    self.handle_starttag(tag, attrs)
+                    start(tag, attrs)
+                    if text:
+                        data(unescape(text) if tag == "title" and "&" in text else text)
+                    continue
+                start(tag, attrs)
+            elif kind == "/":
+                if tag in _RAW:
+                    return False
+                startend(tag, attrs)
+            if text:
+                data(unescape(text) if "&" in text else text)
         return True
 
     def flush(self) -> None:
@@ -78,21 +110,23 @@ class _Page(HTMLParser):
         self.text = []
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        a = {k: v or "" for k, v in attrs}
-        if tag in _BLOCKS:
+        if tag in _BLOCKS and self.text:
             self.flush()
-        if tag in ("title", "script", "style", "h1", "h2", "h3"):
+        if not attrs and tag not in _HELD:
+            return
+        a = {k: v or "" for k, v in attrs}
+        if tag in _HELD:
             self.inside, self.part = ("json" if tag == "script" and a.get("type") == "application/ld+json" else tag), []
         elif tag == "a" and a.get("href"):
-            self.link = {"href": a["href"], "text": ""}
+            self.link = [a["href"], "", 0]  # href, text, at
             self.links.append(self.link)
         elif tag == "img" and a.get("src"):
-            self.images.append({"src": a["src"], "alt": a.get("alt"), "title": a.get("title")})
+            self.images.append([a["src"], a.get("alt"), a.get("title"), 0])  # the last: at
         elif tag == "meta" and (name := a.get("property") or a.get("name")):
-            self.meta.append({"name": name, "content": a.get("content")})
+            self.meta.append((name, a.get("content")))
 
     def handle_endtag(self, tag: str) -> None:
-        if tag in ("title", "script", "style", "h1", "h2", "h3"):
+        if tag in _HELD:
             found = " ".join("".join(self.part).split())
             if self.inside == "title":
                 self.title = found
@@ -101,18 +135,18 @@ class _Page(HTMLParser):
             elif self.inside.startswith("h") and found:
                 self.headings.append(found)
             self.inside = ""
-        if tag == "a":
+        elif tag == "a":
             self.link = None
-        if tag in _BLOCKS:
+        if tag in _BLOCKS and self.text:
             self.flush()
 
     def handle_data(self, data: str) -> None:
         if self.inside:
             self.part.append(data)
-        if self.inside not in ("title", "script", "style", "json"):
+        if self.inside not in _SILENT:
             self.text.append(data)
         if self.link is not None:
-            self.link["text"] = " ".join((self.link["text"] + data).split())
+            self.link[1] = " ".join((self.link[1] + data).split())
 
 
 class _Tree(_Page):
@@ -124,40 +158,45 @@ class _Tree(_Page):
 
     def __init__(self) -> None:
         super().__init__()
-        self.tree: list[dict] = []
-        self.open: list[dict] = []
-
-    def _node(self, tag: str, **more: str) -> dict:
-        at = len(self.tree) + 1
-        node = {"at": at, "last": at, "up": self.open[-1]["at"] if self.open else 0, "tag": tag, "classes": "", "id": "", "mark": "", "text": None} | more
-        self.tree.append(node)
-        return node
+        self.tree: list[list] = []  # at, last, up, tag, classes, id, mark, text
+        self.open: list[list] = []
 
     def _close(self, depth: int) -> None:
+        last = len(self.tree)
         for node in self.open[depth:]:
-            node["last"] = len(self.tree)
+            node[1] = last
         del self.open[depth:]
 
     def _innermost(self, tag: str, stop: tuple[str, ...] = ()) -> int | None:
-        for depth in range(len(self.open) - 1, -1, -1):
-            if self.open[depth]["tag"] == tag:
+        depth = len(self.open)
+        for node in reversed(self.open):
+            depth -= 1
+            if node[3] == tag:
                 return depth
-            if self.open[depth]["tag"] in stop:
+            if node[3] in stop:
                 return None
         return None
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         links, images = len(self.links), len(self.images)
         super().handle_starttag(tag, attrs)
-        closes = self._innermost("p", ("table", "td", "button")) if tag in _BLOCKS else None
+        closes = self._innermost("p", ("table", "td", "button")) if self.open and tag in _BLOCKS else None
         if closes is None and tag in ("li", "dt", "dd", "option"):
             closes = self._innermost(tag, ("ul", "ol", "dl", "select"))
         if closes is not None:
             self._close(closes)
-        a = {k: v or "" for k, v in attrs}
-        node = self._node(tag, classes=f" {' '.join(a.get('class', '').split())} ", id=a.get("id", ""), mark="".join(f" {k}={a[k].strip()} " for k in ("itemprop", "data-testid") if a.get(k)))
-        for found in (*self.links[links:], *self.images[images:]):
-            found["at"] = node["at"]
+        at = len(self.tree) + 1
+        node = [at, at, self.open[-1][0] if self.open else 0, tag, "  ", "", "", None]
+        if attrs:
+            a = {k: v or "" for k, v in attrs}
+            if "class" in a:
+                node[4] = f" {' '.join(a['class'].split())} "
+            node[5] = a.get("id", "")
+            if "itemprop" in a or "data-testid" in a:
+                node[6] = "".join(f" {k}={a[k].strip()} " for k in ("itemprop", "data-testid") if a.get(k))
+            for found in (*self.links[links:], *self.images[images:]):
+                found[-1] = at
+        self.tree.append(node)
         if tag not in _VOID:
             self.open.append(node)
 
@@ -173,8 +212,9 @@ class _Tree(_Page):
 
     def handle_data(self, data: str) -> None:
         super().handle_data(data)
-        if not (self.open and self.open[-1]["tag"] in _UNREAD) and data.strip():
-            self._node("#text", text=" ".join(data.split()))
+        if not (self.open and self.open[-1][3] in _UNREAD) and (text := " ".join(data.split())):
+            at = len(self.tree) + 1
+            self.tree.append([at, at, self.open[-1][0] if self.open else 0, "#text", "", "", "", text])
 
     def close(self) -> None:
         super().close()
@@ -191,26 +231,37 @@ def _read(kind: type[_Page], html: str) -> _Page:
     return page
 
 
-def page_elements(pages: DataFrame, *, tree: bool = False) -> DataFrame:
-    """Title, headings, text blocks, links, images, meta fields and JSON-LD texts of each page, and on demand its tree; null html has none."""
-    kind = _ELEMENTS.replace("href: string, text: string", "href: string, text: string, at: int").replace("title: string>>", "title: string, at: int>>") + f", tree {_TREE}" if tree else _ELEMENTS
+def page_elements(pages: DataFrame, *, tree: bool = False, only: Sequence[str] | None = None) -> DataFrame:
+    """Title, headings, text blocks, links, images, meta fields and JSON-LD texts of each page, and on demand its tree; null html has none.
+
+    only: the columns, beside page_id and url, that leave the reader; by default all.
+    """
+    kinds = {c.split(" ", 1)[0]: c for c in _ELEMENTS}
+    if tree:
+        kinds |= {"links": kinds["links"].replace("text: string", "text: string, at: int"), "images": kinds["images"].replace("title: string", "title: string, at: int"), "tree": f"tree {_TREE}"}
+    names = [n for n in kinds if n not in ("page_id", "url") and (only is None or n in only)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = pa.list_(pa.string())
-        pairs = lambda *names: pa.list_(pa.struct([(n, pa.string()) for n in names] + [("at", pa.int32())] * (tree and names[0] in ("href", "src"))))
-        nodes = pa.list_(pa.struct([(n, pa.int32()) for n in ("at", "last", "up")] + [(n, pa.string()) for n in ("tag", "classes", "id", "mark", "text")]))
-        for batch in batches:
-            done = []
-            for html in batch.column("html").to_pylist():
-                done.append(_read(_Tree if tree else _Page, html or ""))
-            columns = [
-                batch.column("page_id"), batch.column("url"), pa.array([p.title or None for p in done], pa.string()), pa.array([p.headings for p in done], texts), pa.array([p.blocks for p in done], texts),
-                pa.array([p.links for p in done], pairs("href", "text")), pa.array([p.images for p in done], pairs("src", "alt", "title")), pa.array([p.meta for p in done], pairs("name", "content")), pa.array([p.json_ld for p in done], texts),
-            ]
-            more = [pa.array([p.tree for p in done], nodes)] if tree else []
-            yield pa.RecordBatch.from_arrays(columns + more, names=["page_id", "url", "title", "headings", "blocks", "links", "images", "meta", "json_ld", *["tree"] * tree])
-
-    return pages.select(F.col("page_id").cast("long"), "url", "html").mapInArrow(run, kind)
+        at = ["at"] * tree
+
+        def listed(rows: list[list], columns_of: str) -> pa.Array:
+            """The pages' rows column by column: rows of tuples would be taken apart one field at a time."""
+            fields = [(n, pa.int32() if n in ("at", "last", "up") else pa.string()) for n in columns_of.split()]
+            columns = [*zip(*chain.from_iterable(rows))] or [()] * len(fields)
+            held = pa.StructArray.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, fields)], [n for n, _ in fields])
+            return pa.ListArray.from_arrays(pa.array([0, *accumulate(map(len, rows))], pa.int32()), held)
+
+        for batch in (whole.slice(first, _ROWS) for whole in batches for first in range(0, whole.num_rows, _ROWS)):
+            done = [_read(_Tree if tree else _Page, html or "") for html in batch.column("html").to_pylist()]
+            made = {
+                "title": lambda: pa.array([p.title or None for p in done], pa.string()), "headings": lambda: pa.array([p.headings for p in done], texts), "blocks": lambda: pa.array([p.blocks for p in done], texts),
+                "links": lambda: listed([p.links for p in done], " ".join(["href text", *at])), "images": lambda: listed([p.images for p in done], " ".join(["src alt title", *at])), "meta": lambda: listed([p.meta for p in done], "name content"),
+                "json_ld": lambda: pa.array([p.json_ld for p in done], texts), "tree": lambda: listed([p.tree for p in done], "at last up tag classes id mark text"),
+            }
+            yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), *(made[n]() for n in names)], names=["page_id", "url", *names])
+
+    return pages.select(F.col("page_id").cast("long"), "url", "html").mapInArrow(run, ", ".join(kinds[n] for n in ("page_id", "url", *names)))
 
 
 def absolute(base: Column, href: Column) -> Column:
@@ -316,7 +367,7 @@ def event_page(elements: DataFrame, *, cities: list[str]) -> DataFrame:
     dated = F.array_join(F.filter("blocks", lambda b: ~F.lower(b).rlike("opening|closing")), "\n")
     meta = F.try_element_at(F.filter("meta", lambda m: m["name"] == "og:image"), F.lit(1))["content"]
     profiles = F.transform(F.filter("links", lambda x: x["href"].rlike("/artists?/[^/?#]")), lambda x: F.struct(X.clean_text(x["text"]).alias("name"), x["href"].alias("href")))
-    e = elements.withColumns({"_text": text, "_title": title, "_d": date_range_parse(dated), "_profiles": profiles, "description": F.array_join(F.slice("blocks", 1, 8), "\n")})
+    e = elements.withColumns({"_text": text, "_title": title, "_d": X.let(date_range_parse(dated), lambda d: d), "_profiles": profiles, "description": F.array_join(F.slice("blocks", 1, 8), "\n")})
     named = F.array_distinct(F.concat(F.coalesce(X.split_artist_names(X.label_value(F.col("_text"), ["artists?", "featuring"])), F.expr("cast(array() as array<string>)")), F.filter(F.transform("_profiles", lambda p: p["name"]), lambda n: n.isNotNull())))
     url = lambda n: F.try_element_at(F.filter("_profiles", lambda p: p["name"] == n), F.lit(1))["href"]
     e = e.withColumn("artists", F.transform(named, lambda n: F.struct(n.alias("name"), absolute(F.col("url"), url(n)).alias("profile_url"))))

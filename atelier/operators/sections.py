@@ -147,15 +147,17 @@ def venue_event(elements: DataFrame, *, city: str | None = None, country: str |
     """
     tree = F.col("tree")
     plain = F.array_join(F.col("_texts"), "\n")
-    usable = lambda *cs: F.try_element_at(F.filter(F.transform(F.array(*cs), lambda c: F.trim(F.regexp_replace(c, r"\s+", " "))), lambda c: (c != "") & ~F.lower(c).isin(BUTTONS)), F.lit(1))
-    prop = lambda name: F.try_element_at(F.transform(F.filter(tree, lambda n: is_text(n) & F.coalesce(F.contains(F.get(tree, n["up"] - 1)["mark"], F.lit(f" itemprop={name} ")), F.lit(False))), lambda n: n["text"]), F.lit(1))
+    # one after the other: what a page says first leaves the rest unread
+    usable = lambda *cs: F.coalesce(*(X.let(F.trim(F.regexp_replace(c, r"\s+", " ")), lambda v: F.when((v != "") & ~F.lower(v).isin(BUTTONS), v)) for c in cs))
+    prop = lambda name: F.try_element_at(F.filter("_marked", lambda n: F.contains(n["mark"], F.lit(f" itemprop={name} "))), F.lit(1))["text"]
     venue = lambda n: n["classes"].rlike("venue|location") | n["mark"].rlike("data-testid=[^ ]*venue")
     body = lambda n: n["tag"].isin("article", "main") | F.contains(n["classes"], F.lit("description"))
     first = lambda xs: F.try_element_at(xs, F.lit(1))
     meta = lambda name: first(F.transform(F.filter("meta", lambda m: m["name"] == name), lambda m: m["content"]))
     blocks = ["p", "li", "div", "span"]
+    marks = F.transform(F.filter(tree, is_text), lambda n: F.struct(F.get(tree, n["up"] - 1)["mark"].alias("mark"), n["text"].alias("text")))
     e = elements.withColumns({
-        "_texts": own_texts(tree, F.filter(tree, is_text), blocks), "_venue": own_texts(tree, inside(tree, venue, is_text), ["h2", "h3", "strong", "a"]),
+        "_marked": F.filter(marks, lambda n: F.contains(n["mark"], F.lit(" itemprop="))), "_texts": own_texts(tree, F.filter(tree, is_text), blocks), "_venue": own_texts(tree, inside(tree, venue, is_text), ["h2", "h3", "strong", "a"]),
         "_main": own_texts(tree, inside(tree, body, is_text), blocks), "_h1": own_texts(tree, F.filter(tree, is_text), ["h1"]), "_seo": X.let(X.seo_title_parse(F.coalesce("title", meta("og:title"))), lambda x: x),
         "_near": inside(tree, lambda n: venue(n) | n["tag"].isin("article", "main"), lambda n: n["tag"] == "a"), "_category": own_texts(tree, inside(tree, lambda n: F.contains(n["classes"], F.lit("category")), is_text), blocks),
     })

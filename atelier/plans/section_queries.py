@@ -20,16 +20,16 @@ SITE = "Guide"
 
 
 def profiles(t):
-    return E.page_elements(t["a_profile_pages"], tree=True)
+    return E.page_elements(t["a_profile_pages"], tree=True, only=["title", "tree"])
 
 
 def images(t):
     """Scoped images need no tree."""
-    return S.scoped_artworks(E.page_elements(t["a_profile_pages"]))
+    return S.scoped_artworks(E.page_elements(t["a_profile_pages"], only=["images"]))
 
 
 def venues(t):
-    return S.venue_event(E.page_elements(t["a_venue_pages"], tree=True), country="Land")
+    return S.venue_event(E.page_elements(t["a_venue_pages"], tree=True, only=["title", "links", "images", "meta", "tree"]), country="Land")
 
 
 @query("""SELECT id::bigint AS page_id, CASE WHEN k % 3 = 2 THEN '' ELSE 'Painter from ' || n_name || ' whose canvases of ' || y::varchar || ' layer memory and migration.' || CASE WHEN k % 3 = 1 THEN ' Born on the coast. Lives inland.' ELSE '' END END AS biography,

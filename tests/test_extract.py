@@ -54,3 +54,11 @@ def test_plain_pages_are_read_as_the_parser_reads_them(kind):
         fed.flush()
         got = E._read(kind, html)
         assert [getattr(got, c, None) for c in ("title", "headings", "blocks", "links", "images", "meta", "json_ld", "tree")] == [getattr(fed, c, None) for c in ("title", "headings", "blocks", "links", "images", "meta", "json_ld", "tree")]
+
+
+def test_the_reader_gives_only_the_columns_asked_for(spark):
+    pages = spark.createDataFrame([(1, "u", '<title>T</title><p class="x" itemprop="name">a <img src="i.png"> b</p>'), (2, "v", None)], "page_id long, url string, html string")
+    some, every = E.page_elements(pages, tree=True, only=["title", "images", "tree"]), E.page_elements(pages, tree=True)
+    assert some.columns == ["page_id", "url", "title", "images", "tree"]
+    assert some.orderBy("page_id").collect() == every.select(*some.columns).orderBy("page_id").collect()
+    assert [(n.tag, n.up, n.classes, n.mark) for n in some.where("page_id = 1").first().tree][2:4] == [("p", 0, " x ", " itemprop=name "), ("#text", 3, "", "")]

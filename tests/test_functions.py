@@ -123,3 +123,12 @@ def test_inferred_galleries_leave_out_chrome(spark):
     none = spark.createDataFrame([], "n_gallery_name string, n_city string, n_country string, source_domain string")
     got = M.inferred_galleries(events, none, site=SITE, label=LABEL).collect()
     assert [(r.gallery_name, r.n_linked_events) for r in got] == [("The Vault", 2)]
+
+
+def test_dates_are_looked_up_without_formats(spark, capsys):
+    days = {"12 March 2024": dt.date(2024, 3, 12), "1 SEP 2024": dt.date(2024, 9, 1), "31 February 2024": None, "0 May 2024": None, "3 Foo 2024": None}
+    rows = spark.createDataFrame([(d,) for d in days], "d string").select("d", P.date_range_parse(F.col("d")).alias("x"))
+    assert {r.d: r.x.start_date for r in rows.collect()} == days
+    assert tuple(one(spark, P.date_range_parse, "40 May 2024 - 2 June 2024, and 1 May 2024")) == (None, dt.date(2024, 6, 2))
+    rows.explain()
+    assert "gettimestamp" not in capsys.readouterr().out.lower()
