@@ -17,7 +17,7 @@ SUSPECT = ["%selected works%", "%latest work%", "%artworks%", "%paintings%", "%p
 #: Active rules that are broadcast, at most.
 RULES = 5000
 #: Characters of the parts by which more rules are found
-GRAM = 4
+GRAM = 8
 
 
 def fold_decisions(decisions: DataFrame, key: str, fields: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -54,23 +54,44 @@ def event_quality(events: DataFrame) -> DataFrame:
 def rule_match(events: DataFrame, rules: DataFrame, *, few: int = RULES) -> DataFrame:
     """(event_id, rule_value, rule_confidence) of the surest active rule whose pattern the event's text contains, on its domain or any.
 
-    Up to `few` rules are broadcast and tried on every event. More are found by grams: a text that contains a pattern contains the
-    pattern's rarest part of GRAM characters (a shorter pattern is its own part), so events meet only rules whose part they have, and
-    then the pattern is looked for. No rule is left out.
+    Of rules with one pattern and domain only the surest can be chosen, so the others are left out first. Up to `few` rules are then broadcast and
+    tried on every event. More are found by the parts of a text: a pattern of up to GRAM characters is looked up as it stands; a longer one is
+    in a text only if its rarest part of GRAM characters is, so it is met by that and then looked for. No rule that can be chosen is left out.
     """
-    active = rules.where("is_active and field_name = 'event_type' and trim(pattern) <> ''").withColumn("_p", F.lower(F.trim("pattern")))
-    active = written(active.select("_p", "pattern", "suggested_value", "source_domain", "confidence", "support_count", "updated_at"), "rules")
+    active = rules.where("is_active and field_name = 'event_type' and trim(pattern) <> ''").withColumns({"_p": F.lower(F.trim("pattern")), "_domain": F.coalesce("source_domain", F.lit(""))})
+    order = ["confidence", "support_count", "updated_at", "pattern"]
+    surest = active.groupBy("_p", "_domain").agg(F.max_by(F.struct("suggested_value", *order), F.struct(*order)).alias("r")).select("_p", "_domain", "r.*")
+    # a place in the order of all rules is one number: what is best of an event's hits needs no sort of them
+    active = written(surest.orderBy(*order).withColumn("_place", F.monotonically_increasing_id()), "rules")
     texts = events.select("event_id", "source_domain", F.lower(F.concat_ws(" ", "event_title", "description")).alias("_text"))
-    domain = F.coalesce(F.col("r.source_domain"), F.lit(""))
-    hit = F.contains(F.col("e._text"), F.col("r._p")) & ((domain == "") | (domain == F.col("e.source_domain")))
+    own = (F.col("r._domain") == "") | (F.col("r._domain") == F.col("e.source_domain"))
+    hits = []
     if active.count() <= few:
-        found = texts.alias("e").join(F.broadcast(active).alias("r"), hit)
+        hits.append(texts.alias("e").join(F.broadcast(active).alias("r"), F.contains(F.col("e._text"), F.col("r._p")) & own))
     else:
         texts = written(texts, "texts")
-        met = _met(texts, active).alias("m")
-        found = met.join(texts.alias("e"), "event_id").join(active.alias("r"), F.col("m._p") == F.col("r._p")).where(hit)
-    best = F.struct("r.confidence", "r.support_count", "r.updated_at", "r.pattern")
-    return found.groupBy("e.event_id").agg(F.max_by(F.struct(F.col("r.suggested_value").alias("v"), F.col("r.confidence").cast("double").alias("c")), best).alias("m")).select("event_id", F.col("m.v").alias("rule_value"), F.col("m.c").alias("rule_confidence"))
+        short, long = (active.where(F.length("_p") <= GRAM), active.where(F.length("_p") > GRAM))
+        hits.append(_parts(texts, F.col("_p"), short).alias("e").join(short.alias("r"), (F.col("e.gram") == F.col("r._p")) & own))
+        if not long.isEmpty():
+            met = _met(texts, long).alias("m")
+            hits.append(met.join(texts.alias("e"), "event_id").join(long.alias("r"), F.col("m._p") == F.col("r._p")).where(F.contains(F.col("e._text"), F.col("r._p")) & own))
+    best = reduce(DataFrame.unionByName, [h.select("e.event_id", "r._place") for h in hits]).groupBy("event_id").agg(F.max("_place").alias("_place"))
+    return best.join(active, "_place").select("event_id", F.col("suggested_value").alias("rule_value"), F.col("confidence").cast("double").alias("rule_confidence"))
+
+
+def _parts(texts: DataFrame, wanted: Column, rows: DataFrame) -> DataFrame:
+    """The texts' rows, one a place and size, with the part that is there as gram: sizes are those of the wanted parts, of GRAM characters at most, and places those where one can start.
+
+    Rows rather than arrays: they are looked up as they are made.
+    """
+    sizes = sorted(r[0] for r in rows.select(F.length(wanted)).distinct().collect())
+    least, most = (sizes[0], sizes[-1]) if sizes else (1, 1)
+    heads = rows.select(F.left(wanted, F.lit(least)).alias("_head")).distinct()
+    places = texts.where(F.length("_text") > 0).select("*", F.explode(F.sequence(F.lit(1), F.length("_text"))).alias("_at"))
+    places = places.select("event_id", "source_domain", F.substr("_text", F.col("_at"), F.lit(most)).alias("_rest"))
+    places = places.join(heads, F.left("_rest", F.lit(least)) == F.col("_head"), "left_semi")
+    sized = places.select("*", F.explode(F.array(*map(F.lit, sizes or [1]))).alias("_size")).where(F.col("_size") <= F.length("_rest"))
+    return sized.select("event_id", "source_domain", F.left("_rest", F.col("_size")).alias("gram"))
 
 
 def _grams(text: Column, size: Column) -> Column:
@@ -82,10 +103,8 @@ def _met(texts: DataFrame, rules: DataFrame) -> DataFrame:
     size = F.least(F.length("_p"), F.lit(GRAM))
     parts = written(rules.select("_p").distinct().select("_p", F.explode(_grams(F.col("_p"), size)).alias("gram")), "parts")
     wanted = parts.select("gram").distinct()
-    sizes = [r[0] for r in parts.select(F.length("gram")).distinct().collect()]  # GRAM of them at most
-    every = F.array_distinct(F.flatten(F.array(*[_grams(F.col("_text"), F.lit(n)) for n in sizes])))
     # only parts of patterns leave the scan: Spark broadcasts them where their size allows, and shuffles grams else
-    there = written(texts.select("event_id", F.explode(every).alias("gram")).join(wanted, "gram"), "grams")
+    there = written(_parts(texts, F.col("gram"), parts).join(wanted, "gram").select("event_id", "gram").distinct(), "grams")
     counts = there.groupBy("gram").agg(F.count("*").alias("n"))
     # a pattern with a part that no text has is in no text
     rarest = parts.join(counts, "gram", "left").groupBy("_p").agg(F.min_by("gram", F.struct(F.coalesce("n", F.lit(0)), "gram")).alias("gram"))

@@ -88,4 +88,4 @@ def learned_rule_match_by_grams(t):
         F.when(F.col("s_suppkey") % 3 == 0, F.concat(F.lower("n_name"), F.lit(".example"))).alias("source_domain"), F.lit(True).alias("is_active"), F.col("s_suppkey").alias("support_count"), F.col("s_suppkey").alias("updated_at"),
         F.round((F.col("s_suppkey") % 7 + 2) / 13, 4).alias("confidence"),
     )
-    return D.rule_match(Q.mart_ev(t), rules, few=0)
+    return D.rule_match(Q.ev(t), rules, few=0)

@@ -219,3 +219,14 @@ def test_galleries_make_no_mentions(spark, monkeypatch):
     t = Tables(spark, "/root/testdata/sf0.001")
     t.staged = True
     assert RQ.galleries(t).count() > 0 and Q.mart_galleries.__name__ == "mart_galleries" and Q.mart_galleries(t).count() > 0
+
+
+def test_rules_of_one_pattern_and_domain_count_once(spark):
+    """Of 300 rules with one pattern the surest alone meets the texts; long patterns are found by a part."""
+    schema = "field_name string, pattern string, suggested_value string, source_domain string, is_active boolean, support_count long, updated_at long, confidence double"
+    rules = [("event_type", " Ab", f"v{i}", None if i % 2 else "d", True, i, 0, 0.5) for i in range(300)] + [("event_type", "a long pattern", "long", None, True, 1000, 0, 0.5), ("event_type", "a long patterns", "no", None, True, 2000, 0, 0.9)]
+    events = [(1, "d", "x ab", None), (2, "e", "AB", "y"), (3, "e", "Ab of", "A long pattern"), (4, "d", "", None), (5, "d", "long pattern", None)]
+    e, r = spark.createDataFrame(events, "event_id long, source_domain string, event_title string, description string"), spark.createDataFrame(rules, schema)
+    loop, grams = D.rule_match(e, r), D.rule_match(e, r, few=0)
+    assert sorted(map(tuple, grams.collect())) == sorted(map(tuple, loop.collect())) == [(1, "v299", 0.5), (2, "v299", 0.5), (3, "long", 0.5)]
+    assert "SortAggregate" not in grams._jdf.queryExecution().sparkPlan().toString()
