@@ -23,13 +23,15 @@ l AS (SELECT * FROM k QUALIFY row_number() OVER (PARTITION BY k, s ORDER BY craw
 SELECT arg_min(struct_pack(v := id), s).v AS id, arg_max(struct_pack(v := artwork_title), s).v AS artwork_title, arg_max(struct_pack(v := crawl_timestamp), s).v AS crawl_timestamp, arg_min(struct_pack(v := price_text), s).v AS price_text FROM l GROUP BY k""")
 def stream_upsert(t):
     """Three slices of the crawl stream into a bucketed table; what it holds then is what three upserts make."""
-    rows, at = t["a_artworks"], scratch(t.spark, "stream")
+    # the table holds what is asked of it, and the key made once: a batch shuffles and rewrites whole rows
+    rows = t["a_artworks"].select("id", "artwork_title", "crawl_timestamp", "price_text", O.record_key().alias("key"), "crawl_run_id")
+    at, schema = scratch(t.spark, "stream"), rows.drop("crawl_run_id").schema
     for part in SLICES:
-        rows.where(part).write.mode("append").parquet(f"{at}/in")
-        stream = t.spark.readStream.schema(rows.schema).parquet(f"{at}/in")
-        J.stream_upsert(stream, f"{at}/table", f"{at}/checkpoint", update_cols=["artwork_title", "crawl_timestamp"], order=[F.desc("crawl_timestamp"), F.desc("id")], buckets=32).awaitTermination()
+        rows.where(part).drop("crawl_run_id").write.mode("append").parquet(f"{at}/in")
+        stream = t.spark.readStream.schema(schema).parquet(f"{at}/in")
+        J.stream_upsert(stream, f"{at}/table", f"{at}/checkpoint", update_cols=["artwork_title", "crawl_timestamp"], order=[F.desc("crawl_timestamp"), F.desc("id")], key=F.col("key"), buckets=32).awaitTermination()
     B.vacuum(t.spark, f"{at}/table")
-    return B.current(t.spark, f"{at}/table", rows.schema).select("id", "artwork_title", "crawl_timestamp", "price_text")
+    return B.current(t.spark, f"{at}/table", schema).select("id", "artwork_title", "crawl_timestamp", "price_text")
 
 
 @query("SELECT DISTINCT user_id, event_type FROM events")

@@ -1,5 +1,7 @@
 """Every query against its oracle on the smallest tables."""
 
+from pathlib import Path
+
 import duckdb
 import pytest
 
@@ -50,3 +52,12 @@ def test_titles_and_many_rules_need_no_python_and_no_nested_loop(spark):
     for name in ("title_similarity", "auto_apply_suggestions", "learned_rule_match_by_grams"):
         plan = registry.queries()[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "Arrow" not in plan and "NestedLoop" not in plan
+
+
+def test_the_stream_holds_only_what_is_asked_of_it(spark):
+    """A batch shuffles and rewrites whole rows of the table: no descriptions, names or addresses among them."""
+    from atelier.sources.shared import shared_dir
+
+    registry.queries()["stream_upsert"](spark, SMALL)
+    tables = sorted(Path(shared_dir(spark)).glob("stream-*/table/data"), key=lambda p: p.stat().st_mtime)
+    assert sorted(spark.read.parquet(str(tables[-1])).columns) == sorted(["id", "artwork_title", "crawl_timestamp", "price_text", "key", "batch", "bucket"])
