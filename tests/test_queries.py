@@ -61,3 +61,9 @@ def test_the_stream_holds_only_what_is_asked_of_it(spark):
     registry.queries()["stream_upsert"](spark, SMALL)
     tables = sorted(Path(shared_dir(spark)).glob("stream-*/table/data"), key=lambda p: p.stat().st_mtime)
     assert sorted(spark.read.parquet(str(tables[-1])).columns) == sorted(["id", "artwork_title", "crawl_timestamp", "price_text", "key", "batch", "bucket"])
+
+
+def test_galleries_are_made_in_as_many_parts_as_cores(spark):
+    from atelier.sources.adapters import Tables
+
+    assert Tables(spark, SMALL)["a_galleries"].rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
