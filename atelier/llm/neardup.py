@@ -6,7 +6,8 @@ sketches make candidates: equal texts are one node first, and in each bucket eve
 buckets give about as many pairs as rows, whatever their size. A pair is decided by banded alignment of its labelled runs:
 runs that match in order, over all runs of both. Order and repeats count, as in an edit similarity; for texts without
 repeated or moved passages it is the Jaccard similarity of their sets of runs, which it never exceeds by multiset.
-Buckets that still hold more than one class get new heads from outside their largest class, until a turn finds no link.
+Buckets that still hold more than one class get new heads from outside their largest class, until a turn finds no link or the
+exact join that follows would make few pairs for each of its rows anyway.
 Heads only make the classes large early. What they leave is settled exactly: all nodes of buckets that still hold more than one
 class are joined by the rarest of their labelled runs (a prefix filter), so no link between members of a bucket is missed.
 """
@@ -32,6 +33,8 @@ SIMILARITY = 0.8
 BINS = 32
 #: Hashes in a sketch
 LENGTH = 4
+#: Pairs that the exact join may make for each of its rows before new heads are worth a turn.
+FEW = 64
 
 
 def runs(c: W.Chunk, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -177,8 +180,8 @@ def _pairs(members: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
     heads = candidates.groupBy("bin", "hash").agg(F.array_distinct(F.array(*chosen)).alias("heads"))
     met = named.join(heads, ["bin", "hash"]).select("node", "label", "bins", F.explode("heads").alias("head")).where("label <> head.label")
     times = met.groupBy(F.least("node", "head.node").alias("a"), F.greatest("node", "head.node").alias("b")).agg(F.count("*").alias("times"), F.min("bins").alias("bins"))
-    # alike texts share 13 of 32 buckets on average; one alone is mostly chance, and left to _rest, except where a short text has few
-    return times.where((F.col("times") > 1) | (F.col("bins") < 8)).select("a", "b")
+    # alike texts share 13 of 32 buckets on average; fewer than an eighth are mostly chance, and left to _rest
+    return times.where(F.col("times") * 8 >= F.col("bins")).select("a", "b")
 
 
 def _shingles(texts: DataFrame, *, size: int) -> DataFrame:
@@ -199,26 +202,39 @@ def _shingles(texts: DataFrame, *, size: int) -> DataFrame:
     return texts.mapInArrow(run, "node long, n int, token long")
 
 
-def _rest(members: DataFrame, labels: DataFrame, texts: DataFrame, *, size: int, least: float) -> DataFrame:
-    """(a, b): a superset of all links between classes that share a bucket.
+def _prefixes(members: DataFrame, labels: DataFrame, texts: DataFrame, *, size: int, least: float) -> DataFrame:
+    """(node, n, behind, token): the rarest labelled runs of the nodes whose buckets hold several classes.
 
     An alignment that is long enough shares enough labelled runs, whatever their order. Sets that do share one of their
     n - ceil(least * n) + 1 rarest runs, and the first that they share leaves room for enough others behind it. Runs of one open
-    node alone come first in the order, and only their number counts.
+    node alone come first in the order, and only their number counts. Classes that grow later leave all this as it is.
     """
     named = members.select("bin", "hash", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     several = named.groupBy("bin", "hash").agg(F.min("label").alias("_a"), F.max("label").alias("_b")).where("_a < _b").select("bin", "hash")
-    nodes = written(named.join(several, ["bin", "hash"], "left_semi").select("node", "label").distinct(), "open")
-    tokens = _shingles(texts.join(nodes.select(F.col("node").alias("doc_id")).hint("merge"), "doc_id", "left_semi"), size=size)
+    nodes = named.join(several, ["bin", "hash"], "left_semi").select(F.col("node").alias("doc_id")).distinct()
+    tokens = _shingles(written(texts.join(nodes.hint("merge"), "doc_id", "left_semi"), "open"), size=size)
     common = tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
     room = F.col("n") - F.ceil(F.lit(least) * F.col("n") - 1e-9) + 1 - (F.col("n") - F.size("own"))  # places of the prefix that are left for shared shingles
     own = tokens.join(common, "token").groupBy("node", "n").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("own"))
     prefix = own.withColumn("room", room.cast("int")).where("room > 0").select("node", "n", (F.col("n") - F.size("own")).alias("alone"), F.posexplode(F.slice("own", F.lit(1), F.col("room"))).alias("at", "x"))
     # behind: shingles from this one on
-    rows = written(prefix.select("node", "n", (F.col("n") - F.col("alone") - F.col("at")).alias("behind"), F.col("x.token").alias("token")).join(nodes, "node"), "prefixes")
-    per = rows.groupBy("token", "label").agg(F.count("*").alias("k"))
-    largest = per.groupBy("token").agg(F.count("*").alias("classes"), F.max_by("label", F.struct("k", "label")).alias("main")).where("classes > 1").drop("classes")
-    open_ = rows.join(largest, "token")
+    return written(prefix.select("node", "n", (F.col("n") - F.col("alone") - F.col("at")).alias("behind"), F.col("x.token").alias("token")), "prefixes")
+
+
+def _shared(prefixes: DataFrame, labels: DataFrame) -> DataFrame:
+    """(token, main, meetings): tokens in several classes, the class that holds most of their nodes, and how many pairs joining them makes at most."""
+    per = prefixes.join(labels, "node", "left").groupBy("token", F.coalesce("label", "node").alias("label")).agg(F.count("*").alias("k"))
+    both = per.groupBy("token").agg(F.count("*").alias("classes"), F.sum("k").alias("all"), F.max(F.struct("k", "label")).alias("most")).where("classes > 1")
+    return written(both.select("token", F.col("most.label").alias("main"), (F.col("all") * (F.col("all") - F.col("most.k"))).alias("meetings")), "shared")
+
+
+def _rest(members: DataFrame, labels: DataFrame, texts: DataFrame, *, size: int, least: float, prefixes: DataFrame | None = None, shared: DataFrame | None = None) -> DataFrame:
+    """(a, b): a superset of all links between classes that share a bucket; _prefixes() and _shared() of these labels are made where they aren't given."""
+    if prefixes is None:
+        prefixes = _prefixes(members, labels, texts, size=size, least=least)
+    if shared is None:
+        shared = _shared(prefixes, labels)
+    open_ = prefixes.join(shared.drop("meetings"), "token").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     outside = open_.where("label <> main").select("token", F.col("node").alias("other"), F.col("label").alias("other_label"), F.col("n").alias("m"), F.col("behind").alias("other_behind"))
     enough = F.least("behind", "other_behind") >= F.lit(least / (1 + least)) * (F.col("n") + F.col("m")) - 1e-9
     met = open_.drop("main").join(outside, "token").where((F.col("label") != F.col("other_label")) & enough)
@@ -242,19 +258,26 @@ def classes(docs: DataFrame, *, size: int = SHINGLE, least: float = SIMILARITY)
     popular = crowded.groupBy("node").agg(F.sum("n").alias("popular"))
     members = written(crowded.drop("n").join(popular, "node"), "members")
     texts = candidates(docs, members)
-    turn, tried, links = 0, None, None
+    turn, tried, links, prefixes = 0, None, None, None
     labels = docs.sparkSession.createDataFrame([], "node long, label long")
     while True:
         pairs = _pairs(members, labels, turn)
         pairs = written(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
         found = written(verified(pairs, texts, size=size, least=least), "links")
-        if found.isEmpty():
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        none = found.isEmpty()
+        if not none:
+            links = found if links is None else links.unionByName(found)
+            labels = components(links)
+        if prefixes is None:
+            prefixes = _prefixes(members, labels, texts, size=size, least=least)
+        shared = _shared(prefixes, labels)
+        cost = shared.agg(F.sum("meetings")).first()[0] or 0
+        # heads only spare the join pairs; it is exact without them
+        if none or cost <= FEW * prefixes.count():
             break
-        tried, links = (pairs, found) if tried is None else (tried.unionByName(pairs), links.unionByName(found))
-        labels = components(links)
         turn += 1
-    tried = pairs if tried is None else tried.unionByName(pairs)
-    pairs = written(_rest(members, labels, texts, size=size, least=least).join(tried, ["a", "b"], "left_anti"), "pairs")
+    pairs = written(_rest(members, labels, texts, size=size, least=least, prefixes=prefixes, shared=shared).join(tried, ["a", "b"], "left_anti"), "pairs")
     found = written(verified(pairs, texts, size=size, least=least), "links")
     if not found.isEmpty():
         labels = components(found if links is None else links.unionByName(found))

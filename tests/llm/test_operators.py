@@ -486,6 +486,25 @@ def test_near_duplicates_that_no_head_touches(spark):
     assert dict(neardup.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()) == want
 
 
+@pytest.mark.parametrize("few", [10**9, -1])
+def test_heads_take_no_further_turn_where_the_exact_join_is_small(spark, monkeypatch, few):
+    """The classes are those of brute force with and without further turns of heads."""
+    common = [f"c{i}" for i in range(104)]
+    rows = [(2 * k + v, " ".join([*common, f"f{k}", *(f"t{k}x{v}x{i}" for i in range(12))])) for k in range(40) for v in (0, 1)]
+    made, keep = [], neardup.written
+    monkeypatch.setattr(neardup, "FEW", few)
+    monkeypatch.setattr(neardup, "written", lambda df, what: made.append(what) or keep(df, what))
+    assert dict(neardup.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()) == near_classes(rows)
+    assert made.count("prefixes") == 1 and (made.count("pairs") == 2) == (few > 0)
+
+
+def test_heads_leave_pairs_of_few_common_buckets_to_the_exact_join(spark):
+    """Of 32 buckets, one in common is too few; of a short text's eight, one is enough."""
+    rows = [(0, 1, 32), (1, 1, 32), (10, 11, 8), (11, 11, 8), *((n, h, 32) for n in (20, 21) for h in range(20, 24))]
+    members = spark.createDataFrame([(n, 0, h, b, 1) for n, h, b in rows], "node long, bin int, hash long, bins int, popular long")
+    assert sorted(map(tuple, neardup._pairs(members, None, 0).collect())) == [(10, 11), (20, 21)]
+
+
 def test_warc_round_trip(spark, tmp_path):
     rows = [(i, f"u{i}", ["dup", "x" * 5000, None, ""][i % 4] if i % 3 else f"page {i} é") for i in range(300)] + [(7, "u", "dup"), (7, "u", "dup"), (None, None, "solo"), (10**15, "far", "far")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("digest", F.lit("clash"))
