@@ -30,7 +30,7 @@ SIMILAR = 0.6
 #: Word pairs of a paragraph from which it may be confirmed as a part of a template.
 PART = 8
 #: Buckets of the look-up of words.
-BUCKETS = 512
+BUCKETS = 4096
 
 #: Identifiers by family.
 SPDX = {
@@ -154,7 +154,7 @@ def grams(text: str) -> list[str]:
 @dataclass
 class Model:
     families: list[str]
-    weights: dict[str, list[float]]  # by gram, one a class
+    weights: dict[str, list[float]]  # by gram, one a class; the words of a pair are grams, too
     bias: list[float]
 
 
@@ -243,41 +243,57 @@ def scan(docs: DataFrame, model: Model) -> DataFrame:
     def known(g: Column) -> Column:
         return F.try_element_at(F.element_at(weights, (F.crc32(g) % BUCKETS).cast("int") + 1), g)
 
+    # lambdas share no subexpressions: each step names what the next one reads more than once
+    def worded(p: Column) -> Column:
+        return F.struct(p["paragraph"].alias("paragraph"), F.regexp_extract_all(F.lower(p["text"]), F.lit(_WORD), F.lit(0)).alias("words"))
+
+    def alone(p: Column) -> Column:
+        return F.struct(p["paragraph"].alias("paragraph"), p["words"].alias("words"), F.transform(p["words"], lambda w: F.when(known(w).isNotNull(), w)).alias("known"))
+
     def terms(p: Column) -> Column:
-        words = F.regexp_extract_all(F.lower(p["text"]), F.lit(_WORD), F.lit(0))
-        pairs = _pairs(words)
-        found = F.array_compact(F.transform(F.array_distinct(F.concat(words, pairs)), known))
-        return F.struct(p["paragraph"].alias("paragraph"), found.alias("terms"), F.filter(F.array_distinct(pairs), lambda x: F.contains(x, F.lit(" "))).alias("pairs"))
+        # a pair is known only if both of its words are: no other is joined and looked up
+        pairs = F.filter(_pairs(p["known"]), lambda x: F.contains(x, F.lit(" ")))
+        found = F.array_compact(F.transform(F.array_distinct(F.concat(F.array_compact(p["known"]), pairs)), known))
+        return F.struct(p["paragraph"].alias("paragraph"), p["words"].alias("words"), found.alias("terms"))
 
     def logits(p: Column) -> Column:
         total = F.aggregate(p["terms"], bias, lambda a, t: F.zip_with(a, t, lambda x, y: x + y))
-        return F.struct(p["paragraph"].alias("paragraph"), p["pairs"].alias("pairs"), total.alias("z"))
+        return F.struct(p["paragraph"].alias("paragraph"), p["words"].alias("words"), total.alias("z"))
+
+    def topped(p: Column) -> Column:
+        return F.struct(p["paragraph"].alias("paragraph"), p["words"].alias("words"), p["z"].alias("z"), F.array_max(p["z"]).alias("top"))
 
     def best(p: Column) -> Column:
-        top = F.array_max(p["z"])
         return F.struct(
             p["paragraph"].alias("paragraph"),
-            (F.array_position(p["z"], top).cast("int")).alias("class"),
-            (1 / F.aggregate(p["z"], F.lit(0.0), lambda a, z: a + F.exp(z - top))).alias("probability"),
-            p["pairs"].alias("pairs"),
+            (F.array_position(p["z"], p["top"]).cast("int")).alias("class"),
+            (1 / F.aggregate(p["z"], F.lit(0.0), lambda a, z: a + F.exp(z - p["top"]))).alias("probability"),
+            p["words"].alias("words"),
         )
 
-    def compared(p: Column) -> Column:
+    def paired(p: Column) -> Column:
+        return p.withField("pairs", F.filter(F.array_distinct(_pairs(p["words"])), lambda x: F.contains(x, F.lit(" "))))
+
+    def near(p: Column) -> Column:
         size = F.size(p["pairs"])
         shared = lambda t: F.size(F.array_intersect(t, p["pairs"]))
-        near = F.array_max(F.transform(F.element_at(templates, p["class"]), lambda t: F.greatest(shared(t) / F.size(t), F.when(size >= PART, shared(t) / size).otherwise(0.0))))
+        most = F.array_max(F.transform(F.element_at(templates, p["class"]), lambda t: F.greatest(shared(t) / F.size(t), F.when(size >= PART, shared(t) / size).otherwise(0.0))))
+        return p.withField("similarity", most)
+
+    def compared(p: Column) -> Column:
         return F.struct(
             p["paragraph"].alias("paragraph"),
             F.element_at(names, p["class"]).alias("family"),
             p["probability"].alias("probability"),
-            near.alias("similarity"),
-            ((p["probability"] >= 0.5) & (near >= SIMILAR)).alias("confirmed"),
+            p["similarity"].alias("similarity"),
+            ((p["probability"] >= 0.5) & (p["similarity"] >= SIMILAR)).alias("confirmed"),
         )
 
-    known_words = F.filter(F.transform(every, terms), lambda p: F.size(p["terms"]) > 0)
-    judged = F.filter(F.transform(F.transform(known_words, logits), best), lambda p: p["class"] > 1)
+    known_words = F.filter(reduce(F.transform, [worded, alone, terms], every), lambda p: F.size(p["terms"]) > 0)
+    judged = F.filter(reduce(F.transform, [logits, topped, best], known_words), lambda p: p["class"] > 1)
+    listed = reduce(F.transform, [paired, near, compared], F.col("_judged"))
     cues = F.when(cued(text), F.size(F.filter(F.split(text, _END), cued))).otherwise(0)
-    return docs.withColumns({"n_cues": cues, "_judged": judged}).withColumn("licences", F.transform("_judged", compared)).drop("_judged")
+    return docs.withColumns({"n_cues": cues, "_judged": judged}).withColumn("licences", listed).drop("_judged")
 
 
 def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:

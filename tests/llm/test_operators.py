@@ -794,3 +794,12 @@ def test_licences_without_a_cue_word(spark):
     got = {r.doc_id: r for r in licences.scan(df, licences.train([])).collect()}
     assert [(x.paragraph, x.family, x.confirmed) for x in got[1].licences if x.confirmed] == [(1, "unlicense", True)] and got[1].n_cues == 0
     assert [len(got[i].licences) for i in (2, 3, 4)] == [0, 0, 0]
+
+
+def test_licence_words_are_cut_once(spark):
+    """Lambdas share no subexpressions, so the plan names the words of a paragraph once; pairs are known only where both words are."""
+    model = licences.Model(["unknown", "mit"], {"a": [0.0, 1.0], "b": [0.0, 1.0], "c": [0.0, 1.0], "a b": [0.0, 8.0]}, [3.5, 0.0])
+    df = spark.createDataFrame([(1, "a b"), (2, "a x b"), (3, "b a c"), (4, "x a b\n\na"), (5, "b a b a")], "doc_id long, text string")
+    got = licences.scan(df, model)
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all") == 1
+    assert {r.doc_id: [x.paragraph for x in r.licences] for r in got.collect()} == {1: [0], 2: [], 3: [], 4: [0], 5: [0]}
