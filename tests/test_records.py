@@ -210,6 +210,23 @@ def test_repeated_ids_are_settled_by_the_row(spark):
     assert best(same) == best(same[::-1])
 
 
+def test_profiles_have_edits_cleaned_biographies_and_what_reviewers_say(spark):
+    rows = [("a", "d", None, "u1", "Paints. Paints.", "1"), ("a", "d", None, "u2", None, "2"), ("b", "d", None, "u3", "Carves stone", "3")]
+    records = spark.createDataFrame(rows, "artist_name string, source_domain string, crawl_timestamp timestamp, source_url string, description string, raw_artwork_id string")
+    edits = spark.createDataFrame([("a", "d", "Edited", 1, "x"), ("a", "d", "Old", 0, "y"), ("b", "e", "Other", 1, "z")], "artist_name string, source_domain string, edited_bio string, created_at long, id string")
+    said = spark.createDataFrame([("b", "d", True, "Bee", "twice"), ("a", "e", True, None, None)], "artist_name string, source_domain string, is_hidden boolean, canonical_artist_name string, reason string")
+    got = M.artist_profiles(records, edits, said).orderBy("artist_name").select("artwork_count", "profile_url", "cleaned_artist_bio", "edited_bio", "artist_bio", "is_hidden", "canonical_artist_name", "moderation_reason").collect()
+    assert [tuple(r) for r in got] == [(2, "u1", "Paints", "Edited", "Edited", False, None, None), (1, "u3", "Carves stone", None, "Carves stone", True, "Bee", "twice")]
+
+
+def test_the_query_of_profiles_is_over_records_with_all_overlays(spark):
+    from atelier.plans import registry
+
+    got = registry.queries()["artist_profiles"](spark, "/root/testdata/sf0.001")
+    assert {"artist_bio", "cleaned_artist_bio", "bio_quality_score", "edited_bio", "is_hidden", "canonical_artist_name"} <= set(got.columns)
+    assert got.where("artist_name like 'The %'").count() > 0 and got.where("edited_bio is not null").count() > 0  # canonical names, edits
+
+
 def test_galleries_make_no_mentions(spark, monkeypatch):
     from atelier.plans import queries as Q
     from atelier.plans import record_queries as RQ
