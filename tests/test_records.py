@@ -227,6 +227,19 @@ def test_the_query_of_profiles_is_over_records_with_all_overlays(spark):
     assert got.where("artist_name like 'The %'").count() > 0 and got.where("edited_bio is not null").count() > 0  # canonical names, edits
 
 
+def test_the_bundle_of_an_event_holds_all_its_artists(spark, monkeypatch):
+    from atelier.plans import queries as Q
+    from atelier.plans import record_queries as RQ
+    from atelier.sources.adapters import Tables
+
+    people = spark.range(1200).selectExpr("'0' AS event_id", "cast(id AS string) AS artist_id", "concat('A', cast(id % 600 AS string)) AS artist_name")
+    monkeypatch.setattr(Q, "links", lambda t: people)
+    t = Tables(spark, "/root/testdata/sf0.001")
+    t.staged = True
+    got = RQ.event_bundle(t).where("event_id = '0'").first().artists.split(",")
+    assert got == sorted(f"A{i % 600}" for i in range(1200))
+
+
 def test_galleries_make_no_mentions(spark, monkeypatch):
     from atelier.plans import queries as Q
     from atelier.plans import record_queries as RQ
