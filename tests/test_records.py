@@ -227,6 +227,16 @@ def test_the_query_of_profiles_is_over_records_with_all_overlays(spark):
     assert got.where("artist_name like 'The %'").count() > 0 and got.where("edited_bio is not null").count() > 0  # canonical names, edits
 
 
+def test_the_mart_of_galleries_holds_all_links(spark):
+    schema = "raw_gallery_id string, source_domain string, source_record_id string, source_url string, normalized_gallery_key string, crawl_timestamp timestamp, created_at timestamp, n_gallery_name string, n_city string, n_country string"
+    halls = spark.createDataFrame([("g1", "d", "1", "u", "k1", None, None, "hall", "c", "x"), ("g2", "d", "2", "u", "k2", None, None, "room", "c", "x")], schema)
+    events = spark.range(2500).selectExpr("cast(id AS string) AS event_id", "'t' AS event_title", "'Hall' AS venue_name", "'C' AS city", "'X' AS country", "'d' AS source_domain")
+    works = spark.range(1500).selectExpr("cast(id AS string) AS raw_artwork_id", "'w' AS artwork_title", "'Room' AS gallery_name", "'d' AS source_domain")
+    got = {r.raw_gallery_id: r for r in M.mart_galleries(halls, events, works).collect()}
+    assert [e.event_id for e in got["g1"].linked_events] == sorted(map(str, range(2500))) and got["g1"].n_linked_events == 2500 and got["g1"].linked_artworks == []
+    assert [w.raw_artwork_id for w in got["g2"].linked_artworks] == sorted(map(str, range(1500))) and got["g2"].n_linked_artworks == 1500 and got["g2"].n_linked_events == 0
+
+
 def test_the_bundle_of_an_event_holds_all_its_artists(spark, monkeypatch):
     from atelier.plans import queries as Q
     from atelier.plans import record_queries as RQ
