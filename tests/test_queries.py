@@ -67,3 +67,17 @@ def test_galleries_are_made_in_as_many_parts_as_cores(spark):
     from atelier.sources.adapters import Tables
 
     assert Tables(spark, SMALL)["a_galleries"].rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+
+
+@pytest.mark.parametrize("name", ["queue_summary", "artist_works_bundle", "moderation_summary", "candidate_union"])
+def test_summaries_of_works_write_no_whole_records(spark, name):
+    """Works, their mart and their records are carried in the columns in use, and only what is asked of them is written."""
+    from atelier.sources.shared import shared_dir
+
+    before = set(Path(shared_dir(spark)).glob("*"))
+    registry.queries()[name](spark, SMALL).collect()
+    made = set(Path(shared_dir(spark)).glob("*")) - before
+    assert made and not [p for p in made if p.name.split("-")[0] in ("mart", "records", "mart_events")]
+    for p in made:
+        if p.name.split("-")[0] in ("works", "rollup", "counts"):
+            assert not {"description", "image_url", "medium_text", "artwork_title"} & set(spark.read.parquet(str(p)).columns)
