@@ -14,6 +14,7 @@ from atelier.plans import queries as Q
 from atelier.plans import record_queries as RQ
 from atelier.plans.queries import EVENTS, MART, query, slug
 from atelier.plans.record_queries import FULL, UNION
+from atelier.sources.shared import written
 
 _SET = lambda c: f"coalesce({c}, '') <> ''"
 
@@ -97,8 +98,8 @@ UNION ALL SELECT 'artworks', count(*), count(*) FILTER (public_visibility), coun
 UNION ALL SELECT 'events', count(*), count(*) FILTER (a), count(*) FILTER (h), count(*) FILTER (NOT a AND NOT h) FROM es
 UNION ALL SELECT 'galleries', count(*), count(*) FILTER (is_approved), count(*) FILTER (is_hidden), count(*) FILTER (NOT is_approved AND NOT is_hidden) FROM gr""", staged=True)
 def moderation_summary(t):
-    works = RQ.full(t)
-    people = works.withColumn("artist_name", F.col("original_artist_name")).where("artist_name is not null").select("artist_name", "source_domain").distinct()
+    works = written(D.moderation_counts(RQ.full_once(t), "original_artist_name", "source_domain"), "counts")  # a row for each artist and domain
+    people = works.where("original_artist_name is not null").select(F.col("original_artist_name").alias("artist_name"), "source_domain")
     profiles = people.join(t["a_artist_overrides"], ["artist_name", "source_domain"], "left")
-    halls = R.gallery_records(RQ.union(t), RQ.gallery_links(t), t["a_gallery_overrides"])
-    return D.moderation_summary(profiles, works, Q.er(t), halls)
+    state = lambda rows, said, key: rows.select(key).join(said.select(key, "is_hidden", "is_approved"), key, "left")
+    return D.moderation_summary(profiles, works, state(Q.venue_ev(t), t["a_event_overrides"], "event_id"), state(RQ.union(t), t["a_gallery_overrides"], "gallery_id"))
