@@ -13,7 +13,7 @@ from atelier.operators import summaries as U
 from atelier.plans import queries as Q
 from atelier.plans.page_queries import DATES, HOST
 from atelier.plans.queries import EV, STOP, person, query
-from atelier.plans.record_queries import FULL, full
+from atelier.plans.record_queries import FULL, full_once
 from atelier.sources.shared import written
 
 SITE = "Guide"
@@ -82,8 +82,10 @@ def event_text_union(t):
 @query(f"""WITH {FULL}, c AS (SELECT artist_name, source_domain, max(crawl_timestamp) AS m FROM full_ GROUP BY 1, 2 UNION ALL SELECT original_artist_name, coalesce(source_domain, '{SITE}'), max(crawl_timestamp) FROM full_ GROUP BY 1, 2
   UNION ALL SELECT artist_name, coalesce(source_domain, '{SITE}'), max(crawl_timestamp) FROM a_artworks GROUP BY 1, 2) SELECT artist_name, source_domain, max(m) AS last_seen FROM c WHERE artist_name IS NOT NULL GROUP BY 1, 2""")
 def candidate_union(t):
-    works = written(full(t), "works")
-    return U.domain_candidates(M.artist_profiles(works), works, t["a_artworks"], site=SITE)
+    names = ["artist_name", "original_artist_name", "source_domain"]
+    works = written(full_once(t).groupBy(*names).agg(F.max("crawl_timestamp").alias("crawl_timestamp")), "works")  # all that is asked of the works
+    profiles = works.where("artist_name is not null").groupBy("artist_name", "source_domain").agg(F.max("crawl_timestamp").alias("last_seen"))
+    return U.domain_candidates(profiles, works, t["a_artworks"], site=SITE)
 
 
 def _levels():
