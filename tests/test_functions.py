@@ -132,3 +132,11 @@ def test_dates_are_looked_up_without_formats(spark, capsys):
     assert tuple(one(spark, P.date_range_parse, "40 May 2024 - 2 June 2024, and 1 May 2024")) == (None, dt.date(2024, 6, 2))
     rows.explain()
     assert "gettimestamp" not in capsys.readouterr().out.lower()
+
+
+def test_dimensions_are_looked_for_once(spark):
+    """Every use of a measure had searched the text anew: the code was too long to be compiled."""
+    rows = spark.createDataFrame([("10 1/2 x 8 in",), ("5/6 x 3 × 1.5 cm",), ("7 cm",), ("5/0 x 2 cm",), (None,)], "c string")
+    parsed = rows.select(P.dimension_parse(rows["c"]).alias("x"))
+    assert [tuple(map(str, r.x)) for r in parsed.collect()] == [("26.67", "20.32", "None", "in", "parsed"), ("0.83", "3.00", "1.50", "cm", "parsed"), ("7.00", "None", "None", "cm", "partial"), ("None", "None", "None", "cm", "failed"), ("None", "None", "None", "None", "missing")]
+    assert parsed._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract(") <= 50
