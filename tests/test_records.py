@@ -270,3 +270,12 @@ def test_rules_of_one_pattern_and_domain_count_once(spark):
     loop, grams = D.rule_match(e, r), D.rule_match(e, r, few=0)
     assert sorted(map(tuple, grams.collect())) == sorted(map(tuple, loop.collect())) == [(1, "v299", 0.5), (2, "v299", 0.5), (3, "long", 0.5)]
     assert "SortAggregate" not in grams._jdf.queryExecution().sparkPlan().toString()
+
+
+def test_the_search_finds_whole_words_without_cutting_texts(spark):
+    """Once for a field, however often it is there; texts are looked through and not cut into all their words."""
+    rows = [("1", "Oil and OIL, steel", "an oil", None, None, None), ("2", "oils o'il", None, "Oil steel", None, "x"), ("3", "#oil oil#1", "OIL STEEL", "", None, "steel")]
+    works = spark.createDataFrame(rows, "id string, artwork_title string, artist_name string, medium_text string, description string, source_name string")
+    found = S.record_search(works, " Steel  oil ")
+    assert {r.id: r.score for r in found.collect()} == {"1": 9, "2": 2, "3": 7} and S.record_search(works, "oil steel", exact=10).where("id = '3'").first().score == 17
+    assert "split(" not in found._jdf.queryExecution().optimizedPlan().toString() and S.record_search(works, "o'il").count() == 0
